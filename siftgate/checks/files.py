@@ -209,7 +209,7 @@ def _etl_columns(spark, sf):
     stage = scanned(spark, folder, ORDERS)
     runs = spark.createDataFrame([(n.rsplit("/", 1)[-1], 7) for n in paths_in(spark, folder)], "source_filename string, file_load_log_id long")
     return stage.join(F.broadcast(runs), "source_filename").select(
-        "o_orderkey", "etl_row_hash", "file_load_log_id", F.col("source_filename").rlike(r"^part-.*\.csv$").alias("is_named")
+        "o_orderkey", F.lower(F.hex("etl_row_hash")).alias("etl_row_hash"), "file_load_log_id", F.col("source_filename").rlike(r"^part-.*\.csv$").alias("is_named")
     )
 
 

@@ -246,7 +246,7 @@ _MERGED_SQL = f"""WITH stage AS (SELECT {NEW_KEY} AS k, o_orderstatus AS s, {NEW
       CAST(CASE WHEN t.k IS NULL OR t.p <> stage.p THEN 2 ELSE 1 END AS BIGINT) AS file_load_log_id,
       CASE WHEN t.k IS NULL THEN 'insert' WHEN stage.k IS NULL THEN 'keep' WHEN t.p <> stage.p THEN 'update' ELSE 'unchanged' END AS action,
       CAST(CASE WHEN t.k IS NULL THEN 2000 ELSE 1000 END AS BIGINT) AS created,
-      CAST(CASE WHEN t.p <> stage.p THEN 2000 END AS BIGINT) AS updated, CAST(64 AS INTEGER) AS hash_length
+      CAST(CASE WHEN t.p <> stage.p THEN 2000 END AS BIGINT) AS updated, CAST(32 AS INTEGER) AS hash_length
     FROM target t FULL JOIN stage ON t.k = stage.k"""
 
 CHECKS["merge_upsert"] = (lambda spark, sf: _merged(spark, sf, merge.merge_frames), _MERGED_SQL)

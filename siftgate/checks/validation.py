@@ -310,7 +310,7 @@ def _row_hash(spark, sf):
         (F.col("o_orderstatus") == "F").alias("done"),
     )
     fields = [(f.name, f.dataType) for f in rows.schema.fields]
-    return rows.select("o_orderkey", row_hash(fields).alias("etl_row_hash"))
+    return rows.select("o_orderkey", F.lower(F.hex(row_hash(fields))).alias("etl_row_hash"))
 
 
 CHECKS["row_hash"] = (

@@ -1,9 +1,11 @@
-"""Text to typed value, as Columns.
-
-Every function takes a *cell*: its text and, for formats that have types (JSON, Excel), its
-kind. Kinds are ``string integer number boolean null other``; ``kind=None`` means the format
-knows only text, so a null text is the only non-string. Plain values take a ``try_cast``; the
-regular expressions run only for the texts that cast refuses.
+"""Text to typed value, as SQL expressions.
+
+Every function takes a *cell*: the names of the column with its text and, for formats that
+have types (JSON, Excel), of the column with its kind. Kinds are ``string integer number
+boolean null other``; ``kind=None`` means the format knows only text, so a null text is the
+only non-string. Plain values take a ``try_cast``; the regular expressions run only for the
+texts that cast refuses. The expressions are text because a wide feed needs thousands of
+them, and parsing one text is cheaper than a call into the JVM per operator.
 """
 
 from __future__ import annotations
@@ -35,225 +37,209 @@ EMAIL_TEXT = (
 )
 
 
+WHITESPACE_SQL = r"' \t\n\r\u000b\u000c'"
+SIGNED_NAN = r"(?i)^[+-]nan$"
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _matches(text: str, pattern: str) -> str:
+    return f'{text} RLIKE r"{pattern}"'
+
+
 @dataclass(frozen=True)
 class Cell:
-    text: Column
-    kind: Column | None = None
+    text: str
+    kind: str | None = None
 
-    def is_kind(self, *kinds: str) -> Column:
+    def is_kind(self, *kinds: str) -> str:
         if self.kind is None:
-            return F.lit("string" in kinds) & self.text.isNotNull()
-        return self.kind.isin(*kinds)
+            return f"({self.text} IS NOT NULL)" if "string" in kinds else "false"
+        return f"({self.kind} IN ({', '.join(quoted(k) for k in kinds)}))"
 
     @property
-    def is_null(self) -> Column:
-        return self.text.isNull() if self.kind is None else self.kind == "null"
+    def is_null(self) -> str:
+        return f"({self.text} IS NULL)" if self.kind is None else f"({self.kind} = 'null')"
 
+    @property
+    def stripped(self) -> str:
+        return f"btrim({self.text}, {WHITESPACE_SQL})"
 
-def _strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
-
+    @property
+    def number(self) -> str:
+        return f"try_cast({self.text} AS double)"
 
-def _plain(text: Column) -> Column:
-    """Digits without separators or an all-zero fraction."""
-    return F.regexp_replace(F.regexp_replace(_strip(text), "_", ""), r"\.0+$", "")
+    def when(self, kinds: tuple[str, ...], value: str) -> str:
+        """The value for cells of these kinds; a format without kinds has strings only."""
+        if self.kind is None and "string" in kinds:
+            return value
+        return f"CASE WHEN {self.is_kind(*kinds)} THEN {value} END"
 
 
-def as_int(cell: Cell) -> Column:
-    text = cell.text
-    parsed = F.coalesce(
-        text.try_cast("bigint"),
-        F.when(_strip(text).rlike(INT_TEXT), _plain(text).try_cast("bigint")),
+def _int(cell: Cell, spec: FieldSpec) -> str:
+    plain = f"regexp_replace(replace({cell.stripped}, '_', ''), r'\\.0+$', '')"
+    parsed = (
+        f"coalesce(try_cast({cell.text} AS bigint), "
+        f"CASE WHEN {_matches(cell.stripped, INT_TEXT)} THEN try_cast({plain} AS bigint) END)"
     )
     if cell.kind is None:
         return parsed
-    number = text.try_cast("double")
-    # from 2^53 on every double is whole, and the decimal cast keeps all its digits
-    whole = F.when(number == F.floor(number), text.try_cast("decimal(38,0)").try_cast("bigint"))
     return (
-        F.when(cell.is_kind("string", "integer"), parsed)
-        .when(cell.is_kind("boolean"), F.when(text == "true", 1).otherwise(0).cast("bigint"))
-        .when(cell.is_kind("number"), whole)
+        f"CASE WHEN {cell.is_kind('string', 'integer')} THEN {parsed} "
+        f"WHEN {cell.is_kind('boolean')} THEN CAST(if({cell.text} = 'true', 1, 0) AS bigint) "
+        # doubles are cut to whole numbers through a decimal, which keeps all digits
+        f"WHEN {cell.is_kind('number')} AND {cell.number} = floor({cell.number}) "
+        f"THEN try_cast(try_cast({cell.text} AS decimal(38,0)) AS bigint) END"
     )
 
 
-def int_error(cell: Cell) -> Column:
-    text = _strip(cell.text)
-    too_large = F.lit("int_parsing_size")
-    from_text = F.when(text.rlike(INT_TEXT), too_large).otherwise("int_parsing")
+def _int_error(cell: Cell) -> str:
+    from_text = f"CASE WHEN {_matches(cell.stripped, INT_TEXT)} THEN 'int_parsing_size' ELSE 'int_parsing' END"
     if cell.kind is None:
         return from_text
-    number = cell.text.try_cast("double")
     return (
-        F.when(cell.is_kind("string"), from_text)
-        .when(cell.is_kind("integer"), too_large)
-        .when(cell.is_kind("number") & (number != F.floor(number)), F.lit("int_from_float"))
-        .when(cell.is_kind("number"), too_large)
-        .otherwise("int_type")
+        f"CASE WHEN {cell.is_kind('string')} THEN {from_text} WHEN {cell.is_kind('integer')} THEN 'int_parsing_size' "
+        f"WHEN {cell.is_kind('number')} AND {cell.number} <> floor({cell.number}) THEN 'int_from_float' "
+        f"WHEN {cell.is_kind('number')} THEN 'int_parsing_size' ELSE 'int_type' END"
     )
 
 
-def as_float(cell: Cell) -> Column:
-    text = cell.text
-    stripped = _strip(text)
-    # Spark also casts "5d", "5f" and hexadecimal text; those letters take the slow way.
-    parsed = F.coalesce(
-        F.when(~text.rlike("[dDfFxX]"), text.try_cast("double")),
-        F.when(
-            stripped.rlike(FLOAT_TEXT) | stripped.rlike(NON_FINITE_TEXT),
-            F.regexp_replace(stripped, "_", "").try_cast("double"),
-        ),
-        F.when(stripped.rlike(r"(?i)^[+-]nan$"), F.lit("NaN").cast("double")),
+def _float(cell: Cell, spec: FieldSpec) -> str:
+    # Spark also casts "5d", "5f" and hexadecimal text; those letters take the slow way
+    parsed = (
+        f"CASE WHEN NOT ({_matches(cell.text, '[dDfFxX]')}) AND try_cast({cell.text} AS double) IS NOT NULL "
+        f"THEN try_cast({cell.text} AS double) "
+        f"WHEN {_matches(cell.stripped, SIGNED_NAN)} THEN double('NaN') "
+        f"WHEN {_matches(cell.stripped, FLOAT_TEXT)} OR {_matches(cell.stripped, NON_FINITE_TEXT)} "
+        f"THEN try_cast(replace({cell.stripped}, '_', '') AS double) END"
     )
     if cell.kind is None:
         return parsed
-    return F.when(cell.is_kind("string", "integer", "number"), parsed).when(
-        cell.is_kind("boolean"), F.when(text == "true", 1.0).otherwise(0.0)
+    return (
+        f"CASE WHEN {cell.is_kind('string', 'integer', 'number')} THEN {parsed} "
+        f"WHEN {cell.is_kind('boolean')} THEN if({cell.text} = 'true', 1D, 0D) END"
     )
 
 
-def float_error(cell: Cell) -> Column:
-    return F.when(cell.is_kind("string"), F.lit("float_parsing")).otherwise("float_type")
+def _float_error(cell: Cell) -> str:
+    return f"if({cell.is_kind('string')}, 'float_parsing', 'float_type')"
+
 
+def _bool(cell: Cell, spec: FieldSpec) -> str:
+    def listed(values: tuple[str, ...]) -> str:
+        return f"lower({cell.text}) IN ({', '.join(quoted(v) for v in values)})"
 
-def as_bool(cell: Cell) -> Column:
-    text = F.lower(cell.text)
-    parsed = F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
+    parsed = f"CASE WHEN {listed(TRUE_TEXTS)} THEN true WHEN {listed(FALSE_TEXTS)} THEN false END"
     if cell.kind is None:
         return parsed
-    number = cell.text.try_cast("double")
-    by_number = F.when(number == 1, True).when(number == 0, False)
-    return F.when(cell.is_kind("string", "boolean"), parsed).when(
-        cell.is_kind("integer", "number"), by_number
+    return (
+        f"CASE WHEN {cell.is_kind('string', 'boolean')} THEN {parsed} WHEN {cell.is_kind('integer', 'number')} "
+        f"THEN CASE {cell.number} WHEN 1D THEN true WHEN 0D THEN false END END"
     )
 
 
-def bool_error(cell: Cell) -> Column:
+def _bool_error(cell: Cell) -> str:
     if cell.kind is None:
-        return F.lit("bool_parsing")
-    number = cell.text.try_cast("double")
-    whole = cell.is_kind("integer") | (cell.is_kind("number") & (number == F.floor(number)))
-    return F.when(cell.is_kind("string") | whole, F.lit("bool_parsing")).otherwise("bool_type")
+        return "'bool_parsing'"
+    whole = f"({cell.is_kind('integer', 'number')} AND {cell.number} = floor({cell.number}))"
+    return f"if({cell.is_kind('string')} OR {whole}, 'bool_parsing', 'bool_type')"
 
 
-def as_decimal(cell: Cell, precision: int, scale: int) -> Column:
-    target = f"decimal({precision},{scale})"
-    text = cell.text
-    parsed = F.coalesce(
-        text.try_cast(target),
-        F.when(
-            _strip(text).rlike(FLOAT_TEXT), F.regexp_replace(_strip(text), "_", "").try_cast(target)
-        ),
+def _decimal(cell: Cell, spec: FieldSpec) -> str:
+    target = f"decimal({spec.precision},{spec.scale})"
+    parsed = (
+        f"coalesce(try_cast({cell.text} AS {target}), CASE WHEN {_matches(cell.stripped, FLOAT_TEXT)} "
+        f"THEN try_cast(replace({cell.stripped}, '_', '') AS {target}) END)"
     )
-    return F.when(cell.is_kind("string", "integer", "number"), parsed)
+    return cell.when(("string", "integer", "number"), parsed)
 
 
-def decimal_error(cell: Cell) -> Column:
-    text = _strip(cell.text)
+def _decimal_error(cell: Cell) -> str:
     return (
-        F.when(~cell.is_kind("string", "integer", "number"), F.lit("decimal_type"))
-        .when(text.rlike(NON_FINITE_TEXT), F.lit("finite_number"))
-        .when(text.rlike(FLOAT_TEXT), F.lit("decimal_max_digits"))
-        .otherwise("decimal_parsing")
+        f"CASE WHEN NOT {cell.is_kind('string', 'integer', 'number')} THEN 'decimal_type' "
+        f"WHEN {_matches(cell.stripped, NON_FINITE_TEXT)} THEN 'finite_number' "
+        f"WHEN {_matches(cell.stripped, FLOAT_TEXT)} THEN 'decimal_max_digits' ELSE 'decimal_parsing' END"
     )
 
 
-def as_date(cell: Cell, formats: tuple[str, ...] = ()) -> Column:
+def _as_utc(text: str) -> str:
+    """ISO date-time text; without a zone it is UTC, whatever the session's time zone."""
+    zoned = f"if({_matches(text, ISO_ZONE + '$')}, {text}, concat({text}, 'Z'))"
+    return f"try_cast({zoned} AS timestamp)"
+
+
+def _date(cell: Cell, spec: FieldSpec) -> str:
     text = cell.text
     parsed = (
-        F.when(text.rlike(DATE_TEXT), text.try_cast("date"))
-        .when(text.rlike(DATETIME_TEXT) & _as_utc(text).isNotNull(), F.substring(text, 1, 10).try_cast("date"))
-        .when(text.rlike(COMPACT_DATE_TEXT), F.try_to_date(text, "yyyyMMdd"))
+        f"CASE WHEN {_matches(text, DATE_TEXT)} THEN try_cast({text} AS date) "
+        f"WHEN {_matches(text, DATETIME_TEXT)} AND {_as_utc(text)} IS NOT NULL THEN try_cast(substring({text}, 1, 10) AS date) "
+        f"WHEN {_matches(text, COMPACT_DATE_TEXT)} THEN try_to_date({text}, 'yyyyMMdd') END"
     )
-    parsed = F.coalesce(parsed, *[F.try_to_date(text, f) for f in formats])
-    return F.when(cell.is_kind("string"), parsed)
+    others = "".join(f", try_to_date({text}, {quoted(f)})" for f in spec.formats)
+    return cell.when(("string",), f"coalesce({parsed}{others})" if others else parsed)
 
 
-def date_error(cell: Cell) -> Column:
-    return F.when(cell.is_kind("string"), F.lit("date_parsing")).otherwise("date_type")
+def _date_error(cell: Cell) -> str:
+    return f"if({cell.is_kind('string')}, 'date_parsing', 'date_type')"
 
 
-def _as_utc(text: Column) -> Column:
-    """ISO date-time text; without a zone it is UTC, whatever the session's time zone."""
-    zoned = F.when(text.rlike(ISO_ZONE + "$") & (F.length(text) > 10), text).otherwise(
-        F.concat(text, F.lit("Z"))
-    )
-    return zoned.try_cast("timestamp")
-
-
-def as_timestamp(cell: Cell, formats: tuple[str, ...] = ()) -> Column:
+def _timestamp(cell: Cell, spec: FieldSpec) -> str:
     text = cell.text
-    parsed = F.when(text.rlike(DATETIME_TEXT), _as_utc(text)).when(
-        text.rlike(DATE_TEXT), _as_utc(F.concat(text, F.lit("T00:00:00")))
+    parsed = (
+        f"CASE WHEN {_matches(text, DATETIME_TEXT)} THEN {_as_utc(text)} "
+        f"WHEN {_matches(text, DATE_TEXT)} THEN try_cast(concat({text}, 'T00:00:00Z') AS timestamp) END"
     )
-    others = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
-    return F.when(cell.is_kind("string"), F.coalesce(parsed, *others))
-
+    others = "".join(f", try_to_timestamp({text}, {quoted(f)})" for f in spec.formats)
+    return cell.when(("string",), f"coalesce({parsed}{others})" if others else parsed)
 
-def timestamp_error(cell: Cell) -> Column:
-    return F.when(cell.is_kind("string"), F.lit("datetime_parsing")).otherwise("timestamp_type")
 
+def _timestamp_error(cell: Cell) -> str:
+    return f"if({cell.is_kind('string')}, 'datetime_parsing', 'timestamp_type')"
 
-def as_email(cell: Cell) -> Column:
-    text = _strip(cell.text)
-    local, domain = F.substring_index(text, "@", 1), F.substring_index(text, "@", -1)
-    normal = F.concat_ws("@", local, F.lower(domain))
-    return F.when(cell.is_kind("string") & text.rlike(EMAIL_TEXT), normal)
 
+def _email(cell: Cell, spec: FieldSpec) -> str:
+    local, domain = f"substring_index({cell.stripped}, '@', 1)", f"substring_index({cell.stripped}, '@', -1)"
+    normal = f"concat({local}, '@', lower({domain}))"
+    return cell.when(("string",), f"CASE WHEN {_matches(cell.stripped, EMAIL_TEXT)} THEN {normal} END")
 
-def email_error(cell: Cell) -> Column:
-    return F.when(cell.is_kind("string"), F.lit("value_error")).otherwise("string_type")
 
+def _email_error(cell: Cell) -> str:
+    return f"if({cell.is_kind('string')}, 'value_error', 'string_type')"
 
-def as_string(cell: Cell) -> Column:
-    return F.when(cell.is_kind("string"), cell.text)
 
+def _string(cell: Cell, spec: FieldSpec) -> str:
+    return cell.when(("string",), cell.text)
 
-def string_error(cell: Cell) -> Column:
-    return F.lit("string_type")
 
+def _string_error(cell: Cell) -> str:
+    return "'string_type'"
 
-# Error of a null in a field that must have a value.
-NULL_ERROR = {
-    "str": "string_type",
-    "email": "string_type",
-    "int": "int_type",
-    "float": "float_type",
-    "bool": "bool_type",
-    "decimal": "decimal_type",
-    "date": "date_type",
-    "timestamp": "timestamp_type",
-}
 
-_TYPE_ERROR = {
-    "str": string_error,
-    "email": email_error,
-    "int": int_error,
-    "float": float_error,
-    "bool": bool_error,
-    "decimal": decimal_error,
-    "date": date_error,
-    "timestamp": timestamp_error,
+# Per field type: its reader, the error of an unreadable value, the error of a null.
+TYPES = {
+    "str": (_string, _string_error, "string_type"),
+    "email": (_email, _email_error, "string_type"),
+    "int": (_int, _int_error, "int_type"),
+    "float": (_float, _float_error, "float_type"),
+    "bool": (_bool, _bool_error, "bool_type"),
+    "decimal": (_decimal, _decimal_error, "decimal_type"),
+    "date": (_date, _date_error, "date_type"),
+    "timestamp": (_timestamp, _timestamp_error, "timestamp_type"),
 }
 
 
-def typed_value(cell: Cell, spec: FieldSpec) -> Column:
+def typed_value(cell: Cell, spec: FieldSpec) -> str:
     """The cell as the field's type; null where it cannot be read as one."""
-    if spec.type == "decimal":
-        return as_decimal(cell, spec.precision, spec.scale)
-    if spec.type in ("date", "timestamp"):
-        return {"date": as_date, "timestamp": as_timestamp}[spec.type](cell, spec.formats)
-    return {
-        "str": as_string,
-        "email": as_email,
-        "int": as_int,
-        "float": as_float,
-        "bool": as_bool,
-    }[spec.type](cell)
+    return TYPES[spec.type][0](cell, spec)
 
 
-def _messages() -> Column:
-    return F.create_map(*[F.lit(x) for pair in RECORD_ERRORS.items() for x in pair])
+def message_of(kind: Column) -> Column:
+    """The fixed message of an error kind."""
+    pairs = ", ".join(f"{quoted(kind)}, {quoted(message)}" for kind, message in RECORD_ERRORS.items())
+    return F.expr(f"map({pairs})")[kind]
 
 
 def _number_text(bound: float) -> str:
@@ -261,48 +247,69 @@ def _number_text(bound: float) -> str:
 
 
 def _choices(values: tuple[str, ...]) -> str:
-    quoted = [f"'{v}'" for v in values]
-    return quoted[0] if len(quoted) == 1 else ", ".join(quoted[:-1]) + " or " + quoted[-1]
-
-
-def field_error(cell: Cell, value: Column, spec: FieldSpec) -> Column:
-    """First error of one field as ``struct<type, msg>``; null when the value is fine.
-
-    ``value`` is the already computed typed value, so a good row costs null tests only.
-    """
+    marked = [f"'{v}'" for v in values]
+    return marked[0] if len(marked) == 1 else ", ".join(marked[:-1]) + " or " + marked[-1]
 
-    def of(kind: Column) -> Column:
-        return F.struct(kind.alias("type"), _messages()[kind].alias("msg"))
 
-    def custom(kind: str, text: str) -> Column:
-        return F.struct(F.lit(kind).alias("type"), F.lit(text.lower()).alias("msg"))
-
-    if spec.allowed:
-        not_listed = custom("literal_error", f"input should be {_choices(spec.allowed)}")
-        on_null, on_type = not_listed, not_listed
-    else:
-        on_null, on_type = of(F.lit(NULL_ERROR[spec.type])), of(_TYPE_ERROR[spec.type](cell))
-    error = F.when(value.isNull() & cell.is_null, F.lit(None) if spec.nullable else on_null).when(
-        value.isNull(), on_type
-    )
+def _rules(value: str, spec: FieldSpec) -> list[tuple[str, str, str]]:
+    """Declared rules as (condition that holds for good values, error kind, message)."""
+    rules = []
     if spec.max_length is not None:
         text = f"string should have at most {spec.max_length} characters"
-        error = error.when(F.length(value) > spec.max_length, custom("string_too_long", text))
-    # NaN compares as the largest value in Spark, but fulfils no bound.
-    is_nan = F.isnan(value) if spec.type == "float" else F.lit(False)
-    bounds = (
-        ("le", "less_than_equal", "less than or equal to", lambda v, b: v > b),
-        ("lt", "less_than", "less than", lambda v, b: v >= b),
-        ("ge", "greater_than_equal", "greater than or equal to", lambda v, b: v < b),
-        ("gt", "greater_than", "greater than", lambda v, b: v <= b),
-    )
-    for attribute, kind, words, breaks in bounds:
+        rules.append((f"length({value}) <= {spec.max_length}", "string_too_long", text))
+    # NaN compares as the largest value in Spark, but fulfils no bound
+    number = f"AND NOT isnan({value})" if spec.type == "float" else ""
+    for attribute, kind, words, sign in (
+        ("le", "less_than_equal", "less than or equal to", "<="),
+        ("lt", "less_than", "less than", "<"),
+        ("ge", "greater_than_equal", "greater than or equal to", ">="),
+        ("gt", "greater_than", "greater than", ">"),
+    ):
         bound = getattr(spec, attribute)
         if bound is not None:
             text = f"input should be {words} {_number_text(bound)}"
-            error = error.when(breaks(value, F.lit(bound)) | is_nan, custom(kind, text))
+            rules.append((f"({value} {sign} {_number_text(bound)} {number})", kind, text))
+    if spec.allowed:
+        listed = ", ".join(quoted(v) for v in spec.allowed)
+        rules.append((f"{value} IN ({listed})", "literal_error", f"input should be {_choices(spec.allowed)}"))
+    return rules
+
+
+def is_fine(cell: Cell, value: str, spec: FieldSpec) -> Column:
+    """True when the typed value is there, or may be missing, and breaks no rule."""
+    good = " AND ".join([f"{value} IS NOT NULL", *[holds for holds, _, _ in _rules(value, spec)]])
+    fine = F.expr(good)
+    for rule in spec.rules:
+        fine = fine & ~rule.is_bad(F.col(value))
+    return (F.expr(f"{value} IS NULL AND {cell.is_null}") | fine) if spec.nullable else fine
+
+
+def field_error(cell: Cell, value: str, spec: FieldSpec) -> Column:
+    """First error of one field as ``struct<type, msg>``; null when the value is fine.
+
+    ``value`` names the already computed typed value. ``msg`` is null where the kind alone
+    says it (see ``message_of``).
+    """
+
+    def error(kind: str, message: str = "CAST(NULL AS string)") -> str:
+        return f"named_struct('type', {kind}, 'msg', {message})"
+
+    _, type_error, null_error = TYPES[spec.type]
+    on_null, on_type = error(quoted(null_error)), error(type_error(cell))
     if spec.allowed:
-        error = error.when(~value.isin(*spec.allowed), not_listed)
+        on_null = on_type = error("'literal_error'", quoted(f"input should be {_choices(spec.allowed)}".lower()))
+    cases = [
+        f"WHEN {value} IS NULL AND {cell.is_null} THEN {'NULL' if spec.nullable else on_null}",
+        f"WHEN {value} IS NULL THEN {on_type}",
+    ]
+    for holds, kind, message in _rules(value, spec):
+        cases.append(f"WHEN NOT ({holds}) THEN {error(quoted(kind), quoted(message.lower()))}")
+    declared = F.expr(f"CASE {' '.join(cases)} END")
+    if not spec.rules:
+        return declared
+    own = None
     for rule in spec.rules:
-        error = error.when(rule.is_bad(value), custom(rule.error_type, rule.message))
-    return error
+        made = F.struct(F.lit(rule.error_type).alias("type"), F.lit(rule.message.lower()).alias("msg"))
+        bad = F.expr(f"{value} IS NOT NULL") & rule.is_bad(F.col(value))
+        own = F.when(bad, made) if own is None else own.when(bad, made)
+    return F.coalesce(declared, own)

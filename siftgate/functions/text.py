@@ -41,9 +41,9 @@ def canonical_text(column: Column, data_type: T.DataType) -> Column:
 
 
 def row_hash(fields: Sequence[tuple[str, T.DataType]]) -> Column:
-    """Hex SHA-256 over the fields in name order."""
+    """SHA-256 over the fields in name order, as 32 bytes."""
     texts = [canonical_text(F.col(f"`{name}`"), kind) for name, kind in sorted(fields, key=lambda f: f[0])]
-    return F.sha2(F.concat_ws("|", *texts), 256)
+    return F.unhex(F.sha2(F.concat_ws("|", *texts), 256))
 
 
 def excel_serial_to_timestamp(serial: Column) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftgate.functions.coerce import Cell, field_error, typed_value
-from siftgate.functions.messages import RECORD_ERRORS, THRESHOLD_EXCEEDED
+from siftgate.functions.coerce import Cell, field_error, is_fine, message_of, typed_value
+from siftgate.functions.messages import THRESHOLD_EXCEEDED
 from siftgate.functions.text import row_hash, truncate
 from siftgate.spec import FieldSpec, SourceSpec
 
@@ -17,19 +17,29 @@ ERROR_FIELDS = ("column_name", "column_value", "error_type", "error_msg")
 ERRORS_TYPE = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ERROR_FIELDS]))
 
 
-def _raw_cell(column: str, frame: DataFrame) -> Cell:
-    if isinstance(frame.schema[column].dataType, T.StructType):
-        return Cell(F.col(f"`{column}`.text"), F.col(f"`{column}`.kind"))
-    return Cell(F.col(f"`{column}`"))
+def _texts(raw: DataFrame, fields: Sequence[FieldSpec], keep: Sequence[Column], shape_error: Column | None) -> DataFrame:
+    """Per field its text ``t_``, cleaned if asked for, and, if the format is typed, its kind ``k_``.
 
+    Where cleaning may change the text, ``r_`` keeps what the file says.
+    """
+    cells = []
+    for spec in fields:
+        typed = isinstance(raw.schema[spec.name].dataType, T.StructType)
+        text = original = F.col(f"`{spec.name}`.text" if typed else f"`{spec.name}`")
+        kind = F.col(f"`{spec.name}`.kind") if typed else None
+        for cleaner in spec.clean:
+            text = F.when(kind == "string", cleaner(text)).otherwise(text) if typed else cleaner(text)
+        cells.append(text.alias(f"t_{spec.name}"))
+        if spec.clean:
+            cells.append(original.alias(f"r_{spec.name}"))
+        if typed:
+            cells.append(F.coalesce(kind, F.lit("missing")).alias(f"k_{spec.name}"))
+    shape = (shape_error if shape_error is not None else F.lit(None).cast("string")).alias("shape")
+    return raw.select(*keep, shape, *cells)
 
-def _error_entry(spec: FieldSpec, text: Column, kind: Column, message: Column) -> Column:
-    return F.struct(
-        F.lit(spec.file_column).alias("column_name"),
-        text.alias("column_value"),
-        kind.alias("error_type"),
-        message.alias("error_msg"),
-    )
+
+def _cell_of(spec: FieldSpec, texts: DataFrame) -> Cell:
+    return Cell(f"`t_{spec.name}`", f"`k_{spec.name}`" if f"k_{spec.name}" in texts.columns else None)
 
 
 def validate(
@@ -46,53 +56,51 @@ def validate(
     value is computed once and used by its own check.
     """
     keep = [F.col(f"`{c}`") for c in carry]
-    cleaned = []
-    for spec in fields:
-        cell = _raw_cell(spec.name, raw)
-        text = cell.text
-        for cleaner in spec.clean:
-            text = cleaner(text) if cell.kind is None else F.when(cell.kind == "string", cleaner(text)).otherwise(text)
-        cleaned += [text.alias(f"t_{spec.name}"), cell.text.alias(f"r_{spec.name}")]
-        if cell.kind is not None:
-            cleaned.append(F.coalesce(cell.kind, F.lit("missing")).alias(f"k_{spec.name}"))
-    shape = (shape_error if shape_error is not None else F.lit(None).cast("string")).alias("shape")
-    texts = raw.select(*keep, shape, *cleaned)
-
-    def cell_of(spec: FieldSpec) -> Cell:
-        kind = f"k_{spec.name}"
-        return Cell(F.col(f"t_{spec.name}"), F.col(kind) if kind in texts.columns else None)
+    texts = _texts(raw, fields, keep, shape_error)
+    typed = texts.select("*", *[F.expr(typed_value(_cell_of(s, texts), s)).alias(f"v_{s.name}") for s in fields])
 
-    typed = texts.select("*", *[typed_value(cell_of(s), s).alias(f"v_{s.name}") for s in fields])
-
-    entries = []
+    nothing = F.lit(None).cast("string")
+    fine = F.col("shape").isNull()
+    entries, cells = [], []
     for spec in fields:
-        cell, value = cell_of(spec), F.col(f"v_{spec.name}")
+        cell, value = _cell_of(spec, texts), f"`v_{spec.name}`"
+        fine = fine & is_fine(cell, value, spec)
         error = field_error(cell, value, spec)
-        entry = _error_entry(spec, cell.text, error["type"], error["msg"])
-        found = F.when(error.isNotNull(), entry)
+        entry = F.struct(
+            F.lit(spec.file_column).alias("column_name"),
+            F.col(cell.text).alias("column_value"),
+            error["type"].alias("error_type"),
+            error["msg"].alias("error_msg"),
+        )
+        entry = F.when(error.isNotNull(), entry)
         if cell.kind is not None:
-            absent = _error_entry(
-                spec, F.lit(None).cast("string"), F.lit("missing"), F.lit(RECORD_ERRORS["missing"])
+            absent = F.struct(
+                F.lit(spec.file_column).alias("column_name"),
+                nothing.alias("column_value"),
+                F.lit("missing").alias("error_type"),
+                nothing.alias("error_msg"),
             )
-            found = F.when(cell.kind == "missing", absent).otherwise(found)
-        entries.append(found)
-    whole = F.array(
-        F.struct(
-            F.lit(None).cast("string").alias("column_name"),
-            F.lit(None).cast("string").alias("column_value"),
-            F.col("shape").alias("error_type"),
-            F.lit(RECORD_ERRORS["too_many_columns"]).alias("error_msg"),
-        )
+            entry = F.when(F.col(cell.kind) == "missing", absent).otherwise(entry)
+        entries.append(entry)
+        original = f"r_{spec.name}" if spec.clean else f"t_{spec.name}"
+        cells.append(F.struct(F.lit(spec.file_column).alias("key"), F.col(f"`{original}`").alias("value")))
+    of_record = F.struct(
+        nothing.alias("column_name"),
+        nothing.alias("column_value"),
+        F.col("shape").alias("error_type"),
+        nothing.alias("error_msg"),
     )
-    errors = F.when(F.col("shape").isNotNull(), whole).otherwise(F.array_compact(F.array(*entries)))
-    cells = F.array(
-        *[F.struct(F.lit(s.file_column).alias("key"), F.col(f"r_{s.name}").alias("value")) for s in fields]
+    found = F.when(F.col("shape").isNotNull(), F.array(of_record)).otherwise(F.array_compact(F.array(*entries)))
+    explained = F.transform(
+        found, lambda e: e.withField("error_msg", F.coalesce(e["error_msg"], message_of(e["error_type"])))
     )
+    # good records never evaluate the error texts
+    errors = F.when(F.coalesce(fine, F.lit(False)), F.array().cast(ERRORS_TYPE)).otherwise(explained.cast(ERRORS_TYPE))
     return typed.select(
         *keep,
         *[F.col(f"v_{s.name}").alias(s.name) for s in fields],
-        errors.cast(ERRORS_TYPE).alias("errors"),
-        cells.alias("raw_cells"),
+        errors.alias("errors"),
+        F.array(*cells).alias("raw_cells"),
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from siftgate.functions.messages import DUPLICATE_FILE
 from siftgate.operators import audit, logs, merge, rows, validate
 from siftgate.operators.rows import BLOCK, SEQUENCE
-from siftgate.session import BROADCAST_ROWS, remove_path
+from siftgate.session import BROADCAST_ROWS, remove_path, short_methods
 from siftgate.sources import discover, headers
 from siftgate.sources.csv_source import SHAPE, read_csv
 from siftgate.sources.excel_source import excel_headers, read_excel, stage_cells
@@ -175,12 +175,18 @@ def number_rows(raw: DataFrame, source: SourceSpec) -> DataFrame:
     return rows.add_row_number(raw, rows.block_offsets(raw), first_row(source))
 
 
-def staged(raw: DataFrame, source: SourceSpec, carry: Sequence[str] = ()) -> DataFrame:
-    """Raw records to stage rows: skipped rows dropped, fields typed, errors and hash added."""
+def _skip(raw: DataFrame, source: SourceSpec, carry: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Drops the rows to skip; returns the records and the columns that say where they stood."""
     place = ["source_filename", BLOCK, SEQUENCE, *carry]
     if source.skip_rows > 0:
         raw = rows.skip_first(number_rows(raw, source), first_row(source), source.skip_rows)
         place.append("file_row_number")
+    return raw, place
+
+
+def staged(raw: DataFrame, source: SourceSpec, carry: Sequence[str] = ()) -> DataFrame:
+    """Raw records to stage rows: skipped rows dropped, fields typed, errors and hash added."""
+    raw, place = _skip(raw, source, carry)
     checked = validate.validate(raw, source.fields, carry=place, shape_error=F.col(SHAPE))
     return validate.with_verdict(checked, source)
 
@@ -254,7 +260,8 @@ def _stage_and_publish(
 ) -> None:
     by_name = {r["source_filename"]: r for r in runs}
     names = _files_frame(spark, runs)
-    staged(raw, source).join(names, "source_filename").write.parquet(stage_path)
+    with short_methods(spark):
+        staged(raw, source).join(names, "source_filename").write.parquet(stage_path)
     stage = spark.read.parquet(stage_path)
     _phase(runs, "processing", started)
     _phase(runs, "stage_load", started)

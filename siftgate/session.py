@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
@@ -13,6 +15,22 @@ from pyspark.sql import SparkSession
 BROADCAST_ROWS = 100_000
 
 
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """Runs wide projections in a form the JVM can optimise.
+
+    The JVM does not compile methods beyond 8000 bytes of code, and a record with many checked
+    fields becomes one such method. With this limit Spark splits the projection instead.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a fresh local one if unset (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.sources.headers import field_positions
-from siftgate.sources.paths import file_name, file_path, literal_paths
+from siftgate.sources.paths import literal_paths, scanned_name
 from siftgate.spec import SourceSpec
 
 CORRUPT = "corrupt_record"
@@ -47,7 +47,7 @@ def read_csv(spark: SparkSession, paths: Sequence[str], source: SourceSpec, head
         .csv(literal_paths(paths))
         .select(
             "*",
-            file_path().alias("path"),
+            scanned_name().alias("source_filename"),
             F.col("_metadata.file_block_start").alias(BLOCK),
             F.monotonically_increasing_id().alias(SEQUENCE),
         )
@@ -60,4 +60,4 @@ def read_csv(spark: SparkSession, paths: Sequence[str], source: SourceSpec, head
         present = F.col("cell_count").isNull() | (F.col("cell_count") > position)
         cells.append(F.when(present, F.coalesce(cell, F.lit(""))).alias(spec.name))
     too_many = F.when(F.col("cell_count") > len(header), F.lit("too_many_columns"))
-    return counted.select("path", file_name("path").alias("source_filename"), BLOCK, SEQUENCE, too_many.alias(SHAPE), *cells)
+    return counted.select("source_filename", BLOCK, SEQUENCE, too_many.alias(SHAPE), *cells)

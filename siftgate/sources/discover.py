@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftgate.functions.messages import AMBIGUOUS_SOURCE
 from siftgate.session import empty_files, is_directory, path_exists
-from siftgate.sources.paths import file_name, file_path, literal_paths
+from siftgate.sources.paths import file_name, literal_paths, scanned_name
 from siftgate.spec import SourceSpec
 
 # What the loader takes, compound endings first.
@@ -142,7 +142,7 @@ def raw_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         spark.read.option("lineSep", "\n")
         .text(literal_paths(paths))
         .select(
-            file_name(file_path()).alias("source_filename"),
+            scanned_name().alias("source_filename"),
             F.col("_metadata.file_block_start").alias("file_block"),
             F.monotonically_increasing_id().alias("block_sequence"),
             "value",

@@ -146,7 +146,6 @@ def read_excel(cells: DataFrame, source: SourceSpec, header: Sequence[str]) -> D
         fields.append(cell.alias(spec.name))
     rows = cells.join(first, "path").filter(F.col("sheet_row") > F.col("header_row"))
     return rows.select(
-        "path",
         file_name("path").alias("source_filename"),
         F.lit(0).cast("bigint").alias(BLOCK),
         (F.col("sheet_row") - F.col("header_row") - 1).cast("bigint").alias(SEQUENCE),

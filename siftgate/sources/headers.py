@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftgate.functions.messages import MISSING_COLUMNS, MISSING_HEADER
-from siftgate.sources.paths import file_name, file_path, literal_paths
+from siftgate.sources.paths import file_name, literal_paths, scanned_path
 from siftgate.spec import SourceSpec
 
 # File systems the Python workers can open themselves, by URI scheme.
 OPENABLE = {"file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss"}
+# Up to so many headers are read without starting a job.
+FEW_FILES = 32
 SCHEMA = "path string, header array<string>"
 
 
@@ -45,8 +47,11 @@ def csv_headers(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -
             headers = [_first_record(p, delimiter, encoding) for p in batch["path"]]
             yield pd.DataFrame({"path": batch["path"], "header": headers})
 
+    if len(paths) <= FEW_FILES:
+        found = [(p, _first_record(p, delimiter, encoding)) for p in paths]
+        return spark.createDataFrame(found, SCHEMA)
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    parts = max(1, min(len(paths) // 32, spark.sparkContext.defaultParallelism * 8))
+    parts = max(1, min(len(paths) // FEW_FILES, spark.sparkContext.defaultParallelism * 8))
     return listed.repartition(parts, "path").mapInPandas(read, SCHEMA)
 
 
@@ -61,7 +66,7 @@ def _headers_by_scan(spark: SparkSession, paths: Sequence[str], source: SourceSp
 
     lines = spark.read.option("encoding", source.encoding).text(literal_paths(paths))
     position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    placed = lines.select(file_path().alias("path"), "value", position.alias("position"))
+    placed = lines.select(scanned_path().alias("path"), "value", position.alias("position"))
     first = placed.groupBy("path").agg(F.min_by("value", "position").alias("line"))
     return first.mapInPandas(split, SCHEMA)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.sources.csv_source import SHAPE
-from siftgate.sources.paths import file_name, file_path, literal_paths
+from siftgate.sources.paths import literal_paths, scanned_name, scanned_path
 from siftgate.spec import SourceSpec
 
 
@@ -53,8 +53,8 @@ def read_elements(spark: SparkSession, paths: Sequence[str], source: SourceSpec)
         .json(literal_paths(paths))
     )
     place = [
-        file_path().alias("path"),
-        file_name(file_path()).alias("source_filename"),
+        scanned_path().alias("path"),
+        scanned_name().alias("source_filename"),
         F.col("_metadata.file_block_start").alias(BLOCK),
     ]
     if source.json_lines:
@@ -133,5 +133,5 @@ def read_json(spark: SparkSession, paths: Sequence[str], source: SourceSpec, pla
     elements = read_elements(spark, paths, source)
     cells = [variant_cell(F.col("record"), places[s.file_column.lower()]).alias(s.name) for s in source.fields]
     return elements.select(
-        "path", "source_filename", BLOCK, SEQUENCE, F.lit(None).cast("string").alias(SHAPE), *cells
+        "source_filename", BLOCK, SEQUENCE, F.lit(None).cast("string").alias(SHAPE), *cells
     )

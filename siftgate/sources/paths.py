@@ -14,9 +14,18 @@ def literal_paths(paths: Sequence[str]) -> list[str]:
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
 
 
-def file_path() -> Column:
-    """Plain path of the scanned file; the metadata column is URL-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _decoded(encoded: Column) -> Column:
+    """Metadata columns are URL-encoded; few names have a character that shows it."""
+    plain = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(encoded, F.lit("%")), plain).otherwise(encoded)
+
+
+def scanned_path() -> Column:
+    return _decoded(F.col("_metadata.file_path"))
+
+
+def scanned_name() -> Column:
+    return _decoded(F.col("_metadata.file_name"))
 
 
 def file_name(path: Column | str) -> Column:

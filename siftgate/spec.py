@@ -133,7 +133,7 @@ class SourceSpec:
         return T.StructType(
             columns
             + [
-                T.StructField("etl_row_hash", T.StringType(), True),
+                T.StructField("etl_row_hash", T.BinaryType(), True),
                 T.StructField("source_filename", T.StringType(), True),
                 T.StructField("file_load_log_id", T.LongType(), True),
                 T.StructField("etl_created_at", T.TimestampType(), True),
