@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from siftgate.checks.common import DIRTY_SQL, ORDERS_FEED, Query, staged_orders, table
 from siftgate.functions.text import row_hash
 from siftgate.operators import audit, merge, validate
-from siftgate.sources.tables import empty_target
+from siftgate.session import scratch_path
+from siftgate.sources.tables import Warehouse, empty_target
 from siftgate.spec import Audit, FieldSpec, SourceSpec
 
 CHECKS: dict[str, tuple[Query, str | None]] = {}
@@ -252,6 +253,22 @@ _MERGED_SQL = f"""WITH stage AS (SELECT {NEW_KEY} AS k, o_orderstatus AS s, {NEW
 CHECKS["merge_upsert"] = (lambda spark, sf: _merged(spark, sf, merge.merge_frames), _MERGED_SQL)
 CHECKS["merge_small_stage"] = (lambda spark, sf: _merged(spark, sf, merge.merge_small_stage), _MERGED_SQL)
 
+
+
+def _bucketed(spark, sf):
+    """The same merge over a target that lies in buckets of its key: two snapshots on disk."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"), buckets=8)
+    warehouse.commit(PRICED, _target(spark, sf))
+    target = warehouse.target(PRICED)
+    warehouse.commit(PRICED, merge.merge_frames(target, _resent(spark, sf), PRICED.grain, F.timestamp_seconds(F.lit(2000))))
+    return warehouse.target(PRICED).select("order_key", "status", "price", "source_filename", "file_load_log_id")
+
+
+CHECKS["merge_bucketed"] = (
+    _bucketed,
+    f"SELECT order_key, status, price, source_filename, file_load_log_id FROM ({_MERGED_SQL}) AS merged",
+)
+
 CHECKS["merge_counts"] = (
     lambda spark, sf: merge.merge_counts(merge.merge_actions(_target(spark, sf), _resent(spark, sf), PRICED.grain)),
     f"""SELECT {STAGE_FILE} AS source_filename, count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS target_inserts,

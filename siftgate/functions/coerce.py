@@ -148,11 +148,17 @@ def _bool_error(cell: Cell) -> str:
     return f"if({cell.is_kind('string')} OR {whole}, 'bool_parsing', 'bool_type')"
 
 
+def _digits(cell: Cell) -> str:
+    """Decimals may have underscores anywhere."""
+    return f"replace({cell.stripped}, '_', '')"
+
+
 def _decimal(cell: Cell, spec: FieldSpec) -> str:
     target = f"decimal({spec.precision},{spec.scale})"
+    digits = _digits(cell)
     parsed = (
-        f"coalesce(try_cast({cell.text} AS {target}), CASE WHEN {_matches(cell.stripped, FLOAT_TEXT)} "
-        f"THEN try_cast(replace({cell.stripped}, '_', '') AS {target}) END)"
+        f"coalesce(try_cast({cell.text} AS {target}), CASE WHEN {_matches(digits, FLOAT_TEXT)} "
+        f"THEN try_cast({digits} AS {target}) END)"
     )
     return cell.when(("string", "integer", "number"), parsed)
 
@@ -160,14 +166,16 @@ def _decimal(cell: Cell, spec: FieldSpec) -> str:
 def _decimal_error(cell: Cell) -> str:
     return (
         f"CASE WHEN NOT {cell.is_kind('string', 'integer', 'number')} THEN 'decimal_type' "
-        f"WHEN {_matches(cell.stripped, NON_FINITE_TEXT)} THEN 'finite_number' "
-        f"WHEN {_matches(cell.stripped, FLOAT_TEXT)} THEN 'decimal_max_digits' ELSE 'decimal_parsing' END"
+        f"WHEN {_matches(_digits(cell), NON_FINITE_TEXT)} THEN 'finite_number' "
+        f"WHEN {_matches(_digits(cell), FLOAT_TEXT)} THEN 'decimal_max_digits' ELSE 'decimal_parsing' END"
     )
 
 
 def _as_utc(text: str) -> str:
     """ISO date-time text; without a zone it is UTC, whatever the session's time zone."""
-    zoned = f"if({_matches(text, ISO_ZONE + '$')}, {text}, concat({text}, 'Z'))"
+    # Spark reads a zone only after seconds
+    full = f"if({_matches(text, '^.{16}($|[Z+-])')}, concat(left({text}, 16), ':00', substring({text}, 17)), {text})"
+    zoned = f"if({_matches(text, ISO_ZONE + '$')}, {full}, concat({full}, 'Z'))"
     return f"try_cast({zoned} AS timestamp)"
 
 

@@ -366,7 +366,9 @@ def _publish(
         good = merge.latest_per_key(good, source.grain, latest)
     good = good.select(*merge.stage_columns(source.field_names))
     staged_rows = sum(r["records_stage_loaded"] for r in runs)
-    upsert = merge.merge_small_stage if staged_rows <= SMALL_STAGE_ROWS else merge.merge_frames
+    # a bucketed target is not shuffled anyway, and the full join keeps one file per bucket
+    small = staged_rows <= SMALL_STAGE_ROWS and not warehouse.buckets
+    upsert = merge.merge_small_stage if small else merge.merge_frames
     warehouse.commit(source, upsert(target, good, source.grain, F.lit(now)))
     ids = [r["id"] for r in runs]
     written = warehouse.target(source).filter(F.col("file_load_log_id").between(min(ids), max(ids)))

@@ -49,6 +49,12 @@ def _hadoop(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as listings give it."""
+    jpath, fs = _hadoop(spark, path)
+    return str(fs.makeQualified(jpath))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath, fs = _hadoop(spark, path)
     return fs.exists(jpath)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftgate.operators.logs import DEAD_LETTERS, RUN_LOG
-from siftgate.session import glob_paths, remove_path
+from siftgate.session import glob_paths, qualified, remove_path
 from siftgate.spec import SourceSpec
 
 
@@ -20,34 +21,64 @@ class Warehouse:
     A target is a series of immutable snapshots ``v=N``. Spark writes ``_SUCCESS`` when a
     snapshot is complete, and readers take the highest complete one, so that marker is the
     commit: a job that dies half-way leaves the previous snapshot in force.
+
+    With ``buckets`` new snapshots are bucketed by key (``v=N-bB``). A merge then shuffles
+    the staged rows to the buckets and reads the target where it lies.
     """
 
     spark: SparkSession
     root: str
+    buckets: int | None = None
 
-    def _versions(self, table: str) -> list[int]:
-        done = glob_paths(self.spark, f"{self.root}/targets/{table}/v=*/_SUCCESS")
-        return sorted(int(re.search(r"/v=(\d+)/_SUCCESS$", p).group(1)) for p in done)
+    def _snapshots(self, table: str) -> list[tuple[int, int, str]]:
+        """Complete snapshots as (version, buckets or 0, path), oldest first."""
+        found = []
+        for marker in glob_paths(self.spark, f"{self.root}/targets/{table}/v=*/_SUCCESS"):
+            version, buckets = re.search(r"/v=(\d+)(?:-b(\d+))?/_SUCCESS$", marker).groups()
+            found.append((int(version), int(buckets or 0), marker.removesuffix("/_SUCCESS")))
+        return sorted(found)
 
     def target(self, source: SourceSpec) -> DataFrame:
-        versions = self._versions(source.table)
-        if not versions:
+        snapshots = self._snapshots(source.table)
+        if not snapshots:
             return empty_target(self.spark, source)
-        path = f"{self.root}/targets/{source.table}/v={versions[-1]}"
-        return self.spark.read.schema(source.to_struct()).parquet(path)
+        version, buckets, path = snapshots[-1]
+        if not buckets:
+            return self.spark.read.schema(source.to_struct()).parquet(path)
+        name = self._bucketed_name(source, path)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.to_struct().fields)
+            grain = ", ".join(f"`{g}`" for g in source.grain)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet "
+                f"CLUSTERED BY ({grain}) SORTED BY ({grain}) INTO {buckets} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(name)
+
+    def _bucketed_name(self, source: SourceSpec, path: str) -> str:
+        """Catalog name of a bucketed snapshot; the folder is part of it."""
+        return f"siftgate_{source.table}_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
 
     def commit(self, source: SourceSpec, rows: DataFrame) -> int:
         """Writes the next snapshot; returns its version."""
-        versions = self._versions(source.table)
-        version = versions[-1] + 1 if versions else 0
-        path = f"{self.root}/targets/{source.table}/v={version}"
-        rows.select(*source.to_struct().names).write.mode("overwrite").parquet(path)
+        snapshots = self._snapshots(source.table)
+        version = snapshots[-1][0] + 1 if snapshots else 0
+        folder = f"{self.root}/targets/{source.table}"
+        writer = rows.select(*source.to_struct().names).write.mode("overwrite")
+        if not self.buckets:
+            writer.parquet(f"{folder}/v={version}")
+            return version
+        path = qualified(self.spark, f"{folder}/v={version}-b{self.buckets}")
+        bucketed = writer.format("parquet").bucketBy(self.buckets, *source.grain).sortBy(*source.grain)
+        bucketed.option("path", path).saveAsTable(self._bucketed_name(source, path))
         return version
 
     def drop_old_snapshots(self, source: SourceSpec, keep: int = 2) -> int:
-        old = self._versions(source.table)[:-keep]
-        for version in old:
-            remove_path(self.spark, f"{self.root}/targets/{source.table}/v={version}")
+        old = self._snapshots(source.table)[:-keep]
+        for _, buckets, path in old:
+            if buckets:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed_name(source, path)}")
+            remove_path(self.spark, path)
         return len(old)
 
     def _append(self, rows: DataFrame, name: str, *partitions: str) -> None:
@@ -81,7 +112,8 @@ class Warehouse:
 
 
 def empty_target(spark: SparkSession, source: SourceSpec) -> DataFrame:
-    return spark.createDataFrame([], source.to_struct())
+    # the limit makes Spark see at planning time that nothing is there, and drop joins with it
+    return spark.createDataFrame([], source.to_struct()).limit(0)
 
 
 def write_jdbc(
