@@ -286,21 +286,28 @@ def _rules(value: str, spec: FieldSpec) -> list[tuple[str, str, str]]:
 def is_fine(cell: Cell, value: str, spec: FieldSpec) -> Column:
     """True when the typed value is there, or may be missing, and breaks no rule."""
     good = " AND ".join([f"{value} IS NOT NULL", *[holds for holds, _, _ in _rules(value, spec)]])
+    if not spec.rules:
+        return F.expr(f"({value} IS NULL AND {cell.is_null}) OR ({good})" if spec.nullable else good)
     fine = F.expr(good)
     for rule in spec.rules:
         fine = fine & ~rule.is_bad(F.col(value))
     return (F.expr(f"{value} IS NULL AND {cell.is_null}") | fine) if spec.nullable else fine
 
 
-def field_error(cell: Cell, value: str, spec: FieldSpec) -> Column:
-    """First error of one field as ``struct<type, msg>``; null when the value is fine.
+NO_TEXT = "CAST(NULL AS string)"
+
 
-    ``value`` names the already computed typed value. ``msg`` is null where the kind alone
-    says it (see ``message_of``).
-    """
+def error_entry(column: str, value: str, kind: str, message: str = NO_TEXT) -> str:
+    """One error; the message is null where the kind alone says it (see ``message_of``)."""
+    return f"named_struct('column_name', {column}, 'column_value', {value}, 'error_type', {kind}, 'error_msg', {message})"
 
-    def error(kind: str, message: str = "CAST(NULL AS string)") -> str:
-        return f"named_struct('type', {kind}, 'msg', {message})"
+
+def field_error(cell: Cell, value: str, spec: FieldSpec) -> Column:
+    """First error of one field; null when the value is fine. ``value`` names the typed value."""
+    column = quoted(spec.file_column)
+
+    def error(kind: str, message: str = NO_TEXT) -> str:
+        return error_entry(column, cell.text, kind, message)
 
     _, type_error, null_error = TYPES[spec.type]
     on_null, on_type = error(quoted(null_error)), error(type_error(cell))
@@ -310,14 +317,16 @@ def field_error(cell: Cell, value: str, spec: FieldSpec) -> Column:
         f"WHEN {value} IS NULL AND {cell.is_null} THEN {'NULL' if spec.nullable else on_null}",
         f"WHEN {value} IS NULL THEN {on_type}",
     ]
+    if cell.kind is not None:
+        cases.insert(0, f"WHEN {cell.kind} = 'missing' THEN {error_entry(column, NO_TEXT, quoted('missing'))}")
     for holds, kind, message in _rules(value, spec):
         cases.append(f"WHEN NOT ({holds}) THEN {error(quoted(kind), quoted(message.lower()))}")
     declared = F.expr(f"CASE {' '.join(cases)} END")
-    if not spec.rules:
-        return declared
-    own = None
-    for rule in spec.rules:
-        made = F.struct(F.lit(rule.error_type).alias("type"), F.lit(rule.message.lower()).alias("msg"))
-        bad = F.expr(f"{value} IS NOT NULL") & rule.is_bad(F.col(value))
-        own = F.when(bad, made) if own is None else own.when(bad, made)
-    return F.coalesce(declared, own)
+    own = [
+        F.when(
+            F.expr(f"{value} IS NOT NULL") & rule.is_bad(F.col(value)),
+            F.expr(error(quoted(rule.error_type), quoted(rule.message.lower()))),
+        )
+        for rule in spec.rules
+    ]
+    return F.coalesce(declared, *own) if own else declared

@@ -28,22 +28,23 @@ def truncate(text: Column, limit: int = 200) -> Column:
     )
 
 
-def canonical_text(column: Column, data_type: T.DataType) -> Column:
-    """One text per value, the same in every session; a null reads as empty text."""
+def canonical_text(name: str, data_type: T.DataType) -> str:
+    """SQL for one text per value, the same in every session; a null reads as empty text."""
+    column = f"`{name}`"
     if isinstance(data_type, T.TimestampType):
-        text = F.unix_micros(column).cast("string")
+        text = f"CAST(unix_micros({column}) AS string)"
     elif isinstance(data_type, T.StringType):
         # the separator inside a value must not look like a field boundary
-        text = F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        text = rf"replace(replace({column}, r'\', r'\\'), '|', r'\|')"
     else:
-        text = column.cast("string")
-    return F.coalesce(text, F.lit(""))
+        text = f"CAST({column} AS string)"
+    return f"coalesce({text}, '')"
 
 
 def row_hash(fields: Sequence[tuple[str, T.DataType]]) -> Column:
     """SHA-256 over the fields in name order, as 32 bytes."""
-    texts = [canonical_text(F.col(f"`{name}`"), kind) for name, kind in sorted(fields, key=lambda f: f[0])]
-    return F.unhex(F.sha2(F.concat_ws("|", *texts), 256))
+    texts = ", ".join(canonical_text(name, kind) for name, kind in sorted(fields, key=lambda f: f[0]))
+    return F.expr(f"unhex(sha2(concat_ws('|', {texts}), 256))")
 
 
 def excel_serial_to_timestamp(serial: Column) -> Column:

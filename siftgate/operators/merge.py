@@ -19,32 +19,25 @@ def latest_per_key(stage: DataFrame, grain: Sequence[str], order: Sequence[Colum
     return stage.withColumn("key_rank", F.row_number().over(window)).filter("key_rank = 1").drop("key_rank")
 
 
+# What the upsert does with a row: on either side alone, with another hash, with the same.
+ACTION = """CASE WHEN t_row IS NULL THEN 'insert' WHEN s_row IS NULL THEN 'keep'
+  WHEN t_etl_row_hash <> s_etl_row_hash THEN 'update' ELSE 'unchanged' END AS action"""
+
+
 def _sides(target: DataFrame, stage: DataFrame, grain: Sequence[str]) -> tuple[DataFrame, DataFrame, Column]:
-    t = target.select(F.lit(True).alias("t_row"), *[F.col(f"`{c}`").alias(f"t_{c}") for c in target.columns])
-    s = stage.select(F.lit(True).alias("s_row"), *[F.col(f"`{c}`").alias(f"s_{c}") for c in stage.columns])
-    on = F.lit(True)
-    for i, g in enumerate(grain):
-        same = F.col(f"t_{g}") == F.col(f"s_{g}")
-        on = same if i == 0 else on & same
-    return t, s, on
-
-
-def _action() -> Column:
-    return (
-        F.when(F.col("t_row").isNull(), "insert")
-        .when(F.col("s_row").isNull(), "keep")
-        .when(F.col("t_etl_row_hash") != F.col("s_etl_row_hash"), "update")
-        .otherwise("unchanged")
-    )
+    t = target.selectExpr("true AS t_row", *[f"`{c}` AS `t_{c}`" for c in target.columns])
+    s = stage.selectExpr("true AS s_row", *[f"`{c}` AS `s_{c}`" for c in stage.columns])
+    return t, s, F.expr(" AND ".join(f"`t_{g}` = `s_{g}`" for g in grain))
 
 
-def _merged_columns(columns: Sequence[str], now: Column) -> list[Column]:
+def _merged(joined: DataFrame, columns: Sequence[str], now: Column) -> DataFrame:
     """Columns of the new target, chosen by ``action``; ``columns`` are the target's."""
-    fresh = F.col("action").isin("insert", "update")
-    out = [F.when(fresh, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in columns if c not in TIMESTAMP_COLUMNS]
+    chosen = [
+        F.expr(f"if(action IN ('insert', 'update'), `s_{c}`, `t_{c}`) AS `{c}`") for c in columns if c not in TIMESTAMP_COLUMNS
+    ]
     created = F.when(F.col("action") == "insert", now).otherwise(F.col("t_etl_created_at"))
     updated = F.when(F.col("action") == "update", now).otherwise(F.col("t_etl_updated_at"))
-    return [*out, created.alias("etl_created_at"), updated.alias("etl_updated_at")]
+    return joined.select(*chosen, created.alias("etl_created_at"), updated.alias("etl_updated_at"), "action")
 
 
 def merge_frames(target: DataFrame, stage: DataFrame, grain: Sequence[str], now: Column) -> DataFrame:
@@ -54,8 +47,7 @@ def merge_frames(target: DataFrame, stage: DataFrame, grain: Sequence[str], now:
     stay as they are, file name included; new keys are added. Keys must be unique on both sides.
     """
     t, s, on = _sides(target, stage, grain)
-    joined = t.join(s, on, "full_outer").withColumn("action", _action())
-    return joined.select(*_merged_columns(target.columns, now), "action")
+    return _merged(t.join(s, on, "full_outer").selectExpr("*", ACTION), target.columns, now)
 
 
 def merge_small_stage(target: DataFrame, stage: DataFrame, grain: Sequence[str], now: Column) -> DataFrame:
@@ -66,17 +58,12 @@ def merge_small_stage(target: DataFrame, stage: DataFrame, grain: Sequence[str],
     whether to broadcast, so a wrong guess costs a shuffle and no more.
     """
     t, s, on = _sides(target, stage, grain)
-    existing = t.join(s, on, "left").withColumn("action", _action())
+    existing = _merged(t.join(s, on, "left").selectExpr("*", ACTION), target.columns, now)
     found = target.select(*grain).join(stage.select(*grain), list(grain), "left_semi")
     new = stage.join(found, list(grain), "left_anti")
-    nothing = [
-        F.lit(None).cast(target.schema[c].dataType).alias(f"t_{c}") for c in target.columns
-    ]
-    added = new.select(
-        *[F.col(f"`{c}`").alias(f"s_{c}") for c in stage.columns], *nothing, F.lit("insert").alias("action")
-    )
-    columns = _merged_columns(target.columns, now)
-    return existing.select(*columns, "action").unionByName(added.select(*columns, "action"))
+    nothing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `t_{f.name}`" for f in target.schema.fields]
+    added = new.selectExpr(*[f"`{c}` AS `s_{c}`" for c in stage.columns], *nothing, "'insert' AS action")
+    return existing.unionByName(_merged(added, target.columns, now))
 
 
 def merge_actions(target: DataFrame, stage: DataFrame, grain: Sequence[str]) -> DataFrame:

@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftgate.functions.coerce import Cell, field_error, is_fine, message_of, typed_value
+from siftgate.functions.coerce import (
+    NO_TEXT,
+    Cell,
+    error_entry,
+    field_error,
+    is_fine,
+    message_of,
+    quoted,
+    typed_value,
+)
 from siftgate.functions.messages import THRESHOLD_EXCEEDED
 from siftgate.functions.text import row_hash, truncate
 from siftgate.spec import FieldSpec, SourceSpec
@@ -22,24 +31,26 @@ def _texts(raw: DataFrame, fields: Sequence[FieldSpec], keep: Sequence[Column],
 
     Where cleaning may change the text, ``r_`` keeps what the file says.
     """
+    schema = raw.schema
     cells = []
     for spec in fields:
-        typed = isinstance(raw.schema[spec.name].dataType, T.StructType)
-        text = original = F.col(f"`{spec.name}`.text" if typed else f"`{spec.name}`")
-        kind = F.col(f"`{spec.name}`.kind") if typed else None
-        for cleaner in spec.clean:
-            text = F.when(kind == "string", cleaner(text)).otherwise(text) if typed else cleaner(text)
-        cells.append(text.alias(f"t_{spec.name}"))
+        typed = isinstance(schema[spec.name].dataType, T.StructType)
+        text, kind = (f"`{spec.name}`.text", f"`{spec.name}`.kind") if typed else (f"`{spec.name}`", None)
         if spec.clean:
-            cells.append(original.alias(f"r_{spec.name}"))
+            cleaned = F.col(text)
+            for cleaner in spec.clean:
+                cleaned = F.when(F.col(kind) == "string", cleaner(cleaned)).otherwise(cleaned) if typed else cleaner(cleaned)
+            cells += [cleaned.alias(f"t_{spec.name}"), F.expr(f"{text} AS `r_{spec.name}`")]
+        else:
+            cells.append(F.expr(f"{text} AS `t_{spec.name}`"))
         if typed:
-            cells.append(F.coalesce(kind, F.lit("missing")).alias(f"k_{spec.name}"))
+            cells.append(F.expr(f"coalesce({kind}, 'missing') AS `k_{spec.name}`"))
     shape = (shape_error if shape_error is not None else F.lit(None).cast("string")).alias("shape")
     return raw.select(*keep, shape, *cells)
 
 
-def _cell_of(spec: FieldSpec, texts: DataFrame) -> Cell:
-    return Cell(f"`t_{spec.name}`", f"`k_{spec.name}`" if f"k_{spec.name}" in texts.columns else None)
+def _cell_of(spec: FieldSpec, columns: Sequence[str]) -> Cell:
+    return Cell(f"`t_{spec.name}`", f"`k_{spec.name}`" if f"k_{spec.name}" in columns else None)
 
 
 def validate(
@@ -57,50 +68,28 @@ def validate(
     """
     keep = [F.col(f"`{c}`") for c in carry]
     texts = _texts(raw, fields, keep, shape_error)
-    typed = texts.select("*", *[F.expr(typed_value(_cell_of(s, texts), s)).alias(f"v_{s.name}") for s in fields])
+    cells = {s.name: _cell_of(s, texts.columns) for s in fields}
+    typed = texts.selectExpr("*", *[f"{typed_value(cells[s.name], s)} AS `v_{s.name}`" for s in fields])
 
-    nothing = F.lit(None).cast("string")
     fine = F.col("shape").isNull()
-    entries, cells = [], []
     for spec in fields:
-        cell, value = _cell_of(spec, texts), f"`v_{spec.name}`"
-        fine = fine & is_fine(cell, value, spec)
-        error = field_error(cell, value, spec)
-        entry = F.struct(
-            F.lit(spec.file_column).alias("column_name"),
-            F.col(cell.text).alias("column_value"),
-            error["type"].alias("error_type"),
-            error["msg"].alias("error_msg"),
-        )
-        entry = F.when(error.isNotNull(), entry)
-        if cell.kind is not None:
-            absent = F.struct(
-                F.lit(spec.file_column).alias("column_name"),
-                nothing.alias("column_value"),
-                F.lit("missing").alias("error_type"),
-                nothing.alias("error_msg"),
-            )
-            entry = F.when(F.col(cell.kind) == "missing", absent).otherwise(entry)
-        entries.append(entry)
-        original = f"r_{spec.name}" if spec.clean else f"t_{spec.name}"
-        cells.append(F.struct(F.lit(spec.file_column).alias("key"), F.col(f"`{original}`").alias("value")))
-    of_record = F.struct(
-        nothing.alias("column_name"),
-        nothing.alias("column_value"),
-        F.col("shape").alias("error_type"),
-        nothing.alias("error_msg"),
-    )
-    found = F.when(F.col("shape").isNotNull(), F.array(of_record)).otherwise(F.array_compact(F.array(*entries)))
+        fine = fine & is_fine(cells[spec.name], f"`v_{spec.name}`", spec)
+    entries = [field_error(cells[s.name], f"`v_{s.name}`", s) for s in fields]
+    of_record = F.expr(f"array({error_entry(NO_TEXT, NO_TEXT, 'shape')})")
+    found = F.when(F.col("shape").isNotNull(), of_record).otherwise(F.array_compact(F.array(*entries)))
     explained = F.transform(
         found, lambda e: e.withField("error_msg", F.coalesce(e["error_msg"], message_of(e["error_type"])))
     )
     # good records never evaluate the error texts
     errors = F.when(F.coalesce(fine, F.lit(False)), F.array().cast(ERRORS_TYPE)).otherwise(explained.cast(ERRORS_TYPE))
+    originals = ", ".join(
+        f"struct({quoted(s.file_column)} AS key, `{'r' if s.clean else 't'}_{s.name}` AS value)" for s in fields
+    )
     return typed.select(
         *keep,
-        *[F.col(f"v_{s.name}").alias(s.name) for s in fields],
+        *[F.expr(f"`v_{s.name}` AS `{s.name}`") for s in fields],
         errors.alias("errors"),
-        F.array(*cells).alias("raw_cells"),
+        F.expr(f"array({originals}) AS raw_cells"),
     )
 
 

@@ -54,10 +54,9 @@ def read_csv(spark: SparkSession, paths: Sequence[str], source: SourceSpec, head
     )
     count = F.when(F.col(CORRUPT).isNotNull(), _cell_count(F.col(CORRUPT), source.delimiter))
     counted = records.withColumn("cell_count", count)
-    cells = []
-    for spec, position in zip(source.fields, field_positions(header, source)):
-        cell = F.col(names[position])
-        present = F.col("cell_count").isNull() | (F.col("cell_count") > position)
-        cells.append(F.when(present, F.coalesce(cell, F.lit(""))).alias(spec.name))
-    too_many = F.when(F.col("cell_count") > len(header), F.lit("too_many_columns"))
-    return counted.select("source_filename", BLOCK, SEQUENCE, too_many.alias(SHAPE), *cells)
+    cells = [
+        f"CASE WHEN cell_count IS NULL OR cell_count > {position} THEN coalesce({names[position]}, '') END AS `{spec.name}`"
+        for spec, position in zip(source.fields, field_positions(header, source))
+    ]
+    too_many = f"CASE WHEN cell_count > {len(header)} THEN 'too_many_columns' END AS {SHAPE}"
+    return counted.selectExpr("source_filename", BLOCK, SEQUENCE, too_many, *cells)
