@@ -28,7 +28,7 @@ CHECKS: dict[str, tuple[Query, str | None]] = {}
 def scanned(spark: SparkSession, folder: str, source: SourceSpec) -> DataFrame:
     """Stage rows of every file in a folder."""
     raw, _ = load.scan(spark, source, paths_in(spark, folder))
-    return load.staged(raw, source)
+    return load.drop_skipped(load.staged(raw, source), source)
 
 
 # --- discovery and raw zone ---------------------------------------------------------------
@@ -165,11 +165,10 @@ def _skipped(spark, sf):
     plain = order_text(spark, sf).repartition(8)
     folder = export_csv(spark, plain.mapInPandas(_with_unit_rows, plain.schema), "units", files=None)
     source = SourceSpec(**{**ORDERS.__dict__, "skip_rows": UNITS_ROWS})
-    numbered = (F.col("file_row_number") >= 2 + UNITS_ROWS).alias("is_numbered")
-    return order_columns(scanned(spark, folder, source), numbered)
+    return order_columns(scanned(spark, folder, source))
 
 
-CHECKS["csv_skip_rows"] = (_skipped, f"SELECT *, true AS is_numbered FROM ({ORDERS_SQL}) AS o")
+CHECKS["csv_skip_rows"] = (_skipped, ORDERS_SQL)
 
 CUSTOMERS = SourceSpec(
     "customers_loaded",
@@ -457,7 +456,7 @@ def _excel(spark, sf):
         return group[["book"]].head(1)
 
     plain.groupBy("book").applyInPandas(write, "book long").count()
-    return scanned(spark, folder, PARTS).select(
+    return load.number_rows(scanned(spark, folder, PARTS), PARTS).select(
         "sku", "name", "price", F.col("stocked").cast("string").alias("stocked"), F.unix_seconds("updated").alias("updated"), "file_row_number",
         "is_valid",
     )

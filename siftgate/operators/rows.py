@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftgate.session import BROADCAST_ROWS
-
 # A reader hands every record its file, the byte offset of its split, and an id that rises
 # inside the split. Split and id alone order the records of a file; the number needs counts.
 BLOCK, SEQUENCE = "file_block", "block_sequence"
@@ -24,16 +22,12 @@ def block_offsets(rows: DataFrame, by: str = "source_filename") -> DataFrame:
     )
 
 
-def add_row_number(
-    rows: DataFrame, offsets: DataFrame, first_row: int, by: str = "source_filename", splits: int | None = None
-) -> DataFrame:
+def add_row_number(rows: DataFrame, offsets: DataFrame, first_row: int, by: str = "source_filename") -> DataFrame:
     """Adds ``file_row_number``, where the first record of a file gets ``first_row``.
 
-    ``splits`` is the known number of offset rows: up to a fixed bound they are broadcast,
-    beyond it the join shuffles by (file, split), whose groups are one split at most.
+    Spark broadcasts the offsets while they are small; beyond that the join shuffles by
+    (file, split), whose groups are one split at most.
     """
-    if splits is not None and splits <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     number = F.col("rows_before") + F.col(SEQUENCE) - F.col("first_sequence") + first_row
     return (
         rows.join(offsets, [by, BLOCK])
@@ -42,6 +36,9 @@ def add_row_number(
     )
 
 
-def skip_first(numbered: DataFrame, first_row: int, skip_rows: int) -> DataFrame:
-    """Drops the first ``skip_rows`` records of every file; the numbers stay as they are."""
-    return numbered.filter(F.col("file_row_number") >= first_row + skip_rows)
+def drop_first(rows: DataFrame, offsets: DataFrame, count: int, by: str = "source_filename") -> DataFrame:
+    """Drops the first ``count`` records of every file. Only the splits they lie in are joined."""
+    first = offsets.filter(F.col("rows_before") < count)
+    place = F.col("rows_before") + F.col(SEQUENCE) - F.col("first_sequence")
+    kept = rows.join(first, [by, BLOCK], "left").filter(F.col("rows_before").isNull() | (place >= count))
+    return kept.drop("first_sequence", "rows_before")

@@ -30,6 +30,10 @@ from siftgate.spec import Registry, SourceSpec
 
 log = logging.getLogger(__name__)
 
+# Size of a split, and about how far gzip shrinks delimited text.
+SPLIT_BYTES = 128 * 1024 * 1024
+GZIP_RATIO = 5
+
 # Below this many staged rows the merge avoids shuffling the target (see merge_small_stage).
 SMALL_STAGE_ROWS = 50_000
 
@@ -168,29 +172,49 @@ def scan(spark: SparkSession, source: SourceSpec, paths: Sequence[str]) -> tuple
     return (reduce(DataFrame.unionByName, frames) if frames else None), verdicts
 
 
-def number_rows(raw: DataFrame, source: SourceSpec) -> DataFrame:
-    """Adds ``file_row_number`` to raw or staged records."""
-    if source.format in ("json", "excel") and not source.json_lines:
-        return raw.withColumn("file_row_number", F.col(SEQUENCE) + first_row(source))
-    return rows.add_row_number(raw, rows.block_offsets(raw), first_row(source))
+def _has_positions(source: SourceSpec) -> bool:
+    """Records of a JSON document or a sheet come with their exact position."""
+    return source.format in ("json", "excel") and source.reader is None and not source.json_lines
 
 
-def _skip(raw: DataFrame, source: SourceSpec, carry: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Drops the rows to skip; returns the records and the columns that say where they stood."""
-    place = ["source_filename", BLOCK, SEQUENCE, *carry]
-    if source.skip_rows > 0:
-        raw = rows.skip_first(number_rows(raw, source), first_row(source), source.skip_rows)
-        place.append("file_row_number")
-    return raw, place
+def number_rows(records: DataFrame, source: SourceSpec, offsets: DataFrame | None = None) -> DataFrame:
+    """Adds ``file_row_number``; ``offsets`` are those of all records, if the given ones are not all."""
+    if _has_positions(source):
+        return records.withColumn("file_row_number", F.col(SEQUENCE) + first_row(source))
+    return rows.add_row_number(records, rows.block_offsets(records) if offsets is None else offsets, first_row(source))
+
+
+def drop_skipped(records: DataFrame, source: SourceSpec, offsets: DataFrame | None = None) -> DataFrame:
+    """Leaves out the rows that the feed says to skip, such as units under the header."""
+    if source.skip_rows == 0:
+        return records
+    if _has_positions(source):
+        return records.filter(F.col(SEQUENCE) >= source.skip_rows)
+    return rows.drop_first(records, rows.block_offsets(records) if offsets is None else offsets, source.skip_rows)
 
 
 def staged(raw: DataFrame, source: SourceSpec, carry: Sequence[str] = ()) -> DataFrame:
-    """Raw records to stage rows: skipped rows dropped, fields typed, errors and hash added."""
-    raw, place = _skip(raw, source, carry)
+    """Raw records to stage rows: fields typed, errors and hash added."""
+    place = ["source_filename", BLOCK, SEQUENCE, *carry]
     checked = validate.validate(raw, source.fields, carry=place, shape_error=F.col(SHAPE))
     return validate.with_verdict(checked, source)
 
 
+def spread(raw: DataFrame, source: SourceSpec, runs: Sequence[dict]) -> DataFrame:
+    """Spreads the records of files that Spark cannot split, where they are larger than a split.
+
+    One task still reads each such file, but checking, hashing and writing is shared.
+    """
+    whole = source.format != "csv" or source.multiline
+    size = sum(
+        r["file_bytes"] * (GZIP_RATIO if r["path"].lower().endswith(".gz") else 1)
+        for r in runs
+        if (whole and not source.json_lines) or r["path"].lower().endswith(".gz")
+    )
+    parts = -(-size // SPLIT_BYTES)
+    return raw.repartition(parts) if parts > len(runs) else raw
+
+
 def _load_source(
     spark: SparkSession, source: SourceSpec, runs: list[dict], warehouse: Warehouse, archive: bool
 ) -> None:
@@ -261,8 +285,14 @@ def _stage_and_publish(
     by_name = {r["source_filename"]: r for r in runs}
     names = _files_frame(spark, runs)
     with short_methods(spark):
-        staged(raw, source).join(names, "source_filename").write.parquet(stage_path)
-    stage = spark.read.parquet(stage_path)
+        records = spread(raw, source, runs)
+        staged(records, source).join(names, "source_filename").write.parquet(f"{stage_path}/rows")
+    everything = spark.read.parquet(f"{stage_path}/rows")
+    offsets = None
+    if source.skip_rows and not _has_positions(source):
+        rows.block_offsets(everything).write.parquet(f"{stage_path}/offsets")
+        offsets = spark.read.parquet(f"{stage_path}/offsets")
+    stage = drop_skipped(everything, source, offsets)
     _phase(runs, "processing", started)
     _phase(runs, "stage_load", started)
 
@@ -276,7 +306,10 @@ def _stage_and_publish(
             _fail(run, row)
             run |= {"processing_success": False, "stage_load_success": None}
     if any(r["validation_errors"] for r in runs):
-        _publish_rejected(spark, source, stage, runs, warehouse, stage_path, now)
+        if offsets is None and not _has_positions(source):
+            offsets = rows.block_offsets(everything)
+        rejected = number_rows(stage.filter(~F.col("is_valid")), source, offsets)
+        _publish_rejected(spark, source, rejected, runs, warehouse, now)
 
     started = _now()
     passed = [r for r in runs if r.get("success") is None]
@@ -297,20 +330,12 @@ def _stage_and_publish(
 def _publish_rejected(
     spark: SparkSession,
     source: SourceSpec,
-    stage: DataFrame,
+    rejected: DataFrame,
     runs: list[dict],
     warehouse: Warehouse,
-    stage_path: str,
     now: datetime,
 ) -> None:
     """Dead letters of all files, failed ones too; samples go into the messages of failed files."""
-    rejected = stage.filter(~F.col("is_valid"))
-    if "file_row_number" not in stage.columns:
-        if source.format in ("json", "excel") and not source.json_lines:
-            rejected = number_rows(rejected, source)
-        else:
-            offsets = rows.block_offsets(stage)
-            rejected = rows.add_row_number(rejected, offsets, first_row(source))
     letters = logs.dead_letters(rejected, source.table, F.lit(now))
     warehouse.append_dead_letters(letters)
     failed = [r for r in runs if r.get("success") is False]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.sources.headers import field_positions
-from siftgate.sources.paths import literal_paths, scanned_name
+from siftgate.sources.paths import charset, literal_paths, scanned_name
 from siftgate.spec import SourceSpec
 
 CORRUPT = "corrupt_record"
@@ -37,7 +37,7 @@ def read_csv(spark: SparkSession, paths: Sequence[str], source: SourceSpec, head
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", source.delimiter)
-        .option("encoding", source.encoding)
+        .option("encoding", charset(source.encoding))
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", source.multiline)

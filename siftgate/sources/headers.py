@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftgate.functions.messages import MISSING_COLUMNS, MISSING_HEADER
-from siftgate.sources.paths import file_name, literal_paths, scanned_path
+from siftgate.sources.paths import charset, file_name, literal_paths, scanned_path
 from siftgate.spec import SourceSpec
 
 # File systems the Python workers can open themselves, by URI scheme.
@@ -64,7 +64,7 @@ def _headers_by_scan(spark: SparkSession, paths: Sequence[str], source: SourceSp
             headers = [next(csv.reader([line], delimiter=delimiter), []) for line in batch["line"]]
             yield pd.DataFrame({"path": batch["path"], "header": headers})
 
-    lines = spark.read.option("encoding", source.encoding).text(literal_paths(paths))
+    lines = spark.read.option("encoding", charset(source.encoding)).text(literal_paths(paths))
     position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     placed = lines.select(scanned_path().alias("path"), "value", position.alias("position"))
     first = placed.groupBy("path").agg(F.min_by("value", "position").alias("line"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.sources.csv_source import SHAPE
-from siftgate.sources.paths import literal_paths, scanned_name, scanned_path
+from siftgate.sources.paths import charset, literal_paths, scanned_name, scanned_path
 from siftgate.spec import SourceSpec
 
 
@@ -49,7 +49,7 @@ def read_elements(spark: SparkSession, paths: Sequence[str], source: SourceSpec)
     scan = (
         spark.read.option("singleVariantColumn", "document")
         .option("multiLine", not source.json_lines)
-        .option("encoding", source.encoding)
+        .option("encoding", charset(source.encoding))
         .json(literal_paths(paths))
     )
     place = [

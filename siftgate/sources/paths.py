@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Sequence
 
@@ -9,6 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Charset names Spark takes, by the names Python gives the same encodings.
+CHARSETS = {"iso8859-1": "iso-8859-1", "ascii": "us-ascii", "utf-8-sig": "utf-8"}
+
+
+def charset(encoding: str) -> str:
+    """Spark's name of a Python encoding."""
+    name = codecs.lookup(encoding).name
+    return CHARSETS.get(name, name)
+
+
 def literal_paths(paths: Sequence[str]) -> list[str]:
     """Paths for a reader, with the characters escaped that would be read as a glob."""
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
