@@ -140,10 +140,12 @@ def first_row(source: SourceSpec) -> int:
     return 1 if source.format == "json" else 2
 
 
-def scan(spark: SparkSession, source: SourceSpec, paths: Sequence[str]) -> tuple[DataFrame | None, list[Row]]:
+def scan(
+    spark: SparkSession, source: SourceSpec, paths: Sequence[str], work: str | None = None
+) -> tuple[DataFrame | None, list[Row]]:
     """Raw records of the files with a usable header, and the header verdict of every file.
 
-    Files are scanned together per distinct header, because cells bind by position.
+    ``work`` is a folder for what workbooks are unpacked to. Files are scanned together per distinct header, because cells bind by position.
     """
     if source.reader is not None:
         return source.reader(spark, list(paths), source), []
@@ -153,7 +155,7 @@ def scan(spark: SparkSession, source: SourceSpec, paths: Sequence[str]) -> tuple
     elif source.format == "json":
         found = json_headers(spark, paths, source)
     else:
-        cells = stage_cells(spark, paths, source)
+        cells = stage_cells(spark, paths, source, work)
         found = excel_headers(cells)
     verdicts = headers.check_headers(found, source, spreadsheet=source.format == "excel").collect()
     alike: dict[tuple, list[str]] = defaultdict(list)
@@ -221,7 +223,8 @@ def _load_source(
     now = _now()
     files = _files_frame(spark, runs)
     target = warehouse.target(source)
-    known = {r.source_filename for r in discover.already_loaded(files, target).collect()}
+    names = [r["source_filename"] for r in runs]
+    known = {r.source_filename for r in discover.already_loaded(files, target, names).collect()}
     fresh = []
     for run in runs:
         if run["source_filename"] in known:
@@ -242,7 +245,26 @@ def _load_source(
         _phase(fresh, "archive_copy", started)
 
     started = _now()
-    raw, verdicts = scan(spark, source, [r["path"] for r in fresh])
+    stage_path = f"{warehouse.root}/stage/{source.table}-{uuid.uuid4().hex}"
+    try:
+        _check_and_publish(spark, source, fresh, warehouse, target, stage_path, now, started)
+    finally:
+        remove_path(spark, stage_path)
+        for run in fresh:
+            run["ended_at"] = _now()
+
+
+def _check_and_publish(
+    spark: SparkSession,
+    source: SourceSpec,
+    fresh: list[dict],
+    warehouse: Warehouse,
+    target: DataFrame,
+    stage_path: str,
+    now: datetime,
+    started: datetime,
+) -> None:
+    raw, verdicts = scan(spark, source, [r["path"] for r in fresh], stage_path)
     by_name = {r["source_filename"]: r for r in fresh}
     for verdict in verdicts:
         if verdict.error_type is not None:
@@ -253,14 +275,8 @@ def _load_source(
             if name not in seen:
                 run |= {"success": False, "error_type": "ValueError", "error_message": f"No data found in file: {name}"}
     open_runs = [r for r in fresh if r.get("success") is None]
-    stage_path = f"{warehouse.root}/stage/{source.table}-{uuid.uuid4().hex}"
-    try:
-        if raw is not None and open_runs:
-            _stage_and_publish(spark, source, raw, open_runs, warehouse, target, stage_path, now, started)
-    finally:
-        remove_path(spark, stage_path)
-        for run in fresh:
-            run["ended_at"] = _now()
+    if raw is not None and open_runs:
+        _stage_and_publish(spark, source, raw, open_runs, warehouse, target, stage_path, now, started)
 
 
 def _phase(runs: Sequence[dict], name: str, started: datetime, success: bool | None = True) -> None:
@@ -423,6 +439,14 @@ def _clear_old_rejects(source: SourceSpec, runs: list[dict], warehouse: Warehous
     warehouse.drop_dead_letters([r.file_load_log_id for r in stale.collect()])
 
 
+def notifications(results: DataFrame, registry: Registry) -> DataFrame:
+    """What to tell the owners of the feeds about a run's files."""
+    owners = F.create_map(
+        *[x for s in registry.sources for x in (F.lit(s.table), F.array(*map(F.lit, s.owners)).cast("array<string>"))]
+    )
+    return logs.notifications(results, owners[F.col("table_name")])
+
+
 def back_out(warehouse: Warehouse, source: SourceSpec, source_filename: str) -> int:
     """Removes the rows a file last wrote, so that it can be loaded again."""
     return warehouse.commit(source, merge.without_file(warehouse.target(source), source_filename))

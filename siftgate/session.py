@@ -32,9 +32,11 @@ def short_methods(spark: SparkSession) -> Iterator[None]:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a fresh local one if unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; a fresh local one only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="siftgate-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

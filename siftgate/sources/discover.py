@@ -21,6 +21,9 @@ EXTENSIONS = {
     ".xlsx": "excel",
 }
 
+# Up to so many file names are pushed into the target scan as a list.
+FEW_NAMES = 1000
+
 # Files up to this size are archived whole; larger ones line by line, so that no row is huge.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
@@ -102,8 +105,13 @@ def route(files: DataFrame, sources: Iterable[SourceSpec]) -> DataFrame:
     )
 
 
-def already_loaded(files: DataFrame, target: DataFrame) -> DataFrame:
-    """Files whose name stands on any target row."""
+def already_loaded(files: DataFrame, target: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+    """Files whose name stands on any target row.
+
+    ``names``, where there are few, let the scan skip row groups that hold other files.
+    """
+    if 0 < len(names) <= FEW_NAMES:
+        target = target.filter(F.col("source_filename").isin(list(names)))
     names = target.select("source_filename").distinct()
     return files.join(names, "source_filename", "left_semi")
 

@@ -105,9 +105,9 @@ def read_cells(spark: SparkSession, paths: Sequence[str], sheet: str | None) ->
     return books.mapInPandas(parse, CELLS)
 
 
-def stage_cells(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
+def stage_cells(spark: SparkSession, paths: Sequence[str], source: SourceSpec, work: str | None = None) -> DataFrame:
     """Parsed cells, written once: the header check and the scan both read them."""
-    written = scratch_path(spark, "sheets")
+    written = f"{work}/sheets" if work else scratch_path(spark, "sheets")
     read_cells(spark, paths, source.sheet).write.parquet(written)
     return spark.read.parquet(written)
 

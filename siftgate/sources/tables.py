@@ -106,9 +106,10 @@ class Warehouse:
         rows.write.mode("append").parquet(f"{self.root}/file_load_log")
 
     def next_run_id(self) -> int:
-        last = self.run_log().agg(F.max("id")).first()[0]
-        orphaned = self.dead_letters().agg(F.max("file_load_log_id")).first()[0]
-        return max(last or 0, orphaned or 0) + 1
+        """One more than any run in the log or any run that left dead letters."""
+        last = self.run_log().agg(F.max("id")).first()[0] or 0
+        letters = glob_paths(self.spark, f"{self.root}/file_load_dlq/file_load_log_id=*")
+        return max([last, *[int(p.rsplit("=", 1)[1]) for p in letters]]) + 1
 
 
 def empty_target(spark: SparkSession, source: SourceSpec) -> DataFrame:

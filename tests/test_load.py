@@ -99,6 +99,9 @@ def test_every_outcome_of_a_csv_file(place):
         if r.success:
             assert r.records_processed == r.records_stage_loaded + r.validation_errors
             assert r.target_inserts + r.target_updates == r.records_stage_loaded
+    told = load.notifications(here.spark.createDataFrame(list(results.values()), load.RESULTS), here.registry).collect()
+    assert {t.source_filename for t in told} == {n for n, r in results.items() if r.error_type not in (None, "ValueError")}
+    assert all(t.recipients == ["sales@example.com"] for t in told)
     report = {r.source_filename: r.stage_failed_at for r in logs.run_report(here.warehouse.run_log()).collect()}
     assert report["sales_mixed.csv"] is None
     assert report["sales_empty.csv"] == "Processing"
