@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,38 +21,50 @@ FEW_FILES = 32
 SCHEMA = "path string, header array<string>"
 
 
-def _first_record(path: str, delimiter: str, encoding: str) -> list[str]:
+def open_text(path: str, encoding: str) -> io.TextIOWrapper:
+    """A file of any openable scheme as text, read in small pieces; gzip by its ending."""
     from pyarrow import fs
 
     scheme, rest = path.split(":", 1)
-    uri = f"file://{rest}" if scheme == "file" and not rest.startswith("//") else path
     if scheme == "file":
-        filesystem, name = fs.LocalFileSystem(), uri[len("file://") :]
+        filesystem, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
     else:
-        filesystem, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        filesystem, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     compression = "gzip" if name.lower().endswith(".gz") else None
-    with filesystem.open_input_stream(name, compression=compression, buffer_size=1 << 16) as stream:
-        text = io.TextIOWrapper(stream, encoding=encoding, newline="")
-        return next(csv.reader(text, delimiter=delimiter), [])
+    stream = filesystem.open_input_stream(name, compression=compression, buffer_size=1 << 16)
+    return io.TextIOWrapper(stream, encoding=encoding, newline="")
 
 
-def csv_headers(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
-    """``path, header`` per file. Opens each file and reads its first record only."""
-    delimiter, encoding = source.delimiter, source.encoding
-    if not all(p.split(":", 1)[0] in OPENABLE for p in paths):
-        return _headers_by_scan(spark, paths, source)
+def can_open(paths: Sequence[str]) -> bool:
+    return all(p.split(":", 1)[0] in OPENABLE for p in paths)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            headers = [_first_record(p, delimiter, encoding) for p in batch["path"]]
-            yield pd.DataFrame({"path": batch["path"], "header": headers})
 
+def read_heads(spark: SparkSession, paths: Sequence[str], read: Callable[[str], tuple], schema: str) -> DataFrame:
+    """``read(path)`` for every file, by the executors unless there are few files."""
+    names = [field.split(" ")[0] for field in schema.split(", ")]
     if len(paths) <= FEW_FILES:
-        found = [(p, _first_record(p, delimiter, encoding)) for p in paths]
-        return spark.createDataFrame(found, SCHEMA)
+        return spark.createDataFrame([(p, *read(p)) for p in paths], schema)
+
+    def read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(p, *read(p)) for p in batch["path"]], columns=names)
+
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
     parts = max(1, min(len(paths) // FEW_FILES, spark.sparkContext.defaultParallelism * 8))
-    return listed.repartition(parts, "path").mapInPandas(read, SCHEMA)
+    return listed.repartition(parts, "path").mapInPandas(read_all, schema)
+
+
+def csv_headers(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
+    """``path, header`` per file. Opens each file and reads its first record only."""
+    if not can_open(paths):
+        return _headers_by_scan(spark, paths, source)
+    delimiter, encoding = source.delimiter, source.encoding
+
+    def first_record(path: str) -> tuple[list[str]]:
+        with open_text(path, encoding) as text:
+            return (next(csv.reader(text, delimiter=delimiter), []),)
+
+    return read_heads(spark, paths, first_record, SCHEMA)
 
 
 def _headers_by_scan(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:

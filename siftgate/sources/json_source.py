@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.sources.csv_source import SHAPE
+from siftgate.sources.headers import can_open, open_text, read_heads
 from siftgate.sources.paths import charset, literal_paths, scanned_name, scanned_path
 from siftgate.spec import SourceSpec
 
@@ -81,28 +82,37 @@ def flat_paths(value: dict, name: str = "", path: str = "$") -> dict[str, str]:
     return found
 
 
+JSON_HEADER = "path string, header array<string>, places array<string>"
+
+
 def json_headers(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
-    """``path, header, places``: flattened keys of the first record of each file."""
+    """``path, header, places``: flattened keys of the first record of each file.
+
+    Of JSON lines only the first line is read. A document has to be parsed as a whole.
+    """
+    if source.json_lines and can_open(paths):
+        encoding = source.encoding
+
+        def first_line(path: str) -> tuple[list[str], list[str]]:
+            with open_text(path, encoding) as text:
+                flat = flat_paths(json.loads(next((line for line in text if line.strip()), "{}")))
+            return list(flat), list(flat.values())
+
+        return read_heads(spark, paths, first_line, JSON_HEADER)
 
     def flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             flats = [flat_paths(json.loads(r)) if r else {} for r in batch["record"]]
-            yield pd.DataFrame(
-                {
-                    "path": batch["path"],
-                    "header": [list(f) for f in flats],
-                    "places": [list(f.values()) for f in flats],
-                }
-            )
+            heads = [(p, list(f), list(f.values())) for p, f in zip(batch["path"], flats)]
+            yield pd.DataFrame(heads, columns=["path", "header", "places"])
 
     elements = read_elements(spark, paths, source)
     if source.json_lines:
-        first = elements.groupBy("path").agg(
-            F.min_by(F.to_json("record"), F.struct(BLOCK, SEQUENCE)).alias("record")
-        )
+        place = F.struct(BLOCK, SEQUENCE)
+        first = elements.groupBy("path").agg(F.min_by(F.to_json("record"), place).alias("record"))
     else:
         first = elements.filter(F.col(SEQUENCE) == 0).select("path", F.to_json("record").alias("record"))
-    return first.mapInPandas(flatten, "path string, header array<string>, places array<string>")
+    return first.mapInPandas(flatten, JSON_HEADER)
 
 
 def variant_cell(record: Column, path: str) -> Column:
