@@ -12,6 +12,23 @@ DUPLICATE_FILE = "Duplicate File Detected"
 # Not a file error: several declarations claim the same file, or a reader cannot take it.
 AMBIGUOUS_SOURCE = "ValueError"
 
+# Texts of file errors, as format strings.
+NO_HEADER = "No headers found in %s file: %s"
+BLANK_HEADER = "Whitespace-only headers in %s file: %s"
+BLANK_SHEET_HEADER = "Empty or invalid column headers in %s file: %s"
+NO_DATA = "No data found in file: %s"
+LACKING_COLUMNS = "Missing required fields in %s file %s\nRequired fields: %s\nMissing fields: %s"
+TOO_MANY_ERRORS = (
+    "Validation error rate (%.2f%%) exceeds threshold (%.2f%%) for file: %s. "
+    "Total Records Processed: %d, Failed Records: %d."
+)
+KEYS_NOT_UNIQUE = "Grain values are not unique for file: %s\nTable: %s\nGrain columns (file column names): %s"
+KEY_EXAMPLES = "Example duplicate grain violations:\n"
+EMPTY_KEYS = "Rows with an empty grain value: %d"
+AUDITS_FAILED = "Audit checks failed for file: %s\nTable: %s\nFailed audits: %s"
+ALREADY_LOADED = "The file %s has already been processed. To load it again, back out its rows from %s first."
+RUN_FAILURES = "File processing completed with %d failure(s) out of %d file(s)."
+
 # Record error kinds and their lower-case messages.
 RECORD_ERRORS = {
     "string_type": "input should be a valid string",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from siftgate.functions.messages import AUDIT_FAILED, GRAIN_ERROR
+from siftgate.functions import messages
 from siftgate.spec import Audit
 
 
@@ -54,16 +54,14 @@ def grain_messages(stats: DataFrame, examples: DataFrame, grain: Sequence[str],
     )
     message = F.concat_ws(
         "\n",
-        F.concat(F.lit("Grain values are not unique for file: "), F.col("source_filename")),
-        F.lit(f"Table: {table}"),
-        F.lit(f"Grain columns (file column names): {', '.join(columns)}"),
-        F.when(F.col("null_keys") > 0, F.format_string("Rows with an empty grain value: %d", F.col("null_keys"))),
-        F.when(F.col("lines").isNotNull(), F.concat(F.lit("Example duplicate grain violations:\n"), F.col("lines"))),
+        F.format_string(messages.KEYS_NOT_UNIQUE, "source_filename", F.lit(table), F.lit(", ".join(columns))),
+        F.when(F.col("null_keys") > 0, F.format_string(messages.EMPTY_KEYS, "null_keys")),
+        F.when(F.col("lines").isNotNull(), F.concat(F.lit(messages.KEY_EXAMPLES), F.col("lines"))),
     )
     return (
         stats.filter("grain_unique = 0")
         .join(lines, "source_filename", "left")
-        .select("source_filename", F.lit(GRAIN_ERROR).alias("error_type"), message.alias("error_message"))
+        .select("source_filename", F.lit(messages.GRAIN_ERROR).alias("error_type"), message.alias("error_message"))
     )
 
 
@@ -110,14 +108,9 @@ def failed_audits(results: DataFrame, table: str) -> DataFrame:
     """Error rows for files with a check that came out 0; a null check passes."""
     names = [c for c in results.columns if c != "source_filename"]
     failed = F.concat_ws(", ", *[F.when(F.col(f"`{n}`").cast("double") == 0, F.lit(n)) for n in names])
-    message = F.concat_ws(
-        "\n",
-        F.concat(F.lit("Audit checks failed for file: "), F.col("source_filename")),
-        F.lit(f"Table: {table}"),
-        F.concat(F.lit("Failed audits: "), failed),
-    )
+    message = F.format_string(messages.AUDITS_FAILED, "source_filename", F.lit(table), failed)
     return results.select(
         "source_filename",
-        F.when(failed != "", F.lit(AUDIT_FAILED)).alias("error_type"),
+        F.when(failed != "", F.lit(messages.AUDIT_FAILED)).alias("error_type"),
         F.when(failed != "", message).alias("error_message"),
     ).filter(F.col("error_type").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftgate.functions.messages import DUPLICATE_FILE, FILE_ERRORS
+from siftgate.functions.messages import DUPLICATE_FILE, FILE_ERRORS, RUN_FAILURES
 from siftgate.functions.text import truncate
 
 PHASES = ("archive_copy", "processing", "stage_load", "audit", "merge")
@@ -176,7 +176,7 @@ def failure_summary(results: DataFrame) -> DataFrame:
         F.count_if(_is_code_failure()).alias("failure_count"), F.count("*").alias("total_count")
     )
     text = F.format_string(
-        "File processing completed with %d failure(s) out of %d file(s).", "failure_count", "total_count"
+        RUN_FAILURES, "failure_count", "total_count"
     )
     return counts.filter("failure_count > 0").withColumn("summary", text)
 

@@ -18,7 +18,7 @@ from siftgate.functions.coerce import (
     quoted,
     typed_value,
 )
-from siftgate.functions.messages import THRESHOLD_EXCEEDED
+from siftgate.functions.messages import THRESHOLD_EXCEEDED, TOO_MANY_ERRORS
 from siftgate.functions.text import row_hash, truncate
 from siftgate.spec import FieldSpec, SourceSpec
 
@@ -142,8 +142,7 @@ def threshold_gate(counts: DataFrame, threshold: Column | float, by: str = "sour
     ).otherwise(0.0)
     failed = rate > limit
     message = F.format_string(
-        "Validation error rate (%.2f%%) exceeds threshold (%.2f%%) for file: %s. "
-        "Total Records Processed: %d, Failed Records: %d.",
+        TOO_MANY_ERRORS,
         rate * 100,
         limit * 100,
         F.col(by),

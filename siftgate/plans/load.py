@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftgate.functions.messages import DUPLICATE_FILE
+from siftgate.functions.messages import ALREADY_LOADED, DUPLICATE_FILE, NO_DATA
 from siftgate.operators import audit, logs, merge, rows, validate
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.session import BROADCAST_ROWS, remove_path, short_methods
@@ -231,8 +231,7 @@ def _load_source(
             run |= {
                 "duplicate_skipped": True,
                 "error_type": DUPLICATE_FILE,
-                "error_message": f"The file {run['source_filename']} has already been processed. To load it again, "
-                f"back out its rows from {source.table} first.",
+                "error_message": ALREADY_LOADED % (run["source_filename"], source.table),
             }
         else:
             fresh.append(run)
@@ -273,7 +272,7 @@ def _check_and_publish(
         seen = {v.path.rsplit("/", 1)[-1] for v in verdicts}
         for name, run in by_name.items():
             if name not in seen:
-                run |= {"success": False, "error_type": "ValueError", "error_message": f"No data found in file: {name}"}
+                run |= {"success": False, "error_type": "ValueError", "error_message": NO_DATA % name}
     open_runs = [r for r in fresh if r.get("success") is None]
     if raw is not None and open_runs:
         _stage_and_publish(spark, source, raw, open_runs, warehouse, target, stage_path, now, started)

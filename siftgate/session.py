@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -72,19 +71,6 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath()) for s in (fs.globStatus(jpath) or [])]
 
 
-def empty_files(spark: SparkSession, directory: str) -> list[tuple[str, int, datetime]]:
-    """Path, size and time of the files of length zero directly in a directory."""
-    jpath, fs = _hadoop(spark, directory)
-    listed = fs.listStatusIterator(jpath)
-    found = []
-    while listed.hasNext():
-        status = listed.next()
-        if status.getLen() == 0 and status.isFile():
-            changed = datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)
-            found.append((status.getPath().toString(), 0, changed))
-    return found
-
-
 def remove_path(spark: SparkSession, path: str) -> bool:
     jpath, fs = _hadoop(spark, path)
     return fs.delete(jpath, True)

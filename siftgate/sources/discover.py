@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import datetime
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftgate.functions.messages import AMBIGUOUS_SOURCE
-from siftgate.session import empty_files, is_directory, path_exists
-from siftgate.sources.paths import file_name, literal_paths, scanned_name
+from siftgate.session import is_directory, path_exists, qualified
+from siftgate.sources.paths import can_open, file_name, file_system, literal_paths, scanned_name
 from siftgate.spec import SourceSpec
 
 # What the loader takes, compound endings first.
@@ -24,8 +26,18 @@ EXTENSIONS = {
 # Up to so many file names are pushed into the target scan as a list.
 FEW_NAMES = 1000
 
-# Files up to this size are archived whole; larger ones line by line, so that no row is huge.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
+# Files up to this size are archived whole; larger texts line by line, so that no row is huge.
+WHOLE_FILE_BYTES = 16 * 1024 * 1024
+TEXT_ENDINGS = (".csv", ".json", ".csv.gz", ".json.gz")
+
+# Few large rows: sizes are checked after every row, not after the usual hundred.
+LARGE_ROWS = {
+    "parquet.page.size.row.check.min": 1,
+    "parquet.page.size.row.check.max": 1,
+    "parquet.block.size.row.check.min": 1,
+    "parquet.block.size.row.check.max": 1,
+    "parquet.enable.dictionary": "false",
+}
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -43,6 +55,17 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     return describe_files(listed.select(*columns).unionByName(empty))
 
 
+def empty_files(spark: SparkSession, directory: str) -> list[tuple[str, int, datetime]]:
+    """Path, size and time of the files of length zero directly in a directory."""
+    full = qualified(spark, directory)
+    if not can_open([full]):
+        return []
+    filesystem, name = file_system(full)
+    scheme = full[: len(full) - len(name)] if full.endswith(name) else full.split("/", 1)[0]
+    listed = filesystem.get_file_info(fs.FileSelector(name))
+    return [(scheme + f.path, 0, f.mtime) for f in listed if f.is_file and f.size == 0]
+
+
 def describe_files(files: DataFrame) -> DataFrame:
     """Adds name, extension and format to rows of the binary file source."""
     name = file_name("path")
@@ -124,13 +147,14 @@ def not_loaded(files: DataFrame, target: DataFrame) -> DataFrame:
 def archive_raw(spark: SparkSession, files: Sequence[tuple[str, int]], destination: str) -> None:
     """Copies files, given as (path, bytes), into the raw zone before anything else happens.
 
-    Small files become one row with their bytes and digest. Large ones become one row per
-    line in file order, read split by split; only ``\\n`` ends a line, so no byte is lost.
+    Small files and workbooks become one row with their bytes and digest. Large texts become
+    one row per line in file order, read split by split; only ``\\n`` ends a line.
     """
-    small = [p for p, size in files if size <= WHOLE_FILE_BYTES]
-    large = [p for p, size in files if size > WHOLE_FILE_BYTES]
+    large = [p for p, size in files if size > WHOLE_FILE_BYTES and p.lower().endswith(TEXT_ENDINGS)]
+    lined = set(large)
+    small = [p for p, _ in files if p not in lined]
     if small:
-        raw_files(spark, small).write.mode("append").parquet(f"{destination}/files")
+        raw_files(spark, small).write.mode("append").options(**LARGE_ROWS).parquet(f"{destination}/files")
     if large:
         raw_lines(spark, large).write.mode("append").parquet(f"{destination}/lines")
 

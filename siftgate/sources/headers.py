@@ -10,12 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftgate.functions.messages import MISSING_COLUMNS, MISSING_HEADER
-from siftgate.sources.paths import charset, file_name, literal_paths, scanned_path
+from siftgate.functions import messages
+from siftgate.sources.paths import can_open, charset, file_name, file_system, literal_paths, scanned_path
 from siftgate.spec import SourceSpec
 
-# File systems the Python workers can open themselves, by URI scheme.
-OPENABLE = {"file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss"}
 # Up to so many headers are read without starting a job.
 FEW_FILES = 32
 SCHEMA = "path string, header array<string>"
@@ -23,22 +21,12 @@ SCHEMA = "path string, header array<string>"
 
 def open_text(path: str, encoding: str) -> io.TextIOWrapper:
     """A file of any openable scheme as text, read in small pieces; gzip by its ending."""
-    from pyarrow import fs
-
-    scheme, rest = path.split(":", 1)
-    if scheme == "file":
-        filesystem, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    else:
-        filesystem, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    filesystem, name = file_system(path)
     compression = "gzip" if name.lower().endswith(".gz") else None
     stream = filesystem.open_input_stream(name, compression=compression, buffer_size=1 << 16)
     return io.TextIOWrapper(stream, encoding=encoding, newline="")
 
 
-def can_open(paths: Sequence[str]) -> bool:
-    return all(p.split(":", 1)[0] in OPENABLE for p in paths)
-
-
 def read_heads(spark: SparkSession, paths: Sequence[str], read: Callable[[str], tuple], schema: str) -> DataFrame:
     """``read(path)`` for every file, by the executors unless there are few files."""
     names = [field.split(" ")[0] for field in schema.split(", ")]
@@ -107,21 +95,18 @@ def check_headers(headers: DataFrame, source: SourceSpec, spreadsheet: bool = Fa
     blank = generated_header(F.col("header")) if spreadsheet else blank_header(F.col("header"))
     missing = missing_columns(F.col("header"), source)
     required = ", ".join(sorted({c.lower() for c in source.file_columns}))
-    lacking = F.concat(
-        F.lit("Missing required fields in "),
-        suffix,
-        F.lit(" file "),
-        name,
-        F.lit(f"\nRequired fields: {required}\nMissing fields: "),
-        F.array_join(missing, ", "),
+    lacking = F.format_string(
+        messages.LACKING_COLUMNS, suffix, name, F.lit(required), F.array_join(missing, ", ")
     )
-    kind = "Excel" if spreadsheet else "CSV"
-    blank_text = "Empty or invalid column headers" if spreadsheet else "Whitespace-only headers"
+    kind = F.lit("Excel" if spreadsheet else "CSV")
+    blank_text = messages.BLANK_SHEET_HEADER if spreadsheet else messages.BLANK_HEADER
     return headers.withColumns(
         {
-            "error_type": F.when(empty | blank, MISSING_HEADER).when(F.size(missing) > 0, MISSING_COLUMNS),
-            "error_message": F.when(empty, F.concat(F.lit(f"No headers found in {kind} file: "), "path"))
-            .when(blank, F.concat(F.lit(f"{blank_text} in {kind} file: "), "path"))
+            "error_type": F.when(empty | blank, messages.MISSING_HEADER).when(
+                F.size(missing) > 0, messages.MISSING_COLUMNS
+            ),
+            "error_message": F.when(empty, F.format_string(messages.NO_HEADER, kind, "path"))
+            .when(blank, F.format_string(blank_text, kind, "path"))
             .when(F.size(missing) > 0, lacking),
         }
     )

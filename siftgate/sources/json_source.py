@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.sources.csv_source import SHAPE
-from siftgate.sources.headers import can_open, open_text, read_heads
-from siftgate.sources.paths import charset, literal_paths, scanned_name, scanned_path
+from siftgate.sources.headers import open_text, read_heads
+from siftgate.sources.paths import can_open, charset, literal_paths, scanned_name, scanned_path
 from siftgate.spec import SourceSpec
 
 

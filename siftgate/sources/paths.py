@@ -6,9 +6,13 @@ import codecs
 import re
 from collections.abc import Sequence
 
+from pyarrow import fs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# File systems that Python can open itself, by URI scheme.
+OPENABLE = {"file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss"}
+
 
 # Charset names Spark takes, by the names Python gives the same encodings.
 CHARSETS = {"iso8859-1": "iso-8859-1", "ascii": "us-ascii", "utf-8-sig": "utf-8"}
@@ -20,6 +24,17 @@ def charset(encoding: str) -> str:
     return CHARSETS.get(name, name)
 
 
+def can_open(paths: Sequence[str]) -> bool:
+    return all(p.split(":", 1)[0] in OPENABLE for p in paths)
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """File system of a full path, and the path as that file system names it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
 def literal_paths(paths: Sequence[str]) -> list[str]:
     """Paths for a reader, with the characters escaped that would be read as a glob."""
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
