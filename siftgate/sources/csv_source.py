@@ -25,13 +25,21 @@ def _cell_count(record: Column, delimiter: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
 
 
+def _column_names(header: Sequence[str]) -> list[str]:
+    """The header's own names, so that Spark finds them confirmed; numbers where they would not do."""
+    taken = {CORRUPT, SHAPE, BLOCK, SEQUENCE, "source_filename", "cell_count", "_metadata"}
+    lower = [h.lower() for h in header]
+    usable = len(set(lower)) == len(lower) and not taken & set(lower) and all(h.strip() and "`" not in h for h in header)
+    return list(header) if usable else [f"c{i}" for i in range(len(header))]
+
+
 def read_csv(spark: SparkSession, paths: Sequence[str], source: SourceSpec, header: Sequence[str]) -> DataFrame:
     """Files that share one header, as text fields plus file, split, sequence, shape.
 
     Empty cells are empty text; cells a short record does not have are null; a record with
     too many cells is marked. Columns that no field uses are dropped here.
     """
-    names = [f"c{i}" for i in range(len(header))]
+    names = _column_names(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     records = (
         spark.read.schema(schema)
@@ -55,7 +63,7 @@ def read_csv(spark: SparkSession, paths: Sequence[str], source: SourceSpec, head
     count = F.when(F.col(CORRUPT).isNotNull(), _cell_count(F.col(CORRUPT), source.delimiter))
     counted = records.withColumn("cell_count", count)
     cells = [
-        f"CASE WHEN cell_count IS NULL OR cell_count > {position} THEN coalesce({names[position]}, '') END AS `{spec.name}`"
+        f"CASE WHEN cell_count IS NULL OR cell_count > {position} THEN coalesce(`{names[position]}`, '') END AS `{spec.name}`"
         for spec, position in zip(source.fields, field_positions(header, source))
     ]
     too_many = f"CASE WHEN cell_count > {len(header)} THEN 'too_many_columns' END AS {SHAPE}"

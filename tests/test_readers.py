@@ -68,6 +68,14 @@ def test_ragged_rows_and_repeated_headers(spark, tmp_path):
     ]
 
 
+def test_awkward_header_names(spark, tmp_path):
+    for header in (["n.x", "text", "a b"], ["n.x", "text", "source_filename"], ["n.x", "text", "te`xt"], ["n.x", "text", "TEXT"]):
+        source = dataclasses.replace(LINES, fields=(FieldSpec("n", column="N.X"), FieldSpec("text")))
+        (tmp_path / "a.csv").write_text(",".join(header) + "\n1,t,t\n")
+        raw, _ = load.scan(spark, source, [f"file:{tmp_path}/a.csv"])
+        assert [(r.n, r.text) for r in raw.collect()] == [("1", "t")]
+
+
 def test_delimiter_and_encoding(spark, tmp_path):
     source = dataclasses.replace(LINES, delimiter=";", encoding="latin-1")
     (tmp_path / "a.csv").write_bytes("n;text\n1;é,ü\n".encode("latin-1"))
