@@ -12,6 +12,9 @@ from siftgate.session import scratch_path
 # A word, as the contracts of several operators spell it.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Stands for a null id among whole numbers: below all others.
+NULL_ID = -(1 << 63)
+
 # A group with at least this share of all rows is hot; there can be no more than 1000 of them.
 HOT_SHARE = 1000
 

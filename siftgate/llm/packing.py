@@ -138,7 +138,7 @@ def _unpacked(ids: bytes) -> np.ndarray:
     return np.frombuffer(ids[:-1], dtype=f"<u{ids[-1]}")
 
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, row_id long"
 NAMES = [field.split()[0] for field in SCHEMA.split(", ")]
 
 
@@ -146,13 +146,13 @@ def _packer(length: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Cuts the stream of a task's documents every ``length`` ids; the rest into powers of two."""
         sequence = TaskContext.get().partitionId() << SEQUENCE_BITS
-        offset = 0
+        row, offset = sequence - 1, 0
         rows: list[tuple] = []
         waiting: list[tuple] = []  # pieces of the sequence that is not full yet
 
-        def piece(doc, start, ids, total, number, at):
+        def piece(doc, start, ids, total, row, number, at):
             crc = zlib.crc32(ids.astype("<u4").tobytes())
-            return doc, start, len(ids), crc, total, number, at
+            return doc, start, len(ids), crc, total, number, at, row
 
         def flushed() -> pa.RecordBatch:
             columns = list(zip(*rows)) or [()] * len(NAMES)
@@ -162,22 +162,22 @@ def _packer(length: int):
         for batch in batches:
             for doc, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = _unpacked(packed.as_py())
-                start = 0
+                start, row = 0, row + 1
                 while start < len(ids):
                     part = ids[start : start + length - offset]
-                    waiting.append((doc, start, part, len(ids), offset))
+                    waiting.append((doc, start, part, len(ids), row, offset))
                     start, offset = start + len(part), offset + len(part)
                     if offset == length:
-                        rows.extend(piece(*w[:4], sequence, w[4]) for w in waiting)
+                        rows.extend(piece(*w[:5], sequence, w[5]) for w in waiting)
                         waiting.clear()
                         sequence, offset = sequence + 1, 0
             yield flushed()
         size = 1 << max(0, offset.bit_length() - 1)
         at = 0
-        for doc, start, part, total, _ in waiting:
+        for doc, start, part, total, number, _ in waiting:
             while len(part):
                 cut = part[: size - at]
-                rows.append(piece(doc, start, cut, total, sequence, at))
+                rows.append(piece(doc, start, cut, total, number, sequence, at))
                 offset -= len(cut)
                 start, part, at = start + len(cut), part[len(cut) :], at + len(cut)
                 if at == size:
@@ -196,7 +196,7 @@ def pack(
     path: str | None = None,
     ranks_path: str | None = None,
 ) -> DataFrame:
-    """Pieces of documents in sequences, neighbours along the curve next to each other.
+    """Pieces of documents in sequences, neighbours along the curve next to each other; ``row_id`` tells repeated rows apart.
 
     Each document becomes token ids (an end id included) and the mean of its tokens' hashed sign
     vectors in four dimensions. The rows are range-sorted once by the point's place on the Hilbert curve

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from siftgate.llm import exact_dedup, mixing, packing, secrets, sharding, topk
+from siftgate.llm import exact_dedup, mixing, packing, passages, secrets, sharding, simhash, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op2_packing": packing.op2_packing,
+    "op3_simhash": simhash.op3_simhash,
     "op4_sharding": sharding.op4_sharding,
     "op5_mixing": mixing.op5_mixing,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op7_passages": passages.op7_passages,
+    "op8_suffixes": suffixes.op8_suffixes,
     "op9_topk": topk.op9_topk,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
