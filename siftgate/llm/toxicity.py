@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,9 @@ FIT_ROWS = 20_000
 # Word beginnings that count as features of their own, and the least documents of a feature.
 STEMS, SUPPORT = range(3, 7), 3
 # Normal quantile of the lower bound on a feature's share of toxic documents.
-CONFIDENCE = 1.64
+CONFIDENCE = 1.5
+# Words of a shingle, and hashes by which near copies among fitted rows are found.
+SHINGLE, MARKS = 3, 4
 
 # Characters that stand in for letters.
 STANDS_FOR = {
@@ -136,7 +139,16 @@ def _disguised(token: str) -> bool:
 
 def features(word: str) -> list[str]:
     """A word and its beginnings."""
-    return [word] + ["^" + word[:n] for n in STEMS if n < len(word)]
+    return [word] + ["^" + word[:n] for n in STEMS if n <= len(word)]
+
+
+def _marks(text: str) -> list[int]:
+    """Least hashes of the text's word shingles, one for each of several mixes: near copies share most."""
+    words = text.split()
+    last = max(1, len(words) - SHINGLE + 1)
+    hashed = np.array([xxhash.xxh64_intdigest(" ".join(words[i : i + SHINGLE])) for i in range(last)], np.uint64)
+    mixed = [hashed * np.uint64(0x9E3779B97F4A7C15 + 2 * i) for i in range(MARKS)]
+    return [int((m ^ (m >> np.uint64(31))).min() >> np.uint64(1)) for m in mixed]
 
 
 def token_words(token: str, model: np.ndarray) -> list[str]:
@@ -163,10 +175,21 @@ def lower_bound(toxic: Column, total: Column) -> Column:
     return (share + F.lit(z2) / (2 * total) - CONFIDENCE * spread) / (1 + F.lit(z2) / total)
 
 
+def _different(sample: DataFrame) -> DataFrame:
+    """One of each family of near copies: rows ``_toxic, _words`` by turns unique in each of several least shingle hashes."""
+    for mark in range(MARKS):
+        first = sample.groupBy(F.col("_marks")[mark]).agg(F.min(F.struct("_hash", "_toxic", "_words", "_marks")).alias("_s"))
+        sample = first.select("_s.*")
+    return sample
+
+
 def fit_weights(docs: DataFrame, labels: DataFrame, model, id_column: str, text_column: str, fit_rows: int) -> dict[str, float]:
-    """Features that mark toxic documents, with the lower bound of their share of toxic documents.
+    """Features that mark toxic documents, with the lower bound of a share times the squared share.
 
-    Fitted on at most ``fit_rows`` labelled rows outside the held-out third, chosen by a hash of the id.
+    A word's share is that of toxic documents among fitted documents with the word. A beginning's is the mean
+    share of the different words that begin so: what matters is whether a word not seen yet would mark
+    toxic documents too. Fitted on at most ``fit_rows`` labelled rows outside the held-out third, chosen by
+    a hash of the id; near copies among them are one piece of evidence.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (_crc("doc_id") != 1))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -174,34 +197,36 @@ def fit_weights(docs: DataFrame, labels: DataFrame, model, id_column: str, text_
     chosen = chosen.select(F.col("doc_id").alias("_chosen"), F.col("toxic").alias("_toxic"))
     # at most fit_rows rows
     sample = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("_chosen"))
-    sample = sample.select("_toxic", whole(text_column).alias("_text"))
-    # copies are one piece of evidence
-    sample = stored(sample.groupBy(F.xxhash64("_text").alias("_hash")).agg(F.max(F.struct("_toxic", "_text")).alias("_s")), "op6-fit")
-    sample = sample.select("_s.*").repartition(F.xxhash64("_text"))
+    sample = sample.select((F.col("_toxic") == 1).cast("int").alias("_toxic"), whole(text_column).alias("_text"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: tuple[Counter, Counter] = Counter(), Counter()
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = set()
+            words, marks = [], []
+            for text in batch.column(1).to_pylist():
+                found = set(spelled_words(text, model.value))
                 for token in set(text.lower().split()):
-                    for word in token_words(token, model.value):
-                        found.update(features(word))
-                for word in spelled_words(text, model.value):
-                    found.update(features(word))
-                seen[int(toxic == 1)].update(found)
-            names = list(seen[0].keys() | seen[1].keys())
-            columns = [pa.array(names), *[pa.array([c[n] for n in names], pa.int64()) for c in seen]]
-            yield pa.RecordBatch.from_arrays(columns, names=["feature", "clean", "toxic"])
-
-    counted = sample.mapInArrow(count, "feature string, clean long, toxic long")
-    sums = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    every = sample.agg(F.count("*"), F.sum((F.col("_toxic") == 1).cast("long"))).first()
+                    found.update(token_words(token, model.value))
+                words.append(sorted(found))
+                marks.append(_marks(text))
+            hashes = [zlib.crc32(text.encode()) for text in batch.column(1).to_pylist()]
+            columns = [batch.column(0), pa.array(hashes, pa.int64()), pa.array(words, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(marks, pa.list_(pa.int64()))], names=["_toxic", "_hash", "_words", "_marks"])
+
+    sample = sample.mapInArrow(read, "_toxic int, _hash long, _words array<string>, _marks array<long>")
+    sample = stored(_different(stored(sample, "op6-read")), "op6-fit")
+    words = sample.select("_toxic", F.explode("_words").alias("feature")).groupBy("feature")
+    words = stored(words.agg(F.sum("_toxic").alias("hits"), F.count("*").alias("total")), "op6-words")
+    share = F.col("hits") / F.col("total")
+    begin = F.explode(F.array(*[F.when(F.length("feature") >= n, F.concat(F.lit("^"), F.substring("feature", 1, n))) for n in STEMS]))
+    stems = words.select(begin.alias("feature"), share.alias("share")).filter("feature IS NOT NULL").groupBy("feature")
+    stems = stems.agg(F.sum("share").alias("hits"), F.count("*").alias("total"))
+    every = sample.agg(F.count("*"), F.sum("_toxic")).first()
     base = (every[1] or 0) / max(1, every[0])
-    weight = lower_bound(F.col("toxic").cast("double"), (F.col("clean") + F.col("toxic")).cast("double"))
-    marked = sums.filter(F.col("toxic") >= SUPPORT).select("feature", weight.alias("weight")).filter(F.col("weight") > 2 * base)
-    # bounded by the sample: a feature needs several of its documents
-    return {r["feature"]: r["weight"] for r in marked.collect()}
+    # the square of the share tells mixed features from rare ones
+    weight = lower_bound(F.col("hits").cast("double"), F.col("total").cast("double")) * (F.col("hits") / F.col("total")) ** 2
+    marked = words.union(stems).filter(F.col("hits") >= SUPPORT).select("feature", weight.alias("weight"))
+    # bounded by the sample: a feature needs several of its documents or words
+    return {r["feature"]: r["weight"] for r in marked.filter(F.col("weight") > 2 * base).collect()}
 
 
 def score_documents(
@@ -214,8 +239,7 @@ def score_documents(
 ) -> DataFrame:
     """The carried columns of every document, in their order, and its ``score``.
 
-    A document scores as its most telling word does: the lower bound of the share of toxic documents among
-    fitted ones with that word, or with that beginning of a word. Tokens in disguise are read both ways, as they stand
+    A document scores as its most telling word or beginning of a word does (``fit_weights``). Tokens in disguise are read both ways, as they stand
     and as decoded. Two passes over all texts, none of them exchanged.
 
     Null and empty texts score 0, repeated rows are scored each (copies of a text alike), labels that are
