@@ -36,6 +36,11 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def as_row(docs: DataFrame) -> Column:
+    """All columns as one, so that helper columns cannot clash with them; ``select("_row.*")`` undoes it."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row")
+
+
 def running(frame: DataFrame, order: Sequence[Column], sums: Mapping[str, str], label: str) -> DataFrame:
     """Adds totals along a global order: ``sums`` maps a new column to the column it adds up, the row included.
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftgate.llm.common import stored, table, whole, with_groups
+from siftgate.llm.common import as_row, stored, table, whole, with_groups
 
 # Marks of one refinement step: a step sends at most so many rows to every task.
 MARKS = 1 << 20
@@ -44,13 +44,19 @@ def exact_dedup(
     by_start = same_length.withColumn("_mark", F.pmod("_start", F.lit(MARKS)))
     shared = stored(by_start.groupBy("_mark").count().filter("count > 1").select("_mark"), "op10-marks")
 
-    marked = docs.withColumn("_mark", F.pmod(start, F.lit(MARKS)))
+    carried = {f"_carry_{n}": c for n, c in (carry or {}).items()}
+    marked = docs.select(
+        F.col(id_column).alias("_id"),
+        text.alias("_text"),
+        F.pmod(start, F.lit(MARKS)).alias("_mark"),
+        *[c.alias(n) for n, c in carried.items()],
+    )
     marked = marked.join(F.broadcast(shared.withColumn("_open", F.lit(True))), "_mark", "left")
     rows = marked.select(
-        F.col(id_column).alias("_id"),
+        "_id",
         F.monotonically_increasing_id().alias("_row"),
-        F.when(F.col("_open"), F.sha2(text.cast("binary"), 256)).alias("_hash"),
-        *[c.alias(f"_carry_{n}") for n, c in (carry or {}).items()],
+        F.when(F.col("_open"), F.sha2(F.col("_text").cast("binary"), 256)).alias("_hash"),
+        *carried,
     )
     rows = stored(rows, "op10-rows")
     groups = rows.filter("_hash IS NOT NULL").groupBy("_hash")
@@ -71,13 +77,13 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     digest = F.sha2(whole(text_column).cast("binary"), 256)
     found = stored(exact_dedup(docs, id_column, text_column, carry={"_digest": digest}), "op10-found")
     kept = found.filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("_digest").alias("_kept_digest"))
-    marked = docs.withColumn("_digest", digest)
-    same = marked[id_column].eqNullSafe(kept["_kept_id"]) & (marked["_digest"] == kept["_kept_digest"])
+    marked = docs.select(as_row(docs), F.col(id_column).alias("_id"), digest.alias("_digest"))
+    same = marked["_id"].eqNullSafe(kept["_kept_id"]) & (marked["_digest"] == kept["_kept_digest"])
     left = marked.join(kept, same, "left_semi")
     repeated = found.groupBy("doc_id", "_digest").count().filter("count > 1").limit(1).count()
     if repeated:  # the very same row more than once: neither id nor text tells which one stayed
-        left = left.dropDuplicates([id_column, "_digest"])
-    return left.select(*docs.columns)
+        left = left.dropDuplicates(["_id", "_digest"])
+    return left.select("_row.*")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftgate.llm.common import WORD, running, stored, table, whole
+from siftgate.llm.common import WORD, as_row, running, stored, table, whole
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -100,28 +100,28 @@ def mix(
 
 def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
     """The rows of the mix: every document as often as the mix takes it, all columns as they came."""
-    found = mix(docs, id_column, text_column, source_column, **options)
+    found = stored(mix(docs, id_column, text_column, source_column, **options), "op5-mix")
     # the same row given twice has one line per copy here, and may have different shares of the mix
     ways = found.groupBy("doc_id", "source", "text_hash")
     ways = ways.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).filter("_copies > 0")
     ways = ways.select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "text_hash")], "_copies", "_rows")
-    marked = docs.withColumn("_mix_hash", F.xxhash64(whole(text_column)))
+    marked = docs.select(
+        as_row(docs), F.col(id_column).alias("_id"), F.col(source_column).alias("_source"), F.xxhash64(whole(text_column)).alias("_hash")
+    )
     same = (
-        marked[id_column].eqNullSafe(ways["_mix_doc_id"])
-        & marked[source_column].eqNullSafe(ways["_mix_source"])
-        & (marked["_mix_hash"] == ways["_mix_text_hash"])
+        marked["_id"].eqNullSafe(ways["_mix_doc_id"])
+        & marked["_source"].eqNullSafe(ways["_mix_source"])
+        & (marked["_hash"] == ways["_mix_text_hash"])
     )
     joined = marked.join(ways, same)
-    whole_share = F.floor(F.col("_copies") / F.col("_rows")).cast("int")
-    rest = F.col("_copies") % F.col("_rows")
-    lots = F.when(rest == 0, whole_share)
-    if joined.filter((F.col("_rows") > 1) & (rest != 0)).limit(1).count():
-        # rows that nothing tells apart: the first ones by position get the copy that is left over
+    share, rest = F.floor(F.col("_copies") / F.col("_rows")).cast("int"), F.col("_copies") % F.col("_rows")
+    lots = share
+    if ways.filter(rest != 0).limit(1).count():
+        # rows that nothing tells apart: the first ones by position get the copies that are left over
         place = F.row_number().over(Window.partitionBy("_mix_doc_id", "_mix_source", "_mix_text_hash").orderBy(F.lit(1)))
         joined = joined.withColumn("_place", place)
-        lots = whole_share + F.when(F.col("_place") <= rest, 1).otherwise(0)
-    dealt = joined.withColumn("_lot", F.explode(F.array_repeat(F.lit(1), lots)))
-    return dealt.select(*[dealt[c] for c in docs.columns])
+        lots = share + F.when(F.col("_place") <= rest, 1).otherwise(0)
+    return joined.withColumn("_lot", F.explode(F.array_repeat(F.lit(1), lots))).select("_row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftgate.llm.common import stored, table, whole, with_groups
+from siftgate.llm.common import as_row, stored, table, whole, with_groups
 from siftgate.llm.components import components
 
 SHINGLE, SEED, BITS = 4, 42, 64
@@ -224,11 +224,15 @@ def near_duplicates(
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """One document of each component, all columns as they came."""
-    found = near_duplicates(docs, id_column, text_column, **options)
+    found = stored(near_duplicates(docs, id_column, text_column, **options), "op3-found")
     kept = found.filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    marked = docs.withColumn("_hash", F.xxhash64(whole(text_column)))
-    same = marked[id_column].eqNullSafe(kept["_kept_id"]) & (marked["_hash"] == kept["_kept_hash"])
-    return marked.join(kept, same, "left_semi").select(*docs.columns)
+    digest = F.xxhash64(whole(text_column))
+    marked = docs.select(as_row(docs), F.col(id_column).cast("long").alias("_id"), digest.alias("_hash"))
+    same = marked["_id"].eqNullSafe(kept["_kept_id"]) & (marked["_hash"] == kept["_kept_hash"])
+    left = marked.join(kept, same, "left_semi")
+    if kept.groupBy("_kept_id", "_kept_hash").count().filter("count > 1").limit(1).count():
+        left = left.dropDuplicates(["_id", "_hash"])  # one document given several times
+    return left.select("_row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

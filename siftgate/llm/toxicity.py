@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftgate.llm.common import stored, table, whole
+from siftgate.llm.common import as_row, stored, table, whole
 
 REJECT = 0.7
 # Most labelled rows that the weights of words are fitted on; the character model is of all texts.
@@ -191,13 +191,14 @@ def fit_weights(docs: DataFrame, labels: DataFrame, model, id_column: str, text_
     toxic documents too. Fitted on at most ``fit_rows`` labelled rows outside the held-out third, chosen by
     a hash of the id; near copies among them are one piece of evidence.
     """
-    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (_crc("doc_id") != 1))
+    usable = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (_crc("doc_id") != 1))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     chosen = chosen.select(F.col("doc_id").alias("_chosen"), F.col("toxic").alias("_toxic"))
     # at most fit_rows rows
-    sample = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("_chosen"))
-    sample = sample.select((F.col("_toxic") == 1).cast("int").alias("_toxic"), whole(text_column).alias("_text"))
+    texts = docs.select(F.col(id_column).alias("_doc"), whole(text_column).alias("_text"))
+    sample = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_chosen"))
+    sample = sample.select((F.col("_toxic") == 1).cast("int").alias("_toxic"), "_text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,9 +282,8 @@ def score_documents(
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents below the score of rejection, all columns as they came."""
-    scored = score_documents(docs, labels, [docs[c] for c in docs.columns], id_column, text_column)
-    scored = scored.toDF(*docs.columns, "_toxic_score")
-    return scored.filter(F.col("_toxic_score") < REJECT).select(*docs.columns)
+    scored = score_documents(docs, labels, [as_row(docs)], id_column, text_column)
+    return scored.filter(F.col("score") < REJECT).select("_row.*")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
