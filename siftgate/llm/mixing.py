@@ -53,7 +53,8 @@ def mix(
 
     The size is the number of words. Every source deals its documents in an order shuffled by a hash
     of id and text, up to ``most`` times over. A copy's virtual finish time is the words its source has
-    dealt by then over the source's target. The copies are range-sorted by that time and the mix ends
+    dealt by then over the source's target; the copy counts as done at its middle, so that the cut rounds to
+    whole documents. The copies are range-sorted by that time and the mix ends
     where the sum of all sizes would be passed; equal times stand or fall together.
 
     Null text has no words, a null source is a source of its own and comes last, documents of no
@@ -81,7 +82,8 @@ def mix(
     served = stored(served.withColumn("_end", F.col("_dealt") - F.col("_from")).drop("_dealt", "_from", "_turn"), "op5-served")
 
     def finish(turn: int):
-        return F.when(F.col("target") > 0, (F.lit(turn) * F.col("source_size") + F.col("_end")) / F.col("target"))
+        dealt_by_then = F.lit(turn) * F.col("source_size") + F.col("_end") - F.col("size") / 2
+        return F.when(F.col("target") > 0, dealt_by_then / F.col("target"))
 
     copies = served.filter("target > 0").select("size", F.explode(F.array(*[finish(i) for i in range(most)])).alias("_at"))
     times = copies.groupBy("_at").agg(F.sum("size").alias("size"))
