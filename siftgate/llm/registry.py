@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from siftgate.llm import exact_dedup, mixing, packing, passages, secrets, sharding, simhash, suffixes, topk, toxicity
+from siftgate.llm import exact_dedup, mixing, packing, passages, secret_scan, sharding, simhash, suffixes, topk, toxicity
 
 QUERIES = {
-    "op1_secrets": secrets.op1_secrets,
+    "op1_secrets": secret_scan.op1_secrets,
     "op2_packing": packing.op2_packing,
     "op3_simhash": simhash.op3_simhash,
     "op4_sharding": sharding.op4_sharding,

@@ -28,7 +28,7 @@ def words(start, n):
 
 def odd_rows():
     """``doc_id, text, source`` with nulls, empty and long texts, ties, repeated rows."""
-    passage, other = words(10_000, 80), words(20_000, 70)
+    passage, other = words(100_000, 80), words(200_000, 70)
     edited = passage.split()
     edited[20], edited[45] = "changed", "another"
     del edited[60]

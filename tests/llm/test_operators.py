@@ -10,7 +10,7 @@ import plain
 import pytest
 from pyspark.sql import types as T
 
-from siftgate.llm import common, components, exact_dedup, mixing, packing, passages, secrets, sharding, simhash, suffixes, topk, toxicity
+from siftgate.llm import common, components, exact_dedup, mixing, packing, passages, secret_scan, sharding, simhash, suffixes, topk, toxicity
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS = odd_data.odd_rows()
@@ -30,20 +30,20 @@ def texts(spark, rows):
 def test_secrets(odd, empty):
     columns = ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
     want = sorted(((i, *plain.secrets(t or "")[:4]) for i, t, _ in ROWS), key=repr)
-    assert got(secrets.scan_secrets(odd), *columns) == want
-    line = next(r for r in secrets.scan_secrets(odd).collect() if r.doc_id == 14)
+    assert got(secret_scan.scan_secrets(odd), *columns) == want
+    line = next(r for r in secret_scan.scan_secrets(odd).collect() if r.doc_id == 14)
     text = dict((i, t) for i, t, _ in ROWS)[14]
     base = plain.secrets(text)[4].split(",")
     assert set(base) < set(line.spans.split(","))
     (guess,) = [s for s in line.spans.split(",") if s.startswith("guess")]
     assert text[int(guess.split(":")[1]) : int(guess.split(":")[2])] == "Xk9#mQ2!vB7zT4"
-    assert secrets.scan_secrets(empty).count() == 0
+    assert secret_scan.scan_secrets(empty).count() == 0
 
 
 def test_secrets_of_the_table(spark):
     docs = common.table(spark, SF_DIR, "documents")
     want = sorted(((r.doc_id, *plain.secrets(r.text)) for r in docs.collect()), key=repr)
-    found = secrets.op1_secrets(spark, SF_DIR)
+    found = secret_scan.op1_secrets(spark, SF_DIR)
     assert got(found, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == [w[:5] for w in want]
     for row, (*_, listed) in zip(sorted(found.collect(), key=lambda r: r.doc_id), sorted(want)):
         assert set(filter(None, listed.split(","))) <= set(row.spans.split(","))
@@ -54,16 +54,16 @@ def slow_cost(value, words):
     import functools
     import math
 
-    each = math.log10(secrets._alphabet(value))
-    keys, near = [secrets._key(c) for c in value], secrets.neighbours()
+    each = math.log10(secret_scan._alphabet(value))
+    keys, near = [secret_scan._key(c) for c in value], secret_scan.neighbours()
 
     def segment(i, j):
         options = [each * (j - i)]
         low = value[i:j].lower()
         if j - i >= 3 and low in words:
-            options.append(math.log10(words[low] + 1) + secrets._case_cost(value[i:j]))
+            options.append(math.log10(words[low] + 1) + secret_scan._case_cost(value[i:j]))
         if j - i >= 4 and all(keys[k] in near.get(keys[k - 1], ()) for k in range(i + 1, j)):
-            turns = sum(secrets._step(keys, k) != secrets._step(keys, k - 1) for k in range(i + 2, j))
+            turns = sum(secret_scan._step(keys, k) != secret_scan._step(keys, k - 1) for k in range(i + 2, j))
             options.append(math.log10(47 * (j - i)) + turns * math.log10(4))
         return min(options)
 
@@ -76,15 +76,15 @@ def slow_cost(value, words):
 
 @pytest.mark.parametrize("value", ["correcthorse", "Xk9#mQ2!vB", "qwertyhello", "lkjhTrash5", "zxcvmoonAsdf"])
 def test_guess_cost_is_least(value):
-    words = secrets.ranked_words(secrets.dictionary_path())
-    assert secrets.guess_cost(value, words) == pytest.approx(slow_cost(value, words))
+    words = secret_scan.ranked_words(secret_scan.dictionary_path())
+    assert secret_scan.guess_cost(value, words) == pytest.approx(slow_cost(value, words))
 
 
 def test_guess_cost_orders_values():
-    words = secrets.ranked_words(secrets.dictionary_path())
-    cost = [secrets.guess_cost(v, words) for v in ("aaaaaaaaaaaa", "qwertyuiop", "20190312", "wintergarden", "x8Kq!2mZp")]
-    assert max(cost[:4]) < secrets.STRONG < cost[4]
-    assert secrets.guess_cost("x8Kq" * 50, words) < 12
+    words = secret_scan.ranked_words(secret_scan.dictionary_path())
+    cost = [secret_scan.guess_cost(v, words) for v in ("aaaaaaaaaaaa", "qwertyuiop", "20190312", "wintergarden", "x8Kq!2mZp")]
+    assert max(cost[:4]) < secret_scan.STRONG < cost[4]
+    assert secret_scan.guess_cost("x8Kq" * 50, words) < 12
 
 
 # 2 --------------------------------------------------------------------------------------------------
@@ -262,8 +262,7 @@ def check_mix(rows, found):
         taken[r.source] += r.taken
         longest[r.source] = max(longest[r.source], r.size)
     for source in want:
-        assert abs(taken[source] - want[source]) <= longest[source]
-    assert sum(taken.values()) <= sum(sources.values())
+        assert abs(taken[source] - want[source]) <= longest[source] / 2 + 1e-6
     assert sorted((r.doc_id or -1, r.size) for r in found) == sorted((i or -1, size[i, t]) for i, t, _ in rows)
 
 

@@ -58,7 +58,7 @@ def test_mix_keeps_targets(stages):
     for r in stages[4]:
         taken[r.source] += len(plain.WORD.findall(r.text))
     for source, target in plain.targets(sizes).items():
-        assert abs(taken[source] - target) <= longest[source]
+        assert abs(taken[source] - target) <= longest[source] / 2 + 1e-6
     copies = collections.Counter(r.doc_id for r in stages[4])
     assert max(copies.values()) <= 3 and set(stages[4]) <= set(stages[3])
 
