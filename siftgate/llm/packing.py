@@ -41,6 +41,11 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.cache
+def _special(path: str) -> list[str]:
+    return [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()]
+
+
 @functools.cache
 def _ranks(path: str):
     import base64
@@ -59,29 +64,30 @@ def token_ids(text: str, path: str, ranks_path: str | None) -> np.ndarray:
     The two files hold one vocabulary; the ranks give the same ids several times faster. A text that
     spells a special token, or a very long one, is left to the tokenizer file.
     """
-    slow = _tokenizer(path)
-    special = [t.content for t in slow.get_added_tokens_decoder().values()]
-    if ranks_path is None or len(text) > LONG_TEXT or any(s in text for s in special):
-        ids = np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    if ranks_path is None or len(text) > LONG_TEXT or any(s in text for s in _special(path)):
+        ids = _tokenizer(path).encode(text, add_special_tokens=False).ids
     else:
-        ids = _ranks(ranks_path).encode_to_numpy(text)
-    return np.append(ids, np.uint32(END)).astype("<u4")
+        ids = _ranks(ranks_path).encode_ordinary(text)
+    ids.append(END)
+    return np.array(ids, dtype="<u4")
 
 
 @functools.cache
-def _projection(dims: int, size: int = 1 << 16) -> np.ndarray:
-    """A fixed vector per hashed token id: signs from the bits of a multiplicative hash."""
+def _signs(size: int = 1 << 16) -> np.ndarray:
+    """Signs of each hashed token id in DIMS dimensions, 0 or 1 each, side by side in one number."""
     hashed = np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     hashed ^= hashed >> np.uint64(29)
     hashed *= np.uint64(0xBF58476D1CE4E5B9)
-    bits = (hashed[:, None] >> (np.uint64(40) + np.arange(dims, dtype=np.uint64))) & np.uint64(1)
-    return bits.astype(np.float32) * 2 - 1
+    return sum(((hashed >> np.uint64(40 + i)) & np.uint64(1)) << np.uint64(16 * i) for i in range(DIMS))
 
 
-def project(ids: np.ndarray, dims: int = DIMS) -> np.ndarray:
-    """Mean of the tokens' vectors."""
-    vectors = _projection(dims)
-    return vectors[ids & 0xFFFF].mean(axis=0, dtype=np.float64) if len(ids) else np.zeros(dims)
+def project(ids: np.ndarray) -> np.ndarray:
+    """Mean of the tokens' sign vectors, -1 to 1."""
+    sums = np.zeros(DIMS)
+    for at in range(0, len(ids), (1 << 16) - 1):  # no dimension can run over
+        side_by_side = int(_signs()[ids[at : at + (1 << 16) - 1] & 0xFFFF].sum())
+        sums += [side_by_side >> 16 * i & 0xFFFF for i in range(DIMS)]
+    return 2 * sums / max(1, len(ids)) - 1
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
