@@ -49,17 +49,18 @@ def mix(
     most: int = MOST_COPIES,
     seed: int = SEED,
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, copies`` of every document, and its ``source`` and ``text_hash``.
+    """``doc_id, size, source_size, target, taken, times`` of every document, in mix order, with ``source, text_hash``.
 
     The size is the number of words. Every source deals its documents in an order shuffled by a hash
     of id and text, up to ``most`` times over. A copy's virtual finish time is the words its source has
-    dealt by then over the source's target; the copy counts as done at its middle, so that the cut rounds to
-    whole documents. The copies are range-sorted by that time and the mix ends
-    where the sum of all sizes would be passed; equal times stand or fall together.
+    dealt by then over the source's target; it is taken at its middle, so that the cut rounds to whole
+    documents. As the targets add up to the budget, the sum of all sizes, the queue has served the
+    budget at time 1 and is cut there; a cut by the sum of whole documents would let one long document take
+    other sources' words. The rows are range-sorted by the time of their first copy, documents left out last.
 
     Null text has no words, a null source is a source of its own and comes last, documents of no
-    words are taken with the copies that end at the same time (0 words), repeated rows are documents
-    of their own, an empty table gives no rows, and other columns are not looked at.
+    words are taken like others (0 words), repeated rows are documents of their own, an empty
+    table gives no rows, and other columns are not looked at.
     """
     text = whole(text_column)
     rows = docs.select(
@@ -68,9 +69,9 @@ def mix(
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.xxhash64(text).alias("text_hash"),
     )
-    rows = rows.withColumn("_turn", F.xxhash64(F.col("doc_id"), F.col("text_hash"), F.lit(seed)))
-    order = [F.col("source").asc_nulls_last(), F.col("_turn").asc(), F.col("doc_id").asc(), F.col("size").asc()]
-    dealt = stored(running(rows, order, {"_dealt": "size"}, "op5-order"), "op5-dealt")
+    rows = stored(rows.withColumn("_turn", F.xxhash64(F.col("doc_id"), F.col("text_hash"), F.lit(seed))), "op5-words")
+    by_source = [F.col("source").asc_nulls_last(), F.col("_turn").asc(), F.col("doc_id").asc(), F.col("size").asc()]
+    dealt = stored(running(rows, by_source, {"_dealt": "size"}, "op5-order"), "op5-dealt")
     sizes = dealt.groupBy("source").agg(F.sum("size").alias("source_size"), F.min(F.col("_dealt") - F.col("size")).alias("_from"))
     sizes = stored(sizes, "op5-sizes")
     shares = targets(sizes.select("source", "source_size"), weights, most)
@@ -81,23 +82,14 @@ def mix(
     served = dealt.join(known, dealt["source"].eqNullSafe(known["_name"])).drop("_name")
     served = stored(served.withColumn("_end", F.col("_dealt") - F.col("_from")).drop("_dealt", "_from", "_turn"), "op5-served")
 
-    def finish(turn: int):
-        dealt_by_then = F.lit(turn) * F.col("source_size") + F.col("_end") - F.col("size") / 2
-        return F.when(F.col("target") > 0, dealt_by_then / F.col("target"))
-
-    copies = served.filter("target > 0").select("size", F.explode(F.array(*[finish(i) for i in range(most)])).alias("_at"))
-    times = copies.groupBy("_at").agg(F.sum("size").alias("size"))
-    line = running(times, [F.col("_at").asc()], {"_sum": "size"}, "op5-queue")
-    budget = served.agg(F.sum("size")).first()[0] or 0
-    last = line.filter(F.col("_sum") <= F.lit(budget)).agg(F.max("_at")).first()[0]
-    last = -1.0 if last is None else last
-    taken = F.lit(0)
-    for turn in range(most):
-        taken = taken + F.when(finish(turn) <= F.lit(last), 1).otherwise(0)
-    return served.select(
-        "doc_id", "size", "source_size", "target", (taken * F.col("size")).cast("long").alias("taken"),
-        taken.cast("int").alias("copies"), "source", "text_hash",
-    )
+    turns = F.array(*[F.lit(i) for i in range(most)])
+    times = F.transform(turns, lambda i: (i * F.col("source_size") + F.col("_end") - F.col("size") / 2) / F.col("target"))
+    times = F.when(F.col("target") > 0, F.filter(times, lambda time: time <= 1)).otherwise(F.array().cast("array<double>"))
+    found = served.withColumn("times", times).withColumn("_first", F.get("times", F.lit(0)))
+    order = [F.col("_first").asc_nulls_last(), F.col("doc_id").asc(), F.col("text_hash").asc()]
+    line = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    taken = (F.size("times") * F.col("size")).cast("long").alias("taken")
+    return line.select("doc_id", "size", "source_size", "target", taken, "times", "source", "text_hash")
 
 
 def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
@@ -105,7 +97,7 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     found = stored(mix(docs, id_column, text_column, source_column, **options), "op5-mix")
     # the same row given twice has one line per copy here, and may have different shares of the mix
     ways = found.groupBy("doc_id", "source", "text_hash")
-    ways = ways.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).filter("_copies > 0")
+    ways = ways.agg(F.sum(F.size("times")).alias("_copies"), F.count("*").alias("_rows")).filter("_copies > 0")
     ways = ways.select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "text_hash")], "_copies", "_rows")
     marked = docs.select(
         as_row(docs), F.col(id_column).alias("_id"), F.col(source_column).alias("_source"), F.xxhash64(whole(text_column)).alias("_hash")
