@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut where a column's bytes add up to about ``size``."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + size)))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def planes(values: np.ndarray) -> bytes:
     """Differences of whole numbers, byte by byte, so that what is alike lies together."""
     return np.diff(values.astype(np.int64), prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()

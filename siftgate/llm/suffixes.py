@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftgate.llm.common import NULL_ID, stored, table, whole
-from siftgate.llm.packed import ROW, packed, packed_rows, sliced, unpacked
+from siftgate.llm.packed import ROW, packed, packed_rows, portions, sliced, unpacked
 from siftgate.session import scratch_path
 
 LENGTH = 50
 # Bytes of an anchor: each string of LENGTH bytes has the least hash of its GRAM-byte pieces.
 GRAM = 16
-# Bytes looked at together, and bytes of one suffix array.
-PIECE, SHARD = 1 << 20, 1 << 20
+# Bytes looked at together (they fit a processor's cache), bytes of documents collapsed together, and
+# bytes of one suffix array.
+PIECE, PORTION, SHARD = 1 << 16, 1 << 23, 1 << 20
 # Bytes of documents, and anchors, for one task of the two exchanges, about.
 RANGE_BYTES, RANGE_ANCHORS, LEAST_RANGES = 1 << 24, 1 << 16, 64
 # Batches that name an anchor from which its strings are dealt one by one.
@@ -132,7 +133,7 @@ FOUND = "_id long, _hash long, _found binary"
 
 def _emit_anchors(length: int, ranges: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1, PORTION):
             ids = batch.column(0).to_numpy()
             found = [x[:3] for x in _text_anchors([t.encode() for t in batch.column(1).to_pylist()], length)]
             if not found:
@@ -194,59 +195,45 @@ def _share_anchors(hot: int):
 
 def _emit_contexts(length: int, ranges: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for batch in portions(batches, 2, PORTION):
+            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts = [t.encode() for t in batch.column(2).to_pylist()]
             places = [np.unique(np.frombuffer(b"".join(x), "<i8")) for x in batch.column(3).to_pylist()]
             base = 1 << 40
-            wanted = np.concatenate([i * base + p for i, p in enumerate(places)]) if places else np.zeros(0, np.int64)
-            lines: dict[tuple[int, int, bytes], list[int]] = {}
-            marks: tuple[list, list, list, list] = ([], [], [], [])
-            shards: dict[int, list] = {}
-            rows: list[tuple[int, int, int, bytes]] = []
+            wanted = np.concatenate([i * base + p for i, p in enumerate(places)])
+            lines: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
             for owner, anchor, place, first, last, data, shift in _text_anchors(texts, length):
                 key = owner * base + place * 2
-                at = np.searchsorted(wanted, key)
-                near = wanted[np.minimum(at, len(wanted) - 1)] if len(wanted) else key + 2
-                calm, hot = near == key, near == key + 1
+                near = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)]
+                hot = near == key + 1
+                keep = np.flatnonzero((near == key) | hot)
                 raw = data.tobytes()
-                for i in np.flatnonzero(calm | hot).tolist():
-                    doc, begin, end = int(owner[i]), int(first[i]), int(last[i])
-                    move = int(shift[i])
-                    if not hot[i]:
-                        rows.append((int(anchor[i]), doc, begin, raw[begin - move : end - move + length]))
+                columns = [x[keep].tolist() for x in (anchor, owner, first, first - shift, last - shift + length, hot)]
+                for way, doc, begin, start, end, is_hot in zip(*columns):
+                    if not is_hot:
+                        lines.setdefault((way, raw[start:end]), []).append((ids[doc], hashes[doc], begin))
                         continue
-                    for start in range(begin, end + 1):  # each string goes its own way
-                        string = raw[start - move : start - move + length]
+                    for k in range(end - length - start + 1):  # each string goes its own way
+                        string = raw[start + k : start + k + length]
                         way = int.from_bytes(hashlib.blake2b(string, digest_size=5).digest(), "big")
-                        rows.append((way, doc, start, string))
-            for n, (anchor, doc, begin, context) in enumerate(rows):
-                line = lines.get((anchor, context))
-                if line is None:
-                    lines[anchor, context] = [n]
-                else:
-                    line.append(n)
-            for (anchor, context), line in lines.items():
-                least = min(ids[rows[n][1]] for n in line)
-                for n in line:
-                    doc, begin = rows[n][1], rows[n][2]
-                    if ids[doc] > least:
-                        for kind, value in zip(marks, (ids[doc], hashes[doc], begin, begin + len(context))):
-                            kind.append(value)
-                    else:
-                        shard = anchor * ranges >> HASH_BITS
-                        shards.setdefault(shard, []).append((anchor, int(ids[doc]), int(hashes[doc]), begin, context))
+                        lines.setdefault((way, string), []).append((ids[doc], hashes[doc], begin + k))
+            marks: list[tuple[int, int, int, int]] = []
+            shards: dict[int, list] = {}
+            for (way, context), line in lines.items():
+                least, late = _first_documents(line, len(context))
+                marks += late
+                shards.setdefault(way * ranges >> HASH_BITS, []).extend((way, *x, context) for x in least)
             out: tuple[list, list, list] = ([], [], [])
-            if marks[0]:
-                order = np.lexsort((np.array(marks[0]),))
-                out[0].append(int(ids[0]) % ranges)
+            if marks:
+                marks.sort()
+                out[0].append(ids[0] % ranges)
                 out[1].append(True)
-                out[2].append(packed([np.array(m, np.int64)[order] for m in marks]))
+                out[2].append(packed(list(np.array(marks, np.int64).T)))
             for shard, found in shards.items():
                 found.sort()
                 out[0].append(shard)
                 out[1].append(False)
-                columns = [np.array([f[k] for f in found], np.int64) for k in range(4)]
+                columns = list(np.array([f[:4] for f in found], np.int64).T)
                 sizes = np.array([len(f[4]) for f in found], np.int64)
                 out[2].append(packed([*columns, sizes], b"".join(f[4] for f in found)))
             if out[0]:
@@ -255,6 +242,22 @@ def _emit_contexts(length: int, ranges: int):
     return emit
 
 
+def _first_documents(line: list[tuple[int, int, int]], size: int) -> tuple[list, list]:
+    """Of equal contexts ``id, text, begin``: those of the least document, and the stretches of all others."""
+    if len(line) == 1:
+        return line, []
+    least = min(line)[0]
+    return [x for x in line if x[0] == least], [(i, text, begin, begin + size) for i, text, begin in line if i > least]
+
+
+def _windows(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place as one number, zeros beyond the end."""
+    x = np.concatenate([data, np.zeros(7, np.uint8)]).astype(np.uint64)
+    for shift in (1, 2, 4):
+        x = (x[:-shift] << np.uint64(8 * shift)) | x[shift:]
+    return x
+
+
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     """Places sorted by what follows them, to at least ``depth`` bytes.
 
@@ -262,14 +265,19 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     together are sorted again, by the rank of the place as many bytes further on, which doubles the depth.
     """
     n = len(data)
-    x = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    for shift in (1, 2, 4):
-        x = (x[:-shift] << np.uint64(8 * shift)) | x[shift:]
-    x = x[:n]
+    x = _windows(data)
     order = np.argsort(x, kind="stable")
-    fresh = np.concatenate([[True], x[order][1:] != x[order][:-1]]) if n else np.zeros(0, bool)
+    x = x[order]
+    # beyond the end counts as less than any byte: the last places come first among equal ones
+    fresh = np.ones(n, bool)
+    fresh[1:] = (x[1:] != x[:-1]) | (order[1:] > n - 8) | (order[:-1] > n - 8)
+    if n >= 8:
+        order, fresh = _ends_first(order, fresh, x, n)
+    else:
+        order = np.array(sorted(range(n), key=lambda i: data[i:].tobytes()), dtype=np.int64)
+        fresh[:] = True
+    first = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
     # a place's rank is the first number of its group
-    first = np.maximum.accumulate(np.where(fresh, np.arange(n), 0)) if n else np.zeros(0, np.int64)
     rank = np.empty(n + 1, np.int64)
     rank[order] = first
     rank[n] = -1
@@ -281,52 +289,72 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
         if not len(spots):
             break
         places = order[spots]
-        ahead = rank[np.minimum(places + reach, n)] + 1
-        again = np.lexsort((ahead, rank[places]))
-        places, ahead = places[again], ahead[again]
+        key = rank[places] * (n + 1) + rank[np.minimum(places + reach, n)] + 1
+        again = np.argsort(key, kind="stable")
+        places, key = places[again], key[again]
         order[spots] = places
-        group = rank[places]
-        new = np.concatenate([[True], (group[1:] != group[:-1]) | (ahead[1:] != ahead[:-1])])
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
         fresh[spots] = new
-        first = np.maximum.accumulate(np.where(new, spots, 0))
-        rank[places] = first
+        rank[places] = np.maximum.accumulate(np.where(new, spots, 0))
         reach *= 2
     return order
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Length of what each place in the order shares with the one before it.
+def _ends_first(order: np.ndarray, fresh: np.ndarray, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Puts the last seven places, which the zeros beyond the end make look like longer ones, before those."""
+    late = np.flatnonzero(order > n - 8)
+    for at in late.tolist():
+        start = np.searchsorted(x, x[at])
+        same = order[start : np.searchsorted(x, x[at], side="right")]
+        short = np.sort(same[same > n - 8])[::-1]
+        order[start : start + len(same)] = np.concatenate([short, same[same <= n - 8]])
+        fresh[start : start + len(same)] = False
+        fresh[start : start + len(short) + 1] = True
+    return order, fresh[:n]
+
+
+def common_prefixes(data: np.ndarray, order: np.ndarray, enough: int | None = None) -> np.ndarray:
+    """Length of what each place in the order shares with the one before it, exact at least up to ``enough``.
 
     Kasai's observation: one place further on in the text, beside its neighbour one place further on too, one
     byte less is shared. So only places where the neighbour changes are compared, the rest count down.
     """
     n = len(order)
-    if n == 0:
-        return np.zeros(0, np.int64)
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
-    follows = np.concatenate([[False], (before[1:] == before[:-1] + 1) & (before[:-1] >= 0)])
+    x = _windows(data)
+    most = n if enough is None else 4 * enough
+    heads = np.ones(n, bool)
+    heads[1:] = (before[1:] != before[:-1] + 1) | (before[:-1] < 0)
     shared = np.zeros(n, np.int64)
-    heads = np.flatnonzero(~follows & (before >= 0))
-    while len(heads):
-        places, others = heads, before[heads]
-        length = np.zeros(len(heads), np.int64)
-        open_ = np.arange(len(heads))
-        while len(open_):
-            a, b = places[open_] + length[open_], others[open_] + length[open_]
-            inside = (a < n) & (b < n)
-            open_, a, b = open_[inside], a[inside], b[inside]
-            same = data[a] == data[b]
-            open_ = open_[same]
-            length[open_] += 1
-        shared[heads] = length
-        run = np.maximum.accumulate(np.where(follows, 0, np.arange(n)))
+    compare = heads & (before >= 0)
+    while True:
+        places = np.flatnonzero(compare)
+        shared[places] = _shared(x, places, before[places], n, most)
+        run = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
         counted = shared[run] - (np.arange(n) - run)
-        late = follows & (counted < 0)  # the run of the neighbour goes on but nothing was shared any more
-        shared = np.where(follows, np.maximum(counted, 0), shared)
-        heads = np.flatnonzero(late)
-        follows[heads] = False
-    return shared[order]
+        # counted down to nothing, or from a comparison that was cut off: compared anew
+        compare = ~heads & ((counted < 0) | ((shared[run] >= most) & (counted < (enough or 0))))
+        if not compare.any():
+            return np.where(heads, shared, counted)[order]
+        heads |= compare
+
+
+def _shared(x: np.ndarray, a: np.ndarray, b: np.ndarray, n: int, most: int) -> np.ndarray:
+    """Equal bytes from two places on, eight at a time."""
+    length = np.zeros(len(a), np.int64)
+    room = n - np.maximum(a, b)
+    open_ = np.arange(len(a))
+    while len(open_):
+        at = length[open_]
+        differ = x[a[open_] + at] ^ x[b[open_] + at]
+        equal = np.full(len(open_), 8, np.int64)
+        for k in range(8):
+            equal -= (differ >> np.uint64(8 * k)) != 0
+        length[open_] = at = np.minimum(at + equal, room[open_])
+        open_ = open_[(differ == 0) & (at < room[open_]) & (at < most)]
+    return length
 
 
 def _strings(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -343,7 +371,7 @@ class _Shard:
         row = np.repeat(np.arange(len(contexts)), sizes)
         starts = np.arange(len(self.data)) - self.begin[row] <= sizes[row] - length
         order = suffix_array(self.data, length)
-        shared = common_prefixes(self.data, order)
+        shared = common_prefixes(self.data, order, length)
         group = np.cumsum(shared < length)
         keep = starts[order]
         self.place, group = order[keep], group[keep]
@@ -368,7 +396,19 @@ def _mark_contexts(length: int, shard_bytes: int):
                 blobs += [blob[a:b] for a, b in zip((ends - columns[4]).tolist(), ends.tolist())]
         if asked:
             anchor, doc, text, begin = (np.concatenate(x) for x in zip(*asked))
-            order = np.argsort(anchor, kind="stable")
+            lines: dict[tuple[int, bytes], list[tuple[int, int, int, int]]] = {}
+            for i, key in enumerate(zip(anchor.tolist(), blobs)):
+                lines.setdefault(key, []).append(i)
+            keep = []
+            for (_, context), line in lines.items():
+                if len(line) > 1:
+                    numbers = np.array(line)
+                    late = numbers[doc[numbers] > doc[numbers].min()]
+                    marks.append((doc[late], text[late], begin[late], begin[late] + len(context)))
+                    line = numbers[doc[numbers] == doc[numbers].min()].tolist()
+                keep += line
+            keep = np.array(keep)
+            order = keep[np.argsort(anchor[keep], kind="stable")]
             sizes = np.cumsum([len(blobs[i]) for i in order])
             cuts = np.unique(np.searchsorted(sizes, np.arange(0, sizes[-1] + shard_bytes, shard_bytes)))
             lots = [order[a:b] for a, b in zip(cuts, [*cuts[1:], len(order)]) if a < b]
@@ -441,7 +481,7 @@ def cut_spans(found: list[bytes], size: int) -> list[tuple[int, int]]:
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches, 2, PORTION):
         out: tuple[list, ...] = ([], [], [], [])
         for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             raw = text.encode()
