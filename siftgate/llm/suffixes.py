@@ -69,7 +69,9 @@ def anchors(data: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.ndarra
     fresh = np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]) if len(place) else []
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(place)) - 1 if len(first) else first
-    return (least[first] >> np.uint64(POSITION_BITS)).astype(np.int64), place[first], starts[first], starts[last]
+    # least hashes are small numbers: spread them over the whole range again
+    spread = (least[first] >> np.uint64(POSITION_BITS)) * np.uint64(0x9E3779B97F4A7C15) & np.uint64((1 << HASH_BITS) - 1)
+    return spread.astype(np.int64), place[first], starts[first], starts[last]
 
 
 def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
