@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from siftgate.operators import logs
 from siftgate.plans.load import load_directory, notifications
-from siftgate.sources.tables import Warehouse
+from siftgate.sources.tables import BUCKETS, Warehouse
 from siftgate.streaming.directory import watch
 
 
@@ -18,7 +18,7 @@ def main() -> None:
     parser.add_argument("directory", help="folder with the files to load")
     parser.add_argument("warehouse", help="shared folder of the tables")
     parser.add_argument("--feeds", default="siftgate.plans.feeds:MASTER", help="MODULE:NAME of a registry")
-    parser.add_argument("--buckets", type=int, help="write targets bucketed by key")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="parts of a target that are written by themselves")
     parser.add_argument("--watch", action="store_true", help="keep loading new files as they arrive")
     options = parser.parse_args()
 

@@ -16,8 +16,9 @@ from siftgate.functions.text import row_hash
 from siftgate.operators import validate
 from siftgate.operators.rows import SEQUENCE
 from siftgate.plans import load
-from siftgate.session import scratch_path
+from siftgate.session import make_directory, path_exists, qualified, scratch_path
 from siftgate.sources import discover
+from siftgate.sources.paths import file_system
 from siftgate.sources.tables import Warehouse
 from siftgate.spec import FieldSpec, Registry, SourceSpec
 from siftgate.streaming import directory
@@ -71,22 +72,27 @@ CHECKS["raw_zone"] = (
 )
 
 
+# Bytes of an archived row in the check: files lie below and above it.
+CHECK_CHUNK = 64 * 1024
+
+
 def _raw_files(spark, sf):
-    """Archives whole files, then compares each stored copy with its digest and size."""
-    folder = export_csv(spark, order_text(spark, sf), "raw")
+    """Archives plain and packed files, then compares the stored chunks with the sizes and digests noted."""
+    plain = export_csv(spark, order_text(spark, sf), "raw")
+    packed = export_csv(spark, order_text(spark, sf), "raw-gz", compression="gzip")
     archive = scratch_path(spark, "archive")
-    listed = discover.list_files(spark, folder).collect()
-    discover.archive_raw(spark, [(r.path, r.file_bytes) for r in listed], archive)
-    stored = spark.read.parquet(f"{archive}/files")
-    intact = (F.sha2("content", 256) == F.col("digest")) & (F.length("content") == F.col("file_bytes"))
-    return stored.agg(
-        F.count_if(intact).alias("intact_files"), F.sum("file_bytes").alias("total_bytes")
-    )
+    listed = discover.list_files(spark, plain).unionByName(discover.list_files(spark, packed)).collect()
+    discover.archive_raw(spark, [(r.path, r.file_bytes) for r in listed], archive, CHECK_CHUNK)
+    noted = spark.read.parquet(f"{archive}/files").select("source_filename", "file_bytes", "chunks", "digest")
+    chunks = discover.archived_chunks(spark, archive).withColumn("again", F.sha2("bytes", 256))
+    intact = discover.raw_digests(chunks, "again").join(noted, noted.columns, "left_semi")
+    plain_bytes = F.sum(F.when(F.col("source_filename").endswith(".csv"), F.col("file_bytes")))
+    return intact.agg(F.count("*").alias("intact_files"), plain_bytes.alias("total_bytes"))
 
 
 CHECKS["raw_zone_files"] = (
     _raw_files,
-    f"""SELECT CAST(8 AS BIGINT) AS intact_files, CAST(sum(strlen({ORDER_LINE}) + 1) + 8 * {len(HEADER_LINE) + 1} AS BIGINT) AS total_bytes
+    f"""SELECT CAST(16 AS BIGINT) AS intact_files, CAST(sum(strlen({ORDER_LINE}) + 1) + 8 * {len(HEADER_LINE) + 1} AS BIGINT) AS total_bytes
     FROM orders""",
 )
 
@@ -241,6 +247,42 @@ CHECKS["file_row_number"] = (
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS place FROM orders",
 )
 
+def _with_header(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    first = True
+    for frame in frames:
+        if first:
+            yield pd.DataFrame({"line": ["doc_id,text,lang"]})
+            first = False
+        yield frame
+
+
+RAGGED = SourceSpec(
+    "ragged", ("*.txt",), (FieldSpec("doc_id", "int"), FieldSpec("text"), FieldSpec("lang")), ("doc_id",)
+)
+
+
+def _ragged(spark, sf):
+    """Whole texts as quoted cells, in records of which a third has a cell too many and a third one too few."""
+    text = "concat('\"', replace(text, '\"', '\"\"'), '\"')"
+    rest = "CASE doc_id % 3 WHEN 0 THEN concat(',', lang, ',more') WHEN 1 THEN '' ELSE concat(',', lang) END"
+    lines = table(spark, sf, "documents").selectExpr(f"concat(CAST(doc_id AS STRING), ',', {text}, {rest}) AS line")
+    folder = scratch_path(spark, "ragged")
+    lines.repartition("line").mapInPandas(_with_header, "line string").write.text(folder)
+    paths = [r.path for r in spark.read.format("binaryFile").load(folder).select("path").collect()]
+    raw, _ = load.scan(spark, RAGGED, paths)
+    kinds = F.array_join(F.transform("validation_errors", lambda e: e["error_type"]), ",")
+    # a record with too many cells is judged by its shape alone
+    return load.staged(raw, RAGGED).select(
+        "doc_id", F.md5("text").alias("text_md5"), "lang", "is_valid", F.coalesce(kinds, F.lit("")).alias("kinds")
+    )
+
+
+CHECKS["csv_ragged"] = (
+    _ragged,
+    """SELECT doc_id, md5(text) AS text_md5, CASE WHEN doc_id % 3 <> 1 THEN lang END AS lang, doc_id % 3 = 2 AS is_valid,
+      CASE doc_id % 3 WHEN 0 THEN 'too_many_columns' WHEN 1 THEN 'string_type' ELSE '' END AS kinds FROM documents""",
+)
+
 # --- JSON ---------------------------------------------------------------------------------
 
 DOCUMENT_RECORDS = 5000
@@ -326,6 +368,47 @@ CHECKS["json_flatten"] = (
       CAST(o_custkey AS DOUBLE) AS parts_1_price, concat('[', o_custkey, ',', o_orderkey, ']') AS codes FROM orders""",
 )
 
+MIXED = SourceSpec(
+    "mixed",
+    ("*",),
+    (FieldSpec("id", "int"), FieldSpec("info_status"), FieldSpec("note", nullable=True)),
+    ("id",),
+    format="json",
+    array_path="",
+)
+
+
+def _json_mixed(spark, sf):
+    """Keys that differ from record to record in spelling and nesting, and one that few records have."""
+    key, status = "CAST(o_orderkey AS STRING)", "concat('\"', o_orderstatus, '\"')"
+    shapes = (
+        f"concat('{{\"Id\": ', {key}, ', \"info\": {{\"status\": ', {status}, '}}}}')",
+        f"concat('{{\"id\": ', {key}, ', \"INFO\": {{\"Status\": ', {status}, '}}, \"note\": null}}')",
+        f"concat('{{\"ID\": ', {key}, ', \"info_status\": ', {status}, ', \"Note\": \"n\"}}')",
+    )
+    # the first record of a document has all declared keys
+    choice = f"CASE WHEN o_orderkey % {DOCUMENT_RECORDS} = 0 THEN {shapes[2]} " + " ".join(
+        f"WHEN o_orderkey % 3 = {i} THEN {shape}" for i, shape in enumerate(shapes)
+    ) + " END"
+    records = table(spark, sf, "orders").selectExpr("o_orderkey", f"{choice} AS record", f"o_orderkey DIV {DOCUMENT_RECORDS} AS document")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "record"))), lambda r: r["record"])
+    body = F.concat(F.lit("["), F.array_join(listed, ", "), F.lit("]"))
+    folder = scratch_path(spark, "mixed")
+    records.groupBy("document").agg(body.alias("value")).write.partitionBy("document").text(folder)
+    paths = [r.path for r in spark.read.format("binaryFile").load(folder).select("path").collect()]
+    raw, _ = load.scan(spark, MIXED, paths)
+    kinds = F.array_join(F.transform("validation_errors", lambda e: e["error_type"]), ",")
+    return load.staged(raw, MIXED).select("id", "info_status", "note", F.coalesce(kinds, F.lit("")).alias("kinds"))
+
+
+# Only the third spelling carries a note; a record without the key is rejected, one with a null is not.
+CHECKS["json_mixed_keys"] = (
+    _json_mixed,
+    f"""SELECT o_orderkey AS id, o_orderstatus AS info_status, CASE WHEN third THEN 'n' END AS note,
+      CASE WHEN NOT third AND o_orderkey % 3 = 0 THEN 'missing' ELSE '' END AS kinds
+    FROM (SELECT *, o_orderkey % {DOCUMENT_RECORDS} = 0 OR o_orderkey % 3 = 2 AS third FROM orders) AS o""",
+)
+
 # What a JSON value must look like to pass as text, whole number, number and boolean.
 JSON_VALUES = {
     "click": "concat('\"', CAST(user_id AS STRING), '\"')",
@@ -437,19 +520,17 @@ PARTS = SourceSpec(
 
 def _excel(spark, sf):
     """Parts in workbooks of 500, each with a sheet of notes, a header and a row of units."""
-    folder = scratch_path(spark, "workbooks")
+    folder = qualified(spark, scratch_path(spark, "workbooks"))
     plain = table(spark, sf, "part").selectExpr(
         "p_partkey", "p_name", "p_retailprice", "p_size", f"CAST(p_partkey DIV {WORKBOOK_ROWS} AS BIGINT) AS book"
     )
 
     def write(group: pd.DataFrame) -> pd.DataFrame:
-        from pyarrow import fs
-
         lines = [["Price", "SKU", "Last Updated", "Product Name", "Stocked"], ["EUR", "-", "-", "-", "-"]]
         for row in group.sort_values("p_partkey").itertuples():
             lines.append([row.p_retailprice, int(row.p_partkey), 45306 + row.p_size / 64, row.p_name, int(45306 + row.p_size)])
         content = workbook({"Notes": [["not this sheet"]], "Products": lines})
-        filesystem, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+        filesystem, root = file_system(folder)
         filesystem.create_dir(root, recursive=True)
         with filesystem.open_output_stream(f"{root}/inventory_{group['book'].iloc[0]}.xlsx") as out:
             out.write(content)
@@ -489,10 +570,10 @@ DIRTY_FEED = SourceSpec(
 OLD_PRICE = "CAST(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice - 1 ELSE o_totalprice END AS DECIMAL(18, 2))"
 
 
-def _loaded(spark: SparkSession, sf: str) -> tuple[DataFrame, Warehouse]:
+def _loaded(spark: SparkSession, sf: str, kind: type[Warehouse] = Warehouse) -> tuple[DataFrame, Warehouse]:
     """Dirty orders as files, loaded over a target that knows the delivered ones already."""
     root = scratch_path(spark, "warehouse")
-    warehouse = Warehouse(spark, root)
+    warehouse = kind(spark, root)
     orders = table(spark, sf, "orders")
     known = orders.filter("o_orderstatus = 'F'").selectExpr(
         "o_orderkey AS order_key", "o_custkey AS customer", f"{OLD_PRICE} AS price", "CAST(o_orderdate AS DATE) AS order_date",
@@ -553,6 +634,43 @@ CHECKS["load_directory"] = (
 )
 
 
+class BreaksOnce(Warehouse):
+    """A warehouse whose first commit after the seed breaks, as when an executor's last try fails."""
+
+    def commit(self, *args, **options) -> int:
+        if self.version(DIRTY_FEED) == 0 and not path_exists(self.spark, f"{self.root}/broke"):
+            make_directory(self.spark, f"{self.root}/broke")
+            raise RuntimeError("broken once")
+        return super().commit(*args, **options)
+
+
+def _load_retry(spark, sf):
+    """The same load while its merge breaks once: files are taken apart, nothing is lost or kept twice."""
+    results, warehouse = _loaded(spark, sf, BreaksOnce)
+    letters = warehouse.dead_letters()
+    copies = spark.read.parquet(f"{warehouse.root}/raw/{DIRTY_FEED.table}/files")
+    log = warehouse.run_log()
+    counted = results.agg(
+        F.count_if("success").alias("successful"), F.sum("validation_errors").alias("reported"),
+        F.sum("target_inserts").alias("target_inserts"), F.sum("target_updates").alias("target_updates"),
+    )
+    each = {
+        "stored": letters.count(), "letter_files": letters.select("source_filename").distinct().count(), "copies": copies.count(),
+        "logged": log.filter("success AND ended_at IS NOT NULL").count(), "target_rows": warehouse.target(DIRTY_FEED).count(),
+    }
+    return counted.select("*", *[F.lit(v).cast("bigint").alias(n) for n, v in each.items()])
+
+
+CHECKS["load_retry"] = (
+    _load_retry,
+    f"""WITH {_DIRTY_LOAD_SQL} SELECT CAST(3 AS BIGINT) AS successful, count(*) FILTER (WHERE bad) AS reported,
+      count(*) FILTER (WHERE NOT bad AND NOT known) AS target_inserts,
+      count(*) FILTER (WHERE NOT bad AND known AND old_price <> new_price) AS target_updates,
+      count(*) FILTER (WHERE bad) AS stored, CAST(3 AS BIGINT) AS letter_files, CAST(3 AS BIGINT) AS copies, CAST(3 AS BIGINT) AS logged,
+      count(*) FILTER (WHERE known OR NOT bad) AS target_rows FROM cells""",
+)
+
+
 def _streamed(spark, sf):
     """The first files are loaded, more arrive, and a second run takes only those."""
     orders = order_text(spark, sf)

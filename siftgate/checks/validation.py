@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siftgate.checks.common import DIRTY_SQL, ORDERS_FEED, Query, checked_field, staged_orders, table
 from siftgate.functions.text import clean_email, clean_phone, excel_serial_to_date, excel_serial_to_timestamp, row_hash
+from siftgate.functions.messages import RECORD_ERRORS
 from siftgate.operators import logs, validate
 from siftgate.spec import FieldSpec
 
@@ -292,6 +293,25 @@ CHECKS["sample_errors"] = (
     WINDOW files AS (PARTITION BY source_filename ORDER BY file_row_number) QUALIFY row_number() OVER files <= 6""",
 )
 
+CHECKS["sample_error_texts"] = (
+    lambda spark, sf: validate.sample_texts(validate.sample_errors(staged_orders(spark, sf).filter(~F.col("is_valid")))),
+    f"""WITH {DIRTY_SQL}, numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY source_filename ORDER BY file_row_number) AS place FROM verdicts WHERE NOT is_valid
+    ), texts AS (
+      SELECT source_filename, place, concat('row ', file_row_number, ': [', concat_ws(', ',
+          CASE WHEN customer_error IS NOT NULL THEN concat('{{column_name: customer, column_value: ', customer,
+            ', error_type: int_parsing, error_msg: {RECORD_ERRORS["int_parsing"]}}}') END,
+          CASE price_error WHEN 'decimal_parsing' THEN '{{column_name: price, column_value: n/a, error_type: decimal_parsing, error_msg: {RECORD_ERRORS["decimal_parsing"]}}}'
+            WHEN 'greater_than_equal' THEN '{{column_name: price, column_value: -5, error_type: greater_than_equal, error_msg: input should be greater than or equal to 0}}' END,
+          CASE WHEN order_date_error IS NOT NULL THEN concat('{{column_name: order_date, column_value: ', order_date,
+            ', error_type: date_parsing, error_msg: {RECORD_ERRORS["date_parsing"]}}}') END),
+        '] record: {{', concat_ws(', ', CASE WHEN customer_error IS NOT NULL THEN concat('customer: ', customer) END,
+          CASE WHEN order_date_error IS NOT NULL THEN concat('order_date: ', order_date) END, concat('order_key: ', order_key),
+          CASE WHEN price_error IS NOT NULL THEN concat('price: ', price) END), '}}') AS line
+      FROM numbered WHERE place <= 6
+    ) SELECT source_filename, string_agg(line, '; ' ORDER BY place) AS sample_errors FROM texts GROUP BY source_filename""",
+)
+
 CHECKS["stage_counts"] = (
     lambda spark, sf: validate.file_counts(staged_orders(spark, sf)),
     f"""WITH {DIRTY_SQL}

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftgate.functions import messages
+from siftgate.session import scratch_path
 from siftgate.spec import Audit
 
+# Files whose audit texts run in one job, where they cannot run as one aggregate.
+FILES_PER_JOB = 16
+
 
 def key_groups(stage: DataFrame, grain: Sequence[str], by: Sequence[str] = ("source_filename",)) -> DataFrame:
     """Rows per key. Equal keys are combined before the shuffle, so a hot key costs one row per task."""
@@ -80,28 +86,61 @@ def audit_by_file(stage: DataFrame, files: DataFrame, audits: Sequence[Audit]) -
     return joined.select("source_filename", *values)
 
 
-def audit_sql_by_file(spark: SparkSession, stage: DataFrame, files: DataFrame, template: str) -> DataFrame:
+def audit_sql_by_file(
+    spark: SparkSession, stage: DataFrame, files: DataFrame, template: str, work: str | None = None
+) -> DataFrame:
     """A user's one-row audit text, where ``{table}`` stands for the file's staged rows.
 
     The text becomes a lateral subquery over the file list, which Spark turns into one
-    grouped aggregate for all files. Texts Spark cannot turn that way run once per file.
+    grouped aggregate for all files. For texts that Spark cannot turn that way the rows are laid out by
+    file in the ``work`` folder, and the text runs over one file's folder at a time, a few files to a job.
     """
-    stage.createOrReplaceTempView("siftgate_stage")
-    files.select(F.col("source_filename").alias("audited_file")).createOrReplaceTempView("siftgate_files")
-    rows = "(SELECT * FROM siftgate_stage WHERE source_filename = audited_file)"
     text = template.strip().rstrip(";")
+    rows, names = _view("stage"), _view("files")
+    stage.createOrReplaceTempView(rows)
+    files.select(F.col("source_filename").alias("audited_file")).createOrReplaceTempView(names)
+    mine = f"(SELECT * FROM {rows} WHERE source_filename = audited_file)"
     try:
         return spark.sql(
-            "SELECT audited_file AS source_filename, audit.* FROM siftgate_files, "
-            f"LATERAL ({text.replace('{table}', rows)}) AS audit"
+            f"SELECT audited_file AS source_filename, audit.* FROM {names}, LATERAL ({text.replace('{table}', mine)}) AS audit"
         )
     except AnalysisException:
-        parts = []
-        for row in files.select("source_filename").distinct().toLocalIterator():
-            stage.filter(F.col("source_filename") == row[0]).createOrReplaceTempView("siftgate_one_file")
-            one = spark.sql(text.replace("{table}", "siftgate_one_file"))
-            parts.append(one.select(F.lit(row[0]).alias("source_filename"), "*"))
-        return reduce(DataFrame.unionByName, parts)
+        return _audit_laid_out(spark, stage, files, text, work or scratch_path(spark, "audit"))
+    finally:
+        spark.catalog.dropTempView(rows)
+        spark.catalog.dropTempView(names)
+
+
+def _view(label: str) -> str:
+    """A view name of its own, so that loads in one session do not meet."""
+    return f"siftgate_{label}_{uuid.uuid4().hex}"
+
+
+def _audit_laid_out(spark: SparkSession, stage: DataFrame, files: DataFrame, text: str, work: str) -> DataFrame:
+    by_file = stage.withColumn("audited_file", F.col("source_filename"))
+    # rows of one file lie together; a large file is still written by several tasks
+    by_file.hint("rebalance", F.col("audited_file")).write.partitionBy("audited_file").parquet(f"{work}/by_file")
+    laid = spark.read.schema(by_file.schema).parquet(f"{work}/by_file")
+    results: list[Row] = []
+    schema = None
+    batch: list[DataFrame] = []
+
+    def run() -> None:
+        if batch:
+            results.extend(reduce(DataFrame.unionByName, batch).collect())  # one row per file
+            batch.clear()
+
+    for row in files.select("source_filename").distinct().toLocalIterator():
+        view = _view("one_file")
+        laid.filter(F.col("audited_file") == row[0]).drop("audited_file").createOrReplaceTempView(view)
+        one = spark.sql(text.replace("{table}", view)).select(F.lit(row[0]).alias("source_filename"), "*")
+        spark.catalog.dropTempView(view)
+        schema = schema or one.schema
+        batch.append(one)
+        if len(batch) == FILES_PER_JOB:
+            run()
+    run()
+    return spark.createDataFrame(results, T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
 
 
 def failed_audits(results: DataFrame, table: str) -> DataFrame:

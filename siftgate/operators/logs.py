@@ -28,9 +28,13 @@ RUN_LOG = T.StructType(
     ]
     + [T.StructField("ended_at", T.TimestampType())]
     + [T.StructField(name, T.LongType()) for name in COUNTERS]
-    + [T.StructField("success", T.BooleanType()), T.StructField("error_type", T.StringType())]
+    + [T.StructField(n, k) for n, k in (("success", T.BooleanType()), ("error_type", T.StringType()), ("table_name", T.StringType()))]
 )
 
+# The log is kept as events; a later number says what is known now.
+EVENT_NUMBER = "event_number"
+RUN_EVENTS = T.StructType([*RUN_LOG.fields, T.StructField(EVENT_NUMBER, T.LongType())])
+
 DEAD_LETTERS = T.StructType(
     [
         T.StructField("source_filename", T.StringType()),

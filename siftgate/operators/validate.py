@@ -19,7 +19,7 @@ from siftgate.functions.coerce import (
     typed_value,
 )
 from siftgate.functions.messages import THRESHOLD_EXCEEDED, TOO_MANY_ERRORS
-from siftgate.functions.text import row_hash, truncate
+from siftgate.functions.text import row_hash
 from siftgate.spec import FieldSpec, SourceSpec
 
 ERROR_FIELDS = ("column_name", "column_value", "error_type", "error_msg")
@@ -125,6 +125,13 @@ def errors_text(errors: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(errors, one), ", "), F.lit("]"))
 
 
+def record_text(record: Column) -> Column:
+    """The rejected cells in one line, by column name: ``{column: value, ..}``."""
+    entries = F.array_sort(F.map_entries(record))
+    parts = F.transform(entries, lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("null"))))
+    return F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}"))
+
+
 def file_counts(stage: DataFrame, by: str = "source_filename") -> DataFrame:
     """Processed, rejected and good rows per file: one aggregate with map-side combine."""
     return stage.groupBy(by).agg(
@@ -171,9 +178,14 @@ def sample_errors(
 
 
 def sample_texts(samples: DataFrame, by: str = "source_filename") -> DataFrame:
-    """At most ``count`` samples per file as one text, for failure messages."""
+    """The samples of a file as one text, for failure messages: row number, errors, record."""
     line = F.concat(
-        F.lit("row "), F.col("file_row_number"), F.lit(": "), truncate(errors_text(F.col("validation_errors")), 500)
+        F.lit("row "),
+        F.col("file_row_number"),
+        F.lit(": "),
+        errors_text(F.col("validation_errors")),
+        F.lit(" record: "),
+        record_text(F.col("file_record_data")),
     )
     ordered = F.array_sort(F.collect_list(F.struct("sample", line.alias("line"))))
     return samples.groupBy(by).agg(

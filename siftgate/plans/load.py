@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -24,7 +24,7 @@ from siftgate.session import BROADCAST_ROWS, remove_path, short_methods
 from siftgate.sources import discover, headers
 from siftgate.sources.csv_source import SHAPE, read_csv
 from siftgate.sources.excel_source import excel_headers, read_excel, stage_cells
-from siftgate.sources.json_source import json_headers, read_json
+from siftgate.sources.json_source import json_headers, read_json, stage_records
 from siftgate.sources.tables import Warehouse
 from siftgate.spec import Registry, SourceSpec
 
@@ -34,8 +34,8 @@ log = logging.getLogger(__name__)
 SPLIT_BYTES = 128 * 1024 * 1024
 GZIP_RATIO = 5
 
-# Below this many staged rows the merge avoids shuffling the target (see merge_small_stage).
-SMALL_STAGE_ROWS = 50_000
+# How a run ended that nobody saw end, and one whose rows were taken out again.
+INTERRUPTED, BACKED_OUT = "Interrupted", "Backed Out"
 
 RESULTS = T.StructType(
     [
@@ -68,6 +68,7 @@ def load_files(
     listed = discover.route(files, registry.sources).orderBy("source_filename").collect()
     if not listed:
         log.warning("No files found")
+    _close_interrupted(spark, registry, warehouse)
     run_id = warehouse.next_run_id()
     runs: list[dict] = []
     by_table: dict[str, list[dict]] = defaultdict(list)
@@ -82,12 +83,58 @@ def load_files(
             run |= {"success": False, "ended_at": _now()}
         else:
             by_table[file.table_name].append(run)
+    if runs:
+        _write_log(spark, warehouse, runs)
     for table, members in by_table.items():
-        _load_isolated(spark, registry.by_table(table), members, warehouse, archive)
-    warehouse.append_run_log(spark.createDataFrame([_as_row(r, logs.RUN_LOG) for r in runs], logs.RUN_LOG))
+        _load_table(spark, registry.by_table(table), members, warehouse, archive)
+        _write_log(spark, warehouse, members)
     return spark.createDataFrame([_as_row(r, RESULTS) for r in runs], RESULTS)
 
 
+def _write_log(spark: SparkSession, warehouse: Warehouse, runs: Sequence[dict]) -> None:
+    """What is known of the runs now. Written twice or not at all it does no harm, so it is tried again."""
+    rows = spark.createDataFrame([_as_row(r, logs.RUN_LOG) for r in runs], logs.RUN_LOG)
+    _twice(spark, lambda: warehouse.append_run_log(rows), "The run log could not be written at first")
+
+
+def _twice(spark: SparkSession, action: Callable[[], object], warning: str) -> None:
+    try:
+        action()
+    except Exception as error:
+        if _is_fatal(spark, error):
+            raise
+        log.warning(warning, exc_info=True)
+        action()
+
+
+def _is_fatal(spark: SparkSession, error: Exception) -> bool:
+    """Errors that no file is to blame for, and that would only come again."""
+    return spark._jsc.sc().isStopped() or "No space left on device" in str(error)
+
+
+def _close_interrupted(spark: SparkSession, registry: Registry, warehouse: Warehouse) -> None:
+    """Ends the runs that an earlier load left open: published ones by their rows, the others as interrupted."""
+    left = warehouse.run_log().filter("ended_at IS NULL").collect()
+    by_table: dict[str, list[Row]] = defaultdict(list)
+    for row in left:
+        by_table[row.table_name].append(row)
+    known = {s.table: s for s in registry.sources}
+    closed = []
+    for table, rows in by_table.items():
+        published: set[int] = set()
+        if table in known:
+            ids = F.col("file_load_log_id")
+            found = warehouse.target(known[table]).filter(ids.isin([r.id for r in rows])).select(ids).distinct()
+            published = {r[0] for r in found.collect()}
+        for row in rows:
+            done = row.id in published
+            closed.append({"id": row.id, "success": done, "ended_at": _now(), "error_type": None if done else INTERRUPTED})
+            if not done:
+                warehouse.drop_dead_letters([row.id])
+    if closed:
+        _write_log(spark, warehouse, closed)
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -96,16 +143,55 @@ def _as_row(run: dict, schema: T.StructType) -> tuple:
     return tuple(run.get(name) for name in schema.names)
 
 
+def _load_table(spark: SparkSession, source: SourceSpec, runs: list[dict], warehouse: Warehouse, archive: bool) -> None:
+    """Leaves out files loaded before, then loads the others."""
+    files = _files_frame(spark, runs)
+    done = warehouse.run_log().filter("success").select("source_filename").distinct()
+    names = [r["source_filename"] for r in runs]
+    known = {r.source_filename for r in files.join(done, "source_filename", "left_semi").select("source_filename").collect()}
+    asked = [r for r in runs if r["source_filename"] not in known]
+    if asked:
+        # rows that came without a log
+        found = discover.already_loaded(_files_frame(spark, asked), warehouse.target(source), [n for n in names if n not in known])
+        known |= {r.source_filename for r in found.collect()}
+    fresh = []
+    for run in runs:
+        if run["source_filename"] in known:
+            run |= {
+                "duplicate_skipped": True,
+                "ended_at": _now(),
+                "error_type": DUPLICATE_FILE,
+                "error_message": ALREADY_LOADED % (run["source_filename"], source.table),
+            }
+        else:
+            fresh.append(run)
+    if fresh:
+        _load_isolated(spark, source, fresh, warehouse, archive)
+
+
 def _load_isolated(
     spark: SparkSession, source: SourceSpec, runs: list[dict], warehouse: Warehouse, archive: bool
 ) -> None:
     """Loads the files together; if a job breaks, halves the list until the bad file stands alone.
 
-    Nothing is published before the last step, so a broken attempt is simply repeated.
+    An attempt starts from what the runs were before it, and takes back the dead letters it wrote. Only the
+    archive copy is kept. Once the target has a new version the attempt is over: its files are published.
     """
+    before = warehouse.version(source)
+    states = [dict(r) for r in runs]
     try:
-        _load_source(spark, source, runs, warehouse, archive)
+        _attempt(spark, source, runs, warehouse, archive)
     except Exception as error:
+        if _is_fatal(spark, error):
+            raise
+        if warehouse.version(source) > before:
+            log.warning("After the commit of %s", source.table, exc_info=True)
+            _published(spark, source, [r for r in runs if r.get("publishing")], warehouse)
+            return
+        for run, state in zip(runs, states):
+            copied = {k: v for k, v in run.items() if k.startswith("archive")}
+            run.clear()
+            run.update(state | copied)
         warehouse.drop_dead_letters([r["id"] for r in runs])
         if len(runs) > 1:
             middle = len(runs) // 2
@@ -114,12 +200,22 @@ def _load_isolated(
             return
         log.exception("Load failed: %s", runs[0]["source_filename"])
         message = str(error).split("\n\nJVM stacktrace")[0]
-        runs[0] |= {
-            "success": False,
-            "error_type": type(error).__name__,
-            "error_message": message,
-            "ended_at": _now(),
-        }
+        runs[0] |= {"success": False, "error_type": type(error).__name__, "error_message": message}
+    finally:
+        for run in runs:
+            run.setdefault("ended_at", _now())
+
+
+def _published(spark: SparkSession, source: SourceSpec, runs: list[dict], warehouse: Warehouse) -> None:
+    """What follows a commit; it can be repeated, and no longer undoes it."""
+    for run in runs:
+        run["success"] = True
+    try:
+        _twice(spark, lambda: _clear_old_rejects(source, runs, warehouse), "Dead letters of earlier runs are cleared again")
+    except Exception as error:
+        if _is_fatal(spark, error):
+            raise
+        log.exception("Dead letters of earlier runs stay")
 
 
 def _fail(run: dict, row: Row) -> None:
@@ -145,29 +241,36 @@ def scan(
 ) -> tuple[DataFrame | None, list[Row]]:
     """Raw records of the files with a usable header, and the header verdict of every file.
 
-    ``work`` is a folder for what workbooks are unpacked to. Files are scanned together per distinct header, because cells bind by position.
+    ``work`` is a folder for what workbooks and documents are unpacked to. CSV files and sheets are scanned
+    together per distinct header, because cells bind by position; JSON files in one scan.
     """
     if source.reader is not None:
         return source.reader(spark, list(paths), source), []
-    cells = None
+    cells = records = None
     if source.format == "csv":
         found = headers.csv_headers(spark, paths, source)
     elif source.format == "json":
-        found = json_headers(spark, paths, source)
+        records = stage_records(spark, paths, source, work)
+        found = json_headers(records)
     else:
         cells = stage_cells(spark, paths, source, work)
         found = excel_headers(cells)
     verdicts = headers.check_headers(found, source, spreadsheet=source.format == "excel").collect()
+    bad = [(v.path,) for v in verdicts if v.error_type is not None]
+    if source.format == "json":
+        if len(bad) == len(verdicts):
+            return None, verdicts
+        if bad:
+            records = records.join(spark.createDataFrame(bad, "path string"), "path", "left_anti")
+        return read_json(records, source), verdicts
     alike: dict[tuple, list[str]] = defaultdict(list)
     for v in verdicts:
         if v.error_type is None:
-            alike[(tuple(v.header), tuple(v.places) if source.format == "json" else ())].append(v.path)
+            alike[tuple(v.header)].append(v.path)
     frames = []
-    for (header, places), members in alike.items():
+    for header, members in alike.items():
         if source.format == "csv":
             frames.append(read_csv(spark, members, source, header))
-        elif source.format == "json":
-            frames.append(read_json(spark, members, source, dict(zip(header, places))))
         else:
             mine = cells if len(alike) == 1 else cells.filter(F.col("path").isin(members))
             frames.append(read_excel(mine, source, header))
@@ -217,40 +320,24 @@ def spread(raw: DataFrame, source: SourceSpec, runs: Sequence[dict]) -> DataFram
     return raw.repartition(parts) if parts > len(runs) else raw
 
 
-def _load_source(
-    spark: SparkSession, source: SourceSpec, runs: list[dict], warehouse: Warehouse, archive: bool
+def _attempt(
+    spark: SparkSession, source: SourceSpec, fresh: list[dict], warehouse: Warehouse, archive: bool
 ) -> None:
     now = _now()
-    files = _files_frame(spark, runs)
-    target = warehouse.target(source)
-    names = [r["source_filename"] for r in runs]
-    known = {r.source_filename for r in discover.already_loaded(files, target, names).collect()}
-    fresh = []
-    for run in runs:
-        if run["source_filename"] in known:
-            run |= {
-                "duplicate_skipped": True,
-                "error_type": DUPLICATE_FILE,
-                "error_message": ALREADY_LOADED % (run["source_filename"], source.table),
-            }
-        else:
-            fresh.append(run)
-    if not fresh:
-        return
-    if archive:
+    copied = [r for r in fresh if not r.get("archived")]
+    if archive and copied:
         started = _now()
-        raw_zone = f"{warehouse.root}/raw/{source.table}"
-        discover.archive_raw(spark, [(r["path"], r["file_bytes"]) for r in fresh], raw_zone)
-        _phase(fresh, "archive_copy", started)
+        discover.archive_raw(spark, [(r["path"], r["file_bytes"]) for r in copied], f"{warehouse.root}/raw/{source.table}")
+        _phase(copied, "archive_copy", started)
+        for run in copied:
+            run["archived"] = True
 
     started = _now()
     stage_path = f"{warehouse.root}/stage/{source.table}-{uuid.uuid4().hex}"
     try:
-        _check_and_publish(spark, source, fresh, warehouse, target, stage_path, now, started)
+        _check_and_publish(spark, source, fresh, warehouse, stage_path, now, started)
     finally:
         remove_path(spark, stage_path)
-        for run in fresh:
-            run["ended_at"] = _now()
 
 
 def _check_and_publish(
@@ -258,7 +345,6 @@ def _check_and_publish(
     source: SourceSpec,
     fresh: list[dict],
     warehouse: Warehouse,
-    target: DataFrame,
     stage_path: str,
     now: datetime,
     started: datetime,
@@ -275,7 +361,7 @@ def _check_and_publish(
                 run |= {"success": False, "error_type": "ValueError", "error_message": NO_DATA % name}
     open_runs = [r for r in fresh if r.get("success") is None]
     if raw is not None and open_runs:
-        _stage_and_publish(spark, source, raw, open_runs, warehouse, target, stage_path, now, started)
+        _stage_and_publish(spark, source, raw, open_runs, warehouse, stage_path, now, started)
 
 
 def _phase(runs: Sequence[dict], name: str, started: datetime, success: bool | None = True) -> None:
@@ -292,7 +378,6 @@ def _stage_and_publish(
     raw: DataFrame,
     runs: list[dict],
     warehouse: Warehouse,
-    target: DataFrame,
     stage_path: str,
     now: datetime,
     started: datetime,
@@ -328,18 +413,16 @@ def _stage_and_publish(
 
     started = _now()
     passed = [r for r in runs if r.get("success") is None]
-    _audit(spark, source, stage, passed)
+    _audit(spark, source, stage, passed, stage_path)
     _phase([r for r in passed if r.get("success") is None], "audit", started)
     _phase([r for r in passed if r.get("success") is False], "audit", started, False)
 
     passed = [r for r in passed if r.get("success") is None]
     if passed:
         started = _now()
-        _publish(spark, source, stage, passed, warehouse, target, now)
+        _publish(spark, source, stage, passed, warehouse, stage_path, now)
         _phase(passed, "merge", started)
-        _clear_old_rejects(source, passed, warehouse)
-        for run in passed:
-            run["success"] = True
+        _published(spark, source, passed, warehouse)
 
 
 def _publish_rejected(
@@ -361,7 +444,7 @@ def _publish_rejected(
             by_name[row.source_filename]["error_message"] += f" Sample validation errors: {row.sample_errors}"
 
 
-def _audit(spark: SparkSession, source: SourceSpec, stage: DataFrame, runs: list[dict]) -> None:
+def _audit(spark: SparkSession, source: SourceSpec, stage: DataFrame, runs: list[dict], work: str) -> None:
     """Key uniqueness first, then the declared audits for the files whose keys are unique."""
     if not runs:
         return
@@ -383,7 +466,7 @@ def _audit(spark: SparkSession, source: SourceSpec, stage: DataFrame, runs: list
     names = _files_frame(spark, left)
     results = []
     if source.audit_sql:
-        results.append(audit.audit_sql_by_file(spark, merge.passed_only(stage, names), names, source.audit_sql))
+        results.append(audit.audit_sql_by_file(spark, merge.passed_only(stage, names), names, source.audit_sql, work))
     if source.audits:
         results.append(audit.audit_by_file(merge.passed_only(stage, names), names, source.audits))
     for frame in results:
@@ -397,28 +480,17 @@ def _publish(
     stage: DataFrame,
     runs: list[dict],
     warehouse: Warehouse,
-    target: DataFrame,
+    work: str,
     now: datetime,
 ) -> None:
     good = merge.passed_only(stage, _files_frame(spark, runs))
     if len(runs) > 1:
         latest = [F.desc("modified_at"), F.desc("source_filename"), F.desc(BLOCK), F.desc(SEQUENCE)]
         good = merge.latest_per_key(good, source.grain, latest)
-    good = good.select(*merge.stage_columns(source.field_names))
-    staged_rows = sum(r["records_stage_loaded"] for r in runs)
-    # a bucketed target is not shuffled anyway, and the full join keeps one file per bucket
-    small = staged_rows <= SMALL_STAGE_ROWS and not warehouse.buckets
-    upsert = merge.merge_small_stage if small else merge.merge_frames
-    warehouse.commit(source, upsert(target, good, source.grain, F.lit(now)))
-    ids = [r["id"] for r in runs]
-    written = warehouse.target(source).filter(F.col("file_load_log_id").between(min(ids), max(ids)))
-    counts = written.groupBy("file_load_log_id").agg(
-        F.count_if(F.col("etl_updated_at").isNull()).alias("target_inserts"),
-        F.count_if(F.col("etl_updated_at").isNotNull()).alias("target_updates"),
-    )
     by_id = {r["id"]: r for r in runs}
     for run in runs:
-        run |= {"target_inserts": 0, "target_updates": 0}
+        run |= {"publishing": True, "target_inserts": 0, "target_updates": 0}
+    counts = warehouse.upsert(source, good.select(*merge.stage_columns(source.field_names)), F.lit(now), work)
     for row in counts.collect():
         by_id[row.file_load_log_id] |= {c: row[c] for c in ("target_inserts", "target_updates")}
 
@@ -447,5 +519,10 @@ def notifications(results: DataFrame, registry: Registry) -> DataFrame:
 
 
 def back_out(warehouse: Warehouse, source: SourceSpec, source_filename: str) -> int:
-    """Removes the rows a file last wrote, so that it can be loaded again."""
-    return warehouse.commit(source, merge.without_file(warehouse.target(source), source_filename))
+    """Removes the rows a file last wrote, and notes it, so that the file can be loaded again."""
+    version = warehouse.remove_file(source, source_filename)
+    runs = warehouse.run_log().filter((F.col("source_filename") == source_filename) & F.col("success")).collect()
+    noted = [{"id": r.id, "success": False, "error_type": BACKED_OUT} for r in runs]
+    if noted:
+        _write_log(warehouse.spark, warehouse, noted)
+    return version

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +73,26 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath()) for s in (fs.globStatus(jpath) or [])]
 
 
+def glob_files(spark: SparkSession, pattern: str) -> list[tuple[str, int, datetime]]:
+    """Path, size and time of the files a pattern names."""
+    jpath, fs = _hadoop(spark, pattern)
+    return [
+        (str(s.getPath()), s.getLen(), datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc))
+        for s in (fs.globStatus(jpath) or [])
+        if s.isFile()
+    ]
+
+
+def escaped(path: str) -> str:
+    """A path as a pattern that names just it."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def make_directory(spark: SparkSession, path: str) -> None:
+    jpath, fs = _hadoop(spark, path)
+    fs.mkdirs(jpath)
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     jpath, fs = _hadoop(spark, path)
     return fs.delete(jpath, True)

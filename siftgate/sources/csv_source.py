@@ -19,9 +19,14 @@ SHAPE = "shape_error"
 
 
 def _cell_count(record: Column, delimiter: str) -> Column:
-    """Cells of a record, from its text: quoted cells are emptied, then delimiters counted."""
+    """Cells of a record, from its text: quoted cells are emptied, then delimiters counted.
+
+    Doubled quotes go first. They stand inside quoted cells, or are empty ones, and without them a quoted
+    cell reaches to the next quote; a pattern that repeats a group would recurse once per character.
+    """
     mark = re.escape(delimiter)
-    bare = F.regexp_replace(record, f'(^|{mark})"(?:[^"]|"")*"', "$1")
+    single = F.replace(record, F.lit('""'), F.lit(""))
+    bare = F.regexp_replace(single, f'(^|{mark})"[^"]*+"', "$1")
     return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
 
 

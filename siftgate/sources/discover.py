@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import hashlib
+import logging
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftgate.functions.messages import AMBIGUOUS_SOURCE
-from siftgate.session import is_directory, path_exists, qualified
+from siftgate.session import escaped, glob_files, is_directory, path_exists, qualified
 from siftgate.sources.paths import can_open, file_name, file_system, literal_paths, scanned_name
 from siftgate.spec import SourceSpec
 
+log = logging.getLogger(__name__)
+
 # What the loader takes, compound endings first.
 EXTENSIONS = {
     ".csv.gz": "csv",
@@ -26,20 +33,19 @@ EXTENSIONS = {
 # Up to so many file names are pushed into the target scan as a list.
 FEW_NAMES = 1000
 
-# Files up to this size are archived whole; larger texts line by line, so that no row is huge.
-WHOLE_FILE_BYTES = 16 * 1024 * 1024
-TEXT_ENDINGS = (".csv", ".json", ".csv.gz", ".json.gz")
+# Bytes of a file in one archived row.
+CHUNK_BYTES = 8 * 1024 * 1024
 
-# Few large rows: sizes are checked after every row, not after the usual hundred.
+# Few large rows: sizes are checked after every row, not after the usual hundred. Bytes stay as they are.
 LARGE_ROWS = {
     "parquet.page.size.row.check.min": 1,
     "parquet.page.size.row.check.max": 1,
     "parquet.block.size.row.check.min": 1,
     "parquet.block.size.row.check.max": 1,
     "parquet.enable.dictionary": "false",
+    "compression": "uncompressed",
 }
 
-
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
     """Files directly in a directory: path, name, size, time. Contents are not read."""
     if not path_exists(spark, directory):
@@ -47,23 +53,36 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     if not is_directory(spark, directory):
         raise ValueError(f"Path is not a directory: {directory}")
     listed = spark.read.format("binaryFile").load(*literal_paths([directory]))
-    columns = ["path", "length", "modificationTime"]
-    # scans leave out files of length zero, but those must be reported as having no header
-    empty = spark.createDataFrame(
-        empty_files(spark, directory), "path string, length long, modificationTime timestamp"
-    )
-    return describe_files(listed.select(*columns).unionByName(empty))
+    unscanned = spark.createDataFrame(unscanned_files(spark, directory), "path string, length long, modificationTime timestamp")
+    return describe_files(listed.select("path", "length", "modificationTime").unionByName(unscanned))
 
 
-def empty_files(spark: SparkSession, directory: str) -> list[tuple[str, int, datetime]]:
-    """Path, size and time of the files of length zero directly in a directory."""
-    full = qualified(spark, directory)
-    if not can_open([full]):
-        return []
-    filesystem, name = file_system(full)
-    scheme = full[: len(full) - len(name)] if full.endswith(name) else full.split("/", 1)[0]
-    listed = filesystem.get_file_info(fs.FileSelector(name))
-    return [(scheme + f.path, 0, f.mtime) for f in listed if f.is_file and f.size == 0]
+def unscanned_files(spark: SparkSession, directory: str) -> list[tuple[str, int, datetime]]:
+    """Path, size and time of the files directly in a directory that a scan passes over.
+
+    Those are files of length zero and names that start with ``_``; both must be reported.
+    """
+    full = qualified(spark, directory).rstrip("/")
+    found = {s[0]: s for s in glob_files(spark, f"{escaped(full)}/_*")}
+    found |= {s[0]: s for s in _empty_files(spark, full)}
+    return list(found.values())
+
+
+def _empty_files(spark: SparkSession, full: str) -> list[tuple[str, int, datetime]]:
+    if can_open([full]):
+        try:
+            filesystem, name = file_system(full)
+            scheme = full[: len(full) - len(name)] if full.endswith(name) else full.split("/", 1)[0]
+            listed = filesystem.get_file_info(fs.FileSelector(name))
+            empty = [(scheme + f.path, 0, f.mtime) for f in listed if f.is_file and f.size == 0]
+            return [e for e in empty if not e[0].rsplit("/", 1)[-1].startswith(".")]
+        except Exception:
+            log.warning("%s is listed by Spark", full, exc_info=True)
+    # a file that the index has and the scan has not is empty
+    scan = spark.read.format("binaryFile").load(*literal_paths([full]))
+    indexed = spark.createDataFrame([(unquote(p),) for p in scan.inputFiles()], "path string")
+    missed = indexed.join(scan.select("path"), "path", "left_anti").collect()
+    return [s for row in missed for s in glob_files(spark, escaped(row.path))]
 
 
 def describe_files(files: DataFrame) -> DataFrame:
@@ -107,6 +126,7 @@ def route(files: DataFrame, sources: Iterable[SourceSpec]) -> DataFrame:
     only = F.when(F.size("matches") == 1, F.col("matches")[0])
     several = F.size("matches") > 1
     misfit = ~reader_of[only].isin("any") & (reader_of[only] != F.col("file_format"))
+    hidden = (F.size("matches") == 1) & F.col("source_filename").startswith("_")
     message = F.when(
         several,
         F.concat(
@@ -118,7 +138,7 @@ def route(files: DataFrame, sources: Iterable[SourceSpec]) -> DataFrame:
     ).when(
         misfit,
         F.concat(F.lit("No "), reader_of[only], F.lit(" reader for file '"), F.col("source_filename"), F.lit("'")),
-    )
+    ).when(hidden, F.concat(F.lit("Spark reads no names that start with _: '"), F.col("source_filename"), F.lit("'")))
     return matched.select(
         *files.columns,
         only.alias("table_name"),
@@ -144,31 +164,81 @@ def not_loaded(files: DataFrame, target: DataFrame) -> DataFrame:
     return files.join(names, "source_filename", "left_anti")
 
 
-def archive_raw(spark: SparkSession, files: Sequence[tuple[str, int]], destination: str) -> None:
+def archive_raw(
+    spark: SparkSession, files: Sequence[tuple[str, int]], destination: str, chunk_bytes: int = CHUNK_BYTES
+) -> None:
     """Copies files, given as (path, bytes), into the raw zone before anything else happens.
 
-    Small files and workbooks become one row with their bytes and digest. Large texts become
-    one row per line in file order, read split by split; only ``\\n`` ends a line.
+    Every file, whatever its size and kind, is kept byte by byte: rows ``copy_id, source_filename, file_offset,
+    bytes, chunk_digest`` below ``chunks``, written by the executors, and then one row per file below ``files``
+    with its size and the digest of its chunks' digests. A copy is there once its ``files`` row is.
     """
-    large = [p for p, size in files if size > WHOLE_FILE_BYTES and p.lower().endswith(TEXT_ENDINGS)]
-    lined = set(large)
-    small = [p for p, _ in files if p not in lined]
-    if small:
-        raw_files(spark, small).write.mode("append").options(**LARGE_ROWS).parquet(f"{destination}/files")
-    if large:
-        raw_lines(spark, large).write.mode("append").parquet(f"{destination}/lines")
-
-
-def raw_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    whole = spark.read.format("binaryFile").load(literal_paths(paths))
-    return whole.select(
-        file_name("path").alias("source_filename"),
-        F.col("length").alias("file_bytes"),
-        F.sha2("content", 256).alias("digest"),
-        "content",
+    copy_id = uuid.uuid4().hex
+    target = f"{destination}/chunks/copy_id={copy_id}"
+    try:
+        if not can_open([p for p, _ in files]):
+            raise OSError("not a scheme that Python opens")
+        _opened_chunks(spark, files, chunk_bytes).write.options(**LARGE_ROWS).parquet(target)
+    except Exception as error:
+        log.info("Raw files are copied by Spark: %s", error)
+        _scanned_chunks(spark, files, chunk_bytes).write.mode("overwrite").options(**LARGE_ROWS).parquet(target)
+    chunks = spark.read.schema(CHUNK).parquet(target)
+    digests = raw_digests(chunks, "chunk_digest").withColumn("copy_id", F.lit(copy_id))
+    digests.coalesce(1).write.mode("append").parquet(f"{destination}/files")
+
+
+CHUNK = "source_filename string, file_offset long, bytes binary, chunk_digest string"
+
+
+def _opened_chunks(spark: SparkSession, files: Sequence[tuple[str, int]], chunk_bytes: int) -> DataFrame:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                filesystem, name = file_system(row["path"])
+                with filesystem.open_input_file(name) as source:
+                    content = source.read_at(chunk_bytes, row["file_offset"]) if row["file_bytes"] else b""
+                values = [row["source_filename"], row["file_offset"], content, hashlib.sha256(content).hexdigest()]
+                kinds = [pa.string(), pa.int64(), pa.binary(), pa.string()]
+                columns = [pa.array([v], k) for v, k in zip(values, kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=["source_filename", "file_offset", "bytes", "chunk_digest"])
+
+    listed = spark.createDataFrame(list(files), "path string, file_bytes long")
+    places = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("file_bytes") - 1, F.lit(0)), F.lit(chunk_bytes).cast("long"))
+    pieces = listed.select("path", "file_bytes", file_name("path").alias("source_filename"), F.explode(places).alias("file_offset"))
+    count = sum(max(1, -(-size // chunk_bytes)) for _, size in files)
+    parts = min(count, 4 * spark.sparkContext.defaultParallelism)
+    return pieces.repartition(parts, "path", "file_offset").mapInArrow(read, CHUNK)
+
+
+def _scanned_chunks(spark: SparkSession, files: Sequence[tuple[str, int]], chunk_bytes: int) -> DataFrame:
+    """The same where only Spark can read: a file is one value there until it is cut."""
+    scanned = spark.read.format("binaryFile").load(literal_paths([p for p, size in files if size]))
+    places = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(chunk_bytes).cast("long"))
+    pieces = scanned.select(file_name("path").alias("source_filename"), "content", F.explode(places).alias("file_offset"))
+    part = F.expr(f"substring(content, CAST(file_offset + 1 AS INT), {chunk_bytes})")
+    cut = pieces.select("source_filename", "file_offset", part.alias("bytes"))
+    empty = spark.createDataFrame([(p.rsplit("/", 1)[-1], 0, b"") for p, size in files if not size], "source_filename string, file_offset long, bytes binary")
+    return cut.unionByName(empty).withColumn("chunk_digest", F.sha2("bytes", 256))
+
+
+def raw_digests(chunks: DataFrame, digest: str) -> DataFrame:
+    """``source_filename, file_bytes, chunks, digest`` per file; offsets and digests of one file fit into a row."""
+    listed = F.array_sort(F.collect_list(F.struct("file_offset", F.col(digest).alias("digest"))))
+    joined = F.array_join(F.transform(listed, lambda c: c["digest"]), "")
+    return chunks.groupBy("source_filename").agg(
+        F.sum(F.length("bytes")).cast("long").alias("file_bytes"),
+        F.count("*").alias("chunks"),
+        F.sha2(joined.cast("binary"), 256).alias("digest"),
     )
 
 
+def archived_chunks(spark: SparkSession, destination: str) -> DataFrame:
+    """Chunks of all complete copies; a file is its chunks in the order of their offsets."""
+    chunks = spark.read.schema(f"{CHUNK}, copy_id string").parquet(f"{destination}/chunks")
+    copies = spark.read.parquet(f"{destination}/files").select("copy_id", "source_filename")
+    return chunks.join(copies, ["copy_id", "source_filename"])
+
+
 def raw_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return (
         spark.read.option("lineSep", "\n")

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import csv
 import io
+import logging
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftgate.functions import messages
 from siftgate.sources.paths import can_open, charset, file_name, file_system, literal_paths, scanned_path
 from siftgate.spec import SourceSpec
 
-# Up to so many headers are read without starting a job.
-FEW_FILES = 32
+log = logging.getLogger(__name__)
+
 SCHEMA = "path string, header array<string>"
 
+# Lines of a file that a header record may reach over, where the file is found by a scan only.
+HEADER_LINES = 1000
+
 
 def open_text(path: str, encoding: str) -> io.TextIOWrapper:
     """A file of any openable scheme as text, read in small pieces; gzip by its ending."""
@@ -28,47 +32,57 @@ def open_text(path: str, encoding: str) -> io.TextIOWrapper:
 
 
 def read_heads(spark: SparkSession, paths: Sequence[str], read: Callable[[str], tuple], schema: str) -> DataFrame:
-    """``read(path)`` for every file, by the executors unless there are few files."""
+    """``read(path)`` for every file, by the executors."""
     names = [field.split(" ")[0] for field in schema.split(", ")]
-    if len(paths) <= FEW_FILES:
-        return spark.createDataFrame([(p, *read(p)) for p in paths], schema)
 
     def read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame([(p, *read(p)) for p in batch["path"]], columns=names)
 
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    parts = max(1, min(len(paths) // FEW_FILES, spark.sparkContext.defaultParallelism * 8))
+    parts = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 8))
     return listed.repartition(parts, "path").mapInPandas(read_all, schema)
 
 
 def csv_headers(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
-    """``path, header`` per file. Opens each file and reads its first record only."""
-    if not can_open(paths):
-        return _headers_by_scan(spark, paths, source)
+    """``path, header`` per file, from its first record.
+
+    Executors open each file and read that record only. Where Python cannot open the files (another
+    scheme, or credentials that only Spark has), a scan of their lines gives the same.
+    """
     delimiter, encoding = source.delimiter, source.encoding
 
     def first_record(path: str) -> tuple[list[str]]:
         with open_text(path, encoding) as text:
             return (next(csv.reader(text, delimiter=delimiter), []),)
 
-    return read_heads(spark, paths, first_record, SCHEMA)
+    if can_open(paths):
+        try:
+            found = read_heads(spark, paths, first_record, SCHEMA).collect()  # one row per file
+            return spark.createDataFrame(found, SCHEMA)
+        except Exception:
+            log.warning("Headers of %d files are read by a scan", len(paths), exc_info=True)
+    return _headers_by_scan(spark, paths, source)
 
 
 def _headers_by_scan(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
-    """For other file systems: the first line of each file, found by a scan of the text."""
+    """The first record of each file, from its first lines: a quoted cell may hold line breaks."""
     delimiter = source.delimiter
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            headers = [next(csv.reader([line], delimiter=delimiter), []) for line in batch["line"]]
-            yield pd.DataFrame({"path": batch["path"], "header": headers})
+            readers = [csv.reader(io.StringIO("\n".join(lines), newline=""), delimiter=delimiter) for lines in batch["lines"]]
+            yield pd.DataFrame({"path": batch["path"], "header": [next(r, []) for r in readers]})
 
-    lines = spark.read.option("encoding", charset(source.encoding)).text(literal_paths(paths))
+    lines = spark.read.option("encoding", charset(source.encoding)).option("lineSep", "\n").text(literal_paths(paths))
     position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     placed = lines.select(scanned_path().alias("path"), "value", position.alias("position"))
-    first = placed.groupBy("path").agg(F.min_by("value", "position").alias("line"))
-    return first.mapInPandas(split, SCHEMA)
+    # few rows per file and task pass the limit
+    rank = F.row_number().over(Window.partitionBy("path").orderBy("position"))
+    first = placed.withColumn("line", rank).filter(F.col("line") <= HEADER_LINES)
+    gathered = F.array_sort(F.collect_list(F.struct("line", "value")))
+    heads = first.groupBy("path").agg(F.transform(gathered, lambda x: x["value"]).alias("lines"))
+    return heads.mapInPandas(split, SCHEMA)
 
 
 def blank_header(header: Column) -> Column:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
+from siftgate.session import scratch_path
 from siftgate.sources.csv_source import SHAPE
-from siftgate.sources.headers import open_text, read_heads
-from siftgate.sources.paths import can_open, charset, literal_paths, scanned_name, scanned_path
+from siftgate.sources.paths import charset, literal_paths, scanned_name, scanned_path
 from siftgate.spec import SourceSpec
 
 
@@ -69,7 +71,7 @@ def flat_paths(value: dict, name: str = "", path: str = "$") -> dict[str, str]:
     found: dict[str, str] = {}
     for key, child in value.items():
         flat = (f"{name}_{key}" if name else key).lower()
-        here = path + "['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        here = _key(path, key)
         listed = isinstance(child, list) and bool(child) and isinstance(child[0], dict)
         if isinstance(child, dict):
             found |= flat_paths(child, flat, here)
@@ -82,37 +84,86 @@ def flat_paths(value: dict, name: str = "", path: str = "$") -> dict[str, str]:
     return found
 
 
-JSON_HEADER = "path string, header array<string>, places array<string>"
-
+def stage_records(spark: SparkSession, paths: Sequence[str], source: SourceSpec, work: str | None = None) -> DataFrame:
+    """Parsed records, written once: keys, headers and cells are read from there."""
+    elements = read_elements(spark, paths, source)
+    written = f"{work}/records" if work else scratch_path(spark, "records")
+    elements.write.parquet(written)
+    return spark.read.schema(elements.schema).parquet(written)
 
-def json_headers(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
-    """``path, header, places``: flattened keys of the first record of each file.
 
-    Of JSON lines only the first line is read. A document has to be parsed as a whole.
-    """
-    if source.json_lines and can_open(paths):
-        encoding = source.encoding
+JSON_HEADER = "path string, header array<string>"
 
-        def first_line(path: str) -> tuple[list[str], list[str]]:
-            with open_text(path, encoding) as text:
-                flat = flat_paths(json.loads(next((line for line in text if line.strip()), "{}")))
-            return list(flat), list(flat.values())
 
-        return read_heads(spark, paths, first_line, JSON_HEADER)
+def json_headers(records: DataFrame) -> DataFrame:
+    """``path, header``: flattened keys of the first record of each file."""
 
     def flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            flats = [flat_paths(json.loads(r)) if r else {} for r in batch["record"]]
-            heads = [(p, list(f), list(f.values())) for p, f in zip(batch["path"], flats)]
-            yield pd.DataFrame(heads, columns=["path", "header", "places"])
+            keys = [list(flat_paths(found)) if isinstance(found := json.loads(r), dict) else [] for r in batch["record"]]
+            yield pd.DataFrame({"path": batch["path"], "header": keys})
 
-    elements = read_elements(spark, paths, source)
-    if source.json_lines:
-        place = F.struct(BLOCK, SEQUENCE)
-        first = elements.groupBy("path").agg(F.min_by(F.to_json("record"), place).alias("record"))
-    else:
-        first = elements.filter(F.col(SEQUENCE) == 0).select("path", F.to_json("record").alias("record"))
-    return first.mapInPandas(flatten, JSON_HEADER)
+    place = F.struct(BLOCK, SEQUENCE)
+    first = records.groupBy("path").agg(F.min(place).alias("first"))
+    named = first.select("path", f"first.{BLOCK}", f"first.{SEQUENCE}")
+    return records.join(named, ["path", BLOCK, SEQUENCE]).select("path", F.to_json("record").alias("record")).mapInPandas(flatten, JSON_HEADER)
+
+
+def _key(path: str, key: str) -> str:
+    """A step into an object; paths know no escapes, only two kinds of quotes."""
+    return f"{path}[\"{key}\"]" if "'" in key else f"{path}['{key}']"
+
+
+def _shape(records: DataFrame, path: str) -> T.DataType:
+    """All that the records have below a path, as one type: a map-side combined aggregate."""
+    value = F.col("record") if path == "$" else F.try_variant_get("record", path, "variant")
+    shape = records.select(value.alias("v")).filter(F.schema_of_variant("v").startswith("OBJECT"))
+    text = shape.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not text:
+        return T.StructType()
+    parts = text.split("`")  # quoted names stand at odd places
+    parts[::2] = [p.replace("OBJECT<", "STRUCT<") for p in parts[::2]]
+    return T.DataType.fromDDL("`".join(parts))
+
+
+def field_paths(records: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """For each column every path that flattens to its name, whatever the spelling and nesting.
+
+    ``#`` stands for the place in a list of objects until a declared name says which.
+    """
+    wanted = [c.lower() for c in columns]
+    found: dict[str, list[str]] = {c: [] for c in wanted}
+
+    def pattern(flat: str) -> str:
+        return re.escape(flat).replace(re.escape("#"), "([0-9]+)")
+
+    def leaf(flat: str, path: str) -> None:
+        for column in wanted:
+            if match := re.fullmatch(pattern(flat), column):
+                here = path
+                for number in match.groups():
+                    here = here.replace("[#]", f"[{number}]", 1)
+                found[column].append(here)
+
+    def leads_on(flat: str) -> bool:
+        return any(re.match(pattern(flat) + "_", c) for c in wanted)
+
+    def walk(kind: T.DataType, flat: str, path: str) -> None:
+        if isinstance(kind, T.StructType):
+            for field in kind.fields:
+                name = (f"{flat}_{field.name}" if flat else field.name).lower()
+                walk(field.dataType, name, _key(path, field.name))
+            return
+        leaf(flat, path)
+        if not leads_on(flat):
+            return
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.VariantType)):
+            walk(kind.elementType, f"{flat}_#", f"{path}[#]")
+        elif isinstance(kind, T.VariantType) and "#" not in flat:
+            walk(_shape(records, path), flat, path)  # an object in some records, something else in others
+
+    walk(_shape(records, "$"), "", "$")
+    return found
 
 
 def variant_cell(record: Column, path: str) -> Column:
@@ -138,10 +189,12 @@ def variant_cell(record: Column, path: str) -> Column:
     return F.when(~absent, F.struct(text.alias("text"), kind.alias("kind")))
 
 
-def read_json(spark: SparkSession, paths: Sequence[str], source: SourceSpec, places: dict[str, str]) -> DataFrame:
-    """Files whose records spell their keys alike; only the declared leaves are extracted."""
-    elements = read_elements(spark, paths, source)
-    cells = [variant_cell(F.col("record"), places[s.file_column.lower()]).alias(s.name) for s in source.fields]
-    return elements.select(
-        "source_filename", BLOCK, SEQUENCE, F.lit(None).cast("string").alias(SHAPE), *cells
-    )
+def read_json(records: DataFrame, source: SourceSpec) -> DataFrame:
+    """Parsed records as cells; each field is read from the first of its paths that leads to a scalar."""
+    paths = field_paths(records, source.file_columns)
+    nothing = F.lit(None).cast("struct<text: string, kind: string>")
+    cells = [
+        F.coalesce(*[variant_cell(F.col("record"), p) for p in paths[s.file_column.lower()]], nothing).alias(s.name)
+        for s in source.fields
+    ]
+    return records.select("source_filename", BLOCK, SEQUENCE, F.lit(None).cast("string").alias(SHAPE), *cells)

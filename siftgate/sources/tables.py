@@ -2,84 +2,146 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
+import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftgate.operators.logs import DEAD_LETTERS, RUN_LOG
-from siftgate.session import glob_paths, qualified, remove_path
+from siftgate.operators import merge
+from siftgate.operators.logs import DEAD_LETTERS, EVENT_NUMBER, RUN_EVENTS, RUN_LOG, fold_events
+from siftgate.session import glob_paths, make_directory, remove_path
 from siftgate.spec import SourceSpec
 
+# Buckets of a target for which none are named: enough for a few gigabytes.
+BUCKETS = 8
+
 
 @dataclass(frozen=True)
 class Warehouse:
     """Tables under one shared folder.
 
-    A target is a series of immutable snapshots ``v=N``. Spark writes ``_SUCCESS`` when a
-    snapshot is complete, and readers take the highest complete one, so that marker is the
-    commit: a job that dies half-way leaves the previous snapshot in force.
-
-    With ``buckets`` new snapshots are bucketed by key (``v=N-bB``). A merge then shuffles
-    the staged rows to the buckets and reads the target where it lies.
+    A target lies in ``buckets`` by a hash of its key. A change writes one folder ``v=N`` with, for each
+    bucket it touches, either all its rows anew (``new_bucket=K``) or rows to add (``more_bucket=K``);
+    what it does not touch stays where it lies. Spark writes ``_SUCCESS`` when the folder is complete,
+    and readers take complete folders only, so that marker is the commit: a job that dies half-way
+    leaves everything as it was. A table keeps the number of buckets it began with.
     """
 
     spark: SparkSession
     root: str
-    buckets: int | None = None
-
-    def _snapshots(self, table: str) -> list[tuple[int, int, str]]:
-        """Complete snapshots as (version, buckets or 0, path), oldest first."""
-        found = []
-        for marker in glob_paths(self.spark, f"{self.root}/targets/{table}/v=*/_SUCCESS"):
-            version, buckets = re.search(r"/v=(\d+)(?:-b(\d+))?/_SUCCESS$", marker).groups()
-            found.append((int(version), int(buckets or 0), marker.removesuffix("/_SUCCESS")))
-        return sorted(found)
-
-    def target(self, source: SourceSpec) -> DataFrame:
-        snapshots = self._snapshots(source.table)
-        if not snapshots:
+    buckets: int = BUCKETS
+
+    def _versions(self, table: str) -> list[tuple[int, int]]:
+        """Complete versions and their buckets, oldest first."""
+        markers = glob_paths(self.spark, f"{self.root}/targets/{table}/v=*/_SUCCESS")
+        return sorted(tuple(map(int, re.search(r"/v=(\d+)-b(\d+)/_SUCCESS$", m).groups())) for m in markers)
+
+    def version(self, source: SourceSpec) -> int:
+        """Number of the last commit, -1 before the first."""
+        versions = self._versions(source.table)
+        return versions[-1][0] if versions else -1
+
+    def _bucket(self, source: SourceSpec) -> Column:
+        versions = self._versions(source.table)
+        return F.pmod(F.hash(*source.grain), F.lit(versions[-1][1] if versions else self.buckets or BUCKETS))
+
+    def _live(self, table: str, upto: int | None = None) -> dict[int, list[str]]:
+        """The folders that hold each bucket: the last that replaced it, and those added since."""
+        done = {v for v, _ in self._versions(table) if upto is None or v <= upto}
+        folders = []
+        for path in glob_paths(self.spark, f"{self.root}/targets/{table}/v=*/*_bucket=*"):
+            version, kind, bucket = re.search(r"/v=(\d+)-b\d+/(new|more)_bucket=(\d+)$", path).groups()
+            if int(version) in done:
+                folders.append((int(version), kind == "more", int(bucket), path))
+        live: dict[int, list[str]] = {}
+        for _, more, bucket, path in sorted(folders):
+            live[bucket] = [*live.get(bucket, []), path] if more else [path]
+        return live
+
+    def target(self, source: SourceSpec, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The rows of a target, of all buckets or of some."""
+        live = self._live(source.table)
+        paths = [p for bucket, found in live.items() if buckets is None or bucket in set(buckets) for p in found]
+        if not paths:
             return empty_target(self.spark, source)
-        version, buckets, path = snapshots[-1]
-        if not buckets:
-            return self.spark.read.schema(source.to_struct()).parquet(path)
-        name = self._bucketed_name(source, path)
-        if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.to_struct().fields)
-            grain = ", ".join(f"`{g}`" for g in source.grain)
-            self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet "
-                f"CLUSTERED BY ({grain}) SORTED BY ({grain}) INTO {buckets} BUCKETS LOCATION '{path}'"
-            )
-        return self.spark.table(name)
-
-    def _bucketed_name(self, source: SourceSpec, path: str) -> str:
-        """Catalog name of a bucketed snapshot; the folder is part of it."""
-        return f"siftgate_{source.table}_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
-
-    def commit(self, source: SourceSpec, rows: DataFrame) -> int:
-        """Writes the next snapshot; returns its version."""
-        snapshots = self._snapshots(source.table)
-        version = snapshots[-1][0] + 1 if snapshots else 0
-        folder = f"{self.root}/targets/{source.table}"
-        writer = rows.select(*source.to_struct().names).write.mode("overwrite")
-        if not self.buckets:
-            writer.parquet(f"{folder}/v={version}")
-            return version
-        path = qualified(self.spark, f"{folder}/v={version}-b{self.buckets}")
-        bucketed = writer.format("parquet").bucketBy(self.buckets, *source.grain).sortBy(*source.grain)
-        bucketed.option("path", path).saveAsTable(self._bucketed_name(source, path))
+        return self.spark.read.schema(source.to_struct()).parquet(*sorted(paths))
+
+    def touched(self, source: SourceSpec, rows: DataFrame) -> list[int]:
+        """Buckets that rows lie in."""
+        return sorted(r[0] for r in rows.select(self._bucket(source)).distinct().collect())
+
+    def commit(
+        self, source: SourceSpec, rows: DataFrame, replaced: Sequence[int] | None = None, added: DataFrame | None = None
+    ) -> int:
+        """Rows take the place of the buckets ``replaced`` (all, if none are named); ``added`` ones join theirs."""
+        version = self.version(source) + 1
+        bucket = self._bucket(source)
+        versions = self._versions(source.table)
+        count = versions[-1][1] if versions else self.buckets or BUCKETS
+        folder = f"{self.root}/targets/{source.table}/v={version}-b{count}"
+        remove_path(self.spark, folder)  # of an attempt that broke
+        for number in range(count) if replaced is None else replaced:
+            make_directory(self.spark, f"{folder}/new_bucket={number}")
+        for frame, name in ((added, "more_bucket"), (rows, "new_bucket")):
+            if frame is not None:
+                marked = frame.select(*source.to_struct().names, bucket.alias(name))
+                # rows of a bucket lie together, in several files if they are many
+                writer = marked.hint("rebalance", F.col(name)).write.mode("append").partitionBy(name)
+                # the marker comes with the last part
+                writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(name == "new_bucket").lower()).parquet(folder)
         return version
 
+    def upsert(self, source: SourceSpec, stage: DataFrame, now: Column, work: str) -> DataFrame:
+        """Publishes staged rows; ``file_load_log_id, target_inserts, target_updates`` of the runs.
+
+        Only buckets that hold staged keys are read, only those with changed rows are written anew, and
+        if nothing changes nothing is committed.
+        """
+        existing = self.target(source, self.touched(source, stage))
+        acted = merge.merge_actions(existing, stage, source.grain).filter(F.col("action") != "unchanged")
+        acted.write.parquet(f"{work}/changes")
+        acted = self.spark.read.schema(acted.schema).parquet(f"{work}/changes")
+        updates = self.touched(source, acted.filter("action = 'update'"))
+        changed = acted.withColumn("is_new", ~self._bucket(source).isin(updates) if updates else F.lit(True)).drop("action")
+        counts = acted.groupBy("file_load_log_id").agg(
+            F.count_if(F.col("action") == "insert").alias("target_inserts"),
+            F.count_if(F.col("action") == "update").alias("target_updates"),
+        )
+        counts = self.spark.createDataFrame(counts.collect(), counts.schema)  # one row per file
+        if not counts.isEmpty():
+            merged = merge.merge_frames(
+                self.target(source, updates), changed.filter("NOT is_new").drop("is_new"), source.grain, now
+            )
+            fresh = changed.filter("is_new").drop("is_new").withColumns(
+                {"etl_created_at": now, "etl_updated_at": F.lit(None).cast("timestamp")}
+            )
+            self.commit(source, merged, replaced=updates, added=fresh)
+            self.drop_old_snapshots(source)
+        return counts
+
+    def remove_file(self, source: SourceSpec, source_filename: str) -> int:
+        """Takes out the rows a file last wrote; only their buckets are written anew."""
+        target = self.target(source)
+        buckets = self.touched(source, target.filter(F.col("source_filename") == source_filename))
+        if not buckets:
+            return self.version(source)
+        return self.commit(source, merge.without_file(self.target(source, buckets), source_filename), replaced=buckets)
+
     def drop_old_snapshots(self, source: SourceSpec, keep: int = 2) -> int:
-        old = self._snapshots(source.table)[:-keep]
-        for _, buckets, path in old:
-            if buckets:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed_name(source, path)}")
-            remove_path(self.spark, path)
-        return len(old)
+        """Removes folders that none of the last ``keep`` versions reads."""
+        versions = [v for v, _ in self._versions(source.table)]
+        needed: set[str] = set()
+        for version in versions[-keep:]:
+            needed |= {p for found in self._live(source.table, version).values() for p in found}
+        old = 0
+        for path in glob_paths(self.spark, f"{self.root}/targets/{source.table}/v=*/*_bucket=*"):
+            if path not in needed and int(re.search(r"/v=(\d+)-", path).group(1)) in versions[:-keep]:
+                remove_path(self.spark, path)
+                old += 1
+        return old
 
     def _append(self, rows: DataFrame, name: str, *partitions: str) -> None:
         rows.write.mode("append").partitionBy(*partitions).parquet(f"{self.root}/{name}")
@@ -90,26 +152,31 @@ class Warehouse:
         return self.spark.read.schema(DEAD_LETTERS).parquet(f"{self.root}/file_load_dlq")
 
     def append_dead_letters(self, rows: DataFrame) -> None:
-        """One partition per run of a file, so that cleaning up a file drops whole partitions."""
-        self._append(rows, "file_load_dlq", "file_load_log_id")
+        """One partition per run of a file, so that cleaning up a file drops whole partitions.
+
+        A run's rows lie in few files; a run with very many is still written by several tasks.
+        """
+        self._append(rows.hint("rebalance", F.col("file_load_log_id")), "file_load_dlq", "file_load_log_id")
 
     def drop_dead_letters(self, runs: list[int]) -> None:
         for run in runs:
             remove_path(self.spark, f"{self.root}/file_load_dlq/file_load_log_id={run}")
 
     def run_log(self) -> DataFrame:
+        """The runs as their events left them."""
         if not glob_paths(self.spark, f"{self.root}/file_load_log/*.parquet"):
             return self.spark.createDataFrame([], RUN_LOG)
-        return self.spark.read.schema(RUN_LOG).parquet(f"{self.root}/file_load_log")
+        events = self.spark.read.schema(RUN_EVENTS).parquet(f"{self.root}/file_load_log")
+        return fold_events(events, "id", EVENT_NUMBER, [c for c in RUN_LOG.names if c != "id"]).select(*RUN_LOG.names)
 
     def append_run_log(self, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.root}/file_load_log")
+        """Events: what has become known of runs. What an event does not know stays as it was."""
+        numbered = rows.withColumn(EVENT_NUMBER, F.lit(time.time_ns()).cast("long"))
+        numbered.coalesce(1).write.mode("append").parquet(f"{self.root}/file_load_log")
 
     def next_run_id(self) -> int:
-        """One more than any run in the log or any run that left dead letters."""
-        last = self.run_log().agg(F.max("id")).first()[0] or 0
-        letters = glob_paths(self.spark, f"{self.root}/file_load_dlq/file_load_log_id=*")
-        return max([last, *[int(p.rsplit("=", 1)[1]) for p in letters]]) + 1
+        """One more than any run in the log; runs are logged before they begin."""
+        return (self.run_log().agg(F.max("id")).first()[0] or 0) + 1
 
 
 def empty_target(spark: SparkSession, source: SourceSpec) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from siftgate.plans.load import load_files
-from siftgate.sources.discover import describe_files, supported
+from siftgate.sources.discover import describe_files, supported, unscanned_files
+from siftgate.sources.paths import literal_paths
 from siftgate.sources.tables import Warehouse
 from siftgate.spec import Registry
 
@@ -18,7 +19,7 @@ def new_files(spark: SparkSession, directory: str, max_files: int | None = None)
     reader = spark.readStream.format("binaryFile").schema(FILE_ROW)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return supported(describe_files(reader.load(directory)))
+    return supported(describe_files(reader.load(literal_paths([directory])[0])))
 
 
 def watch(
@@ -34,12 +35,18 @@ def watch(
     """Loads new files as they come, or all that are there now and then stops.
 
     A micro-batch may run again after a crash. That is harmless: a file that was published
-    is recognised by name, and merging the same rows twice changes nothing.
+    is recognised by name, and merging the same rows twice changes nothing. Files that no stream shows (of
+    length zero, or named ``_..``) come with the next batch, once.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            load_files(batch.sparkSession, registry, batch, warehouse, archive)
+        session = batch.sparkSession
+        rows = unscanned_files(session, directory)
+        unseen = describe_files(session.createDataFrame(rows, "path string, length long, modificationTime timestamp"))
+        unseen = supported(unseen).join(warehouse.run_log().select("source_filename"), "source_filename", "left_anti")
+        files = batch.unionByName(unseen.select(*batch.columns))
+        if not files.isEmpty():
+            load_files(session, registry, files, warehouse, archive)
 
     writer = new_files(spark, directory, max_files).writeStream.foreachBatch(publish)
     writer = writer.option("checkpointLocation", checkpoint)

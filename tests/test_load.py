@@ -25,7 +25,7 @@ def sale(key, quantity="1", price="2.5", amount="5.0", day="2024-01-15", rep="An
 class Place:
     """An input folder, a warehouse, and loads from one into the other."""
 
-    def __init__(self, spark, path, *sources, buckets=None):
+    def __init__(self, spark, path, *sources, buckets=3):
         self.spark, self.inputs = spark, path / "in"
         self.inputs.mkdir()
         self.registry = Registry(list(sources))
@@ -118,6 +118,7 @@ def test_threshold_then_corrected_file(place):
     assert results["sales_a.csv"].error_type == "Validation Threshold Exceeded"
     message = results["sales_a.csv"].error_message
     assert "(50.00%) exceeds threshold (25.00%)" in message and "row 3: [{column_name: quantity" in message
+    assert "record: {quantity: x, transaction_id: T2}" in message
     # a rate equal to the threshold passes
     assert results["sales_b.csv"].success
     assert {(r.source_filename, r.file_row_number) for r in here.letters()} == {
@@ -145,8 +146,8 @@ def test_back_out_and_load_again(place):
     assert [r.duplicate_skipped for r in log.orderBy("id").collect()] == [None, True, None]
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_merge_updates_inserts_and_leaves_alone(place, buckets, monkeypatch):
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_merge_updates_inserts_and_leaves_alone(place, buckets):
     here = place(TOLERANT, buckets=buckets)
     here.put("sales_a.csv", HEADER + sale("T1") + sale("T2") + sale("T3"))
     here.load()
@@ -159,15 +160,137 @@ def test_merge_updates_inserts_and_leaves_alone(place, buckets, monkeypatch):
     }
     assert rows[("T3",)].total_amount == 9.5 and rows[("T3",)].etl_updated_at is not None
     assert rows[("T3",)].etl_created_at == rows[("T1",)].etl_created_at and rows[("T4",)].etl_updated_at is None
-    # the same rows under a new name change nothing, by either way of merging
-    for name, limit in (("sales_c.csv", 50_000), ("sales_d.csv", 0)):
-        monkeypatch.setattr(load, "SMALL_STAGE_ROWS", limit)
-        here.put(name, HEADER + sale("T2") + sale("T3", amount="9.5") + sale("T4"))
-        again = here.load()[name]
-        assert (again.success, again.target_inserts, again.target_updates) == (True, 0, 0)
-        assert here.rows(TOLERANT) == rows
-    assert here.warehouse.drop_old_snapshots(TOLERANT) >= 1
-    assert here.rows(TOLERANT) == rows
+    # the same rows under a new name change nothing, and the file is known from then on
+    version = here.warehouse.version(TOLERANT)
+    here.put("sales_c.csv", HEADER + sale("T2") + sale("T3", amount="9.5") + sale("T4"))
+    again = here.load()["sales_c.csv"]
+    assert (again.success, again.target_inserts, again.target_updates) == (True, 0, 0)
+    assert here.rows(TOLERANT) == rows and here.warehouse.version(TOLERANT) == version
+    assert here.load()["sales_c.csv"].error_type == "Duplicate File Detected"
+
+
+def folders(path):
+    return {str(p.relative_to(path)) for p in (path / "warehouse/targets").glob("*/v=*/*_bucket=*") if any(p.glob("*.parquet"))}
+
+
+def test_a_small_load_writes_its_buckets_only(place, tmp_path):
+    here = place(TOLERANT, buckets=8)
+    here.put("sales_a.csv", HEADER + "".join(sale(f"T{i}") for i in range(200)))
+    here.load()
+    before = folders(tmp_path)
+    assert len(before) == 8 and all("/more_bucket=" in f for f in before)
+    here.put("sales_b.csv", HEADER + sale("T7", amount="9.5"))
+    here.load()
+    (written,) = folders(tmp_path) - before
+    assert "/new_bucket=" in written and len(here.rows(TOLERANT)) == 200
+    rewritten = here.spark.read.parquet(str(tmp_path / written)).count()
+    assert 1 < rewritten < 60
+    here.put("sales_c.csv", HEADER + sale("N1"))
+    here.load()
+    (added,) = folders(tmp_path) - before - {written}
+    assert "/more_bucket=" in added and len(here.rows(TOLERANT)) == 201
+    load.back_out(here.warehouse, TOLERANT, "sales_c.csv")
+    assert len(here.rows(TOLERANT)) == 200 and ("N1",) not in here.rows(TOLERANT)
+    # folders that no late version reads are gone
+    here.put("sales_d.csv", HEADER + "".join(sale(f"T{i}", amount="7.5") for i in range(200)))
+    here.load()
+    here.put("sales_e.csv", HEADER + "".join(sale(f"T{i}", amount="8.5") for i in range(200)))
+    here.load()
+    assert here.rows(TOLERANT)[("T3",)].total_amount == 8.5 and not before & folders(tmp_path)
+
+
+def archive_copies(here, source):
+    return sorted(r.source_filename for r in here.spark.read.parquet(f"{here.warehouse.root}/raw/{source.table}/files").collect())
+
+
+def broken_once(method, after=False):
+    """The method, breaking the first time it is called."""
+    calls = []
+
+    def call(self, *args, **options):
+        calls.append(1)
+        if len(calls) > 1 or after:
+            found = method(self, *args, **options)
+        if len(calls) == 1:
+            raise RuntimeError("broken once")
+        return found
+
+    return call
+
+
+@pytest.mark.parametrize("method, after", [("commit", False), ("commit", True), ("append_run_log", False), ("drop_dead_letters", False)])
+def test_a_job_that_breaks_once_loses_nothing(place, monkeypatch, method, after):
+    strict = dataclasses.replace(feeds.SALES, error_threshold=0.5)
+    here = place(strict)
+    here.put("sales_good.csv", HEADER + sale("T1") + sale("T2") + sale("T3", quantity="x"))
+    here.put("sales_more.csv", HEADER + sale("T4"))
+    here.put("sales_bad.csv", HEADER + sale("B1", quantity="x") + sale("B2", price="y"))
+    monkeypatch.setattr(Warehouse, method, broken_once(getattr(Warehouse, method), after))
+    results = here.load()
+    assert {n: (r.success, r.error_type) for n, r in results.items()} == {
+        "sales_good.csv": (True, None), "sales_more.csv": (True, None), "sales_bad.csv": (False, "Validation Threshold Exceeded"),
+    }
+    assert set(here.rows(strict)) == {("T1",), ("T2",), ("T4",)}
+    assert [(r.source_filename, r.file_row_number) for r in here.letters()] == [
+        ("sales_bad.csv", 2), ("sales_bad.csv", 3), ("sales_good.csv", 4),
+    ]
+    assert archive_copies(here, strict) == ["sales_bad.csv", "sales_good.csv", "sales_more.csv"]
+    log = {r.source_filename: r for r in here.warehouse.run_log().collect()}
+    assert {n: r.success for n, r in log.items()} == {n: r.success for n, r in results.items()}
+    assert all(r.ended_at is not None for r in log.values())
+    again = here.load()
+    assert again["sales_good.csv"].error_type == again["sales_more.csv"].error_type == "Duplicate File Detected"
+    ids = [r.id for r in here.warehouse.run_log().collect()]
+    assert len(ids) == len(set(ids)) == 6
+
+
+def test_a_load_that_died_is_closed_by_the_next(place, monkeypatch):
+    here = place(TOLERANT)
+    here.put("sales_a.csv", HEADER + sale("T1"))
+    real = Warehouse.append_run_log
+
+    def dies(self, rows):
+        if self.version(TOLERANT) >= 0:
+            raise KeyboardInterrupt
+        real(self, rows)
+
+    monkeypatch.setattr(Warehouse, "append_run_log", dies)
+    with pytest.raises(KeyboardInterrupt):
+        here.load()
+    monkeypatch.setattr(Warehouse, "append_run_log", real)
+    (row,) = here.warehouse.run_log().collect()
+    assert row.success is None and row.ended_at is None and row.table_name == "transactions"
+    assert here.load()["sales_a.csv"].error_type == "Duplicate File Detected"
+    first, second = here.warehouse.run_log().orderBy("id").collect()
+    assert first.success and first.ended_at is not None and (second.id, second.duplicate_skipped) == (2, True)
+
+
+def test_names_and_sizes_that_spark_passes_over(place):
+    here = place(TOLERANT, dataclasses.replace(feeds.SALES, table="under", patterns=("_under*.csv",)))
+    here.put("_under_1.csv", HEADER + sale("T1"))
+    here.put("_SUCCESS", "")
+    here.put("sales_none.csv", "")
+    results = here.load()
+    assert {n: r.error_type for n, r in results.items()} == {"_under_1.csv": "ValueError", "sales_none.csv": "Missing Header"}
+    from siftgate.streaming import directory
+
+    here.put("sales_new.csv", HEADER + sale("T2"))
+    here.put("sales_zero.csv", "")
+    checkpoint = f"{here.warehouse.root}/stream"
+    directory.watch(here.spark, here.registry, str(here.inputs), here.warehouse, checkpoint).awaitTermination()
+    log = {r.source_filename: (r.success, r.error_type) for r in here.warehouse.run_log().collect()}
+    assert log["sales_new.csv"] == (True, None) and log["sales_zero.csv"] == (False, "Missing Header")
+
+
+def test_audit_text_with_a_subquery(place):
+    text = "SELECT CASE WHEN count(*) = (SELECT count(DISTINCT customer_id) FROM {table}) THEN 1 ELSE 0 END AS customers_distinct FROM {table}"
+    source = dataclasses.replace(feeds.SALES, audits=(), audit_sql=text)
+    here = place(source)
+    here.put("sales_a.csv", HEADER + sale("T1"))
+    here.put("sales_b.csv", HEADER + sale("T2") + sale("T3"))
+    results = here.load()
+    assert results["sales_a.csv"].success and results["sales_b.csv"].error_type == "Audit Failed"
+    assert not [t for t in here.spark.catalog.listTables() if t.name.startswith("siftgate_")]
 
 
 def test_same_key_in_two_files_of_a_run(place):

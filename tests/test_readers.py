@@ -11,7 +11,7 @@ from siftgate.operators import merge, rows, validate
 from siftgate.plans import load
 from siftgate.sources import discover, headers
 from siftgate.sources.csv_source import read_csv
-from siftgate.sources.json_source import flat_paths, json_headers, read_json, records_at
+from siftgate.sources.json_source import flat_paths, records_at
 from siftgate.spec import FieldSpec, SourceSpec, glob_regex
 
 LINES = SourceSpec("lines", ("*.csv",), (FieldSpec("n", "int"), FieldSpec("text")), ("n",), multiline=False)
@@ -85,11 +85,31 @@ def test_delimiter_and_encoding(spark, tmp_path):
 
 def test_headers_on_workers_and_by_scan_agree(spark, tmp_path, monkeypatch):
     paths = [write_lines(tmp_path, f"f{k}.csv", k) for k in range(5)]
-    driver = headers.csv_headers(spark, paths, LINES).collect()
-    monkeypatch.setattr(headers, "FEW_FILES", 2)
+    (tmp_path / "broken.csv").write_text('n,"te\n""x"",t",z\n1,2,3\n')
+    paths.append(f"file:{tmp_path / 'broken.csv'}")
     workers = headers.csv_headers(spark, paths, LINES).collect()
     scan = headers._headers_by_scan(spark, paths, LINES).collect()
-    assert sorted(map(tuple, driver)) == sorted(map(tuple, workers)) == sorted(map(tuple, scan))
+    assert sorted(map(tuple, workers)) == sorted(map(tuple, scan))
+    assert ["n", 'te\n"x",t', "z"] in [r.header for r in workers]
+
+    def refused(path):
+        raise PermissionError(path)
+
+    monkeypatch.setattr(headers, "file_system", refused)
+    monkeypatch.setattr(headers, "open_text", lambda path, encoding: refused(path))
+    assert sorted(map(tuple, headers.csv_headers(spark, paths, LINES).collect())) == sorted(map(tuple, workers))
+
+
+def test_a_very_long_cell_in_a_ragged_record(spark, tmp_path):
+    long = "x,y" * 340_000
+    quotes = '""' * 300_000
+    (tmp_path / "a.csv").write_text(f'n,text\n1,"{long}",z\n2\n3,"{quotes}a,b",z\n4,"{long}"\n"5","a"",b"\n6,"","c,d"\n')
+    raw = read_csv(spark, [f"file:{tmp_path}/a.csv"], LINES, ["n", "text"])
+    found = raw.orderBy("block_sequence").select("n", F.length("text"), "shape_error").collect()
+    assert [tuple(r) for r in found] == [
+        ("1", len(long), "too_many_columns"), ("2", None, None), ("3", 300_003, "too_many_columns"), ("4", len(long), None),
+        ("5", 4, None), ("6", 0, "too_many_columns"),
+    ]
 
 
 def test_globs():
@@ -154,15 +174,19 @@ def test_truncate(spark):
     assert [r.t for r in frame.collect()] == ["x" * 200, "x" * 200 + "...", None]
 
 
-def test_large_files_are_archived_line_by_line(spark, tmp_path, monkeypatch, small_splits):
-    monkeypatch.setattr(discover, "WHOLE_FILE_BYTES", 1000)
-    path = write_lines(tmp_path, "big.csv", 2000)
-    original = (tmp_path / "big.csv").read_bytes()
-    small = write_lines(tmp_path, "small.csv", 3)
-    discover.archive_raw(spark, [(path, len(original)), (small, 50)], str(tmp_path / "raw"))
-    lines = spark.read.parquet(str(tmp_path / "raw/lines")).orderBy("file_block", "block_sequence").collect()
-    assert "".join(r.value + "\n" for r in lines).encode() == original
-    assert spark.read.parquet(str(tmp_path / "raw/files")).first().content == (tmp_path / "small.csv").read_bytes()
+@pytest.mark.parametrize("opened", [True, False])
+def test_files_are_archived_byte_by_byte(spark, tmp_path, monkeypatch, opened):
+    monkeypatch.setattr(discover, "can_open", lambda paths: opened)
+    contents = {"big.csv": bytes(range(256)) * 40, "edge.csv.gz": b"z" * 2000, "small.csv": b"no line end", "empty.csv": b""}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    files = [(f"file:{tmp_path / n}", len(c)) for n, c in contents.items()]
+    discover.archive_raw(spark, files, str(tmp_path / "raw"), chunk_bytes=1000)
+    rows = discover.archived_chunks(spark, str(tmp_path / "raw")).orderBy("source_filename", "file_offset").collect()
+    kept = {n: b"".join(bytes(r.bytes) for r in rows if r.source_filename == n) for n in contents}
+    assert kept == contents and max(len(r.bytes) for r in rows) == 1000
+    noted = {r.source_filename: (r.file_bytes, r.chunks) for r in spark.read.parquet(str(tmp_path / "raw/files")).collect()}
+    assert noted == {"big.csv": (10_240, 11), "edge.csv.gz": (2000, 2), "small.csv": (11, 1), "empty.csv": (0, 1)}
 
 
 def plan_of(frame):
@@ -198,12 +222,22 @@ def test_offsets_do_not_depend_on_partitions(spark):
         assert numbered.filter("n % 100 = 0 AND file_row_number <> n + 2").count() == 0
 
 
-def test_json_headers_group_by_spelling(spark, tmp_path):
-    source = SourceSpec("j", ("*",), (FieldSpec("n", "int"),), ("n",), format="json")
-    for name, key in (("a", "n"), ("b", "N")):
-        (tmp_path / f"{name}.json").write_text(json.dumps([{key: 1}, {key: 2}]))
-    paths = [f"file:{tmp_path}/{n}.json" for n in "ab"]
-    found = {r.path[-6]: r.places for r in json_headers(spark, paths, source).collect()}
-    assert found == {"a": ["$['n']"], "b": ["$['N']"]}
-    raw = read_json(spark, paths[:1], source, {"n": "$['n']"})
-    assert [r.n.text for r in raw.orderBy("block_sequence").collect()] == ["1", "2"]
+def test_json_keys_are_read_by_record(spark, tmp_path):
+    fields = (FieldSpec("id", "int"), FieldSpec("info_name"), FieldSpec("l_1_x", nullable=True), FieldSpec("odd key's", nullable=True), FieldSpec("v_w", nullable=True))
+    source = SourceSpec("j", ("*",), fields, ("id",), format="json", array_path="")
+    records = [
+        {"Id": 1, "info": {"name": "a"}, "l": [{"x": "p"}, {"x": "q"}], "Odd key's": "o", "v": {"W": "deep"}},
+        {"id": 2, "INFO": {"name": "b"}, "L": [{"y": 1}, {"X": "r"}], "v": "flat", "v_w": "own"},
+        {"id": 3, "info_name": "c", "l": [], "v": [1], "odd key's": None},
+    ]
+    (tmp_path / "a.json").write_text(json.dumps(records))
+    for i in range(4):  # files with different optional keys are one scan
+        (tmp_path / f"b{i}.json").write_text(json.dumps([{"id": 10 + i, "info": {"name": "z"}, "l_1_x": "1", "odd key's": "2", "V_w": "3", f"more{i}": 1}]))
+    paths = [f"file:{tmp_path}/{n}.json" for n in ("a", "b0", "b1", "b2", "b3")]
+    raw, verdicts = load.scan(spark, source, paths)
+    assert all(v.error_type is None for v in verdicts)
+    found = {r.id.text: [c and c.text for c in (r.info_name, r.l_1_x, r["odd key's"], r.v_w)] for r in raw.collect()}
+    assert found == {
+        "1": ["a", "q", "o", "deep"], "2": ["b", "r", None, "own"], "3": ["c", None, None, None], **{str(10 + i): ["z", "1", "2", "3"] for i in range(4)},
+    }
+    assert plan_of(raw).count("Scan parquet") == 1
