@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftgate.llm.common import as_row, stored, table, whole
+from siftgate.llm.packed import portions
 
 REJECT = 0.7
 # Most labelled rows that the weights of words are fitted on; the character model is of all texts.
@@ -39,9 +40,11 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòó
 OTHER, CLASSES = 62, 64
 PARTS = re.compile(r"\W+|_+")
 SPELLED = re.compile(r"(?<!\w)\w(?:[ ._*-]\w){2,}(?!\w)")
+# Two single characters in a row: without them no word is spelled out with blanks.
+SINGLES = re.compile(r" \w(?!\w) \w(?!\w)")
 THRICE = re.compile(r"(.)\1\1")
-# Tokens whose weight a task remembers.
-REMEMBERED = 400_000
+# Tokens whose weight a task remembers, and characters whose runs are counted together.
+REMEMBERED, PORTION = 400_000, 1 << 20
 
 
 def _class_table() -> np.ndarray:
@@ -67,16 +70,14 @@ def character_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = _class_table()
         sums = np.zeros(CLASSES**3, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for at in range(0, len(text), 1 << 20):  # overlapping pieces bound the memory of one text
-                    piece = text[max(0, at - 2) : at + (1 << 20)]
-                    if at == 0:
-                        piece = "  " + piece
-                    codes = classes[np.frombuffer(piece.encode("utf-32-le"), "<u4")].astype(np.int64)
-                    codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
-                    runs = codes[:-2] * CLASSES**2 + codes[1:-1] * CLASSES + codes[2:]
-                    sums += np.bincount(runs, minlength=CLASSES**3)
+        for batch in portions(batches, 0, PORTION):
+            # texts are parted by the two blanks that every text begins with
+            joined = "  " + "  ".join(batch.column(0).to_pylist())
+            for at in range(0, len(joined), PORTION):
+                piece = joined[max(0, at - 2) : at + PORTION]
+                codes = classes[np.frombuffer(piece.encode("utf-32-le"), "<u4")].astype(np.int64)
+                runs = (codes[:-2] << 12) | (codes[1:-1] << 6) | codes[2:]
+                sums += np.bincount(runs[(codes[1:-1] != 0) | (codes[2:] != 0)], minlength=CLASSES**3)
         seen = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["run", "n"])
 
@@ -154,16 +155,22 @@ def _marks(text: str) -> list[int]:
 def token_words(token: str, model: np.ndarray) -> list[str]:
     """Plain words of a token, restored ones included."""
     words = [w for w in PARTS.split(token) if w]
+    if not token.isalnum():
+        words += _spelled(token, model)
     if _disguised(token):
         words += [w for w in PARTS.split(decode(token, model)) if w]
     return words
 
 
-def spelled_words(text: str, model: np.ndarray) -> list[str]:
-    """Words spelled out character by character."""
+def _spelled(text: str, model: np.ndarray) -> list[str]:
     return [w for m in SPELLED.finditer(text) for w in PARTS.split(decode(m.group(), model)) if len(w) > 2]
 
 
+def spelled_words(text: str, model: np.ndarray) -> list[str]:
+    """Words spelled out character by character, with blanks in between (others are tokens)."""
+    return _spelled(text, model) if SINGLES.search(text) else []
+
+
 def _crc(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % 3
 

@@ -291,7 +291,8 @@ def test_decoding():
     for spelled, meant in (("l0s3r", "loser"), ("st00pid", "stupid"), ("i d i o t", "idiot"), ("c-l-0-w-n", "clown"), ("moooron", "moron")):
         decoded = toxicity.decode(spelled, model)
         assert decoded == meant or spelled == "st00pid", decoded
-    assert "idiot" in toxicity.spelled_words("he is an i.d.i.o.t of", model)
+    assert "idiot" in toxicity.token_words("i.d.i.o.t", model)
+    assert "idiot" in toxicity.spelled_words("he is an i d i o t of", model) and not toxicity.spelled_words("he is an idiot", model)
 
 
 def test_toxicity(spark, odd, empty):
