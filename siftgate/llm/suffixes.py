@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftgate.llm.common import NULL_ID, stored, table, whole
+from siftgate.llm.common import NULL_ID, stored, table, whole, with_groups
 from siftgate.llm.packed import ROW, packed, packed_rows, portions, sliced, unpacked
 from siftgate.session import scratch_path
 
@@ -137,7 +138,14 @@ def _emit_anchors(length: int, ranges: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, 1, PORTION):
             ids = batch.column(0).to_numpy()
-            found = [x[:3] for x in _text_anchors([t.encode() for t in batch.column(1).to_pylist()], length)]
+            texts = [t.encode() for t in batch.column(1).to_pylist()]
+            least: dict[bytes, int] = {}
+            for i, text in zip(ids.tolist(), texts):
+                least[text] = min(i, least.get(text, i))
+            # of equal texts the least document speaks for all
+            speaks = [n for n, text in enumerate(texts) if least[text] == ids[n]]
+            ids = ids[speaks]
+            found = [x[:3] for x in _text_anchors([texts[n] for n in speaks], length)]
             if not found:
                 continue
             owner, anchor, place = (np.concatenate(x) for x in zip(*found))
@@ -197,7 +205,7 @@ def _share_anchors(hot: int):
 
 def _emit_contexts(length: int, ranges: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, 2, PORTION):
+        for batch in portions(batches, 2, 3 * PORTION):
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts = [t.encode() for t in batch.column(2).to_pylist()]
             places = [np.unique(np.frombuffer(b"".join(x), "<i8")) for x in batch.column(3).to_pylist()]
@@ -401,20 +409,23 @@ def _mark_contexts(length: int, shard_bytes: int):
             lines: dict[tuple[int, bytes], list[tuple[int, int, int, int]]] = {}
             for i, key in enumerate(zip(anchor.tolist(), blobs)):
                 lines.setdefault(key, []).append(i)
+            contexts = Counter(anchor for anchor, _ in lines)
             keep = []
-            for (_, context), line in lines.items():
+            for (key, context), line in lines.items():
                 if len(line) > 1:
                     numbers = np.array(line)
                     late = numbers[doc[numbers] > doc[numbers].min()]
                     marks.append((doc[late], text[late], begin[late], begin[late] + len(context)))
                     line = numbers[doc[numbers] == doc[numbers].min()].tolist()
-                keep += line
-            keep = np.array(keep)
+                if contexts[key] > 1:  # else nothing else can hold its strings
+                    keep += line
+            keep = np.array(keep, np.int64)
             order = keep[np.argsort(anchor[keep], kind="stable")]
             sizes = np.cumsum([len(blobs[i]) for i in order])
-            cuts = np.unique(np.searchsorted(sizes, np.arange(0, sizes[-1] + shard_bytes, shard_bytes)))
+            total = int(sizes[-1]) if len(sizes) else 0
+            cuts = np.unique(np.searchsorted(sizes, np.arange(0, total + shard_bytes, shard_bytes)))
             lots = [order[a:b] for a, b in zip(cuts, [*cuts[1:], len(order)]) if a < b]
-            shards = []
+            shards: list[_Shard] = []
             # anchors on both sides of a cut: their strings are looked up in one sorted list
             seams = np.unique(np.concatenate([anchor[lot[:1]] for lot in lots[1:]])) if lots[1:] else np.zeros(0, np.int64)
             merged, least = np.zeros(0, f"S{length}"), np.zeros(0, np.int64)
@@ -513,8 +524,9 @@ def repeated_bytes(
 
     Only strings around shared anchors can repeat, so a first exchange finds the anchors (one in eighteen
     bytes, content picks them) that several documents have, and a second one brings the bytes around them
-    together, in ranges of the anchor's hash. Each range is worked off in shards of bounded size: a suffix
-    array by refinement, common prefixes, groups of equal strings with their least document. Strings of
+    together, in ranges of the anchor's hash. Equal texts and equal contexts stand for each other. Anchors
+    with several contexts are worked off in shards of bounded size: a suffix array by refinement, common
+    prefixes, groups of equal strings with their least document. Strings of
     anchors that a cut between shards parts are merged by binary search in a sorted list. What a batch of
     documents has several times is settled there and sent on once; strings of anchors that very many
     batches have travel one by one. Work follows the text, not the number of pairs.
@@ -536,16 +548,20 @@ def repeated_bytes(
         F.sha2(text.cast("binary"), 256).alias("_whole"),
     )
     light = stored(light, "op8-light")
+    # equal texts: all but the least document's go as a whole
+    leads = light.groupBy("_whole").agg(F.min("_id").alias("_lead"), F.first("_hash").alias("_lead_hash"), F.count("*").alias("_copies"))
+    leads = stored(leads, "op8-leads")
     size = light.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(LEAST_RANGES, math.ceil(size / RANGE_BYTES))
     emitted = keyed.select("_id", "_text").mapInArrow(_emit_anchors(length, ranges), ROW)
     shared = emitted.groupBy("shard").applyInArrow(_share_anchors(hot), "_id long, _found binary")
     shared = stored(shared, "op8-shared")
     places = shared.groupBy("_id").agg(F.collect_list("_found").alias("_places"))
+    places = places.join(leads.select(F.col("_lead").alias("_id"), F.col("_lead_hash").alias("_hash")), "_id")
     counted = shared.agg(F.sum(F.octet_length("_found") / 8)).first()[0] or 0
 
-    # documents with a shared anchor, repeated rows once
-    joined = keyed.join(places, "_id").select("_id", "_hash", "_text", "_places")
+    # documents with a shared anchor, of equal texts the least one's
+    joined = keyed.join(places, ["_id", "_hash"]).select("_id", "_hash", "_text", "_places")
     place = scratch_path(spark, "op8-texts")
     joined.write.option("compression", "zstd").parquet(place)
     texts = spark.read.schema(joined.schema).parquet(place)
@@ -556,14 +572,17 @@ def repeated_bytes(
     cut = texts.select("_id", "_hash", "_text").join(marks, ["_id", "_hash"]).select("_id", "_hash", "_text", "_marks")
     cut = cut.mapInArrow(_remove, "_id long, _hash long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
     cut = stored(cut, "op8-cut").dropDuplicates(["_id", "_hash"])
-    found = light.join(cut, ["_id", "_hash"], "left")
+    led = with_groups(light, leads.drop("_lead_hash"), ["_whole"], "_copies", F.xxhash64("_id", "_hash"))
+    found = led.join(cut, ["_id", "_hash"], "left")
+    gone = (F.col("_id") > F.col("_lead")) & (F.col("n_bytes") >= length)
+    all_of_it = F.array(F.lit(0).cast("long"), F.col("n_bytes"))
     return found.select(
         "doc_id",
         "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "_whole").alias("kept_sha256"),
-        F.coalesce("spans", F.array().cast("array<long>")).alias("spans"),
+        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(gone, hashlib.sha256().hexdigest()).otherwise(F.coalesce("kept_sha256", "_whole")).alias("kept_sha256"),
+        F.when(gone, all_of_it).otherwise(F.coalesce("spans", F.array().cast("array<long>"))).alias("spans"),
     )
 
 
