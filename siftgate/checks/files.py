@@ -81,7 +81,7 @@ def _raw_files(spark, sf):
     plain = export_csv(spark, order_text(spark, sf), "raw")
     packed = export_csv(spark, order_text(spark, sf), "raw-gz", compression="gzip")
     archive = scratch_path(spark, "archive")
-    listed = discover.list_files(spark, plain).unionByName(discover.list_files(spark, packed)).collect()
+    listed = discover.supported(discover.list_files(spark, plain).unionByName(discover.list_files(spark, packed))).collect()
     discover.archive_raw(spark, [(r.path, r.file_bytes) for r in listed], archive, CHECK_CHUNK)
     noted = spark.read.parquet(f"{archive}/files").select("source_filename", "file_bytes", "chunks", "digest")
     chunks = discover.archived_chunks(spark, archive).withColumn("again", F.sha2("bytes", 256))
