@@ -23,7 +23,7 @@ GRAM = 16
 # bytes of one suffix array.
 PIECE, PORTION, SHARD = 1 << 16, 1 << 23, 1 << 20
 # Bytes of documents, and anchors, for one task of the two exchanges, about.
-RANGE_BYTES, RANGE_ANCHORS, LEAST_RANGES = 1 << 24, 1 << 16, 64
+RANGE_BYTES, RANGE_ANCHORS, LEAST_RANGES = 1 << 24, 1 << 15, 64
 # Batches that name an anchor from which its strings are dealt one by one.
 HOT = 50_000
 # A place in a piece and an anchor's hash share one number.
@@ -211,53 +211,66 @@ def _emit_contexts(length: int, ranges: int):
             places = [np.unique(np.frombuffer(b"".join(x), "<i8")) for x in batch.column(3).to_pylist()]
             base = 1 << 40
             wanted = np.concatenate([i * base + p for i, p in enumerate(places)])
-            lines: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+            lines: dict[tuple[int, bytes], list[int]] = {}
+            parts: list[tuple[np.ndarray, ...]] = []
+            count = 0
             for owner, anchor, place, first, last, data, shift in _text_anchors(texts, length):
                 key = owner * base + place * 2
                 near = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)]
                 hot = near == key + 1
-                keep = np.flatnonzero((near == key) | hot)
                 raw = data.tobytes()
-                columns = [x[keep].tolist() for x in (anchor, owner, first, first - shift, last - shift + length, hot)]
-                for way, doc, begin, start, end, is_hot in zip(*columns):
-                    if not is_hot:
-                        lines.setdefault((way, raw[start:end]), []).append((ids[doc], hashes[doc], begin))
-                        continue
-                    for k in range(end - length - start + 1):  # each string goes its own way
-                        string = raw[start + k : start + k + length]
+                calm = np.flatnonzero(near == key)
+                columns = [x[calm].tolist() for x in (anchor, first - shift, last - shift + length)]
+                for n, (way, start, end) in enumerate(zip(*columns), count):
+                    lines.setdefault((way, raw[start:end]), []).append(n)
+                parts.append((owner[calm], first[calm]))
+                count += len(calm)
+                for i in np.flatnonzero(hot).tolist():  # each string goes its own way
+                    begins = np.arange(first[i], last[i] + 1)
+                    for n, start in enumerate((begins - shift[i]).tolist(), count):
+                        string = raw[start : start + length]
                         way = int.from_bytes(hashlib.blake2b(string, digest_size=5).digest(), "big")
-                        lines.setdefault((way, string), []).append((ids[doc], hashes[doc], begin + k))
-            marks: list[tuple[int, int, int, int]] = []
-            shards: dict[int, list] = {}
-            for (way, context), line in lines.items():
-                least, late = _first_documents(line, len(context))
-                marks += late
-                shards.setdefault(way * ranges >> HASH_BITS, []).extend((way, *x, context) for x in least)
+                        lines.setdefault((way, string), []).append(n)
+                    parts.append((np.full(len(begins), owner[i]), begins))
+                    count += len(begins)
+            if not lines:
+                continue
+            owner, begin = (np.concatenate(x) for x in zip(*parts))
+            doc, text = np.array(ids)[owner], np.array(hashes)[owner]
+            ways, contexts, rows, late = _first_documents(lines, doc)
             out: tuple[list, list, list] = ([], [], [])
-            if marks:
-                marks.sort()
+            if len(late[0]):
+                stretch = [doc[late[0]], text[late[0]], begin[late[0]], begin[late[0]] + late[1]]
                 out[0].append(ids[0] % ranges)
                 out[1].append(True)
-                out[2].append(packed(list(np.array(marks, np.int64).T)))
-            for shard, found in shards.items():
-                found.sort()
+                out[2].append(packed([c[np.argsort(stretch[0], kind="stable")] for c in stretch]))
+            order = np.argsort(ways, kind="stable")
+            columns = [ways[order], doc[rows][order], text[rows][order], begin[rows][order], np.array([len(c) for c in contexts])[order]]
+            for shard, part in sliced(columns[0], ranges, HASH_BITS):
                 out[0].append(shard)
                 out[1].append(False)
-                columns = list(np.array([f[:4] for f in found], np.int64).T)
-                sizes = np.array([len(f[4]) for f in found], np.int64)
-                out[2].append(packed([*columns, sizes], b"".join(f[4] for f in found)))
-            if out[0]:
-                yield packed_rows(*out)
+                out[2].append(packed([c[part] for c in columns], b"".join([contexts[i] for i in order[part].tolist()])))
+            yield packed_rows(*out)
 
     return emit
 
 
-def _first_documents(line: list[tuple[int, int, int]], size: int) -> tuple[list, list]:
-    """Of equal contexts ``id, text, begin``: those of the least document, and the stretches of all others."""
-    if len(line) == 1:
-        return line, []
-    least = min(line)[0]
-    return [x for x in line if x[0] == least], [(i, text, begin, begin + size) for i, text, begin in line if i > least]
+def _first_documents(lines: dict[tuple[int, bytes], list[int]], doc: np.ndarray) -> tuple:
+    """Of the rows of equal contexts ``anchor, context, row`` of the least document's, and ``row, size`` of all others."""
+    ways, contexts, rows, late, sizes = [], [], [], [], []
+    for (way, context), line in lines.items():
+        if len(line) > 1:
+            numbers = np.array(line)
+            least = doc[numbers] == doc[numbers].min()
+            others = numbers[~least].tolist()
+            late += others
+            sizes += [len(context)] * len(others)
+            line = numbers[least].tolist()
+        for row in line:
+            ways.append(way)
+            contexts.append(context)
+            rows.append(row)
+    return np.array(ways, np.int64), contexts, np.array(rows, np.int64), (np.array(late, np.int64), np.array(sizes, np.int64))
 
 
 def _windows(data: np.ndarray) -> np.ndarray:
@@ -371,6 +384,38 @@ def _strings(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return np.ascontiguousarray(data[starts[:, None] + np.arange(length)]).view(f"S{length}").ravel()
 
 
+def _repeated(contexts: list[bytes], doc: np.ndarray, length: int) -> tuple[np.ndarray, list[bytes]]:
+    """Of each context the stretch from its first to its last string that another document may have too.
+
+    Strings are compared by a hash: what it tells apart does not repeat. The rest is for the suffix arrays.
+    """
+    sizes = np.array([len(c) for c in contexts])
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    row = np.repeat(np.arange(len(contexts)), sizes - length + 1)
+    counts = np.cumsum(sizes - length + 1)
+    start = np.arange(counts[-1]) - np.repeat(counts - (sizes - length + 1), sizes - length + 1) + begin[row]
+    words = _windows(data)
+    mixed = np.zeros(len(start), np.uint64)
+    for at in [*range(0, length - 8, 8), length - 8]:
+        mixed = (mixed ^ words[start + at]) * np.uint64(0x9FB21C651E98DF25)
+        mixed ^= mixed >> np.uint64(32)
+    order = np.argsort(mixed, kind="stable")
+    mixed, owner = mixed[order], doc[row][order]
+    new = np.ones(len(order), bool)
+    new[1:] = mixed[1:] != mixed[:-1]
+    first = np.flatnonzero(new)
+    several = np.minimum.reduceat(owner, first) < np.maximum.reduceat(owner, first)
+    again = np.zeros(len(order), bool)
+    again[order] = np.repeat(several, np.diff(np.append(first, len(order))))
+    low = np.full(len(contexts), len(data))
+    high = np.full(len(contexts), -1)
+    np.minimum.at(low, row[again], (start - begin[row])[again])
+    np.maximum.at(high, row[again], (start - begin[row])[again])
+    cut = [c[a : b + length] if b >= 0 else b"" for c, a, b in zip(contexts, low.tolist(), high.tolist())]
+    return np.where(high >= 0, low, 0), cut
+
+
 class _Shard:
     """Contexts laid end to end, with the least document of each string in them."""
 
@@ -406,49 +451,46 @@ def _mark_contexts(length: int, shard_bytes: int):
                 blobs += [blob[a:b] for a, b in zip((ends - columns[4]).tolist(), ends.tolist())]
         if asked:
             anchor, doc, text, begin = (np.concatenate(x) for x in zip(*asked))
-            lines: dict[tuple[int, bytes], list[tuple[int, int, int, int]]] = {}
-            for i, key in enumerate(zip(anchor.tolist(), blobs)):
-                lines.setdefault(key, []).append(i)
-            contexts = Counter(anchor for anchor, _ in lines)
-            keep = []
-            for (key, context), line in lines.items():
-                if len(line) > 1:
-                    numbers = np.array(line)
-                    late = numbers[doc[numbers] > doc[numbers].min()]
-                    marks.append((doc[late], text[late], begin[late], begin[late] + len(context)))
-                    line = numbers[doc[numbers] == doc[numbers].min()].tolist()
-                if contexts[key] > 1:  # else nothing else can hold its strings
-                    keep += line
-            keep = np.array(keep, np.int64)
-            order = keep[np.argsort(anchor[keep], kind="stable")]
+            for cut in (None, _repeated):
+                if cut is not None and len(blobs):  # of what is left, the stretch with strings that may repeat
+                    first, blobs = cut(blobs, doc, length)
+                    keep = np.array([i for i, blob in enumerate(blobs) if blob], np.int64)
+                    anchor, doc, text, begin = anchor[keep], doc[keep], text[keep], (begin + first)[keep]
+                    blobs = [blobs[i] for i in keep.tolist()]
+                lines: dict[tuple[int, bytes], list[int]] = {}
+                for i, key in enumerate(zip(anchor.tolist(), blobs)):
+                    lines.setdefault(key, []).append(i)
+                contexts = Counter(way for way, _ in lines)
+                ways, blobs, rows, late = _first_documents(lines, doc)
+                marks.append((doc[late[0]], text[late[0]], begin[late[0]], begin[late[0]] + late[1]))
+                # an anchor's only context: nothing else can hold its strings
+                keep = np.array([i for i, way in enumerate(ways.tolist()) if contexts[way] > 1], np.int64)
+                rows, anchor, blobs = rows[keep], ways[keep], [blobs[i] for i in keep.tolist()]
+                doc, text, begin = doc[rows], text[rows], begin[rows]
+            order = np.argsort(anchor, kind="stable")
             sizes = np.cumsum([len(blobs[i]) for i in order])
             total = int(sizes[-1]) if len(sizes) else 0
             cuts = np.unique(np.searchsorted(sizes, np.arange(0, total + shard_bytes, shard_bytes)))
             lots = [order[a:b] for a, b in zip(cuts, [*cuts[1:], len(order)]) if a < b]
-            shards: list[_Shard] = []
             # anchors on both sides of a cut: their strings are looked up in one sorted list
             seams = np.unique(np.concatenate([anchor[lot[:1]] for lot in lots[1:]])) if lots[1:] else np.zeros(0, np.int64)
             merged, least = np.zeros(0, f"S{length}"), np.zeros(0, np.int64)
-            for turn in (0, 1):  # first the least documents of all shards are gathered, then read
-                for k, lot in enumerate(lots):
-                    if turn == 1 and len(lots) == 1:
-                        shard = shards[0]
-                    else:
-                        shard = _Shard(doc[lot], [blobs[i] for i in lot], length)
-                    on_seam = np.isin(anchor[lot][shard.row[shard.first]], seams)
-                    names = _strings(shard.data, shard.place[shard.first[on_seam]], length)
-                    if turn == 0:
-                        if len(names):
-                            merged, least = _merge(merged, least, names, shard.least[on_seam])
-                        if len(lots) == 1:
-                            shards.append(shard)
-                        continue
-                    if len(names):
-                        shard.least[on_seam] = least[np.searchsorted(merged, names)]
-                    late = shard.least[shard.group] < doc[lot][shard.row]
-                    row = shard.row[late]
-                    start = shard.place[late] - shard.begin[row] + begin[lot][row]
-                    marks.append(_stretches(doc[lot][row], text[lot][row], start, length))
+            waiting = []
+            for lot in lots:
+                shard = _Shard(doc[lot], [blobs[i] for i in lot.tolist()], length)
+                row = lot[shard.row]
+                start = shard.place - shard.begin[shard.row] + begin[row]
+                on_seam = np.isin(anchor[row], seams)
+                first = np.isin(anchor[row[shard.first]], seams)
+                names = _strings(shard.data, shard.place[shard.first[first]], length)
+                merged, least = _merge(merged, least, names, shard.least[first])
+                waiting.append((names, (np.cumsum(first) - 1)[shard.group][on_seam], row[on_seam], start[on_seam]))
+                late = ~on_seam & (shard.least[shard.group] < doc[row])
+                marks.append(_stretches(doc[row[late]], text[row[late]], start[late], length))
+            for names, group, row, start in waiting:
+                if len(names):
+                    late = least[np.searchsorted(merged, names)][group] < doc[row]
+                    marks.append(_stretches(doc[row[late]], text[row[late]], start[late], length))
         if not marks:
             return _per_document(*[np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 2)
         ids, hashes, begins, ends = (np.concatenate(x) for x in zip(*marks))
@@ -524,8 +566,8 @@ def repeated_bytes(
 
     Only strings around shared anchors can repeat, so a first exchange finds the anchors (one in eighteen
     bytes, content picks them) that several documents have, and a second one brings the bytes around them
-    together, in ranges of the anchor's hash. Equal texts and equal contexts stand for each other. Anchors
-    with several contexts are worked off in shards of bounded size: a suffix array by refinement, common
+    together, in ranges of the anchor's hash. Equal texts and equal contexts stand for each other, and what a
+    hash of each string tells to be single is cut off. Anchors that then have several contexts are worked off in shards of bounded size: a suffix array by refinement, common
     prefixes, groups of equal strings with their least document. Strings of
     anchors that a cut between shards parts are merged by binary search in a sorted list. What a batch of
     documents has several times is settled there and sent on once; strings of anchors that very many
