@@ -21,13 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The exports of a check have so many rows in a file at most; the SQL counts files the same way.
+ROWS_PER_FILE = 1_000_000
+
+
+def files_sql(table_name: str, least: int = 8) -> str:
+    """Number of files an export of a table has, as SQL text."""
+    return f"(SELECT greatest({least}, CAST(ceil(count(*) / {ROWS_PER_FILE}.0) AS BIGINT)) FROM {table_name})"
+
+
 def export_csv(spark: SparkSession, rows: DataFrame, label: str, files: int | None = 8, **options) -> str:
     """Writes rows as CSV files with headers into a scratch folder; returns the folder.
 
-    ``files=None`` keeps the partitions as they are, one file each.
+    There are ``files`` files, more if there are many rows; ``files=None`` keeps the partitions as they
+    are, one file each.
     """
     path = scratch_path(spark, label)
-    spread = rows if files is None else rows.repartition(files)
+    spread = rows if files is None else rows.repartition(max(files, -(-rows.count() // ROWS_PER_FILE)))
     writer = spread.write.option("header", True).option("quote", '"').option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.options(**options).csv(path)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftgate.checks.common import DIRTY_ORDERS, Query, export_csv, paths_in, table
+from siftgate.checks.common import DIRTY_ORDERS, Query, export_csv, files_sql, paths_in, table
 from siftgate.functions.text import row_hash
 from siftgate.operators import validate
 from siftgate.operators.rows import SEQUENCE
@@ -43,6 +43,7 @@ ORDER_TEXT = {
 }
 ORDER_LINE = "concat(" + ", ',', ".join(ORDER_TEXT.values()) + ")"
 HEADER_LINE = ",".join(ORDER_TEXT)
+ORDER_FILES = files_sql("orders")
 
 
 def order_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,14 +62,14 @@ def _discover(spark, sf):
 
 CHECKS["discover_files"] = (
     _discover,
-    f"""SELECT '.csv' AS extension, 'csv' AS file_format, CAST(8 AS BIGINT) AS files,
-      CAST(sum(strlen({ORDER_LINE}) + 1) + 8 * {len(HEADER_LINE) + 1} AS BIGINT) AS plain_bytes FROM orders
-    UNION ALL SELECT '.csv.gz', 'csv', 4, NULL""",
+    f"""SELECT '.csv' AS extension, 'csv' AS file_format, {ORDER_FILES} AS files,
+      CAST(sum(strlen({ORDER_LINE}) + 1) + {ORDER_FILES} * {len(HEADER_LINE) + 1} AS BIGINT) AS plain_bytes FROM orders
+    UNION ALL SELECT '.csv.gz', 'csv', {files_sql("orders", 4)}, NULL""",
 )
 
 CHECKS["raw_zone"] = (
     lambda spark, sf: discover.raw_lines(spark, paths_in(spark, export_csv(spark, order_text(spark, sf), "raw"))).select("value"),
-    f"SELECT {ORDER_LINE} AS value FROM orders UNION ALL SELECT '{HEADER_LINE}' FROM generate_series(1, 8)",
+    f"SELECT {ORDER_LINE} AS value FROM orders UNION ALL SELECT '{HEADER_LINE}' FROM range({ORDER_FILES})",
 )
 
 
@@ -92,7 +93,7 @@ def _raw_files(spark, sf):
 
 CHECKS["raw_zone_files"] = (
     _raw_files,
-    f"""SELECT CAST(16 AS BIGINT) AS intact_files, CAST(sum(strlen({ORDER_LINE}) + 1) + 8 * {len(HEADER_LINE) + 1} AS BIGINT) AS total_bytes
+    f"""SELECT 2 * {ORDER_FILES} AS intact_files, CAST(sum(strlen({ORDER_LINE}) + 1) + {ORDER_FILES} * {len(HEADER_LINE) + 1} AS BIGINT) AS total_bytes
     FROM orders""",
 )
 
@@ -609,7 +610,7 @@ def _load_summary(spark, sf):
 
 CHECKS["load_summary"] = (
     _load_summary,
-    f"""WITH {_DIRTY_LOAD_SQL} SELECT CAST(3 AS BIGINT) AS files, CAST(3 AS BIGINT) AS successful, count(*) AS records_processed,
+    f"""WITH {_DIRTY_LOAD_SQL} SELECT {files_sql("orders", 3)} AS files, {files_sql("orders", 3)} AS successful, count(*) AS records_processed,
       count(*) FILTER (WHERE bad) AS validation_errors, count(*) FILTER (WHERE NOT bad) AS records_stage_loaded,
       count(*) FILTER (WHERE NOT bad AND NOT known) AS target_inserts,
       count(*) FILTER (WHERE NOT bad AND known AND old_price <> new_price) AS target_updates FROM cells""",
@@ -663,10 +664,10 @@ def _load_retry(spark, sf):
 
 CHECKS["load_retry"] = (
     _load_retry,
-    f"""WITH {_DIRTY_LOAD_SQL} SELECT CAST(3 AS BIGINT) AS successful, count(*) FILTER (WHERE bad) AS reported,
+    f"""WITH {_DIRTY_LOAD_SQL} SELECT {files_sql("orders", 3)} AS successful, count(*) FILTER (WHERE bad) AS reported,
       count(*) FILTER (WHERE NOT bad AND NOT known) AS target_inserts,
       count(*) FILTER (WHERE NOT bad AND known AND old_price <> new_price) AS target_updates,
-      count(*) FILTER (WHERE bad) AS stored, CAST(3 AS BIGINT) AS letter_files, CAST(3 AS BIGINT) AS copies, CAST(3 AS BIGINT) AS logged,
+      count(*) FILTER (WHERE bad) AS stored, {files_sql("orders", 3)} AS letter_files, {files_sql("orders", 3)} AS copies, {files_sql("orders", 3)} AS logged,
       count(*) FILTER (WHERE known OR NOT bad) AS target_rows FROM cells""",
 )
 
