@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from siftgate.llm.common import NULL_ID, stored, table, whole, with_groups
 from siftgate.llm.packed import ROW, packed, packed_rows, portions, sliced, unpacked
-from siftgate.session import scratch_path
 
 LENGTH = 50
 # Bytes of an anchor: each string of LENGTH bytes has the least hash of its GRAM-byte pieces.
@@ -577,7 +576,6 @@ def repeated_bytes(
     all others, rows of one id do not cut each other, rows that repeat id and text get the same
     line, an empty table gives no rows, and other columns are not looked at.
     """
-    spark = docs.sparkSession
     text = whole(text_column)
     keyed = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text")
@@ -603,15 +601,12 @@ def repeated_bytes(
     counted = shared.agg(F.sum(F.octet_length("_found") / 8)).first()[0] or 0
 
     # documents with a shared anchor, of equal texts the least one's
-    joined = keyed.join(places, ["_id", "_hash"]).select("_id", "_hash", "_text", "_places")
-    place = scratch_path(spark, "op8-texts")
-    joined.write.option("compression", "zstd").parquet(place)
-    texts = spark.read.schema(joined.schema).parquet(place)
+    texts = keyed.join(places, ["_id", "_hash"]).select("_id", "_hash", "_text", "_places")
     ranges = max(LEAST_RANGES, math.ceil(counted / RANGE_ANCHORS))
     contexts = texts.mapInArrow(_emit_contexts(length, ranges), ROW)
     marks = stored(contexts.groupBy("shard").applyInArrow(_mark_contexts(length, shard_bytes), FOUND), "op8-marks")
     marks = marks.groupBy("_id", "_hash").agg(F.collect_list("_found").alias("_marks"))
-    cut = texts.select("_id", "_hash", "_text").join(marks, ["_id", "_hash"]).select("_id", "_hash", "_text", "_marks")
+    cut = keyed.join(marks, ["_id", "_hash"]).select("_id", "_hash", "_text", "_marks")
     cut = cut.mapInArrow(_remove, "_id long, _hash long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
     cut = stored(cut, "op8-cut").dropDuplicates(["_id", "_hash"])
     led = with_groups(light, leads.drop("_lead_hash"), ["_whole"], "_copies", F.xxhash64("_id", "_hash"))
