@@ -35,7 +35,7 @@ def values_of(planes: bytes) -> np.ndarray:
 def packed(columns: list[np.ndarray], blob: bytes = b"") -> bytes:
     parts = [planes(c) for c in columns] + [blob]
     head = np.array([len(p) for p in parts], "<i8").tobytes()
-    return zstandard.compress(head + b"".join(parts), 1)
+    return zstandard.compress(head + b"".join(parts), 3)
 
 
 def unpacked(row: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:

@@ -29,6 +29,8 @@ HOT = 50_000
 # A place in a piece and an anchor's hash share one number.
 POSITION_BITS = 24
 HASH_BITS = 64 - POSITION_BITS
+# Places in a text, doubled at most: Spark's values end at 2**31 bytes.
+PLACE = "<u4"
 
 
 # Anchors --------------------------------------------------------------------------------------------
@@ -118,7 +120,7 @@ def _per_document(ids: np.ndarray, hashes: np.ndarray | None, columns: list[np.n
     """One row per document (id, or id and hash of the text) with its values packed."""
     keys = [ids] if hashes is None else [ids, hashes]
     order = np.lexsort((columns[0], *reversed(keys)))
-    keys, values = [k[order] for k in keys], np.stack([c[order] for c in columns], axis=1).astype("<i8")
+    keys, values = [k[order] for k in keys], np.stack([c[order] for c in columns], axis=1).astype(PLACE)
     new = np.ones(len(order), bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
     first = np.flatnonzero(new)
@@ -208,7 +210,7 @@ def _emit_contexts(length: int, ranges: int):
         for batch in portions(batches, 2, 3 * PORTION):
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts = [t.encode() for t in batch.column(2).to_pylist()]
-            places = [np.unique(np.frombuffer(b"".join(x), "<i8")) for x in batch.column(3).to_pylist()]
+            places = [np.unique(np.frombuffer(b"".join(x), PLACE)).astype(np.int64) for x in batch.column(3).to_pylist()]
             base = 1 << 40
             wanted = np.concatenate([i * base + p for i, p in enumerate(places)])
             lines: dict[tuple[int, bytes], list[int]] = {}
@@ -527,7 +529,7 @@ def _stretches(doc, text, start, length: int) -> tuple[np.ndarray, ...]:
 def cut_spans(found: list[bytes], size: int) -> list[tuple[int, int]]:
     """Maximal stretches, from packed ``begin, end`` pairs that may overlap or touch."""
     spans: list[list[int]] = []
-    for begin, end in sorted(np.frombuffer(b"".join(found), "<i8").reshape(-1, 2).tolist()):
+    for begin, end in sorted(np.frombuffer(b"".join(found), PLACE).reshape(-1, 2).tolist()):
         if spans and begin <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], end)
         else:
@@ -600,7 +602,7 @@ def repeated_bytes(
     shared = stored(shared, "op8-shared")
     places = shared.groupBy("_id").agg(F.collect_list("_found").alias("_places"))
     places = places.join(leads.select(F.col("_lead").alias("_id"), F.col("_lead_hash").alias("_hash")), "_id")
-    counted = shared.agg(F.sum(F.octet_length("_found") / 8)).first()[0] or 0
+    counted = shared.agg(F.sum(F.octet_length("_found") / 4)).first()[0] or 0
 
     # documents with a shared anchor, of equal texts the least one's
     joined = keyed.join(places, ["_id", "_hash"]).select("_id", "_hash", "_text", "_places")
