@@ -112,7 +112,7 @@ def top_k(
 
     Vectors that are null or hold null or non-finite components take no part, nor do null ids; rows
     that repeat id and vector count once, all rows of the query's id are its own; shorter vectors
-    count as filled up with zeros; equal scores go to the smaller id; an empty table gives no rows;
+    count as filled up with zeros; scores are 64-bit whole numbers; equal ones go to the smaller id; an empty table gives no rows;
     other columns are not looked at.
     """
     vector = F.col(vector_column)
