@@ -60,10 +60,8 @@ DEAD_LETTERS = T.StructType(
 
 def fold_events(events: DataFrame, key: str, sequence: str, columns: Sequence[str]) -> DataFrame:
     """Latest known value of every column per run; an event leaves unknown columns null."""
-    latest = [
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(sequence))).alias(c) for c in columns
-    ]
-    return events.groupBy(key).agg(*latest)
+    latest = [f"max_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN `{sequence}` END) AS `{c}`" for c in columns]
+    return events.groupBy(key).agg(*[F.expr(e) for e in latest])
 
 
 def dead_letters(rejected: DataFrame, table: str, failed_at: Column) -> DataFrame:

@@ -164,11 +164,14 @@ class Warehouse:
 
     def run_log(self) -> DataFrame:
         """The runs as their events left them."""
-        if not glob_paths(self.spark, f"{self.root}/file_load_log/*.parquet"):
-            return self.spark.createDataFrame([], RUN_LOG)
-        events = self.spark.read.schema(RUN_EVENTS).parquet(f"{self.root}/file_load_log")
+        events = self._run_events()
         return fold_events(events, "id", EVENT_NUMBER, [c for c in RUN_LOG.names if c != "id"]).select(*RUN_LOG.names)
 
+    def _run_events(self) -> DataFrame:
+        if not glob_paths(self.spark, f"{self.root}/file_load_log/*.parquet"):
+            return self.spark.createDataFrame([], RUN_EVENTS)
+        return self.spark.read.schema(RUN_EVENTS).parquet(f"{self.root}/file_load_log")
+
     def append_run_log(self, rows: DataFrame) -> None:
         """Events: what has become known of runs. What an event does not know stays as it was."""
         numbered = rows.withColumn(EVENT_NUMBER, F.lit(time.time_ns()).cast("long"))
@@ -176,7 +179,7 @@ class Warehouse:
 
     def next_run_id(self) -> int:
         """One more than any run in the log; runs are logged before they begin."""
-        return (self.run_log().agg(F.max("id")).first()[0] or 0) + 1
+        return (self._run_events().agg(F.max("id")).first()[0] or 0) + 1
 
 
 def empty_target(spark: SparkSession, source: SourceSpec) -> DataFrame:
