@@ -31,7 +31,7 @@ from siftgate.spec import FieldSpec, Registry, SourceSpec  # noqa: E402
 # Rows per second of the published case study: 2,000,000 CSV rows in 110 seconds.
 BASELINE_ROWS_PER_SECOND = 18_181
 CASE_STUDY_ROWS = 2_000_000
-CUSTOMER_ROWS = 500_000
+CUSTOMER_ROWS = 200_000
 
 HEADLINE = (
     "validate_int", "validate_float", "validate_date", "valid_invalid_split", "dlq_rows", "error_rate_gate",
