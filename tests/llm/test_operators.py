@@ -339,6 +339,37 @@ def test_passages_of_many_documents(spark):
     assert all(r.end - r.start == 60 for r in found)
 
 
+@pytest.mark.parametrize("between", [10, 30, 45, 64])
+def test_passages_with_other_words_between(spark, between):
+    one, two = odd_data.words(0, 52), odd_data.words(1000, 52)
+    rows = [(i, f"{one} {odd_data.words(10_000 * i, between)} {two}") for i in (1, 2)]
+    found = passages.fuzzy_passages(texts(spark, rows)).collect()
+    spans = sorted((r.start, r.end, r.partner_start, r.partner_end) for r in found)
+    second = 52 + between
+    parts = [(0, 52, 0, 52), (second, second + 52, second, second + 52)]
+    assert spans == (parts if between > 26 else [(0, second + 52, 0, second + 52)])
+
+
+def test_passage_with_a_stray_seed(spark):
+    one, stray = odd_data.words(0, 52), odd_data.words(1000, 7)
+    rows = [(i, f"{one} {odd_data.words(10_000 * i, 40)} {stray} {odd_data.words(20_000 * i + 500, 40)}") for i in (1, 2)]
+    found = passages.fuzzy_passages(texts(spark, rows), every=1).collect()
+    assert [(r.start, r.end, r.partner_start, r.partner_end) for r in found] == [(0, 52, 0, 52)]
+
+
+def test_stretches_are_longest():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        steps = rng.choice([1, 1, 1, 1, 2, 3, 9], (2, 30))
+        x, y = np.cumsum(steps, axis=1)
+        fits = [(q - p, p, q) for p in range(30) for q in range(p, 30)
+                if passages._similar(x, y, p, q) >= 0.8 - 1e-9 and min(x[q] - x[p], y[q] - y[p]) + 1 >= 6]
+        best = passages._longest(x, y, 6, 0.8)
+        assert (best is None) == (not fits) and (not fits or best[1] - best[0] == max(fits)[0])
+        found = passages.stretches(x, y, 6, 0.8)
+        assert bool(found) == bool(fits) and all(a[1] < b[0] for a, b in zip(found, found[1:]))
+
+
 def test_chains_are_best():
     rng = np.random.default_rng(1)
     for _ in range(30):
