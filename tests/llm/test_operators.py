@@ -357,6 +357,33 @@ def test_passage_with_a_stray_seed(spark):
     assert [(r.start, r.end, r.partner_start, r.partner_end) for r in found] == [(0, 52, 0, 52)]
 
 
+def test_passage_of_lines_that_others_have(spark):
+    """Each seed of the shared passage is first seen in a document that shares less than a passage."""
+    one, two, three = (odd_data.words(1000 * k, 20) for k in range(3))
+    other = [odd_data.words(100_000 * k, 30) for k in range(1, 5)]
+    rows = [(1, f"{one} {two} {other[0]}"), (2, f"{other[1]} {two} {three}")]
+    rows += [(3, f"{other[2]} {one} {two} {three}"), (4, f"{one} {two} {three} {other[3]}")]
+    for parts in (1, 4):
+        found = passages.fuzzy_passages(texts(spark, rows).repartition(parts)).collect()
+        assert {(r.doc_id, r.start, r.end, r.partner_id, r.partner_start) for r in found} == {(4, 0, 60, 3, 30)}
+
+
+def test_passage_after_a_stray_first_place(spark):
+    """The partner has each line of the passage once more, further up."""
+    lines = [odd_data.words(1000 * k, 20) for k in range(3)]
+    above = " ".join(f"{line} {odd_data.words(50_000 + 1000 * k, 80)}" for k, line in enumerate(lines[::-1]))
+    rows = [(1, above + " " + " ".join(lines)), (2, odd_data.words(90_000, 30) + " " + " ".join(lines))]
+    found = passages.fuzzy_passages(texts(spark, rows)).collect()
+    assert (30, 90, 300, 360) in {(r.start, r.end, r.partner_start, r.partner_end) for r in found}
+
+
+def test_links_do_not_depend_on_partitions(spark):
+    docs = common.table(spark, SF_DIR, "documents")
+    columns = ("doc_id", "start", "end", "partner_id", "partner_start", "partner_end", "equal")
+    one = got(passages.fuzzy_passages(docs.repartition(1)), *columns)
+    assert one == got(passages.fuzzy_passages(docs.repartition(7)), *columns)
+
+
 def test_stretches_are_longest():
     rng = np.random.default_rng(3)
     for _ in range(200):
@@ -366,7 +393,7 @@ def test_stretches_are_longest():
                 if passages._similar(x, y, p, q) >= 0.8 - 1e-9 and min(x[q] - x[p], y[q] - y[p]) + 1 >= 6]
         best = passages._longest(x, y, 6, 0.8)
         assert (best is None) == (not fits) and (not fits or best[1] - best[0] == max(fits)[0])
-        found = passages.stretches(x, y, 6, 0.8)
+        found = passages.stretches(x, y, (0, 29), 6, 0.8)
         assert bool(found) == bool(fits) and all(a[1] < b[0] for a, b in zip(found, found[1:]))
 
 
