@@ -384,6 +384,15 @@ def test_links_do_not_depend_on_partitions(spark):
     assert one == got(passages.fuzzy_passages(docs.repartition(7)), *columns)
 
 
+@pytest.mark.parametrize("length, step", [(50, 5), (60, 5), (60, 6)])
+def test_passages_with_every_few_words_changed(spark, length, step):
+    passage = odd_data.words(0, length).split()
+    edited = [f"other{k}" if k % step == 2 else w for k, w in enumerate(passage)]
+    rows = [(i, f"{odd_data.words(10_000 * i, 30)} {' '.join(w)} {odd_data.words(10_000 * i + 500, 30)}") for i, w in ((1, passage), (2, edited))]
+    (row,) = passages.fuzzy_passages(texts(spark, rows)).collect()
+    assert (row.start, row.end, row.partner_start, row.partner_end) == (30, 30 + length, 30, 30 + length)
+
+
 def test_stretches_are_longest():
     rng = np.random.default_rng(3)
     for _ in range(200):
