@@ -39,10 +39,17 @@ STAND_IN, PUT_IN, AGAIN = 2.0, 0.7, 1.2
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 OTHER, CLASSES = 62, 64
 PARTS = re.compile(r"\W+|_+")
-SPELLED = re.compile(r"(?<!\w)\w(?:[ ._*-]\w){2,}(?!\w)")
-# Two single characters in a row: without them no word is spelled out with blanks.
-SINGLES = re.compile(r" \w(?!\w) \w(?!\w)")
-THRICE = re.compile(r"(.)\1\1")
+# What may be read as a letter; single ones with one to three separators in between are spelled out.
+SYMBOLS = "".join(c for c in STANDS_FOR if not c.isalnum())
+_ONE = rf"(?:[^\W_]|[{re.escape(SYMBOLS)}])"
+SPELLED = re.compile(rf"(?<![^\W_]){_ONE}(?:[\s._*-]{{1,3}}{_ONE}){{2,}}(?![^\W_])")
+AGAIN_SAID = re.compile(r"([^\W\d_])\1")
+# A separator between what may be read as letters.
+PARTED = re.compile(rf"{_ONE}[{re.escape(SEPARATORS)}]+{_ONE}")
+LETTER = re.compile(rf"[^\W\d_]|[{re.escape(SYMBOLS)}]")
+STANDING = re.compile(f"[{re.escape(''.join(STANDS_FOR))}]")
+OUTSIDE = re.compile(rf"^(?:_|[^\w{re.escape(SYMBOLS)}])+|(?:_|[^\w{re.escape(SYMBOLS)}])+$")
+PLAIN = re.compile(r"^[\W_]+|[\W_]+$")
 # Tokens whose weight a task remembers, and characters whose runs are counted together.
 REMEMBERED, PORTION = 400_000, 1 << 20
 
@@ -132,10 +139,17 @@ def decode(spelled: str, model: np.ndarray) -> str:
 
 
 def _disguised(token: str) -> bool:
-    """Letters mixed with stand-ins, or one character three times in a row."""
+    """A stand-in, a letter said once more or a separator inside; numbers are not."""
     if token.isalpha():
-        return THRICE.search(token) is not None
-    return any(c.isalpha() for c in token) and any(c in STANDS_FOR for c in token)
+        return AGAIN_SAID.search(token) is not None
+    if LETTER.search(token) is None:
+        return False
+    return any(p.search(token) is not None for p in (STANDING, AGAIN_SAID, PARTED))
+
+
+def _readings(token: str) -> set[str]:
+    """A token without the punctuation around it, with and without stand-ins among that."""
+    return {OUTSIDE.sub("", token), PLAIN.sub("", token)}
 
 
 def features(word: str) -> list[str]:
@@ -156,19 +170,17 @@ def token_words(token: str, model: np.ndarray) -> list[str]:
     """Plain words of a token, restored ones included."""
     words = [w for w in PARTS.split(token) if w]
     if not token.isalnum():
-        words += _spelled(token, model)
-    if _disguised(token):
-        words += [w for w in PARTS.split(decode(token, model)) if w]
+        words += spelled_words(token, model)
+    for reading in _readings(token):
+        if _disguised(reading):
+            words += [w for w in PARTS.split(decode(reading, model)) if w]
     return words
 
 
-def _spelled(text: str, model: np.ndarray) -> list[str]:
-    return [w for m in SPELLED.finditer(text) for w in PARTS.split(decode(m.group(), model)) if len(w) > 2]
-
-
 def spelled_words(text: str, model: np.ndarray) -> list[str]:
-    """Words spelled out character by character, with blanks in between (others are tokens)."""
-    return _spelled(text, model) if SINGLES.search(text) else []
+    """Words spelled out character by character, with blanks or other separators in between."""
+    spelled = (" ".join(m.group().split()) for m in SPELLED.finditer(text))
+    return [w for s in spelled for w in PARTS.split(decode(s, model)) if len(w) > 2]
 
 
 def _crc(id_column: str) -> Column:

@@ -295,6 +295,30 @@ def test_decoding():
     assert "idiot" in toxicity.spelled_words("he is an i d i o t of", model) and not toxicity.spelled_words("he is an idiot", model)
 
 
+DISGUISED = ["moooron,", "moooron.", '"moooron"', "(moooron)", "morron", "mo.ron", "mo-ron", "mo_ron", "m0r0n!", "m.0.r.o.n"]
+
+
+@pytest.mark.parametrize("token", DISGUISED)
+def test_disguised_tokens(token):
+    model = character_model_of("the moron is a moron and no other moron was the moron of them " * 30)
+    assert "moron" in toxicity.token_words(token, model)
+
+
+@pytest.mark.parametrize("spelled", ["$ p 1 t", "a $ p i t", "s.p i.t", "s - p - i - t", "s\np\ni\nt", "s p*i t"])
+def test_spelled_words(spelled):
+    model = character_model_of("spit and spit as they spit or spit when he spits a spit " * 30)
+    found = toxicity.spelled_words(f"here {spelled} here", model)
+    assert any(w.endswith("spit") for w in found)
+    assert not toxicity.spelled_words("he is 1 of us, i am", model)
+
+
+def character_model_of(text):
+    codes = np.array([toxicity._char_class(c) for c in "  " + text])
+    counts = np.zeros(toxicity.CLASSES**3)
+    np.add.at(counts, codes[:-2] * toxicity.CLASSES**2 + codes[1:-1] * toxicity.CLASSES + codes[2:], 1)
+    return toxicity.character_model(counts)
+
+
 def test_toxicity(spark, odd, empty):
     labels = common.table(spark, SF_DIR, "labels")
     rows = toxicity.score_documents(odd, labels, [odd["doc_id"], odd["_row"]]).collect()
