@@ -208,7 +208,8 @@ def fit_weights(docs: DataFrame, labels: DataFrame, model, id_column: str, text_
     A word's share is that of toxic documents among fitted documents with the word. A beginning's is the mean
     share of the different words that begin so: what matters is whether a word not seen yet would mark
     toxic documents too. Fitted on at most ``fit_rows`` labelled rows outside the held-out third, chosen by
-    a hash of the id; near copies among them are one piece of evidence.
+    a hash of the id; near copies among them are one piece of evidence. Features count whose bound is above the
+    toxic share of all fitted rows: without clean rows none does.
     """
     usable = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (_crc("doc_id") != 1))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -242,11 +243,13 @@ def fit_weights(docs: DataFrame, labels: DataFrame, model, id_column: str, text_
     stems = stems.agg(F.sum("share").alias("hits"), F.count("*").alias("total"))
     every = sample.agg(F.count("*"), F.sum("_toxic")).first()
     base = (every[1] or 0) / max(1, every[0])
+    # above the share of all rows for certain, which some feature can be whatever that share is
+    least = lower_bound(F.col("hits").cast("double"), F.col("total").cast("double"))
+    marked = words.union(stems).filter((F.col("hits") >= SUPPORT) & (least > base))
     # the square of the share tells mixed features from rare ones
-    weight = lower_bound(F.col("hits").cast("double"), F.col("total").cast("double")) * (F.col("hits") / F.col("total")) ** 2
-    marked = words.union(stems).filter(F.col("hits") >= SUPPORT).select("feature", weight.alias("weight"))
+    marked = marked.select("feature", (least * share**2).alias("weight"))
     # bounded by the sample: a feature needs several of its documents or words
-    return {r["feature"]: r["weight"] for r in marked.filter(F.col("weight") > 2 * base).collect()}
+    return {r["feature"]: r["weight"] for r in marked.collect()}
 
 
 def score_documents(

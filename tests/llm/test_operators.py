@@ -329,6 +329,17 @@ def test_toxicity(spark, odd, empty):
     assert got(toxicity.keep_clean(odd, nothing), *odd.columns) == got(odd, *odd.columns)
 
 
+@pytest.mark.parametrize("toxic_share", [0.1, 0.4, 0.6])
+def test_toxicity_of_toxic_labels(spark, toxic_share):
+    rng = np.random.default_rng(2)
+    toxic = [int(t) for t in rng.random(600) < toxic_share]
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 300, 40)) + (" zugor" if t else "")) for i, t in enumerate(toxic)]
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    docs = texts(spark, rows)
+    found = {r.doc_id: r.score >= toxicity.REJECT for r in toxicity.score_documents(docs, labels, [docs["doc_id"]]).collect()}
+    assert found == {i: bool(t) for i, t in enumerate(toxic)}
+
+
 def test_toxicity_held_out(spark):
     found = toxicity.op6_toxicity(spark, "/root/testdata/sf0.1")
     labels = common.table(spark, "/root/testdata/sf0.1", "labels").select("doc_id", "toxic")
