@@ -24,13 +24,16 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_MIN, ACCESS_MIN = 8, 16
 KINDS = ("assign", "access", "hex", "guess")
 
-# What makes a context: a credential's name, a sign of assignment, a value.
+# What makes a context: a credential's name, a sign of assignment, a value in quotes or up to white space.
 NAMES = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "login")
 CONTEXT = re.compile(
     r"""(?i:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private)[_-]?key|credentials?|auth|login)"""
-    r"""["']?[\x20\t]{0,4}(?::=|=>|[:=]|\x20is\x20)[\x20\t]{0,4}["']?([^\s"'<>,;(){}]+)""",
+    r"""["']?[\x20\t]*(?::=|=>|[:=]|\x20is\x20)[\x20\t]*"""
+    r"""(?:"((?:[^"\\\n]|\\.)+)"|'((?:[^'\\\n]|\\.)+)'|["']?(\S+))""",
     re.ASCII,
 )
+# What the text around a value without quotes ends it with; brackets only if nothing in the value opens them.
+AFTER, CLOSING = ".!?:,;\"'", {")": "(", "]": "[", "}": "{", ">": "<"}
 
 # Rows of a keyboard, each a little to the right of the one above.
 KEYBOARD = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -166,17 +169,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _trimmed(text: str, start: int, end: int) -> int:
+    """End of a value without the punctuation that belongs to the text around it."""
+    excess = {c: text.count(c, start, end) - text.count(o, start, end) for c, o in CLOSING.items()}
+    while end > start:
+        last = text[end - 1]
+        if last in CLOSING and excess[last] > 0:
+            excess[last] -= 1
+        elif last not in AFTER:
+            break
+        end -= 1
+    return end
+
+
 def guessed_spans(text: str, taken: list[tuple[int, int, int]], words: dict[str, int], strong: float) -> list[tuple[int, int, int]]:
-    """Values in credential context outside the fixed formats that take many guesses."""
+    """Values in credential context that take many guesses and reach beyond the fixed formats."""
     low = text.lower()
     if not any(name in low for name in NAMES):
         return []
     spans = []
     for match in CONTEXT.finditer(text):
-        start, end = match.span(1)
-        while end > start and text[end - 1] in ".!?:":  # the sentence's own
-            end -= 1
-        if end - start < SHORTEST or any(a < end and start < b for a, _, b in taken):
+        start, end = match.span(match.lastindex)
+        if match.lastindex == 3:
+            end = _trimmed(text, start, end)
+        if end - start < SHORTEST or any(a <= start and end <= b for a, _, b in taken):
             continue
         if guess_cost(text[start:end], words) >= strong:
             spans.append((start, 3, end))

@@ -49,6 +49,24 @@ def test_secrets_of_the_table(spark):
         assert set(filter(None, listed.split(","))) <= set(row.spans.split(","))
 
 
+@pytest.mark.parametrize(
+    "before, value, after",
+    [
+        ('password: "', "xQ9,vT4(zK7{mB2", '" x'),
+        ("login = ", "xK9;pQ2#rT", ", and"),
+        ("passphrase: '", "x9! Kq# Lm2$ Vz", "'"),
+        ("pwd:      ", "Xk9#mQ2!vB7zT4", ")."),
+        ("(pwd=", "Xk9(mQ2)vB7zT(4)", ");"),
+        ("password: ", "hunter22!@Kq#9z&Lp", "."),
+    ],
+)
+def test_whole_values(before, value, after):
+    words = secret_scan.ranked_words(secret_scan.dictionary_path())
+    text = before + value + after
+    spans = secret_scan.guessed_spans(text, secret_scan.base_spans(text), words, secret_scan.STRONG)
+    assert [text[a:b] for a, _, b in spans] == [value]
+
+
 def slow_cost(value, words):
     """Least cost over all segmentations, from the definition, for values without repeats."""
     import functools
