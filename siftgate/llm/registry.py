@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siftgate.llm import alignment, conversations, exact_dedup, mixing, packing, passages, secret_scan, sharding, simhash, suffixes, topk, toxicity
+from siftgate.llm import alignment, conversations, exact_dedup, language, mixing, packing, passages, secret_scan, sharding, simhash, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_secrets": secret_scan.op1_secrets,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffixes": suffixes.op8_suffixes,
     "op9_topk": topk.op9_topk,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_language": language.op11_language,
     "op12_alignment": alignment.op12_alignment,
     "op13_conversations": conversations.op13_conversations,
 }
