@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,21 @@ def export_csv(spark: SparkSession, rows: DataFrame, label: str, files: int | No
     return path
 
 
+@contextmanager
+def many_splits(spark: SparkSession, total_bytes: int, least: int = 64 * 1024) -> Iterator[None]:
+    """Scans cut files of so many bytes into about 64 splits, so that small tables too have files of several."""
+    size = str(max(least, total_bytes // 64))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for name in names:
+        spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
 def paths_in(spark: SparkSession, folder: str) -> list[str]:
     from siftgate.sources.discover import list_files
 

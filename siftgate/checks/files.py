@@ -11,13 +11,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftgate.checks.common import DIRTY_ORDERS, Query, export_csv, files_sql, paths_in, table
+from siftgate.checks.common import DIRTY_ORDERS, Query, export_csv, files_sql, many_splits, paths_in, table
 from siftgate.functions.text import row_hash
 from siftgate.operators import validate
 from siftgate.operators.rows import SEQUENCE
 from siftgate.plans import load
-from siftgate.session import make_directory, path_exists, qualified, scratch_path
+from siftgate.session import make_directory, path_exists, qualified, scratch_path, steady_splits
 from siftgate.sources import discover
+from siftgate.sources.csv_source import read_csv
 from siftgate.sources.paths import file_system
 from siftgate.sources.tables import Warehouse
 from siftgate.spec import FieldSpec, Registry, SourceSpec
@@ -97,6 +98,25 @@ CHECKS["raw_zone_files"] = (
     FROM orders""",
 )
 
+
+def _raw_by_scan(spark, sf):
+    """The same files archived both ways, the scan in many splits: whose sizes, chunks and digests agree."""
+    plain = export_csv(spark, order_text(spark, sf), "raw")
+    packed = export_csv(spark, order_text(spark, sf), "raw-gz", compression="gzip")
+    listed = discover.supported(discover.list_files(spark, plain).unionByName(discover.list_files(spark, packed))).collect()
+    files = [(r.path, r.file_bytes) for r in listed]
+    noted = []
+    with many_splits(spark, sum(size for _, size in files)):
+        for by_scan in (False, True):
+            archive = scratch_path(spark, "archive")
+            discover.archive_raw(spark, files, archive, CHECK_CHUNK, by_scan)
+            noted.append(spark.read.parquet(f"{archive}/files").select("source_filename", "file_bytes", "chunks", "digest"))
+    plain_bytes = F.sum(F.when(F.col("source_filename").endswith(".csv"), F.col("file_bytes")))
+    return noted[1].join(noted[0], noted[0].columns, "left_semi").agg(F.count("*").alias("equal_files"), plain_bytes.alias("total_bytes"))
+
+
+CHECKS["raw_zone_by_scan"] = (_raw_by_scan, CHECKS["raw_zone_files"][1].replace("intact_files", "equal_files"))
+
 # --- CSV ----------------------------------------------------------------------------------
 
 DOCUMENTS = SourceSpec(
@@ -125,6 +145,40 @@ CHECKS["csv_scan"] = (
     "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5, true AS is_valid FROM documents",
 )
 
+
+def _split_csv(spark, sf):
+    """The same texts from few large files, each read by many tasks: records reach over line breaks and splits."""
+    folder = export_csv(spark, table(spark, sf, "documents"), "documents", files=2)
+    sizes = {r.path: r.file_bytes for r in discover.list_files(spark, folder).filter("file_format = 'csv'").collect()}
+    path = scratch_path(spark, "documents-stage")
+    header = [f.name for f in DOCUMENTS.fields]
+    with many_splits(spark, sum(sizes.values())), steady_splits(spark):
+        raw = read_csv(spark, list(sizes), DOCUMENTS, header, sizes=sizes, whole_bytes=0)
+        load.staged(raw, DOCUMENTS).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _split_cells(spark, sf):
+    stage = _split_csv(spark, sf)
+    return stage.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"), "is_valid")
+
+
+CHECKS["csv_split_scan"] = (_split_cells, CHECKS["csv_scan"][1])
+
+
+def _split_numbers(spark, sf):
+    """Row numbers of those files: from 2, without gaps or repeats in any of them."""
+    numbered = load.number_rows(_split_csv(spark, sf), DOCUMENTS)
+    by_file = numbered.groupBy("source_filename").agg(
+        F.count("*").alias("n"), F.min("file_row_number").alias("first"), F.max("file_row_number").alias("last"),
+        F.count_distinct("file_row_number").alias("numbers"),
+    )
+    good = (F.col("first") == 2) & (F.col("last") == F.col("n") + 1) & (F.col("numbers") == F.col("n"))
+    return by_file.agg(F.sum("n").alias("records"), F.count_if(~good).alias("bad_files"))
+
+
+CHECKS["csv_split_row_numbers"] = (_split_numbers, "SELECT count(*) AS records, 0::BIGINT AS bad_files FROM documents")
+
 ORDERS = SourceSpec(
     "orders_loaded",
     ("*.csv", "*.csv.gz"),

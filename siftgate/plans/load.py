@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -20,11 +20,13 @@ from pyspark.sql import types as T
 from siftgate.functions.messages import ALREADY_LOADED, DUPLICATE_FILE, NO_DATA
 from siftgate.operators import audit, logs, merge, rows, validate
 from siftgate.operators.rows import BLOCK, SEQUENCE
-from siftgate.session import BROADCAST_ROWS, remove_path, short_methods
+from siftgate.session import BROADCAST_ROWS, remove_path, short_methods, steady_splits
 from siftgate.sources import discover, headers
 from siftgate.sources.csv_source import SHAPE, read_csv
 from siftgate.sources.excel_source import excel_headers, read_excel, stage_cells
 from siftgate.sources.json_source import json_headers, read_json, stage_records
+from siftgate.sources.paths import charset
+from siftgate.sources.records import SPLITTABLE
 from siftgate.sources.tables import Warehouse
 from siftgate.spec import Registry, SourceSpec
 
@@ -237,11 +239,15 @@ def first_row(source: SourceSpec) -> int:
 
 
 def scan(
-    spark: SparkSession, source: SourceSpec, paths: Sequence[str], work: str | None = None
+    spark: SparkSession,
+    source: SourceSpec,
+    paths: Sequence[str],
+    work: str | None = None,
+    sizes: Mapping[str, int] | None = None,
 ) -> tuple[DataFrame | None, list[Row]]:
     """Raw records of the files with a usable header, and the header verdict of every file.
 
-    ``work`` is a folder for what workbooks and documents are unpacked to. CSV files and sheets are scanned
+    ``work`` is a folder for what workbooks and documents are unpacked to, ``sizes`` the files' bytes, if known. CSV files and sheets are scanned
     together per distinct header, because cells bind by position; JSON files in one scan.
     """
     if source.reader is not None:
@@ -266,11 +272,11 @@ def scan(
     alike: dict[tuple, list[str]] = defaultdict(list)
     for v in verdicts:
         if v.error_type is None:
-            alike[tuple(v.header)].append(v.path)
+            alike[tuple(v.header), v.newline if source.format == "csv" else None].append(v.path)
     frames = []
-    for header, members in alike.items():
+    for (header, newline), members in alike.items():
         if source.format == "csv":
-            frames.append(read_csv(spark, members, source, header))
+            frames.append(read_csv(spark, members, source, header, newline, sizes))
         else:
             mine = cells if len(alike) == 1 else cells.filter(F.col("path").isin(members))
             frames.append(read_excel(mine, source, header))
@@ -310,11 +316,14 @@ def spread(raw: DataFrame, source: SourceSpec, runs: Sequence[dict]) -> DataFram
 
     One task still reads each such file, but checking, hashing and writing is shared.
     """
-    whole = source.format != "csv" or source.multiline
+    if source.format == "csv":
+        whole = source.multiline and charset(source.encoding) not in SPLITTABLE
+    else:
+        whole = not source.json_lines
     size = sum(
         r["file_bytes"] * (GZIP_RATIO if r["path"].lower().endswith(".gz") else 1)
         for r in runs
-        if (whole and not source.json_lines) or r["path"].lower().endswith(".gz")
+        if whole or r["path"].lower().endswith(".gz")
     )
     parts = -(-size // SPLIT_BYTES)
     return raw.repartition(parts) if parts > len(runs) else raw
@@ -335,7 +344,8 @@ def _attempt(
     started = _now()
     stage_path = f"{warehouse.root}/stage/{source.table}-{uuid.uuid4().hex}"
     try:
-        _check_and_publish(spark, source, fresh, warehouse, stage_path, now, started)
+        with steady_splits(spark):
+            _check_and_publish(spark, source, fresh, warehouse, stage_path, now, started)
     finally:
         remove_path(spark, stage_path)
 
@@ -349,7 +359,8 @@ def _check_and_publish(
     now: datetime,
     started: datetime,
 ) -> None:
-    raw, verdicts = scan(spark, source, [r["path"] for r in fresh], stage_path)
+    sizes = {r["path"]: r["file_bytes"] for r in fresh}
+    raw, verdicts = scan(spark, source, list(sizes), stage_path, sizes)
     by_name = {r["source_filename"]: r for r in fresh}
     for verdict in verdicts:
         if verdict.error_type is not None:

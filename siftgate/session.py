@@ -32,6 +32,20 @@ def short_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def steady_splits(spark: SparkSession) -> Iterator[None]:
+    """Cuts the same files into the same splits in every scan, however many executors there are by then."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    if before is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a fresh local one only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

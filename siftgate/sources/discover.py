@@ -11,12 +11,14 @@ from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftgate.functions.messages import AMBIGUOUS_SOURCE
-from siftgate.session import escaped, glob_files, is_directory, path_exists, qualified
+from siftgate.operators.rows import BLOCK
+from siftgate.session import escaped, glob_files, is_directory, path_exists, qualified, scratch_path, steady_splits
 from siftgate.sources.paths import can_open, file_name, file_system, literal_paths, scanned_name
+from siftgate.sources.records import split_runs, with_splits
 from siftgate.spec import SourceSpec
 
 log = logging.getLogger(__name__)
@@ -165,23 +167,31 @@ def not_loaded(files: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def archive_raw(
-    spark: SparkSession, files: Sequence[tuple[str, int]], destination: str, chunk_bytes: int = CHUNK_BYTES
+    spark: SparkSession,
+    files: Sequence[tuple[str, int]],
+    destination: str,
+    chunk_bytes: int = CHUNK_BYTES,
+    by_scan: bool = False,
 ) -> None:
     """Copies files, given as (path, bytes), into the raw zone before anything else happens.
 
     Every file, whatever its size and kind, is kept byte by byte: rows ``copy_id, source_filename, file_offset,
     bytes, chunk_digest`` below ``chunks``, written by the executors, and then one row per file below ``files``
-    with its size and the digest of its chunks' digests. A copy is there once its ``files`` row is.
+    with its size and the digest of its chunks' digests. A copy is there once its ``files`` row is. Executors
+    open the files; where they cannot, or ``by_scan``, a scan gives the same chunks and digests.
     """
     copy_id = uuid.uuid4().hex
     target = f"{destination}/chunks/copy_id={copy_id}"
-    try:
-        if not can_open([p for p, _ in files]):
-            raise OSError("not a scheme that Python opens")
-        _opened_chunks(spark, files, chunk_bytes).write.options(**LARGE_ROWS).parquet(target)
-    except Exception as error:
-        log.info("Raw files are copied by Spark: %s", error)
-        _scanned_chunks(spark, files, chunk_bytes).write.mode("overwrite").options(**LARGE_ROWS).parquet(target)
+    openable = not by_scan and can_open([p for p, _ in files])
+    if openable:
+        try:
+            _opened_chunks(spark, files, chunk_bytes).write.options(**LARGE_ROWS).parquet(target)
+        except Exception:
+            log.warning("%d raw files are copied by a scan", len(files), exc_info=True)
+            openable = False
+    if not openable:
+        with steady_splits(spark):
+            _scanned_chunks(spark, files, chunk_bytes).write.mode("overwrite").options(**LARGE_ROWS).parquet(target)
     chunks = spark.read.schema(CHUNK).parquet(target)
     digests = raw_digests(chunks, "chunk_digest").withColumn("copy_id", F.lit(copy_id))
     digests.coalesce(1).write.mode("append").parquet(f"{destination}/files")
@@ -210,15 +220,131 @@ def _opened_chunks(spark: SparkSession, files: Sequence[tuple[str, int]], chunk_
     return pieces.repartition(parts, "path", "file_offset").mapInArrow(read, CHUNK)
 
 
+# Packed files as they are: a codec that leaves bytes alone takes the place of the one that unpacks. The name of its
+# setting differs between the plain and the shaded library.
+AS_IT_IS = {
+    "io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec",
+    "io.compress.passthrough.extension": ".gz",
+    "org.apache.hadoop.shaded.io.compress.passthrough.extension": ".gz",
+}
+
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"
+
+PIECE = "source_filename string, chunk long, file_offset long, bytes binary"
+
+
+def _byte_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``source_filename, file_block, value`` of every stretch of bytes between line feeds, whatever the bytes are."""
+    scan = spark.read.options(**AS_IT_IS).option("lineSep", "\n").text(literal_paths(paths))
+    return scan.select(scanned_name().alias("source_filename"), F.col("_metadata.file_block_start").alias(BLOCK), F.col("value").cast("binary").alias("value"))
+
+
+def _split_places(lines: DataFrame, files: Sequence[tuple[str, int]]) -> DataFrame:
+    """Per split: the offset of its first byte in the file, and what a scan of lines leaves out at the file's ends.
+
+    Lines give all bytes but the line feed that a file may lack at its end and a byte order mark at its beginning.
+    The listed length tells which: they have different sizes, and so have both together.
+    """
+    spark = lines.sparkSession
+    sizes = [(p.rsplit("/", 1)[-1], size) for p, size in files]
+    listed = spark.createDataFrame(sizes, "source_filename string, file_bytes long")
+    splits = lines.groupBy("source_filename", BLOCK).agg(F.sum(F.octet_length("value") + 1).alias("split_bytes"))
+    whole = Window.partitionBy("source_filename")
+    before = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = splits.join(listed, "source_filename").select(
+        "source_filename",
+        BLOCK,
+        "file_bytes",
+        "split_bytes",
+        F.coalesce(F.sum("split_bytes").over(before), F.lit(0)).alias("lines_before"),
+        (F.col("file_bytes") - F.sum("split_bytes").over(whole)).alias("missing"),
+        (F.col(BLOCK) == F.max(BLOCK).over(whole)).alias("is_last"),
+    )
+    changed = F.raise_error(F.concat(F.lit("The file changed while it was read: "), "source_filename")).cast("boolean")
+    mark = F.when(F.col("missing").isin(2, 3), True).when(F.col("missing").isin(0, -1), False).otherwise(changed)
+    return placed.select(
+        "source_filename",
+        BLOCK,
+        "file_bytes",
+        (F.col("lines_before") + F.when(mark & (F.col("lines_before") > 0), 3).otherwise(0)).alias("split_offset"),
+        (mark & (F.col("lines_before") == 0)).alias("has_mark"),
+        (F.col("is_last") & F.col("missing").isin(-1, 2)).alias("lacks_end"),
+    )
+
+
+def _cut_bytes(chunk_bytes: int, wanted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bytes of each split cut where the file's chunks end: those of whole chunks, or of parts of chunks, as wanted."""
+        split, parts, size, at, length, lacks_end = None, [], 0, 0, 0, False
+
+        def cut(end: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal parts, size, at
+            held = b"".join(parts)
+            if end and lacks_end:
+                held = held[:-1]
+            taken = 0
+            while taken < len(held) and at < length:
+                number = at // chunk_bytes
+                stop = min((number + 1) * chunk_bytes, length)
+                if stop - at > len(held) - taken and not end:
+                    break
+                piece = held[taken : taken + stop - at]
+                is_whole = at == number * chunk_bytes and at + len(piece) == stop
+                if is_whole == wanted:
+                    row = [[split[0]], [number], [at], [piece]]
+                    kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=["source_filename", "chunk", "file_offset", "bytes"])
+                taken, at = taken + len(piece), at + len(piece)
+            parts, size = [held[taken:]], len(held) - taken
+
+        for key, piece in split_runs(batches):
+            if key != split:
+                if split is not None:
+                    yield from cut(True)
+                split, parts, size = key, [], 0
+                length, at, has_mark, lacks_end = (piece.column(i)[0].as_py() for i in (3, 4, 5, 6))
+                if has_mark:
+                    parts, size = [BYTE_ORDER_MARK], len(BYTE_ORDER_MARK)
+            for start in range(0, piece.num_rows, 1024):
+                lines = piece.column(2).slice(start, 1024).to_pylist()
+                parts += [b"\n".join(lines), b"\n"]
+                size += sum(map(len, lines)) + len(lines)
+                if size > chunk_bytes:  # the last byte may be a line feed that is not there
+                    yield from cut(False)
+        if split is not None:
+            yield from cut(True)
+
+    return run
+
+
 def _scanned_chunks(spark: SparkSession, files: Sequence[tuple[str, int]], chunk_bytes: int) -> DataFrame:
-    """The same where only Spark can read: a file is one value there until it is cut."""
-    scanned = spark.read.format("binaryFile").load(literal_paths([p for p, size in files if size]))
-    places = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(chunk_bytes).cast("long"))
-    pieces = scanned.select(file_name("path").alias("source_filename"), "content", F.explode(places).alias("file_offset"))
-    part = F.expr(f"substring(content, CAST(file_offset + 1 AS INT), {chunk_bytes})")
-    cut = pieces.select("source_filename", "file_offset", part.alias("bytes"))
-    empty = spark.createDataFrame([(p.rsplit("/", 1)[-1], 0, b"") for p, size in files if not size], "source_filename string, file_offset long, bytes binary")
-    return cut.unionByName(empty).withColumn("chunk_digest", F.sha2("bytes", 256))
+    """The same chunks where only Spark can read, from a scan of lines: no value is larger than a chunk or a line.
+
+    A first scan gives the place of every split in its file, a second the chunks that lie within a split; a
+    third the parts of the others, two to a split, which alone are exchanged to be put together.
+    """
+    lines = _byte_lines(spark, [p for p, size in files if size])
+    path = scratch_path(spark, "places")
+    _split_places(lines, files).write.parquet(path)
+    places = spark.read.parquet(path)
+    count = places.count()
+    unknown = F.raise_error(F.lit("The splits of a file changed while it was read")).cast("long")
+    placed = with_splits(lines, places, count, "left").withColumn("file_bytes", F.coalesce("file_bytes", unknown))
+    whole = placed.mapInArrow(_cut_bytes(chunk_bytes, True), PIECE).select("source_filename", "file_offset", "bytes")
+    parts = placed.mapInArrow(_cut_bytes(chunk_bytes, False), PIECE)
+    listed = F.array_sort(F.collect_list(F.struct("file_offset", "bytes")))
+    joined = parts.groupBy("source_filename", "chunk").agg(listed.alias("parts")).select(
+        "source_filename",
+        F.col("parts")[0]["file_offset"].alias("file_offset"),
+        F.reduce("parts", F.lit(b""), lambda found, part: F.concat(found, part["bytes"])).alias("bytes"),
+    )
+    # files without a line: empty ones, and a mark alone
+    sizes = [(p.rsplit("/", 1)[-1], size) for p, size in files if size in (0, len(BYTE_ORDER_MARK))]
+    listed = spark.createDataFrame(sizes, "source_filename string, file_bytes long")
+    empty = listed.join(places, "source_filename", "left_anti").select(
+        "source_filename", F.lit(0).cast("long").alias("file_offset"), F.when(F.col("file_bytes") == 0, b"").otherwise(BYTE_ORDER_MARK).alias("bytes")
+    )
+    return whole.unionByName(joined).unionByName(empty).withColumn("chunk_digest", F.sha2("bytes", 256))
 
 
 def raw_digests(chunks: DataFrame, digest: str) -> DataFrame:

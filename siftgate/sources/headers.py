@@ -4,24 +4,23 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import logging
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftgate.functions import messages
-from siftgate.sources.paths import can_open, charset, file_name, file_system, literal_paths, scanned_path
+from siftgate.sources.paths import can_open, file_name, file_system
+from siftgate.sources.records import HEADERS, first_records, newline_of
 from siftgate.spec import SourceSpec
 
 log = logging.getLogger(__name__)
 
 SCHEMA = "path string, header array<string>"
 
-# Lines of a file that a header record may reach over, where the file is found by a scan only.
-HEADER_LINES = 1000
-
 
 def open_text(path: str, encoding: str) -> io.TextIOWrapper:
     """A file of any openable scheme as text, read in small pieces; gzip by its ending."""
@@ -45,44 +44,26 @@ def read_heads(spark: SparkSession, paths: Sequence[str], read: Callable[[str],
 
 
 def csv_headers(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
-    """``path, header`` per file, from its first record.
+    """``path, header, newline`` per file, from its first record, however many lines that has.
 
     Executors open each file and read that record only. Where Python cannot open the files (another
     scheme, or credentials that only Spark has), a scan of their lines gives the same.
     """
     delimiter, encoding = source.delimiter, source.encoding
 
-    def first_record(path: str) -> tuple[list[str]]:
+    def first_record(path: str) -> tuple[list[str], str]:
         with open_text(path, encoding) as text:
-            return (next(csv.reader(text, delimiter=delimiter), []),)
+            first = next(text, "")  # up to any line break
+            kind = newline_of(first if first.endswith("\n") else first + " " * first.endswith("\r"))
+            return next(csv.reader(itertools.chain([first], text), delimiter=delimiter), []), kind
 
     if can_open(paths):
         try:
-            found = read_heads(spark, paths, first_record, SCHEMA).collect()  # one row per file
-            return spark.createDataFrame(found, SCHEMA)
+            found = read_heads(spark, paths, first_record, HEADERS).collect()  # one row per file
+            return spark.createDataFrame(found, HEADERS)
         except Exception:
             log.warning("Headers of %d files are read by a scan", len(paths), exc_info=True)
-    return _headers_by_scan(spark, paths, source)
-
-
-def _headers_by_scan(spark: SparkSession, paths: Sequence[str], source: SourceSpec) -> DataFrame:
-    """The first record of each file, from its first lines: a quoted cell may hold line breaks."""
-    delimiter = source.delimiter
-
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            readers = [csv.reader(io.StringIO("\n".join(lines), newline=""), delimiter=delimiter) for lines in batch["lines"]]
-            yield pd.DataFrame({"path": batch["path"], "header": [next(r, []) for r in readers]})
-
-    lines = spark.read.option("encoding", charset(source.encoding)).option("lineSep", "\n").text(literal_paths(paths))
-    position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    placed = lines.select(scanned_path().alias("path"), "value", position.alias("position"))
-    # few rows per file and task pass the limit
-    rank = F.row_number().over(Window.partitionBy("path").orderBy("position"))
-    first = placed.withColumn("line", rank).filter(F.col("line") <= HEADER_LINES)
-    gathered = F.array_sort(F.collect_list(F.struct("line", "value")))
-    heads = first.groupBy("path").agg(F.transform(gathered, lambda x: x["value"]).alias("lines"))
-    return heads.mapInPandas(split, SCHEMA)
+    return first_records(spark, paths, delimiter, encoding)
 
 
 def blank_header(header: Column) -> Column:

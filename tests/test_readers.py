@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from siftgate.functions.text import excel_serial_to_date, excel_serial_to_timestamp, truncate
 from siftgate.operators import merge, rows, validate
 from siftgate.plans import load
-from siftgate.sources import discover, headers
+from siftgate.sources import discover, headers, records
 from siftgate.sources.csv_source import read_csv
 from siftgate.sources.json_source import flat_paths, records_at
 from siftgate.spec import FieldSpec, SourceSpec, glob_regex
@@ -88,7 +88,7 @@ def test_headers_on_workers_and_by_scan_agree(spark, tmp_path, monkeypatch):
     (tmp_path / "broken.csv").write_text('n,"te\n""x"",t",z\n1,2,3\n')
     paths.append(f"file:{tmp_path / 'broken.csv'}")
     workers = headers.csv_headers(spark, paths, LINES).collect()
-    scan = headers._headers_by_scan(spark, paths, LINES).collect()
+    scan = records.first_records(spark, paths, LINES.delimiter, LINES.encoding).collect()
     assert sorted(map(tuple, workers)) == sorted(map(tuple, scan))
     assert ["n", 'te\n"x",t', "z"] in [r.header for r in workers]
 
@@ -189,6 +189,38 @@ def test_files_are_archived_byte_by_byte(spark, tmp_path, monkeypatch, opened):
     assert noted == {"big.csv": (10_240, 11), "edge.csv.gz": (2000, 2), "small.csv": (11, 1), "empty.csv": (0, 1)}
 
 
+def test_both_ways_of_the_archive_give_the_same_chunks(spark, tmp_path, small_splits):
+    import gzip
+    import random
+
+    chance = random.Random(2)
+    mark = b"\xef\xbb\xbf"
+    lines = b"".join(b"line %d\n" % i for i in range(1500))
+    contents = {
+        "lines.csv": lines, "open.csv": lines[:-1], "mark.csv": mark + lines, "both.csv": mark + lines + b"no end",
+        "only_mark.csv": mark, "mark_and_end.csv": mark + b"\n", "one_end.csv": b"\n", "ends.csv": b"\n" * 5000, "twice.csv": mark + mark + b"x",
+        "random.xlsx": chance.randbytes(9000), "long.csv": b"x" * 7777 + b"\n" + b"y" * 3000, "exact.csv": b"a" * 2999 + b"\n",
+        "packed.csv.gz": gzip.compress(chance.randbytes(5000)), "crlf.csv": b"a,b\r\n" * 700, "tiny.json": b"{}", "empty.csv": b"",
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    files = [(f"file:{tmp_path / n}", len(c)) for n, c in contents.items()]
+    columns = ["source_filename", "file_offset", "bytes", "chunk_digest"]
+    ways = []
+    for by_scan in (False, True):
+        discover.archive_raw(spark, files, str(tmp_path / f"raw{by_scan}"), 1000, by_scan)
+        ways.append(sorted(tuple(r) for r in discover.archived_chunks(spark, str(tmp_path / f"raw{by_scan}")).select(*columns).collect()))
+        kept = {n: b"".join(bytes(r[2]) for r in ways[-1] if r[0] == n) for n in contents}
+        assert kept == contents
+    assert ways[0] == ways[1] and max(len(r[2]) for r in ways[1]) == 1000
+
+
+def test_a_file_that_changes_is_not_archived_by_scan(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"a,b\n" * 100)
+    with pytest.raises(Exception, match="changed while it was read"):
+        discover.archive_raw(spark, [(f"file:{tmp_path / 'a.csv'}", 390)], str(tmp_path / "raw"), by_scan=True)
+
+
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
