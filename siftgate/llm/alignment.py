@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -108,7 +109,7 @@ def coders(files: Vocabularies) -> Coders:
 def _flat(ids: Sequence[Sequence[int]], sizes: np.ndarray) -> pd.DataFrame:
     """Tokens of all documents of a batch: document, id, where the bytes start and end along the batch."""
     counts = np.array([len(i) for i in ids], np.int64)
-    flat = np.fromiter((i for some in ids for i in some), np.int64, int(counts.sum()))
+    flat = np.array(list(itertools.chain.from_iterable(ids)), np.int64)
     doc = np.repeat(np.arange(len(ids)), counts)
     # a document's tokens fill its bytes, so the lengths add up along the batch
     end = np.cumsum(sizes[flat])
@@ -143,16 +144,16 @@ def align(a_ids: Sequence[Sequence[int]], b_ids: Sequence[Sequence[int]], tables
     both directions is all overlaps. Overlapping tokens that end alike end a group.
     """
     a, b = _flat(a_ids, tables.a_sizes), _flat(b_ids, tables.b_sizes)
-    keys = ["doc", "start", "end", "token"]
-    forward = pd.merge_asof(a[keys], b[keys], on="start", by="doc", suffixes=("_a", "_b"))
-    backward = pd.merge_asof(b[keys], a[keys], on="start", by="doc", suffixes=("_b", "_a"))
-    overlaps = pd.concat([forward, backward], ignore_index=True)
-    alike = overlaps["end_a"].to_numpy() == overlaps["end_b"].to_numpy()
+    places = ["doc", "start"]
+    forward = pd.merge_asof(a[places], b[[*places, "token"]], on="start", by="doc")["token"].to_numpy(np.int64)
+    backward = pd.merge_asof(b[places], a[[*places, "token"]], on="start", by="doc")["token"].to_numpy(np.int64)
+    a_end, b_end = a["end"].to_numpy(), b["end"].to_numpy()
     groups = []
-    for side, frame in (("token_a", a), ("token_b", b)):
-        ends = np.zeros(len(frame), np.int64)
-        ends[overlaps[side].to_numpy()[alike].astype(np.int64)] = 1
-        groups.append(np.cumsum(ends) - ends)
+    # tokens of one side that end as a token does that covers their start, or whose start they cover
+    for end, covered, other, covers in ((a_end, forward, b_end, backward), (b_end, backward, a_end, forward)):
+        alike = (other[covered] == end).astype(np.int64)
+        alike[covers[end[covers] == other]] = 1
+        groups.append(np.cumsum(alike) - alike)
     count = int(groups[0][-1]) + 1 if len(a) else 0
     return Aligned(len(a_ids), a, b, groups[0], groups[1], count)
 
