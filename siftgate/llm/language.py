@@ -18,7 +18,7 @@ from siftgate.llm.packed import portions
 
 UNKNOWN = "und"
 # Different texts that the model is fitted on, taken from all languages by turns, and languages it can tell apart.
-FIT_ROWS, LANGUAGES = 20_000, 200
+FIT_ROWS, LANGUAGES = 10_000, 200
 # Words and character runs of the model, shared out evenly among its languages.
 WORDS, RUNS = 100_000, 100_000
 # Characters of a run, longest first, the blanks around a word included.
@@ -175,7 +175,7 @@ class _Memory:
         if len(self.places) > self.limit:
             self.places.clear()
         places = self.places
-        for word in set(words) - places.keys():
+        for word in {w for w in words if w not in places}:
             self.rows[len(places)] = weigh(word, self.model)
             places[word] = len(places)
         return self.rows[np.fromiter(map(places.__getitem__, words), np.int64, len(words))].sum(axis=0)
