@@ -20,6 +20,7 @@ def main() -> None:
     parser.add_argument("--feeds", default="siftgate.plans.feeds:MASTER", help="MODULE:NAME of a registry")
     parser.add_argument("--buckets", type=int, default=BUCKETS, help="parts of a target that are written by themselves")
     parser.add_argument("--watch", action="store_true", help="keep loading new files as they arrive")
+    parser.add_argument("--move-to", help="with --watch: folder that loaded files are moved below")
     options = parser.parse_args()
 
     module, name = options.feeds.split(":")
@@ -28,7 +29,7 @@ def main() -> None:
     warehouse = Warehouse(spark, options.warehouse.rstrip("/"), options.buckets)
     if options.watch:
         checkpoint = f"{warehouse.root}/stream"
-        watch(spark, registry, options.directory, warehouse, checkpoint, available_now=False).awaitTermination()
+        watch(spark, registry, options.directory, warehouse, checkpoint, available_now=False, move_to=options.move_to).awaitTermination()
         return
     results = load_directory(spark, registry, options.directory, warehouse)
     logs.batch_totals(results).show(truncate=False)

@@ -17,8 +17,9 @@ from siftgate.operators import validate
 from siftgate.operators.rows import SEQUENCE
 from siftgate.plans import load
 from siftgate.session import make_directory, path_exists, qualified, scratch_path, steady_splits
-from siftgate.sources import discover
+from siftgate.sources import discover, workbook_source
 from siftgate.sources.csv_source import read_csv
+from siftgate.sources.excel_source import excel_headers, read_excel
 from siftgate.sources.paths import file_system
 from siftgate.sources.tables import Warehouse
 from siftgate.spec import FieldSpec, Registry, SourceSpec
@@ -573,7 +574,7 @@ PARTS = SourceSpec(
 )
 
 
-def _excel(spark, sf):
+def _workbooks(spark, sf):
     """Parts in workbooks of 500, each with a sheet of notes, a header and a row of units."""
     folder = qualified(spark, scratch_path(spark, "workbooks"))
     plain = table(spark, sf, "part").selectExpr(
@@ -592,12 +593,20 @@ def _excel(spark, sf):
         return group[["book"]].head(1)
 
     plain.groupBy("book").applyInPandas(write, "book long").count()
-    return load.number_rows(scanned(spark, folder, PARTS), PARTS).select(
+    return folder
+
+
+def _part_rows(numbered: DataFrame) -> DataFrame:
+    return numbered.select(
         "sku", "name", "price", F.col("stocked").cast("string").alias("stocked"), F.unix_seconds("updated").alias("updated"), "file_row_number",
         "is_valid",
     )
 
 
+def _excel(spark, sf):
+    return _part_rows(load.number_rows(scanned(spark, _workbooks(spark, sf), PARTS), PARTS))
+
+
 CHECKS["excel_scan"] = (
     _excel,
     f"""SELECT p_partkey AS sku, p_name AS name, p_retailprice AS price, CAST(DATE '1899-12-30' + (45306 + p_size) AS VARCHAR) AS stocked,
@@ -605,6 +614,30 @@ CHECKS["excel_scan"] = (
       row_number() OVER (PARTITION BY p_partkey // {WORKBOOK_ROWS} ORDER BY p_partkey) + 2 AS file_row_number, true AS is_valid FROM part""",
 )
 
+
+def _excel_format(spark, sf):
+    """The same workbooks through the format of their own, as batch and as stream."""
+    workbook_source.register(spark)
+    folder, root = _workbooks(spark, sf), scratch_path(spark, "sheets")
+    stream = spark.readStream.format("workbook").option("sheet", PARTS.sheet).load(folder)
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/stream").option("path", f"{root}/cells").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    batch = spark.read.format("workbook").option("sheet", PARTS.sheet).load(folder)
+    streamed = spark.read.schema(batch.schema).parquet(f"{root}/cells")
+    (header,) = {tuple(r.header) for r in excel_headers(batch).collect()}
+    found = [
+        _part_rows(load.number_rows(load.drop_skipped(load.staged(read_excel(cells, PARTS, header), PARTS), PARTS), PARTS))
+        for cells in (batch, streamed)
+    ]
+    return found[0].withColumn("way", F.lit("batch")).unionByName(found[1].withColumn("way", F.lit("stream")))
+
+
+CHECKS["excel_format"] = (
+    _excel_format,
+    f"SELECT * FROM ({CHECKS['excel_scan'][1]}) AS scan, (VALUES ('batch'), ('stream')) AS ways(way)",
+)
+
 # --- whole loads --------------------------------------------------------------------------
 
 DIRTY_FEED = SourceSpec(
@@ -690,13 +723,13 @@ CHECKS["load_directory"] = (
 
 
 class BreaksOnce(Warehouse):
-    """A warehouse whose first commit after the seed breaks, as when an executor's last try fails."""
+    """A warehouse whose first merge breaks before its commit, as when an executor's last try fails."""
 
-    def commit(self, *args, **options) -> int:
-        if self.version(DIRTY_FEED) == 0 and not path_exists(self.spark, f"{self.root}/broke"):
+    def upsert(self, *args) -> DataFrame:
+        if not path_exists(self.spark, f"{self.root}/broke"):
             make_directory(self.spark, f"{self.root}/broke")
             raise RuntimeError("broken once")
-        return super().commit(*args, **options)
+        return super().upsert(*args)
 
 
 def _load_retry(spark, sf):
@@ -747,3 +780,49 @@ CHECKS["stream_ingest"] = (
     _streamed,
     f"SELECT *, CAST(8 AS BIGINT) AS loaded_files, CAST(8 AS BIGINT) AS all_files FROM ({ORDERS_SQL}) AS o",
 )
+
+
+def _streamed_and_moved(spark, sf):
+    """The same in two runs; the files of the first are moved aside as the second begins."""
+    orders = order_text(spark, sf)
+    folder, root = scratch_path(spark, "watched"), scratch_path(spark, "warehouse")
+    aside = scratch_path(spark, "aside")
+    warehouse, registry = Warehouse(spark, root), Registry([ORDERS])
+    for part in ("o_orderstatus = 'F'", "o_orderstatus <> 'F'"):
+        orders.filter(part).repartition(4).write.mode("append").option("header", True).csv(folder)
+        directory.watch(spark, registry, folder, warehouse, f"{root}/stream", move_to=aside).awaitTermination()
+    moved = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(aside).count()
+    left = discover.supported(discover.list_files(spark, folder)).count()
+    return order_columns(
+        warehouse.target(ORDERS), F.lit(moved).cast("bigint").alias("moved_files"), F.lit(left).cast("bigint").alias("left_files")
+    )
+
+
+CHECKS["stream_move_files"] = (
+    _streamed_and_moved,
+    f"SELECT *, CAST(4 AS BIGINT) AS moved_files, CAST(4 AS BIGINT) AS left_files FROM ({ORDERS_SQL}) AS o",
+)
+
+ROUTED_TABLES = 2000
+
+
+def _route_many(spark, sf):
+    """File names of all orders' customers, routed among two thousand declarations: some overlap, some do not exist."""
+    sources = [SourceSpec(f"customer_{i}", (f"Cust{i}_*.csv", f"*_old{i}.csv"), (FieldSpec("k"),), ("k",)) for i in range(ROUTED_TABLES)]
+    sources.append(SourceSpec("thousands", ("*_1????0.csv",), (FieldSpec("k"),), ("k",)))
+    name = "concat(if(o_orderkey % 7 = 0, concat('x_old', o_custkey), concat('CUST', o_custkey, '_', o_orderkey)), '.csv')"
+    files = table(spark, sf, "orders").selectExpr(
+        f"concat('/in/', o_orderkey, '/', {name}) AS path", f"{name} AS source_filename", "'csv' AS file_format"
+    )
+    routed = discover.route(files, sources)
+    return routed.groupBy("table_name", "match_count", "error_type").agg(F.count("*").alias("files"))
+
+
+CHECKS["route_many"] = (
+    _route_many,
+    f"""WITH hits AS (SELECT o_custkey, o_custkey < {ROUTED_TABLES} AS own,
+        o_orderkey % 7 <> 0 AND regexp_full_match(CAST(o_orderkey AS VARCHAR), '1....0') AS thousand FROM orders)
+    SELECT CASE WHEN own AND NOT thousand THEN concat('customer_', o_custkey) WHEN thousand AND NOT own THEN 'thousands' END AS table_name,
+      CAST(own AS INTEGER) + CAST(thousand AS INTEGER) AS match_count,
+      CASE WHEN own AND thousand THEN 'ValueError' END AS error_type, count(*) AS files FROM hits GROUP BY 1, 2, 3""",
+)

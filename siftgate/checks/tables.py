@@ -25,12 +25,11 @@ def _lines_by_flag(spark, sf):
     return table(spark, sf, "lineitem").withColumn("source_filename", F.concat(F.lit("lines_"), "l_returnflag"))
 
 
-def _single(spark, sf):
+def _single(spark, sf, stats=lambda stage, grain: audit.grain_stats(audit.key_groups(stage, grain), grain)):
     stage = _orders_by_priority(spark, sf).withColumn(
         "customer", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
     )
-    unique = audit.grain_stats(audit.key_groups(stage, ["o_orderkey"]), ["o_orderkey"])
-    nulls = audit.grain_stats(audit.key_groups(stage, ["customer"]), ["customer"])
+    unique, nulls = stats(stage, ["o_orderkey"]), stats(stage, ["customer"])
     return unique.withColumn("grain", F.lit("o_orderkey")).unionByName(nulls.withColumn("grain", F.lit("customer")))
 
 
@@ -44,6 +43,9 @@ CHECKS["grain_unique_single"] = (
     FROM keyed GROUP BY ALL""",
 )
 
+# The same verdicts from hashes of the keys.
+CHECKS["grain_unique_by_print"] = (lambda spark, sf: _single(spark, sf, audit.unique_by_print), CHECKS["grain_unique_single"][1])
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 CHECKS["grain_unique_composite"] = (
@@ -275,10 +277,10 @@ CHECKS["merge_small_stage"] = (lambda spark, sf: _merged(spark, sf, merge.merge_
 
 
 def _bucketed(spark, sf):
-    """The same merge over a target that lies in buckets of its key: buckets with changes are written anew."""
+    """The same merge over a table in buckets of its key: joined without an exchange, buckets with changes overwritten."""
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"), buckets=8)
     warehouse.commit(PRICED, _target(spark, sf))
-    warehouse.upsert(PRICED, _resent(spark, sf), F.timestamp_seconds(F.lit(2000)), scratch_path(spark, "merge"))
+    warehouse.upsert(PRICED, _resent(spark, sf), F.timestamp_seconds(F.lit(2000)))
     return warehouse.target(PRICED).select("order_key", "status", "price", "source_filename", "file_load_log_id")
 
 

@@ -38,6 +38,27 @@ def grain_stats(groups: DataFrame, grain: Sequence[str], by: Sequence[str] = ("s
     return stats.withColumn("grain_unique", unique.cast("int"))
 
 
+def unique_by_print(stage: DataFrame, grain: Sequence[str], by: Sequence[str] = ("source_filename",)) -> DataFrame:
+    """The same verdicts as ``grain_stats`` from the hashes of keys: eight bytes a key are exchanged, however wide it is.
+
+    As many hashes as rows, none of a null key, prove a file's keys unique. Only files of which that is not true, which
+    may be two keys with one hash, are looked at key by key.
+    """
+    null = F.lit(False)
+    for name in grain:
+        null = null | F.col(name).isNull()
+    prints = stage.groupBy(*by, F.xxhash64(*grain).alias("key_print"), null.alias("key_null")).agg(F.count("*").alias("n"))
+    found = prints.groupBy(*by).agg(
+        F.sum("n").alias("key_rows"), F.count("*").alias("distinct_keys"), F.count_if("key_null").alias("null_prints")
+    )
+    sure = (F.col("key_rows") == F.col("distinct_keys")) & (F.col("null_prints") == 0)
+    unique = found.filter(sure).select(
+        *by, "key_rows", "distinct_keys", F.lit(0).cast("long").alias("null_keys"), F.lit(1).alias("grain_unique")
+    )
+    doubtful = stage.join(found.filter(~sure).select(*by), list(by), "left_semi")
+    return unique.unionByName(grain_stats(key_groups(doubtful, grain, by), grain, by))
+
+
 def duplicate_examples(
     groups: DataFrame, grain: Sequence[str], by: Sequence[str] = ("source_filename",), count: int = 5
 ) -> DataFrame:

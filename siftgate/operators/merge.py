@@ -102,21 +102,3 @@ def without_file(target: DataFrame, source_filename: str) -> DataFrame:
 
 def stage_columns(fields: Sequence[str]) -> list[str]:
     return [*fields, *STAGE_COLUMNS]
-
-
-def merge_into(stage: DataFrame, table: str, grain: Sequence[str], fields: Sequence[str], now: Column) -> None:
-    """The same upsert as MERGE INTO, for catalog tables that support row-level changes."""
-    on = " AND ".join(f"target.`{g}` = stage.`{g}`" for g in grain)
-    condition = F.expr(on)
-    columns = stage_columns(fields)
-    values = {c: F.col(f"stage.`{c}`") for c in columns}
-    (
-        stage.select(*columns)
-        .alias("stage")
-        .mergeInto(f"{table} AS target", condition)
-        .whenMatched(F.expr("stage.etl_row_hash <> target.etl_row_hash"))
-        .update({**{k: v for k, v in values.items() if k not in grain}, "etl_updated_at": now})
-        .whenNotMatched()
-        .insert({**values, "etl_created_at": now})
-        .merge()
-    )

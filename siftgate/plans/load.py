@@ -71,6 +71,7 @@ def load_files(
     if not listed:
         log.warning("No files found")
     _close_interrupted(spark, registry, warehouse)
+    warehouse.fold_run_log()
     run_id = warehouse.next_run_id()
     runs: list[dict] = []
     by_table: dict[str, list[dict]] = defaultdict(list)
@@ -115,7 +116,13 @@ def _is_fatal(spark: SparkSession, error: Exception) -> bool:
 
 
 def _close_interrupted(spark: SparkSession, registry: Registry, warehouse: Warehouse) -> None:
-    """Ends the runs that an earlier load left open: published ones by their rows, the others as interrupted."""
+    """Ends the runs that an earlier load left open: published ones by their rows, the others as interrupted.
+
+    What stood at its commit is published first.
+    """
+    for source in registry.sources:
+        if warehouse.is_pending(source):
+            warehouse.finish(source, F.lit(_now()))
     left = warehouse.run_log().filter("ended_at IS NULL").collect()
     by_table: dict[str, list[Row]] = defaultdict(list)
     for row in left:
@@ -149,12 +156,11 @@ def _load_table(spark: SparkSession, source: SourceSpec, runs: list[dict], wareh
     """Leaves out files loaded before, then loads the others."""
     files = _files_frame(spark, runs)
     done = warehouse.run_log().filter("success").select("source_filename").distinct()
-    names = [r["source_filename"] for r in runs]
     known = {r.source_filename for r in files.join(done, "source_filename", "left_semi").select("source_filename").collect()}
     asked = [r for r in runs if r["source_filename"] not in known]
     if asked:
         # rows that came without a log
-        found = discover.already_loaded(_files_frame(spark, asked), warehouse.target(source), [n for n in names if n not in known])
+        found = discover.already_loaded(_files_frame(spark, asked), warehouse.loaded_files(source))
         known |= {r.source_filename for r in found.collect()}
     fresh = []
     for run in runs:
@@ -177,18 +183,20 @@ def _load_isolated(
     """Loads the files together; if a job breaks, halves the list until the bad file stands alone.
 
     An attempt starts from what the runs were before it, and takes back the dead letters it wrote. Only the
-    archive copy is kept. Once the target has a new version the attempt is over: its files are published.
+    archive copy is kept. Once the rows to publish are complete the attempt is over: they are published, if not at
+    the first try then at the second, or by the next load.
     """
-    before = warehouse.version(source)
     states = [dict(r) for r in runs]
     try:
         _attempt(spark, source, runs, warehouse, archive)
     except Exception as error:
         if _is_fatal(spark, error):
             raise
-        if warehouse.version(source) > before:
+        if warehouse.is_pending(source):
             log.warning("After the commit of %s", source.table, exc_info=True)
-            _published(spark, source, [r for r in runs if r.get("publishing")], warehouse)
+            publishing = [r for r in runs if r.get("publishing")]
+            _count(publishing, warehouse.finish(source, F.lit(_now())))
+            _published(spark, source, publishing, warehouse)
             return
         for run, state in zip(runs, states):
             copied = {k: v for k, v in run.items() if k.startswith("archive")}
@@ -257,7 +265,7 @@ def scan(
         found = headers.csv_headers(spark, paths, source)
     elif source.format == "json":
         records = stage_records(spark, paths, source, work)
-        found = json_headers(records)
+        found = json_headers(records, source.json_lines)
     else:
         cells = stage_cells(spark, paths, source, work)
         found = excel_headers(cells)
@@ -431,7 +439,7 @@ def _stage_and_publish(
     passed = [r for r in passed if r.get("success") is None]
     if passed:
         started = _now()
-        _publish(spark, source, stage, passed, warehouse, stage_path, now)
+        _publish(spark, source, stage, passed, warehouse, now)
         _phase(passed, "merge", started)
         _published(spark, source, passed, warehouse)
 
@@ -461,14 +469,12 @@ def _audit(spark: SparkSession, source: SourceSpec, stage: DataFrame, runs: list
         return
     by_name = {r["source_filename"]: r for r in runs}
     good = merge.passed_only(stage, _files_frame(spark, runs))
-    groups = audit.key_groups(good, source.grain)
-    stats = audit.grain_stats(groups, source.grain)
+    stats = audit.unique_by_print(good, source.grain)
     bad = stats.filter("grain_unique = 0").collect()
     if bad:
         broken = spark.createDataFrame(bad, stats.schema)
-        examples = audit.duplicate_examples(
-            groups.join(broken.select("source_filename"), "source_filename", "left_semi"), source.grain
-        )
+        groups = audit.key_groups(good.join(broken.select("source_filename"), "source_filename", "left_semi"), source.grain)
+        examples = audit.duplicate_examples(groups, source.grain)
         for row in audit.grain_messages(broken, examples, source.grain, source.grain_columns, source.table).collect():
             _fail(by_name[row.source_filename], row)
     left = [r for r in runs if r.get("success") is None]
@@ -491,17 +497,19 @@ def _publish(
     stage: DataFrame,
     runs: list[dict],
     warehouse: Warehouse,
-    work: str,
     now: datetime,
 ) -> None:
     good = merge.passed_only(stage, _files_frame(spark, runs))
     if len(runs) > 1:
         latest = [F.desc("modified_at"), F.desc("source_filename"), F.desc(BLOCK), F.desc(SEQUENCE)]
         good = merge.latest_per_key(good, source.grain, latest)
-    by_id = {r["id"]: r for r in runs}
     for run in runs:
         run |= {"publishing": True, "target_inserts": 0, "target_updates": 0}
-    counts = warehouse.upsert(source, good.select(*merge.stage_columns(source.field_names)), F.lit(now), work)
+    _count(runs, warehouse.upsert(source, good.select(*merge.stage_columns(source.field_names)), F.lit(now)))
+
+
+def _count(runs: list[dict], counts: DataFrame) -> None:
+    by_id = {r["id"]: r for r in runs}
     for row in counts.collect():
         by_id[row.file_load_log_id] |= {c: row[c] for c in ("target_inserts", "target_updates")}
 
@@ -530,10 +538,10 @@ def notifications(results: DataFrame, registry: Registry) -> DataFrame:
 
 
 def back_out(warehouse: Warehouse, source: SourceSpec, source_filename: str) -> int:
-    """Removes the rows a file last wrote, and notes it, so that the file can be loaded again."""
-    version = warehouse.remove_file(source, source_filename)
+    """Removes the rows a file last wrote, and notes it, so that the file can be loaded again; buckets written anew."""
+    buckets = warehouse.remove_file(source, source_filename)
     runs = warehouse.run_log().filter((F.col("source_filename") == source_filename) & F.col("success")).collect()
     noted = [{"id": r.id, "success": False, "error_type": BACKED_OUT} for r in runs]
     if noted:
         _write_log(warehouse.spark, warehouse, noted)
-    return version
+    return buckets

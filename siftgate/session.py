@@ -32,6 +32,20 @@ def short_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @contextmanager
 def steady_splits(spark: SparkSession) -> Iterator[None]:
     """Cuts the same files into the same splits in every scan, however many executors there are by then."""
@@ -107,6 +121,12 @@ def make_directory(spark: SparkSession, path: str) -> None:
     fs.mkdirs(jpath)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    jpath, fs = _hadoop(spark, path)
+    if not fs.rename(jpath, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"Could not move {path} to {to}")
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     jpath, fs = _hadoop(spark, path)
     return fs.delete(jpath, True)

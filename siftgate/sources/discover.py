@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import logging
+import re
+import string
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from datetime import datetime
@@ -16,10 +19,10 @@ from pyspark.sql import functions as F
 
 from siftgate.functions.messages import AMBIGUOUS_SOURCE
 from siftgate.operators.rows import BLOCK
-from siftgate.session import escaped, glob_files, is_directory, path_exists, qualified, scratch_path, steady_splits
+from siftgate.session import BROADCAST_ROWS, escaped, glob_files, is_directory, path_exists, qualified, scratch_path, steady_splits
 from siftgate.sources.paths import can_open, file_name, file_system, literal_paths, scanned_name
 from siftgate.sources.records import split_runs, with_splits
-from siftgate.spec import SourceSpec
+from siftgate.spec import SourceSpec, glob_regex
 
 log = logging.getLogger(__name__)
 
@@ -32,8 +35,8 @@ EXTENSIONS = {
     ".xlsx": "excel",
 }
 
-# Up to so many file names are pushed into the target scan as a list.
-FEW_NAMES = 1000
+# Declarations whose patterns are tried on every file name.
+FEW_SOURCES = 64
 
 # Bytes of a file in one archived row.
 CHUNK_BYTES = 8 * 1024 * 1024
@@ -109,23 +112,58 @@ def supported(files: DataFrame) -> DataFrame:
     return files.filter(F.col("file_format").isNotNull() & ~F.col("source_filename").startswith("."))
 
 
+def _literal_end(pattern: str) -> tuple[bool, str]:
+    """The longer of what a pattern begins and ends with literally: whether it is the beginning, and the text."""
+    head = re.split(r"[*?\[]", pattern, maxsplit=1)[0]
+    tail = re.split(r"[*?\]]", pattern)[-1] if len(head) < len(pattern) else pattern
+    return (True, head) if len(head) >= len(tail) else (False, tail)
+
+
+def _matched_by_projection(files: DataFrame, sources: Sequence[SourceSpec]) -> DataFrame:
+    """Adds ``matches``, one regular expression per declaration: nothing is joined."""
+    found = F.array(*[F.when(F.col("source_filename").rlike(s.name_regex), F.lit(s.table)) for s in sources])
+    return files.withColumn("matches", F.array_compact(found))
+
+
+def _matched_by_index(files: DataFrame, sources: Sequence[SourceSpec]) -> DataFrame:
+    """The same for many declarations: names are joined to patterns by literal beginnings and ends, then those few are tried."""
+    spark = files.sparkSession
+    letters = string.ascii_uppercase, string.ascii_lowercase
+    fold = str.maketrans(*letters)
+    rows, sizes = [], set()
+    for number, source in enumerate(sources):
+        for pattern in source.patterns:
+            at_start, text = _literal_end(pattern)
+            rows.append((number, source.table, glob_regex(pattern), at_start, text.translate(fold)))
+            sizes.add((at_start, len(text)))
+    patterns = spark.createDataFrame(rows, "number int, match string, regex string, at_start boolean, key string")
+    patterns = F.broadcast(patterns) if len(rows) <= BROADCAST_ROWS else patterns
+    name = F.translate("source_filename", *letters)
+    keys = [
+        F.struct(F.lit(at_start).alias("at_start"), (F.left(name, F.lit(n)) if at_start else F.right(name, F.lit(n))).alias("key"))
+        for at_start, n in sorted(sizes)
+    ]
+    asked = files.select("path", "source_filename", F.explode(F.array(*keys)).alias("k")).select("path", "source_filename", "k.*")
+    found = asked.join(patterns, ["at_start", "key"]).filter(F.regexp_like("source_filename", F.col("regex")))
+    listed = F.array_sort(F.collect_set(F.struct("number", "match")))
+    by_file = found.groupBy("path").agg(F.transform(listed, lambda m: m["match"]).alias("matches"))
+    none = F.array().cast("array<string>")
+    return files.join(by_file, "path", "left").select(*files.columns, F.coalesce("matches", none).alias("matches"))
+
+
 def route(files: DataFrame, sources: Iterable[SourceSpec]) -> DataFrame:
     """Adds the table each file belongs to.
 
-    The declarations are part of the plan (one regular expression each), so nothing is
-    joined. No match leaves ``table_name`` null; several matches, or a format the
+    Few declarations are part of the plan, one regular expression each; many are joined by what their patterns
+    begin or end with. No match leaves ``table_name`` null; several matches, or a format the
     declaration does not read, leave an error.
     """
     sources = list(sources)
-
-    def tables(condition) -> Column:
-        return F.array_compact(F.array(*[F.when(condition(s), F.lit(s.table)) for s in sources]))
-
-    matched = files.withColumn("matches", tables(lambda s: F.col("source_filename").rlike(s.name_regex)))
-    reader_of = F.create_map(
-        *[x for s in sources for x in (F.lit(s.table), F.lit("any" if s.reader else s.format))]
-    )
-    only = F.when(F.size("matches") == 1, F.col("matches")[0])
+    many = len(sources) > FEW_SOURCES
+    matched = (_matched_by_index if many else _matched_by_projection)(files, sources)
+    kinds = {s.table: "any" if s.reader else s.format for s in sources}
+    reader_of = F.from_json(F.lit(json.dumps(kinds)), "map<string, string>")  # one value, however many tables
+    only = F.when(F.size("matches") == 1, F.get("matches", F.lit(0)))
     several = F.size("matches") > 1
     misfit = ~reader_of[only].isin("any") & (reader_of[only] != F.col("file_format"))
     hidden = (F.size("matches") == 1) & F.col("source_filename").startswith("_")
@@ -150,15 +188,9 @@ def route(files: DataFrame, sources: Iterable[SourceSpec]) -> DataFrame:
     )
 
 
-def already_loaded(files: DataFrame, target: DataFrame, names: Sequence[str] = ()) -> DataFrame:
-    """Files whose name stands on any target row.
-
-    ``names``, where there are few, let the scan skip row groups that hold other files.
-    """
-    if 0 < len(names) <= FEW_NAMES:
-        target = target.filter(F.col("source_filename").isin(list(names)))
-    names = target.select("source_filename").distinct()
-    return files.join(names, "source_filename", "left_semi")
+def already_loaded(files: DataFrame, target: DataFrame) -> DataFrame:
+    """Files whose name stands on any row of a target, or of its table of file names."""
+    return files.join(target.select("source_filename").distinct(), "source_filename", "left_semi")
 
 
 def not_loaded(files: DataFrame, target: DataFrame) -> DataFrame:

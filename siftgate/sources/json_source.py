@@ -9,7 +9,6 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siftgate.operators.rows import BLOCK, SEQUENCE
 from siftgate.session import scratch_path
@@ -95,18 +94,21 @@ def stage_records(spark: SparkSession, paths: Sequence[str], source: SourceSpec,
 JSON_HEADER = "path string, header array<string>"
 
 
-def json_headers(records: DataFrame) -> DataFrame:
-    """``path, header``: flattened keys of the first record of each file."""
+def json_headers(records: DataFrame, json_lines: bool = True) -> DataFrame:
+    """``path, header``: flattened keys of the first record of each file; one of a document is numbered 0."""
 
     def flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = [list(flat_paths(found)) if isinstance(found := json.loads(r), dict) else [] for r in batch["record"]]
             yield pd.DataFrame({"path": batch["path"], "header": keys})
 
-    place = F.struct(BLOCK, SEQUENCE)
-    first = records.groupBy("path").agg(F.min(place).alias("first"))
-    named = first.select("path", f"first.{BLOCK}", f"first.{SEQUENCE}")
-    return records.join(named, ["path", BLOCK, SEQUENCE]).select("path", F.to_json("record").alias("record")).mapInPandas(flatten, JSON_HEADER)
+    if not json_lines:
+        heads = records.filter(F.col(SEQUENCE) == 0)
+    else:
+        first = records.groupBy("path").agg(F.min(F.struct(BLOCK, SEQUENCE)).alias("first"))
+        named = first.select("path", f"first.{BLOCK}", f"first.{SEQUENCE}")
+        heads = records.join(named, ["path", BLOCK, SEQUENCE])
+    return heads.select("path", F.to_json("record").alias("record")).mapInPandas(flatten, JSON_HEADER)
 
 
 def _key(path: str, key: str) -> str:
@@ -114,58 +116,73 @@ def _key(path: str, key: str) -> str:
     return f"{path}[\"{key}\"]" if "'" in key else f"{path}['{key}']"
 
 
-def _shape(records: DataFrame, path: str) -> T.DataType:
-    """All that the records have below a path, as one type: a map-side combined aggregate."""
-    value = F.col("record") if path == "$" else F.try_variant_get("record", path, "variant")
-    shape = records.select(value.alias("v")).filter(F.schema_of_variant("v").startswith("OBJECT"))
-    text = shape.agg(F.schema_of_variant_agg("v")).first()[0]
-    if not text:
-        return T.StructType()
-    parts = text.split("`")  # quoted names stand at odd places
-    parts[::2] = [p.replace("OBJECT<", "STRUCT<") for p in parts[::2]]
-    return T.DataType.fromDDL("`".join(parts))
+# A type as text: names (quoted where they are no identifiers), kinds with their sizes, and signs.
+TOKEN = re.compile(r"`(?:[^`]|``)*`|\w+(?:\(\d+, *\d+\))?|[<>:,]")
 
 
-def field_paths(records: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """For each column every path that flattens to its name, whatever the spelling and nesting.
+def shape_paths(shape: str, wanted: Sequence[str]) -> set[tuple[str, str]]:
+    """Wanted columns that a record of this type has, with the paths that flatten to their names.
 
-    ``#`` stands for the place in a list of objects until a declared name says which.
+    The type is the text that ``schema_of_variant`` gives. Of a list of objects any place may be wanted: a declared
+    name says which.
     """
-    wanted = [c.lower() for c in columns]
-    found: dict[str, list[str]] = {c: [] for c in wanted}
-
-    def pattern(flat: str) -> str:
-        return re.escape(flat).replace(re.escape("#"), "([0-9]+)")
+    tokens = iter(TOKEN.findall(shape))
+    found: set[tuple[str, str]] = set()
 
     def leaf(flat: str, path: str) -> None:
+        pattern = re.escape(flat).replace(re.escape("#"), "([0-9]+)")
         for column in wanted:
-            if match := re.fullmatch(pattern(flat), column):
+            if match := re.fullmatch(pattern, column):
                 here = path
                 for number in match.groups():
                     here = here.replace("[#]", f"[{number}]", 1)
-                found[column].append(here)
-
-    def leads_on(flat: str) -> bool:
-        return any(re.match(pattern(flat) + "_", c) for c in wanted)
-
-    def walk(kind: T.DataType, flat: str, path: str) -> None:
-        if isinstance(kind, T.StructType):
-            for field in kind.fields:
-                name = (f"{flat}_{field.name}" if flat else field.name).lower()
-                walk(field.dataType, name, _key(path, field.name))
-            return
-        leaf(flat, path)
-        if not leads_on(flat):
-            return
-        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.VariantType)):
-            walk(kind.elementType, f"{flat}_#", f"{path}[#]")
-        elif isinstance(kind, T.VariantType) and "#" not in flat:
-            walk(_shape(records, path), flat, path)  # an object in some records, something else in others
-
-    walk(_shape(records, "$"), "", "$")
+                found.add((column, here))
+
+    def kind(flat: str, path: str) -> str:
+        """Reads one type; its first word."""
+        word = next(tokens)
+        if word == "OBJECT":
+            next(tokens)
+            sign = name = next(tokens)
+            while sign != ">":
+                key = name[1:-1].replace("``", "`") if name.startswith("`") else name
+                next(tokens)
+                below = (f"{flat}_{key}" if flat else key).lower()
+                if kind(below, _key(path, key)) != "OBJECT":
+                    leaf(below, _key(path, key))
+                sign = next(tokens)
+                if sign == ",":
+                    name = next(tokens)
+        elif word == "ARRAY":
+            next(tokens)
+            if kind(f"{flat}_#", f"{path}[#]") == "VARIANT":  # elements of several kinds
+                leaf(f"{flat}_#", f"{path}[#]")
+            next(tokens)
+        return word
+
+    kind("", "$")
     return found
 
 
+def field_paths(records: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """For each column every path that flattens to its name, whatever the spelling and nesting.
+
+    One pass over the records: each has a type, equal types are one, and each of them is walked once, by the executors.
+    """
+    wanted = sorted({c.lower() for c in columns})
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = set().union(*[shape_paths(s, wanted) for s in batch["shape"]])
+            yield pd.DataFrame(sorted(found), columns=["name", "path"])
+
+    shapes = records.select(F.schema_of_variant("record").alias("shape")).filter(F.col("shape").startswith("OBJECT")).distinct()
+    paths: dict[str, list[str]] = {c: [] for c in wanted}
+    for row in shapes.mapInPandas(walk, "name string, path string").distinct().collect():  # spellings of declared names
+        paths[row["name"]].append(row["path"])
+    return {c: sorted(found) for c, found in paths.items()}
+
+
 def variant_cell(record: Column, path: str) -> Column:
     """``struct<text, kind>`` at a path; null when the path leads to no scalar.
 

@@ -14,9 +14,15 @@ from siftgate.spec import Registry
 FILE_ROW = "path string, modificationTime timestamp, length long, content binary"
 
 
-def new_files(spark: SparkSession, directory: str, max_files: int | None = None) -> DataFrame:
-    """Stream of file descriptions; contents are not read."""
+def new_files(spark: SparkSession, directory: str, max_files: int | None = None, move_to: str | None = None) -> DataFrame:
+    """Stream of file descriptions; contents are not read.
+
+    With ``move_to`` Spark moves the files of a finished batch below that folder, under their full paths, as the
+    next batch begins.
+    """
     reader = spark.readStream.format("binaryFile").schema(FILE_ROW)
+    if move_to is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", move_to)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return supported(describe_files(reader.load(literal_paths([directory])[0])))
@@ -31,12 +37,14 @@ def watch(
     max_files: int | None = None,
     archive: bool = True,
     available_now: bool = True,
+    move_to: str | None = None,
 ) -> StreamingQuery:
     """Loads new files as they come, or all that are there now and then stops.
 
     A micro-batch may run again after a crash. That is harmless: a file that was published
     is recognised by name, and merging the same rows twice changes nothing. Files that no stream shows (of
-    length zero, or named ``_..``) come with the next batch, once.
+    length zero, or named ``_..``) come with the next batch, once. With ``move_to`` the files of a batch leave the
+    directory as the next one begins, so that listing costs what is new, not what ever came.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
@@ -48,6 +56,6 @@ def watch(
         if not files.isEmpty():
             load_files(session, registry, files, warehouse, archive)
 
-    writer = new_files(spark, directory, max_files).writeStream.foreachBatch(publish)
+    writer = new_files(spark, directory, max_files, move_to).writeStream.foreachBatch(publish)
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

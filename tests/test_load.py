@@ -3,14 +3,16 @@
 import dataclasses
 import gzip
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from siftgate.checks.files import workbook
 from siftgate.functions.text import clean_phone
-from siftgate.operators import logs
+from siftgate.operators import logs, merge
 from siftgate.plans import feeds, load
+from siftgate.session import setting
 from siftgate.sources.tables import Warehouse, write_jdbc
 from siftgate.spec import Audit, FieldSpec, Registry, SourceSpec
 
@@ -161,42 +163,86 @@ def test_merge_updates_inserts_and_leaves_alone(place, buckets):
     assert rows[("T3",)].total_amount == 9.5 and rows[("T3",)].etl_updated_at is not None
     assert rows[("T3",)].etl_created_at == rows[("T1",)].etl_created_at and rows[("T4",)].etl_updated_at is None
     # the same rows under a new name change nothing, and the file is known from then on
-    version = here.warehouse.version(TOLERANT)
+    written = files_of(here)
     here.put("sales_c.csv", HEADER + sale("T2") + sale("T3", amount="9.5") + sale("T4"))
     again = here.load()["sales_c.csv"]
     assert (again.success, again.target_inserts, again.target_updates) == (True, 0, 0)
-    assert here.rows(TOLERANT) == rows and here.warehouse.version(TOLERANT) == version
+    assert here.rows(TOLERANT) == rows and files_of(here) == written
     assert here.load()["sales_c.csv"].error_type == "Duplicate File Detected"
 
 
-def folders(path):
-    return {str(p.relative_to(path)) for p in (path / "warehouse/targets").glob("*/v=*/*_bucket=*") if any(p.glob("*.parquet"))}
+def files_of(here):
+    """Files of the targets, by bucket."""
+    root = pathlib.Path(here.warehouse.root)
+    return {str(p.relative_to(root)) for p in root.glob("targets/*/buckets-*/etl_bucket=*/*.parquet")}
 
 
-def test_a_small_load_writes_its_buckets_only(place, tmp_path):
+def test_a_small_load_writes_its_buckets_only(place):
     here = place(TOLERANT, buckets=8)
     here.put("sales_a.csv", HEADER + "".join(sale(f"T{i}") for i in range(200)))
     here.load()
-    before = folders(tmp_path)
-    assert len(before) == 8 and all("/more_bucket=" in f for f in before)
+    before = files_of(here)
+    assert len(before) == 8
     here.put("sales_b.csv", HEADER + sale("T7", amount="9.5"))
     here.load()
-    (written,) = folders(tmp_path) - before
-    assert "/new_bucket=" in written and len(here.rows(TOLERANT)) == 200
-    rewritten = here.spark.read.parquet(str(tmp_path / written)).count()
-    assert 1 < rewritten < 60
+    after = files_of(here)
+    (old,), (new,) = before - after, after - before
+    assert old.rsplit("/", 1)[0] == new.rsplit("/", 1)[0] and len(here.rows(TOLERANT)) == 200
     here.put("sales_c.csv", HEADER + sale("N1"))
     here.load()
-    (added,) = folders(tmp_path) - before - {written}
-    assert "/more_bucket=" in added and len(here.rows(TOLERANT)) == 201
-    load.back_out(here.warehouse, TOLERANT, "sales_c.csv")
+    # nothing piles up: a bucket stays one file
+    assert len(files_of(here)) == 8 and len(here.rows(TOLERANT)) == 201
+    assert load.back_out(here.warehouse, TOLERANT, "sales_c.csv") == 1
     assert len(here.rows(TOLERANT)) == 200 and ("N1",) not in here.rows(TOLERANT)
-    # folders that no late version reads are gone
-    here.put("sales_d.csv", HEADER + "".join(sale(f"T{i}", amount="7.5") for i in range(200)))
+    # a file whose rows are all of a bucket leaves none of it
+    load.back_out(here.warehouse, TOLERANT, "sales_b.csv")
+    load.back_out(here.warehouse, TOLERANT, "sales_a.csv")
+    assert files_of(here) == set() and here.rows(TOLERANT) == {}
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_merge_does_not_exchange_the_target(spark, place):
+    here = place(TOLERANT, buckets=8)
+    here.put("sales_a.csv", HEADER + "".join(sale(f"T{i}") for i in range(200)))
     here.load()
-    here.put("sales_e.csv", HEADER + "".join(sale(f"T{i}", amount="8.5") for i in range(200)))
+    target = here.warehouse.target(TOLERANT)
+    columns = merge.stage_columns(TOLERANT.field_names)
+    stage = target.select(*columns).filter("quantity = 1").repartition(3)
+    # as for tables that are too large to broadcast
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plans = [plan_of(f) for f in (merge.merge_frames(target, stage, TOLERANT.grain, F.current_timestamp()), merge.merge_actions(target, stage, TOLERANT.grain))]
+    for plan in plans:
+        # one exchange by key, that of the stage
+        assert plan.count("hashpartitioning(") == 1, plan
+
+
+def test_partitions_that_a_dead_driver_left_aside_are_put_back(place):
+    here = place(TOLERANT, buckets=4)
+    here.put("sales_a.csv", HEADER + "".join(sale(f"T{i}") for i in range(50)))
     here.load()
-    assert here.rows(TOLERANT)[("T3",)].total_amount == 8.5 and not before & folders(tmp_path)
+    rows = here.rows(TOLERANT)
+    folder = pathlib.Path(here.warehouse.root) / "targets/transactions/buckets-4"
+    (folder / ".spark-staging-1").mkdir()
+    # one is removed already and the new one not there yet
+    (folder / "etl_bucket=2").rename(folder / ".spark-staging-1/etl_bucket=2")
+    assert len(here.rows(TOLERANT)) < 50
+    here.put("sales_b.csv", HEADER + sale("T1"))
+    assert here.load()["sales_b.csv"].success
+    assert here.rows(TOLERANT) == rows and not list(folder.glob(".spark*"))
+
+
+def test_a_declared_field_may_be_added(place, spark):
+    here = place(TOLERANT)
+    here.put("sales_a.csv", HEADER + sale("T1"))
+    here.load()
+    wider = dataclasses.replace(TOLERANT, fields=(*TOLERANT.fields, FieldSpec("note", nullable=True, column="sales_rep")))
+    here.registry.sources[:] = [wider]
+    here.put("sales_b.csv", HEADER + sale("T2", rep="Bo"))
+    assert here.load()["sales_b.csv"].success
+    assert {k[0]: r.note for k, r in here.rows(wider).items()} == {"T1": None, "T2": "Bo"}
 
 
 def archive_copies(here, source):
@@ -218,7 +264,7 @@ def broken_once(method, after=False):
     return call
 
 
-@pytest.mark.parametrize("method, after", [("commit", False), ("commit", True), ("append_run_log", False), ("drop_dead_letters", False)])
+@pytest.mark.parametrize("method, after", [("upsert", False), ("finish", False), ("_overwrite", False), ("_overwrite", True), ("_note_files", False), ("append_run_log", False), ("drop_dead_letters", False)])
 def test_a_job_that_breaks_once_loses_nothing(place, monkeypatch, method, after):
     strict = dataclasses.replace(feeds.SALES, error_threshold=0.5)
     here = place(strict)
@@ -250,7 +296,7 @@ def test_a_load_that_died_is_closed_by_the_next(place, monkeypatch):
     real = Warehouse.append_run_log
 
     def dies(self, rows):
-        if self.version(TOLERANT) >= 0:
+        if self._partitions(TOLERANT):
             raise KeyboardInterrupt
         real(self, rows)
 
@@ -265,6 +311,49 @@ def test_a_load_that_died_is_closed_by_the_next(place, monkeypatch):
     assert first.success and first.ended_at is not None and (second.id, second.duplicate_skipped) == (2, True)
 
 
+def test_a_load_that_died_after_its_commit_is_published_by_the_next(place, monkeypatch):
+    here = place(TOLERANT)
+    here.put("sales_a.csv", HEADER + sale("T1"))
+    here.load()
+    here.put("sales_b.csv", HEADER + sale("T1", amount="9.5") + sale("T2"))
+    real = Warehouse._overwrite
+
+    def dies(self, source, rows):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Warehouse, "_overwrite", dies)
+    with pytest.raises(KeyboardInterrupt):
+        here.load()
+    monkeypatch.setattr(Warehouse, "_overwrite", real)
+    assert here.warehouse.is_pending(TOLERANT) and set(here.rows(TOLERANT)) == {("T1",)}
+    assert here.load()["sales_b.csv"].error_type == "Duplicate File Detected"
+    assert set(here.rows(TOLERANT)) == {("T1",), ("T2",)} and not here.warehouse.is_pending(TOLERANT)
+    runs = {r.id: r for r in here.warehouse.run_log().collect()}
+    assert runs[3].success and runs[3].source_filename == "sales_b.csv"
+
+
+def test_the_run_log_is_folded(place):
+    here = place(TOLERANT)
+    for i in range(3):
+        here.put(f"sales_{i}.csv", HEADER + sale(f"T{i}"))
+        here.load()
+    before = sorted(here.warehouse.run_log().collect())
+    assert not here.warehouse.fold_run_log(event_files=100)
+    for _ in range(2):
+        assert here.warehouse.fold_run_log(event_files=0 if _ == 0 else -1)
+        assert sorted(here.warehouse.run_log().collect()) == before and here.warehouse.next_run_id() == 7
+    results = here.load()
+    assert {r.error_type for r in results.values()} == {"Duplicate File Detected"} and [r.id for r in results.values()] == [7, 8, 9]
+    assert here.warehouse.fold_run_log(event_files=1)
+    log = here.warehouse.run_log().orderBy("id").collect()
+    assert [r.id for r in log] == [*range(1, 10)] and sorted(log[:6]) == before
+    root = pathlib.Path(here.warehouse.root) / "file_load_log"
+    assert len(list(root.glob("folded/upto=*"))) == 2 and len(list(root.glob("since=*"))) <= 2
+    # a load that breaks off while folding leaves the log as it was
+    (root / "folded/upto=99999999999999999999").mkdir()
+    assert here.warehouse.run_log().count() == 9
+
+
 def test_names_and_sizes_that_spark_passes_over(place):
     here = place(TOLERANT, dataclasses.replace(feeds.SALES, table="under", patterns=("_under*.csv",)))
     here.put("_under_1.csv", HEADER + sale("T1"))

@@ -112,6 +112,22 @@ def test_a_very_long_cell_in_a_ragged_record(spark, tmp_path):
     ]
 
 
+def test_many_declarations_are_routed_as_few(spark):
+    import random
+
+    chance = random.Random(4)
+    words = ["a", "B", "sales", "É", "x[1]", "é", "10"]
+    made = ["".join(chance.choices([*words, "*", "?", "[ab]", "[!z]", ".csv", "_"], k=chance.randrange(1, 6))) for _ in range(300)]
+    sources = [SourceSpec(f"t{i}", tuple(made[i : i + 2]), (FieldSpec("k"),), ("k",)) for i in range(0, 300, 2)]
+    sources.append(SourceSpec("same", ("sales*", "*sales"), (FieldSpec("k"),), ("k",)))
+    names = ["".join(chance.choices([*words, "c", ".csv", ".CSV", "_", "Sales"], k=chance.randrange(1, 6))) for _ in range(500)]
+    files = spark.createDataFrame([(f"/in/{i}/{n}", n, "csv") for i, n in enumerate(names)], "path string, source_filename string, file_format string")
+    few, many = (sorted(map(tuple, way(files, sources).collect())) for way in (discover._matched_by_projection, discover._matched_by_index))
+    assert few == many and max(len(r[-1]) for r in few) > 1
+    plan = plan_of(discover.route(files, [dataclasses.replace(s, table=f"{s.table}_{k}") for s in sources for k in range(35)]))
+    assert "(?is)" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_globs():
     import re
 
