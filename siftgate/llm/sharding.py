@@ -19,6 +19,8 @@ TOLERANCE = 0.001
 PROBES = 16
 # Rows one task numbers at most, about.
 ROWS_PER_CELL = 100_000
+# Low bits of the second key, by which rows of one text and one id differ.
+COPY_BITS = (1 << 24) - 1
 LOW, HIGH = -(1 << 63), (1 << 63) - 1  # ends of the keys' range
 
 
@@ -106,7 +108,8 @@ def shard_documents(
 ) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot``: near equal bytes per shard, slots gapless from 0.
 
-    The sort key is a hash of the text, then one of the id. Every round counts the exact bytes below
+    The sort key is a hash of the text, then one of the id, then one of the row's number, fixed once the keys are
+    written: a boundary can lie between equal rows too. Every round counts the exact bytes below
     all candidate boundaries in one map-side combined aggregate and narrows the brackets, until each
     boundary is within the tolerance or lies between two neighbouring keys. Then the rows are exchanged
     once, by shard and by a cell that an even hash picks, so no group of equal texts decides how many
@@ -121,8 +124,9 @@ def shard_documents(
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.xxhash64(text).alias("_key"),
-        F.xxhash64(F.lit(4), F.col(id_column)).alias("_tie"),
-    )
+        F.xxhash64(F.lit(4), F.col(id_column)).bitwiseAND(F.lit(~COPY_BITS))
+        .bitwiseOR(F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(COPY_BITS))).alias("_tie"),
+    )
     rows = stored(rows, "op4-keys")
     edges = splitters(rows, shards, tolerance)
     keys = np.array([k for k, _ in edges], dtype=object)

@@ -262,6 +262,10 @@ def test_sharding(spark, odd, empty):
     for r in found:
         homes[copies[r.doc_id][1]].add(r.shard)
     assert sum(len(h) > 1 for h in homes.values()) <= 5
+    # rows that are equal altogether are dealt out all the same
+    equal = [(7, "x" * 40)] * 3000 + [(10 + i, f"text {i}") for i in range(3000)]
+    sizes = check_shards(equal, sharding.shard_documents(texts(spark, equal).repartition(5), 6).collect(), 6)
+    assert len(sizes) == 6 and max(sizes.values()) - min(sizes.values()) <= 0.01 * sum(sizes.values())
 
 
 # 5 --------------------------------------------------------------------------------------------------
