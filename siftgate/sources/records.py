@@ -276,7 +276,11 @@ def split_records(spark: SparkSession, paths: Sequence[str], delimiter: str, enc
     tails = heads.groupBy("source_filename", F.col("owner").alias(BLOCK)).agg(
         F.array_join(F.transform(pieces, lambda p: p["head"]), "\n").alias("tail")
     )
-    # open records alone look for their tails; Spark broadcasts them while they are small
+    # written, so that Spark knows their size and need not exchange all records to find out
+    place = scratch_path(spark, "tails")
+    tails.write.parquet(place)
+    tails = spark.read.schema(tails.schema).parquet(place)
+    # open records alone look for their tails
     key = F.when(F.col("is_open"), F.col(BLOCK))
     joined = records.withColumn("_open", key).alias("r").join(
         tails.alias("t"), (F.col("r.source_filename") == F.col("t.source_filename")) & (F.col("r._open") == F.col(f"t.{BLOCK}")), "left"

@@ -379,7 +379,7 @@ def test_audit_text_with_a_subquery(place):
     here.put("sales_b.csv", HEADER + sale("T2") + sale("T3"))
     results = here.load()
     assert results["sales_a.csv"].success and results["sales_b.csv"].error_type == "Audit Failed"
-    assert not [t for t in here.spark.catalog.listTables() if t.name.startswith("siftgate_")]
+    assert not [t for t in here.spark.catalog.listTables() if t.isTemporary and t.name.startswith("siftgate_")]
 
 
 def test_same_key_in_two_files_of_a_run(place):
