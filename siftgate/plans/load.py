@@ -500,12 +500,10 @@ def _publish(
     now: datetime,
 ) -> None:
     good = merge.passed_only(stage, _files_frame(spark, runs))
-    if len(runs) > 1:
-        latest = [F.desc("modified_at"), F.desc("source_filename"), F.desc(BLOCK), F.desc(SEQUENCE)]
-        good = merge.latest_per_key(good, source.grain, latest)
+    latest = [F.desc("modified_at"), F.desc("source_filename"), F.desc(BLOCK), F.desc(SEQUENCE)] if len(runs) > 1 else []
     for run in runs:
         run |= {"publishing": True, "target_inserts": 0, "target_updates": 0}
-    _count(runs, warehouse.upsert(source, good.select(*merge.stage_columns(source.field_names)), F.lit(now)))
+    _count(runs, warehouse.upsert(source, good, F.lit(now), latest))
 
 
 def _count(runs: list[dict], counts: DataFrame) -> None:

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,9 +53,13 @@ class Warehouse:
 
     def _table(self, source: SourceSpec) -> str:
         """Name of the target in the catalog. It is declared anew where the session or the fields are new."""
-        folder, count = self._folder(source)
+        folder, _ = self._folder(source)
+        return self._declared(source, folder, source.to_struct().fields, partitioned=True)
+
+    def _declared(self, source: SourceSpec, folder: str, fields: Sequence[T.StructField], partitioned: bool) -> str:
+        """Name of a table over a folder, in the buckets of the target."""
         name = f"siftgate_{hashlib.md5(folder.encode()).hexdigest()}"
-        columns = T.StructType([*source.to_struct().fields, T.StructField(BUCKET, T.IntegerType())])
+        columns = T.StructType([*fields, *([T.StructField(BUCKET, T.IntegerType())] if partitioned else [])])
         spark = self.spark
         if spark.catalog.tableExists(name):
             kept = [(f.name, f.dataType) for f in spark.table(name).schema]
@@ -66,10 +70,11 @@ class Warehouse:
         make_directory(spark, folder)
         keys = ", ".join(f"`{g}`" for g in source.grain)
         place = qualified(spark, folder).replace("\\", "\\\\").replace("'", "\\'")
+        parts = f"PARTITIONED BY ({BUCKET})" if partitioned else ""
         with setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):  # partitions are what the folder has
             spark.sql(
-                f"CREATE TABLE {name} ({columns.toDDL()}) USING parquet PARTITIONED BY ({BUCKET}) "
-                f"CLUSTERED BY ({keys}) INTO {count} BUCKETS LOCATION '{place}'"
+                f"CREATE TABLE {name} ({columns.toDDL()}) USING parquet {parts} "
+                f"CLUSTERED BY ({keys}) INTO {self._folder(source)[1]} BUCKETS LOCATION '{place}'"
             )
         return name
 
@@ -134,23 +139,41 @@ class Warehouse:
         """Whether a load got as far as its commit, and no further."""
         return path_exists(self.spark, f"{self._pending(source)}/rows/_SUCCESS")
 
-    def upsert(self, source: SourceSpec, stage: DataFrame, now: Column) -> DataFrame:
+    def _pending_rows(self, source: SourceSpec) -> str:
+        fields = [f for f in source.to_struct() if f.name not in TIMESTAMP_COLUMNS]
+        return self._declared(source, f"{self._pending(source)}/rows", fields, partitioned=False)
+
+    def upsert(self, source: SourceSpec, stage: DataFrame, now: Column, latest: Sequence[Column] = ()) -> DataFrame:
         """Publishes staged rows; ``file_load_log_id, target_inserts, target_updates`` of the runs.
 
-        Staged rows are written once, deduplicated as they come. That they are complete is the commit.
+        Staged rows are exchanged and written once, in the target's buckets and with the last row of a key if ``latest``
+        says how they follow one another. That they are complete is the commit.
         """
         remove_path(self.spark, self._pending(source))
-        stage.write.parquet(f"{self._pending(source)}/rows")
+        make_directory(self.spark, f"{self._pending(source)}/rows")
+        name = self._pending_rows(source)
+        rows = stage.repartition(self._folder(source)[1], *source.grain)
+        if latest:
+            rows = merge.latest_per_key(rows, source.grain, latest)
+        rows.select(*self.spark.table(name).columns).write.insertInto(name)
         return self.finish(source, now)
 
     def finish(self, source: SourceSpec, now: Column) -> DataFrame:
         """Merges the pending rows into the target: keys and hashes tell what changes, those buckets are overwritten.
 
-        If nothing changes nothing is written. Counts are those of the first time.
+        Both lie in the same buckets, so nothing is exchanged. If nothing changes nothing is written. Counts are those
+        of the first time.
         """
         place = self._pending(source)
-        columns = [f for f in source.to_struct() if f.name not in TIMESTAMP_COLUMNS]
-        pending = self.spark.read.schema(T.StructType(columns)).parquet(f"{place}/rows")
+        # a task reads a bucket, also where Spark would see no need for it
+        with setting(self.spark, "spark.sql.sources.bucketing.autoBucketedScan.enabled", "false"):
+            counts = self._merge_pending(source, now)
+        remove_path(self.spark, place)
+        return self.spark.createDataFrame(counts, PENDING_COUNTS)
+
+    def _merge_pending(self, source: SourceSpec, now: Column) -> list[Row]:
+        place = self._pending(source)
+        pending = self.spark.table(self._pending_rows(source))
         self._put_back(source)
         if self._partitions(source):
             existing = self.target(source, self.touched(source, pending))
@@ -168,15 +191,13 @@ class Warehouse:
             self.spark.createDataFrame(counted, PENDING_COUNTS).coalesce(1).write.mode("overwrite").parquet(f"{place}/counts")
         counts = self.spark.read.schema(PENDING_COUNTS).parquet(f"{place}/counts").collect()  # one row per file
         if changed and existing is None:
-            fresh = pending.withColumns({"etl_created_at": now, "etl_updated_at": F.lit(None).cast("timestamp")})
-            self._overwrite(source, fresh.repartition(self._folder(source)[1], *source.grain))
+            self._overwrite(source, pending.withColumns({"etl_created_at": now, "etl_updated_at": F.lit(None).cast("timestamp")}))
         elif changed:
             stage = pending.filter(self.bucket(source).isin(changed))
             self._overwrite(source, merge.merge_frames(self.target(source, changed), stage, source.grain, now))
         wrote = self.spark.createDataFrame([(r.file_load_log_id,) for r in counts], "file_load_log_id long")
         self._note_files(source, pending.select("file_load_log_id", "source_filename").distinct().join(wrote, "file_load_log_id").select("source_filename"))
-        remove_path(self.spark, place)
-        return self.spark.createDataFrame(counts, PENDING_COUNTS)
+        return counts
 
     def remove_file(self, source: SourceSpec, source_filename: str) -> int:
         """Takes out the rows a file last wrote; only their buckets are written anew. The number of those."""
