@@ -223,11 +223,11 @@ def _records(delimiter: str):
                 return None
             size, count = len(records), count + len(records)
             columns = [
-                pa.array([now[0]] * size, pa.string()),
-                pa.array([now[1]] * size, pa.int64()),
+                pa.repeat(pa.scalar(now[0], pa.string()), size),
+                pa.repeat(pa.scalar(now[1], pa.int64()), size),
                 pa.array(np.arange(count - size, count)),
                 records.cast(pa.string()),
-                pa.array([is_open] * size, pa.bool_()),
+                pa.repeat(pa.scalar(is_open), size),
             ]
             return pa.RecordBatch.from_arrays(columns, names=["source_filename", BLOCK, SEQUENCE, "record", "is_open"])
 
