@@ -572,5 +572,6 @@ def test_schemas(spark):
     assert sorted(registry.QUERIES, key=lambda n: int(n[2:].split("_")[0])) == [
         "op1_secrets", "op2_packing", "op3_simhash", "op4_sharding", "op5_mixing",
         "op6_toxicity", "op7_passages", "op8_suffixes", "op9_topk", "op10_exact_dedup",
+        "op11_language", "op12_alignment", "op13_conversations",
     ]
     assert T.LongType() == sharding.op4_sharding(spark, SF_DIR).schema["slot"].dataType
