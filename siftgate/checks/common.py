@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftgate.operators import validate
 from siftgate.operators.rows import BLOCK, SEQUENCE
-from siftgate.plans.load import staged
+from siftgate.plans.load import SPLIT_BYTES, staged
 from siftgate.session import scratch_path
 from siftgate.sources.csv_source import SHAPE
 from siftgate.spec import FieldSpec, SourceSpec
@@ -24,6 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # The exports of a check have so many rows in a file at most; the SQL counts files the same way.
 ROWS_PER_FILE = 1_000_000
+# Nor more bytes of cells than about this, as one task writes a file; rows of up to 268 bytes stay within it.
+FILE_BYTES = 256 * 1024 * 1024
 
 
 def files_sql(table_name: str, least: int = 8) -> str:
@@ -31,14 +33,21 @@ def files_sql(table_name: str, least: int = 8) -> str:
     return f"(SELECT greatest({least}, CAST(ceil(count(*) / {ROWS_PER_FILE}.0) AS BIGINT)) FROM {table_name})"
 
 
+def files_for(rows: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Number of files that rows are spread over, by their count and by the bytes of their cells."""
+    cells = [F.coalesce(F.octet_length(rows[i].cast("string")), F.lit(0)) for i in range(len(rows.columns))]
+    count, size = rows.agg(F.count("*"), F.sum(sum(cells, F.lit(0).cast("bigint")))).first()
+    return max(-(-count // ROWS_PER_FILE), -(-(size or 0) // file_bytes))
+
+
 def export_csv(spark: SparkSession, rows: DataFrame, label: str, files: int | None = 8, **options) -> str:
     """Writes rows as CSV files with headers into a scratch folder; returns the folder.
 
-    There are ``files`` files, more if there are many rows; ``files=None`` keeps the partitions as they
+    There are ``files`` files, more if there are many rows or long ones; ``files=None`` keeps the partitions as they
     are, one file each.
     """
     path = scratch_path(spark, label)
-    spread = rows if files is None else rows.repartition(max(files, -(-rows.count() // ROWS_PER_FILE)))
+    spread = rows if files is None else rows.repartition(max(files, files_for(rows)))
     writer = spread.write.option("header", True).option("quote", '"').option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.options(**options).csv(path)
@@ -47,8 +56,8 @@ def export_csv(spark: SparkSession, rows: DataFrame, label: str, files: int | No
 
 @contextmanager
 def many_splits(spark: SparkSession, total_bytes: int, least: int = 64 * 1024) -> Iterator[None]:
-    """Scans cut files of so many bytes into about 64 splits, so that small tables too have files of several."""
-    size = str(max(least, total_bytes // 64))
+    """Scans cut files of so many bytes into about 64 splits, so that small tables too have files of several; large ones have more."""
+    size = str(min(SPLIT_BYTES, max(least, total_bytes // 64)))
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = [spark.conf.get(n) for n in names]
     for name in names:

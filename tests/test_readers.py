@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from siftgate.checks import common
 from siftgate.functions.text import excel_serial_to_date, excel_serial_to_timestamp, truncate
 from siftgate.operators import merge, rows, validate
 from siftgate.plans import load
@@ -289,3 +290,16 @@ def test_json_keys_are_read_by_record(spark, tmp_path):
         "1": ["a", "q", "o", "deep"], "2": ["b", "r", None, "own"], "3": ["c", None, None, None], **{str(10 + i): ["z", "1", "2", "3"] for i in range(4)},
     }
     assert plan_of(raw).count("Scan parquet") == 1
+
+
+def test_long_rows_are_exported_to_more_files(spark):
+    rows = spark.range(100).selectExpr("id", "repeat('x', 1000) AS text", "CAST(NULL AS STRING) AS nothing")
+    assert common.files_for(rows, 20_000) == 6 and common.files_for(rows) == 1 and common.files_for(rows.limit(0)) == 0
+
+
+def test_splits_of_large_files_stay_small(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    with common.many_splits(spark, 1 << 20):
+        assert int(spark.conf.get(name)) == 1 << 16
+    with common.many_splits(spark, 1 << 40):
+        assert int(spark.conf.get(name)) == load.SPLIT_BYTES
