@@ -303,13 +303,10 @@ CHECKS["file_row_number"] = (
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS place FROM orders",
 )
 
-def _with_header(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    first = True
-    for frame in frames:
-        if first:
-            yield pd.DataFrame({"line": ["doc_id,text,lang"]})
-            first = False
-        yield frame
+def _with_header(lines: DataFrame, header: str) -> DataFrame:
+    """The first line of every partition, and so of every file, gets a header before it."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # lower bits count within a partition
+    return lines.select(F.when(first, F.concat(F.lit(f"{header}\n"), "line")).otherwise(F.col("line")).alias("line"))
 
 
 RAGGED = SourceSpec(
@@ -323,7 +320,7 @@ def _ragged(spark, sf):
     rest = "CASE doc_id % 3 WHEN 0 THEN concat(',', lang, ',more') WHEN 1 THEN '' ELSE concat(',', lang) END"
     lines = table(spark, sf, "documents").selectExpr(f"concat(CAST(doc_id AS STRING), ',', {text}, {rest}) AS line")
     folder = scratch_path(spark, "ragged")
-    lines.repartition("line").mapInPandas(_with_header, "line string").write.text(folder)
+    _with_header(lines.repartition("line"), "doc_id,text,lang").write.text(folder)
     paths = [r.path for r in spark.read.format("binaryFile").load(folder).select("path").collect()]
     raw, _ = load.scan(spark, RAGGED, paths)
     kinds = F.array_join(F.transform("validation_errors", lambda e: e["error_type"]), ",")

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from siftgate.checks import common
+from siftgate.checks import common, files
 from siftgate.functions.text import excel_serial_to_date, excel_serial_to_timestamp, truncate
 from siftgate.operators import merge, rows, validate
 from siftgate.plans import load
@@ -303,3 +303,13 @@ def test_splits_of_large_files_stay_small(spark):
         assert int(spark.conf.get(name)) == 1 << 16
     with common.many_splits(spark, 1 << 40):
         assert int(spark.conf.get(name)) == load.SPLIT_BYTES
+
+
+def test_each_file_begins_with_a_header_written_without_python(spark, tmp_path):
+    lines = spark.range(40).selectExpr("concat('line ', id, if(id % 2 = 0, '\n\"', '')) AS line").repartition(3)
+    headed = files._with_header(lines, "head,er")
+    assert "Python" not in (plan := headed._jdf.queryExecution().toString()) and "MapInPandas" not in plan
+    headed.write.text(str(tmp_path / "lines"))
+    found = [p.read_text() for p in (tmp_path / "lines").glob("*.txt")]
+    assert len(found) == 3 and all(t.startswith("head,er\nline ") and t.count("head,er") == 1 for t in found)
+    assert sorted("".join(t.removeprefix("head,er\n") for t in found)) == sorted("".join(r.line + "\n" for r in lines.collect()))
