@@ -19,7 +19,7 @@ from siftgate.plans import load
 from siftgate.session import make_directory, path_exists, qualified, scratch_path, steady_splits
 from siftgate.sources import discover, workbook_source
 from siftgate.sources.csv_source import read_csv
-from siftgate.sources.excel_source import excel_headers, read_excel
+from siftgate.sources.excel_source import CELLS, excel_headers, read_excel
 from siftgate.sources.paths import file_system
 from siftgate.sources.tables import Warehouse
 from siftgate.spec import FieldSpec, Registry, SourceSpec
@@ -589,7 +589,10 @@ def _workbooks(spark, sf):
             out.write(content)
         return group[["book"]].head(1)
 
-    plain.groupBy("book").applyInPandas(write, "book long").count()
+    # by number, as Spark would leave so few bytes to few tasks; a task writes up to 64 books then
+    books = -(-plain.count() // WORKBOOK_ROWS)
+    tasks = max(1, min(books, 8 * spark.sparkContext.defaultParallelism), books // 64)
+    plain.repartition(tasks, "book").groupBy("book").applyInPandas(write, "book long").count()
     return folder
 
 
@@ -620,8 +623,9 @@ def _excel_format(spark, sf):
     stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/stream").option("path", f"{root}/cells").trigger(
         availableNow=True
     ).start().awaitTermination()
-    batch = spark.read.format("workbook").option("sheet", PARTS.sheet).load(folder)
-    streamed = spark.read.schema(batch.schema).parquet(f"{root}/cells")
+    # parsed once, as in a load: header and records both come from what is written
+    spark.read.format("workbook").option("sheet", PARTS.sheet).load(folder).write.parquet(f"{root}/batch")
+    batch, streamed = (spark.read.schema(CELLS).parquet(f"{root}/{way}") for way in ("batch", "cells"))
     (header,) = {tuple(r.header) for r in excel_headers(batch).collect()}
     found = [
         _part_rows(load.number_rows(load.drop_skipped(load.staged(read_excel(cells, PARTS, header), PARTS), PARTS), PARTS))

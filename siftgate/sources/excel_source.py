@@ -114,9 +114,8 @@ def stage_cells(spark: SparkSession, paths: Sequence[str], source: SourceSpec, w
 
 def excel_headers(cells: DataFrame) -> DataFrame:
     """``path, header`` from the first row of each workbook."""
-    first = cells.groupBy("path").agg(F.min("sheet_row").alias("sheet_row"))
-    rows = cells.join(first, ["path", "sheet_row"])
-    return rows.select("path", F.transform("cells", lambda c: c["text"]).alias("header"))
+    first = cells.groupBy("path").agg(F.min_by("cells", "sheet_row").alias("cells"))
+    return first.select("path", F.transform("cells", lambda c: c["text"]).alias("header"))
 
 
 def _serial_as_text(cell: Column, spec: FieldSpec) -> Column:

@@ -13,11 +13,15 @@ from siftgate.sources.excel_source import CELLS, sheet_rows
 from siftgate.sources.paths import file_system
 
 
-class Sheet(InputPartition):
-    """One sheet of one workbook: what a task reads."""
+# Tasks that the sheets are shared out to before one has several, and the most sheets that one has.
+TASKS, SHEETS = 256, 64
 
-    def __init__(self, path: str, sheet: str | None):
-        self.path, self.sheet = path, sheet
+
+class Sheets(InputPartition):
+    """Sheets of workbooks, by path and name: what a task reads."""
+
+    def __init__(self, sheets: Sequence[tuple[str, str | None]]):
+        self.sheets = sheets
 
 
 def list_workbooks(folder: str) -> list[tuple[int, str]]:
@@ -30,12 +34,13 @@ def list_workbooks(folder: str) -> list[tuple[int, str]]:
     return sorted((f.mtime_ns, scheme + f.path) for f in books)
 
 
-def read_sheet(partition: Sheet) -> Iterator[tuple]:
-    filesystem, name = file_system(partition.path)
-    with filesystem.open_input_file(name) as file:
-        content = file.read()
-    for number, cells in sheet_rows(content, partition.sheet):
-        yield partition.path, number, [(text, kind) for text, kind in cells]
+def read_sheets(partition: Sheets) -> Iterator[tuple]:
+    for path, sheet in partition.sheets:
+        filesystem, name = file_system(path)
+        with filesystem.open_input_file(name) as file:
+            content = file.read()
+        for number, cells in sheet_rows(content, sheet):
+            yield path, number, cells
 
 
 class _Options:
@@ -44,8 +49,10 @@ class _Options:
         # several sheets are parted by line feeds, which no sheet's name has
         self.sheets: Sequence[str | None] = options["sheet"].split("\n") if "sheet" in options else [None]
 
-    def partitions_of(self, books: Sequence[tuple[int, str]]) -> list[Sheet]:
-        return [Sheet(path, sheet) for _, path in books for sheet in self.sheets]
+    def partitions_of(self, books: Sequence[tuple[int, str]]) -> list[Sheets]:
+        every = [(path, sheet) for _, path in books for sheet in self.sheets]
+        size = min(SHEETS, max(1, len(every) // TASKS))
+        return [Sheets(every[i : i + size]) for i in range(0, len(every), size)]
 
 
 class WorkbookReader(_Options, DataSourceReader):
@@ -53,7 +60,7 @@ class WorkbookReader(_Options, DataSourceReader):
         return self.partitions_of(list_workbooks(self.folder))
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        return read_sheet(partition)
+        return read_sheets(partition)
 
 
 class WorkbookStreamReader(_Options, DataSourceStreamReader):
@@ -73,7 +80,7 @@ class WorkbookStreamReader(_Options, DataSourceStreamReader):
         return self.partitions_of([tuple(b) for b in json.loads(end["books"]) if tuple(b) not in seen])
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        return read_sheet(partition)
+        return read_sheets(partition)
 
 
 class WorkbookSource(DataSource):

@@ -10,7 +10,7 @@ from siftgate.checks import common, files
 from siftgate.functions.text import excel_serial_to_date, excel_serial_to_timestamp, truncate
 from siftgate.operators import merge, rows, validate
 from siftgate.plans import load
-from siftgate.sources import discover, headers, records
+from siftgate.sources import discover, excel_source, headers, records, workbook_source
 from siftgate.sources.csv_source import read_csv
 from siftgate.sources.json_source import flat_paths, records_at
 from siftgate.spec import FieldSpec, SourceSpec, glob_regex
@@ -313,3 +313,19 @@ def test_each_file_begins_with_a_header_written_without_python(spark, tmp_path):
     found = [p.read_text() for p in (tmp_path / "lines").glob("*.txt")]
     assert len(found) == 3 and all(t.startswith("head,er\nline ") and t.count("head,er") == 1 for t in found)
     assert sorted("".join(t.removeprefix("head,er\n") for t in found)) == sorted("".join(r.line + "\n" for r in lines.collect()))
+
+
+def test_sheets_of_many_workbooks_share_tasks():
+    reader = workbook_source.WorkbookReader({"path": "/in", "sheet": "a\nb"})
+    books = [(0, f"/in/{i}.xlsx") for i in range(1000)]
+    parts = reader.partitions_of(books)
+    assert [s for p in parts for s in p.sheets] == [(path, sheet) for _, path in books for sheet in "ab"]
+    assert len(parts) <= 2 * workbook_source.TASKS and len(reader.partitions_of(books[:3])) == 6
+    assert max(len(p.sheets) for p in reader.partitions_of(books * 50)) == workbook_source.SHEETS
+
+
+def test_header_of_a_workbook_reads_cells_once(spark):
+    cells = spark.createDataFrame([("b", 3, [("x", "string")]), ("b", 2, [("H", "string")])], excel_source.CELLS)
+    found = excel_source.excel_headers(cells)
+    assert [(r.path, r.header) for r in found.collect()] == [("b", ["H"])]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
