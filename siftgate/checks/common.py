@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # The exports of a check have so many rows in a file at most; the SQL counts files the same way.
 ROWS_PER_FILE = 1_000_000
-# Nor more bytes of cells than about this, as one task writes a file; rows of up to 268 bytes stay within it.
+# Where rows may be long, nor more bytes of cells than about this, as one task writes a file.
 FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -40,14 +40,14 @@ def files_for(rows: DataFrame, file_bytes: int = FILE_BYTES) -> int:
     return max(-(-count // ROWS_PER_FILE), -(-(size or 0) // file_bytes))
 
 
-def export_csv(spark: SparkSession, rows: DataFrame, label: str, files: int | None = 8, **options) -> str:
+def export_csv(spark: SparkSession, rows: DataFrame, label: str, files: int | None = 8, long_rows: bool = False, **options) -> str:
     """Writes rows as CSV files with headers into a scratch folder; returns the folder.
 
-    There are ``files`` files, more if there are many rows or long ones; ``files=None`` keeps the partitions as they
-    are, one file each.
+    There are ``files`` files, more if there are many rows; ``files=None`` keeps the partitions as they
+    are, one file each. With ``long_rows`` bytes are counted, too.
     """
     path = scratch_path(spark, label)
-    spread = rows if files is None else rows.repartition(max(files, files_for(rows)))
+    spread = rows if files is None else rows.repartition(max(files, files_for(rows) if long_rows else -(-rows.count() // ROWS_PER_FILE)))
     writer = spread.write.option("header", True).option("quote", '"').option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.options(**options).csv(path)

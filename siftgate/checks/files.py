@@ -136,7 +136,7 @@ DOCUMENTS = SourceSpec(
 
 def _csv(spark, sf):
     """Whole texts with quotes and line breaks, through the multi-line reader."""
-    folder = export_csv(spark, table(spark, sf, "documents"), "documents")
+    folder = export_csv(spark, table(spark, sf, "documents"), "documents", long_rows=True)
     stage = scanned(spark, folder, DOCUMENTS)
     return stage.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"), "is_valid")
 
@@ -149,7 +149,7 @@ CHECKS["csv_scan"] = (
 
 def _split_csv(spark, sf):
     """The same texts from few large files, each read by many tasks: records reach over line breaks and splits."""
-    folder = export_csv(spark, table(spark, sf, "documents"), "documents", files=2)
+    folder = export_csv(spark, table(spark, sf, "documents"), "documents", files=2, long_rows=True)
     sizes = {r.path: r.file_bytes for r in discover.list_files(spark, folder).filter("file_format = 'csv'").collect()}
     path = scratch_path(spark, "documents-stage")
     header = [f.name for f in DOCUMENTS.fields]
