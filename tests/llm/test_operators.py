@@ -425,6 +425,51 @@ def test_passage_of_lines_that_others_have(spark):
         assert {(r.doc_id, r.start, r.end, r.partner_id, r.partner_start) for r in found} == {(4, 0, 60, 3, 30)}
 
 
+def test_edited_passage_of_parts_that_others_have(spark):
+    """All seeds of the passage are first seen in documents that share less than a passage, and no window is shared."""
+    passage = odd_data.words(0, 60).split()
+    edited = [f"other{k}" if k in (9, 19, 29, 39, 49) else w for k, w in enumerate(passage)]
+    parts = [passage[a : a + 22] for a in (0, 13, 26, 38)] + [edited[a : a + 22] for a in (0, 13, 26, 38)]
+    rows = [(k, f"{odd_data.words(100_000 * k, 40)} {' '.join(part)} {odd_data.words(100_000 * k + 500, 40)}") for k, part in enumerate(parts, 1)]
+    rows += [(k, f"{odd_data.words(100_000 * k, 30)} {' '.join(w)} {odd_data.words(100_000 * k + 500, 30)}") for k, w in ((21, passage), (22, edited))]
+    for parts in (1, 4):
+        found = passages.fuzzy_passages(texts(spark, rows).repartition(parts)).collect()
+        assert [(r.doc_id, r.start, r.end, r.partner_id, r.partner_start, r.equal) for r in found] == [(22, 30, 90, 21, 30, 55)]
+
+
+def test_all_pairs_of_passages(spark):
+    """Each pair that chains of all seeds of two documents give is linked, unless both are linked to the first with a run of theirs."""
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents")
+    found = passages.fuzzy_passages(docs).collect()
+    linked = {(r.doc_id, r.partner_id) for r in found}
+    whole = {}
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        whole.setdefault(r.text or "", r.doc_id)
+    hashed = passages._Words()
+    known = {d: hashed(t) for t, d in whole.items()}
+    known = {d: w for d, w in sorted(known.items()) if len(w) >= 50}
+    looked = {d: passages.seeds(w) for d, w in known.items()}
+    wide = {d: set(passages.windows(w, 50)[0].tolist()) for d, w in known.items()}
+    missed, pairs = [], 0
+    for d in known:
+        for e in known:
+            if e >= d:
+                continue
+            both = np.intersect1d(looked[d][0], looked[e][0])
+            places = [[looked[k][1][looked[k][0] == s] for k in (d, e)] for s in both]
+            if not places:
+                continue
+            x, y = (np.concatenate([g[k].ravel() for g in (np.meshgrid(p, q) for p, q in places)]) for k in (0, 1))
+            x, y = passages._thinned(x, y)
+            for chain in passages.chains(x, y):
+                u, v, core = passages.align(known[d], known[e], x[chain], y[chain])
+                if passages.stretches(u, v, core, 50, 0.8):
+                    pairs += 1
+                    if (d, e) not in linked and not wide[d] & wide[e]:
+                        missed.append((d, e))
+    assert pairs >= 10 and not missed
+
+
 def test_passage_after_a_stray_first_place(spark):
     """The partner has each line of the passage once more, further up."""
     lines = [odd_data.words(1000 * k, 20) for k in range(3)]
