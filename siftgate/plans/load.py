@@ -183,39 +183,48 @@ def _load_isolated(
     """Loads the files together; if a job breaks, halves the list until the bad file stands alone.
 
     An attempt starts from what the runs were before it, and takes back the dead letters it wrote. Only the
-    archive copy is kept. Once the rows to publish are complete the attempt is over: they are published, if not at
-    the first try then at the second, or by the next load.
+    archive copy is kept. If it breaks as it publishes, the staged rows, which are checked by then, stay for the halves.
     """
-    states = [dict(r) for r in runs]
+    states = {r["id"]: dict(r) for r in runs}
     try:
-        _attempt(spark, source, runs, warehouse, archive)
+        for run, error in _attempt(spark, source, runs, warehouse, archive):
+            _take_back([run], states, warehouse)
+            _break(run, error)
     except Exception as error:
-        if _is_fatal(spark, error):
+        if _is_fatal(spark, error) or warehouse.is_pending(source):
             raise
-        if warehouse.is_pending(source):
-            log.warning("After the commit of %s", source.table, exc_info=True)
-            publishing = [r for r in runs if r.get("publishing")]
-            _count(publishing, warehouse.finish(source, F.lit(_now())))
-            _published(spark, source, publishing, warehouse)
-            return
-        for run, state in zip(runs, states):
-            copied = {k: v for k, v in run.items() if k.startswith("archive")}
-            run.clear()
-            run.update(state | copied)
-        warehouse.drop_dead_letters([r["id"] for r in runs])
+        _take_back(runs, states, warehouse)
         if len(runs) > 1:
-            middle = len(runs) // 2
-            for part in (runs[:middle], runs[middle:]):
+            log.warning("The files of %s are taken apart", source.table, exc_info=True)
+            for part in _halves(runs):
                 _load_isolated(spark, source, part, warehouse, archive)
             return
-        log.exception("Load failed: %s", runs[0]["source_filename"])
-        message = str(error).split("\n\nJVM stacktrace")[0]
-        runs[0] |= {"success": False, "error_type": type(error).__name__, "error_message": message}
+        _break(runs[0], error)
     finally:
         for run in runs:
             run.setdefault("ended_at", _now())
 
 
+def _halves(runs: list[dict]) -> tuple[list[dict], list[dict]]:
+    return runs[: len(runs) // 2], runs[len(runs) // 2 :]
+
+
+def _take_back(runs: Sequence[dict], states: Mapping[int, dict], warehouse: Warehouse) -> None:
+    """Runs as they were before an attempt, but for the archive copy."""
+    for run in runs:
+        copied = {k: v for k, v in run.items() if k.startswith("archive")}
+        state = states[run["id"]]
+        run.clear()
+        run.update(state | copied)
+    warehouse.drop_dead_letters([r["id"] for r in runs])
+
+
+def _break(run: dict, error: Exception) -> None:
+    log.error("Load failed: %s", run["source_filename"], exc_info=error)
+    message = str(error).split("\n\nJVM stacktrace")[0]
+    run |= {"success": False, "error_type": type(error).__name__, "error_message": message}
+
+
 def _published(spark: SparkSession, source: SourceSpec, runs: list[dict], warehouse: Warehouse) -> None:
     """What follows a commit; it can be repeated, and no longer undoes it."""
     for run in runs:
@@ -339,7 +348,8 @@ def spread(raw: DataFrame, source: SourceSpec, runs: Sequence[dict]) -> DataFram
 
 def _attempt(
     spark: SparkSession, source: SourceSpec, fresh: list[dict], warehouse: Warehouse, archive: bool
-) -> None:
+) -> list[tuple[dict, Exception]]:
+    """Loads files together; those that could not be published even alone, and why."""
     now = _now()
     copied = [r for r in fresh if not r.get("archived")]
     if archive and copied:
@@ -353,7 +363,7 @@ def _attempt(
     stage_path = f"{warehouse.root}/stage/{source.table}-{uuid.uuid4().hex}"
     try:
         with steady_splits(spark):
-            _check_and_publish(spark, source, fresh, warehouse, stage_path, now, started)
+            return _check_and_publish(spark, source, fresh, warehouse, stage_path, now, started)
     finally:
         remove_path(spark, stage_path)
 
@@ -366,7 +376,7 @@ def _check_and_publish(
     stage_path: str,
     now: datetime,
     started: datetime,
-) -> None:
+) -> list[tuple[dict, Exception]]:
     sizes = {r["path"]: r["file_bytes"] for r in fresh}
     raw, verdicts = scan(spark, source, list(sizes), stage_path, sizes)
     by_name = {r["source_filename"]: r for r in fresh}
@@ -379,8 +389,9 @@ def _check_and_publish(
             if name not in seen:
                 run |= {"success": False, "error_type": "ValueError", "error_message": NO_DATA % name}
     open_runs = [r for r in fresh if r.get("success") is None]
-    if raw is not None and open_runs:
-        _stage_and_publish(spark, source, raw, open_runs, warehouse, stage_path, now, started)
+    if raw is None or not open_runs:
+        return []
+    return _stage_and_publish(spark, source, raw, open_runs, warehouse, stage_path, now, started)
 
 
 def _phase(runs: Sequence[dict], name: str, started: datetime, success: bool | None = True) -> None:
@@ -400,7 +411,7 @@ def _stage_and_publish(
     stage_path: str,
     now: datetime,
     started: datetime,
-) -> None:
+) -> list[tuple[dict, Exception]]:
     by_name = {r["source_filename"]: r for r in runs}
     names = _files_frame(spark, runs)
     with short_methods(spark):
@@ -437,11 +448,34 @@ def _stage_and_publish(
     _phase([r for r in passed if r.get("success") is False], "audit", started, False)
 
     passed = [r for r in passed if r.get("success") is None]
-    if passed:
-        started = _now()
-        _publish(spark, source, stage, passed, warehouse, now)
-        _phase(passed, "merge", started)
-        _published(spark, source, passed, warehouse)
+    return _publish_isolated(spark, source, stage, passed, warehouse, now) if passed else []
+
+
+def _publish_isolated(
+    spark: SparkSession, source: SourceSpec, stage: DataFrame, runs: list[dict], warehouse: Warehouse, now: datetime
+) -> list[tuple[dict, Exception]]:
+    """Publishes the checked rows of files; if that breaks, halves the list until the bad file stands alone.
+
+    Once the rows to publish are complete it goes on: they are published, if not at the first try then at the second, or
+    by the next load.
+    """
+    started = _now()
+    try:
+        _publish(spark, source, stage, runs, warehouse, now)
+    except Exception as error:
+        if _is_fatal(spark, error):
+            raise
+        if warehouse.is_pending(source):
+            log.warning("After the commit of %s", source.table, exc_info=True)
+            _count(runs, warehouse.finish(source, F.lit(_now())))
+        elif len(runs) > 1:
+            log.warning("The staged files of %s are taken apart", source.table, exc_info=True)
+            return [x for part in _halves(runs) for x in _publish_isolated(spark, source, stage, part, warehouse, now)]
+        else:
+            return [(runs[0], error)]
+    _phase(runs, "merge", started)
+    _published(spark, source, runs, warehouse)
+    return []
 
 
 def _publish_rejected(

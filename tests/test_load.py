@@ -290,6 +290,31 @@ def test_a_job_that_breaks_once_loses_nothing(place, monkeypatch, method, after)
     assert len(ids) == len(set(ids)) == 6
 
 
+def test_files_are_staged_once_though_their_merge_breaks(place, monkeypatch):
+    here = place(TOLERANT)
+    for name in "abc":
+        here.put(f"sales_{name}.csv", HEADER + sale(f"T{name}") + sale(f"U{name}", quantity="x"))
+    staged, audited, real = [], [], Warehouse.upsert
+    scan, check = load.scan, load._audit
+    monkeypatch.setattr(load, "scan", lambda *args: staged.append(1) or scan(*args))
+    monkeypatch.setattr(load, "_audit", lambda *args: audited.append(1) or check(*args))
+
+    def breaks(self, source, stage, *args):
+        if stage.filter("source_filename = 'sales_b.csv'").count():
+            raise RuntimeError("broken for b")
+        return real(self, source, stage, *args)
+
+    monkeypatch.setattr(Warehouse, "upsert", breaks)
+    results = here.load()
+    assert {n: (r.success, r.error_type, r.target_inserts) for n, r in results.items()} == {
+        "sales_a.csv": (True, None, 1), "sales_b.csv": (False, "RuntimeError", None), "sales_c.csv": (True, None, 1),
+    }
+    assert len(staged) == len(audited) == 1 and set(here.rows(TOLERANT)) == {("Ta",), ("Tc",)}
+    assert [r.source_filename for r in here.letters()] == ["sales_a.csv", "sales_c.csv"]
+    monkeypatch.setattr(Warehouse, "upsert", real)
+    assert here.load()["sales_b.csv"].success and set(here.rows(TOLERANT)) == {("Ta",), ("Tb",), ("Tc",)}
+
+
 def test_a_load_that_died_is_closed_by_the_next(place, monkeypatch):
     here = place(TOLERANT)
     here.put("sales_a.csv", HEADER + sale("T1"))
