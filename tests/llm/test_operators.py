@@ -479,6 +479,29 @@ def test_passage_after_a_stray_first_place(spark):
     assert (30, 90, 300, 360) in {(r.start, r.end, r.partner_start, r.partner_end) for r in found}
 
 
+def test_pairs_that_share_a_line_only_are_not_sent():
+    """Of many texts with one line in common, just the pairs that can hold a passage become links; edited passages can."""
+    rng = np.random.default_rng(5)
+    hashed, line = passages._Words(), "one line of twelve words that very many texts have in common here"
+    fill = lambda n: [f"w{k}" for k in rng.integers(0, 3000, n)]
+    known = [hashed(" ".join([*fill(60), line, *fill(60)])) for _ in range(150)]
+    passage, pairs = fill(35), []
+    for k in range(40):
+        # each fifth word is replaced, left out on one side, or put in
+        edited = [[f"x{k}{side}{i}"] if side and i % 6 == 3 and (i + k) % 3 == 0 else [] if side and i % 11 == 5 else [w] for side in (0, 1) for i, w in enumerate(passage)]
+        sides = [[w for ws in part for w in ws] for part in (edited[:35], edited[35:])]
+        pairs.append((len(known), len(known) + 1))
+        known += [hashed(" ".join([*fill(40), line, *sides[i], *fill(30)])) for i in (0, 1)]
+    place = [60] * 150 + [40] * 80
+    around = [passages._surroundings(w, np.array([p]), 50) for w, p in zip(known, place)]
+    n = len(known)
+    before = np.array([passages._before(w, np.array([p]), 0)[0] for w, p in zip(known, place)])
+    columns = [np.full(n, 2), np.arange(n), np.arange(n), np.array(place), before, np.concatenate([a[0] for a in around])]
+    links = np.concatenate([np.stack(x[:6]) for x in passages._run_links([(columns, b"".join(a[1].tobytes() for a in around))], 50, 0.8)], axis=1)
+    got_pairs = set(zip(links[3].tolist(), links[0].tolist()))
+    assert got_pairs >= set(pairs) and not [p for p in got_pairs if p[0] < 150] and len(got_pairs) < 40 * 80
+
+
 def test_first_exchange_of_seeds_is_small():
     """Seeds that only one text has cost two or three bytes, and those that several have are found."""
     import pyarrow as pa
