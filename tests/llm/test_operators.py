@@ -505,17 +505,18 @@ def test_pairs_that_share_a_line_only_are_not_sent():
 def test_first_exchange_of_seeds_is_small():
     """Seeds that only one text has cost two or three bytes, and those that several have are found."""
     import pyarrow as pa
+    import zstandard
 
     rng, bits, ranges = np.random.default_rng(7), 26, 4
     lines = [" ".join(f"w{k}" for k in rng.integers(0, 20_000, 400)) for _ in range(120)]
     common = odd_data.words(0, 30)
-    rows = [(i % 3, i, 10 * i, f"{line} {common}" if i in (4, 5, 50) else line) for i, line in enumerate(lines)]
+    rows = [(i % 3, i, 10 * i, zstandard.compress((f"{line} {common}" if i in (4, 5, 50) else line).encode())) for i, line in enumerate(lines)]
     cells, emit = [], passages._emit_short(50, ranges, bits)
     for number in range(3):
         part = [r for r in rows if r[0] == number]
         part.append(part[0])  # a repeated row counts once
         cells += emit(pa.table(dict(zip(("portion", "_id", "_hash", "_text"), map(list, zip(*part)))))).to_pylist()
-    seeds = [s >> (passages.HASH_BITS - bits) for s in (passages.seeds(passages._Words()(r[3]))[0] for r in rows)]
+    seeds = [s >> (passages.HASH_BITS - bits) for s in (passages.seeds(passages._Words()(zstandard.decompress(r[3]).decode()))[0] for r in rows)]
     assert sum(len(c["rows"]) for c in cells) < 3 * sum(map(len, seeds))
     known, count = np.unique(np.concatenate([np.unique(s) for s in seeds]), return_counts=True)
     shared = set(known[count > 1].tolist())
