@@ -502,6 +502,28 @@ def test_pairs_that_share_a_line_only_are_not_sent():
     assert got_pairs >= set(pairs) and not [p for p in got_pairs if p[0] < 150] and len(got_pairs) < 40 * 80
 
 
+def test_repeated_words_are_linked_once(spark):
+    """A stretch of one word or of a short line again and again is covered by a few rows, not one for each way to shift it."""
+    turn = odd_data.words(0, 7)
+    rows = [(k, " ".join([odd_data.words(1000 * k, 20), *["la"] * (60 + 10 * k), odd_data.words(1000 * k + 500, 20), *[turn] * (10 + k)])) for k in range(1, 9)]
+    found = passages.fuzzy_passages(texts(spark, rows)).collect()
+    assert len(found) < 150
+    for k, text in rows[1:]:
+        covered = {i for r in found if r.doc_id == k and r.partner_id == 1 for i in range(r.start, r.end)}
+        own = [i for i, w in enumerate(text.split()) if w == "la" or w in turn.split()]
+        assert covered >= set(own)
+
+
+def test_passage_with_stretches_of_other_lengths(spark):
+    """A word is repeated, more often in one of the texts, inside a passage, before it or behind it."""
+    one, two = odd_data.words(0, 28), odd_data.words(100, 28)
+    for parts in ([(one, 6, two), (one, 9, two)], [("", 12, one + " " + two), ("", 30, one + " " + two)], [(one + " " + two, 12, ""), (one + " " + two, 30, "")]):
+        rows = [(k, f"{odd_data.words(1000 * k, 30)} {a} {' '.join(['la'] * n)} {b} {odd_data.words(1000 * k + 500, 30)}") for k, (a, n, b) in enumerate(parts, 1)]
+        found = passages.fuzzy_passages(texts(spark, rows)).collect()
+        least = min(len(f"{a} {b}".split()) + n for a, n, b in parts)
+        assert max(r.equal for r in found) == least and len(found) < 4
+
+
 def test_first_exchange_of_seeds_is_small():
     """Seeds that only one text has cost two or three bytes, and those that several have are found."""
     import pyarrow as pa
