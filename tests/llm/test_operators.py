@@ -502,6 +502,36 @@ def test_pairs_that_share_a_line_only_are_not_sent():
     assert got_pairs >= set(pairs) and not [p for p in got_pairs if p[0] < 150] and len(got_pairs) < 40 * 80
 
 
+def test_few_pairs_of_a_frequent_line_are_compared(monkeypatch):
+    """Of many texts with one line in common, only pairs with enough other words in common are compared word by word, and no passage is lost."""
+    rng = np.random.default_rng(6)
+    hashed, line = passages._Words(), "one line of twelve words that very many texts have in common here"
+    fill = lambda n: [f"w{k}" for k in rng.integers(0, 3000, n)]
+    known = [hashed(" ".join([*fill(60), line, *fill(60)])) for _ in range(400)]
+    place = [60] * 400
+    for size in (40, 50, 64, 86):
+        for _ in range(10):
+            passage = fill(size)
+            for side in (0, 1):
+                edited = [f"x{i}" if side and (i % 6 == 3 or i == size // 2 - 1) else w for i, w in enumerate(passage)]
+                known.append(hashed(" ".join([*fill(30), *edited[: size // 2], line, *edited[size // 2 :], *fill(30)])))
+                place.append(30 + size // 2)
+    around = [passages._surroundings(w, np.array([p]), 50) for w, p in zip(known, place)]
+    n = len(known)
+    before = np.array([passages._before(w, np.array([p]), i)[0] for i, (w, p) in enumerate(zip(known, place))])
+    columns = [np.full(n, 2), np.arange(n), np.arange(n), np.array(place), before, np.concatenate([a[0] for a in around])]
+    rows, compared, compare = [(columns, b"".join(a[1].tobytes() for a in around))], [], passages._may_hold
+    monkeypatch.setattr(passages, "_may_hold", lambda left, right, a, b, *rest: compared.append(len(a)) or compare(left, right, a, b, *rest))
+
+    def pairs():
+        return {p for x in passages._run_links(rows, 50, 0.8) for p in zip(x[3].tolist(), x[0].tolist())}
+
+    found = pairs()
+    assert found >= {(k, k + 1) for k in range(400, 480, 2)} and sum(compared) < 10_000
+    monkeypatch.setattr(passages, "COUNTED", 1000)
+    assert found == pairs()
+
+
 def test_repeated_words_are_linked_once(spark):
     """A stretch of one word or of a short line again and again is covered by a few rows, not one for each way to shift it."""
     turn = odd_data.words(0, 7)
