@@ -554,6 +554,14 @@ def test_passage_with_stretches_of_other_lengths(spark):
         assert max(r.equal for r in found) == least and len(found) < 4
 
 
+def test_a_step_is_written(spark):
+    """What comes after a step reads a table, so that no shuffle file of what led to it is needed."""
+    frame = spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count()
+    found = passages.step(frame, "test")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, frame.collect()))
+    assert "Exchange" in frame._jdf.queryExecution().toString() and "Exchange" not in found._jdf.queryExecution().toString()
+
+
 def test_first_exchange_of_seeds_is_small():
     """Seeds that only one text has cost two or three bytes, and those that several have are found."""
     import pyarrow as pa
